@@ -6,7 +6,7 @@ one row. Lists and sets are built in chunks, so no task and no row ever holds a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +18,12 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Sum of decimal amounts kept as doubles, independent of row order."""
+def sum_of(value: Column | str, scale: int | None = None) -> Column:
+    """Sum of a number. With a scale the values are summed as decimals of that many places, which makes
+    the result independent of row order; give it for amounts, not for arbitrary measurements."""
     value = F.col(value) if isinstance(value, str) else value
+    if scale is None:
+        return F.sum(value)
     return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
 
 
@@ -28,22 +31,29 @@ def count_by_key(df: DataFrame, keys: str | Sequence[str], name: str = "n") -> D
     return df.groupBy(*_names(keys)).agg(F.count("*").alias(name))
 
 
-def sum_by_key(df: DataFrame, keys: str | Sequence[str], value: str, name: str = "total") -> DataFrame:
-    return df.groupBy(*_names(keys)).agg(exact_sum(value).alias(name))
+def sum_by_key(
+    df: DataFrame, keys: str | Sequence[str], value: str, name: str = "total", scale: int | None = None
+) -> DataFrame:
+    return df.groupBy(*_names(keys)).agg(sum_of(value, scale).alias(name))
 
 
 def count_and_sum_by_key(
-    df: DataFrame, keys: str | Sequence[str], value: str, count: str = "n", total: str = "total"
+    df: DataFrame,
+    keys: str | Sequence[str],
+    value: str,
+    count: str = "n",
+    total: str = "total",
+    scale: int | None = None,
 ) -> DataFrame:
     """Row count and sum per key. Text keys are trimmed, so a trailing blank does not split a group."""
     text = {name for name, kind in df.dtypes if kind == "string"}
     grouping = [F.trim(k).alias(k) if k in text else F.col(k) for k in _names(keys)]
-    return df.groupBy(*grouping).agg(F.count("*").alias(count), exact_sum(value).alias(total))
+    return df.groupBy(*grouping).agg(F.count("*").alias(count), sum_of(value, scale).alias(total))
 
 
-def average_by_key(df: DataFrame, keys: str | Sequence[str], value: str) -> DataFrame:
+def average_by_key(df: DataFrame, keys: str | Sequence[str], value: str, scale: int | None = None) -> DataFrame:
     """Average per key through its (count, sum) state, which stays visible."""
-    state = df.groupBy(*_names(keys)).agg(F.count(value).alias("n"), exact_sum(value).alias("total"))
+    state = df.groupBy(*_names(keys)).agg(F.count(value).alias("n"), sum_of(value, scale).alias("total"))
     return state.withColumn("average", F.col("total") / F.col("n"))
 
 
@@ -121,6 +131,38 @@ def set_by_key(
     return list_by_key(df, keys, value, max_items, spread, distinct=True)
 
 
+def combine_by_key(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    value: str,
+    create: Callable[[Column], Column],
+    merge_value: Callable[[Column, Column], Column],
+    merge_states: Callable[[Column, Column], Column],
+    finish: Callable[[Column], Column] | None = None,
+    name: str = "result",
+    max_items: int = CHUNK_ITEMS,
+) -> DataFrame:
+    """A user's aggregate given as (create, merge value, merge states) over column expressions.
+
+    Use it where no built-in aggregate says the same. `merge_states` must be associative and
+    commutative. Values are folded per chunk of a key, the states of up to 1000 chunks per group, and
+    the groups per key, so a hot key is folded by many tasks.
+    """
+    names = _names(keys)
+
+    def fold(states: Column) -> Column:
+        rest = F.slice(states, 2, F.greatest(F.size(states) - 1, F.lit(0)))
+        return F.aggregate(rest, F.get(states, F.lit(0)), merge_states)
+
+    chunks = list_by_key(df, names, value, max_items)
+    rest = F.slice("items", 2, F.greatest(F.size("items") - 1, F.lit(0)))
+    state = F.aggregate(rest, create(F.get("items", F.lit(0))), merge_value)
+    states = chunks.select(*names, F.floor(F.col("chunk") / 1000).alias("_group"), state.alias("_state"))
+    groups = states.groupBy(*names, "_group").agg(fold(F.collect_list("_state")).alias("_state"))
+    whole = groups.groupBy(*names).agg(fold(F.collect_list("_state")).alias("_state"))
+    return whole.select(*names, (finish or (lambda s: s))(F.col("_state")).alias(name))
+
+
 def items_text(df: DataFrame, items: str = "items", sep: str = ",") -> DataFrame:
     """The arrays as one delimited text per row."""
     return df.withColumn(items, F.array_join(F.col(items).cast("array<string>"), sep))

@@ -8,18 +8,43 @@ from pyspark.sql import functions as F
 # No common store has longer names, so a longer pattern cannot occur in one.
 LONGEST_NAME = 1024
 
-
-def route_files(files: DataFrame, rules: DataFrame, name: str = "file_name", pattern: str = "table_name") -> DataFrame:
-    """Left join of files with the last rule whose pattern occurs in the lower-cased file name.
-
-    The substring test runs as an equi join: each name is cut into its substrings of the lengths
-    that rules have (at most 1024 numbers), and these are joined with the patterns. Work grows with
-    the number of files, not with files times rules, and nothing depends on the rule table being
-    small. `rules` needs a `line_no` column; the highest one wins. Files without a rule keep nulls.
+# Up to this many rules every file name is tested against all of them.
+DIRECT_RULES = 500
+
+
+def route_files(
+    files: DataFrame,
+    rules: DataFrame,
+    name: str = "file_name",
+    pattern: str = "table_name",
+    direct_rules: int = DIRECT_RULES,
+) -> DataFrame:
+    """Add the last rule whose pattern occurs in the lower-cased file name; nulls where there is none.
+
+    `rules` has a `line_no` column, the highest one wins. A few rules travel as one array value and are
+    tested in place, without a join. More than `direct_rules` are matched by an equi join instead, so
+    work does not grow with files times rules and nothing depends on the rule table being small.
     """
-    usable = rules.where(F.col(pattern).isNotNull() & (F.length(pattern) <= LONGEST_NAME))
-    lengths = F.sort_array(F.collect_set(F.length(pattern)))
-    lengths = F.coalesce(usable.agg(lengths).scalar(), F.array().cast("array<int>"))
+    rules = rules.where(F.col(pattern).isNotNull())
+    if rules.limit(direct_rules + 1).count() <= direct_rules:
+        return _test_all(files, rules, name, pattern)
+    return _match_substrings(files, rules, name, pattern)
+
+
+def _test_all(files: DataFrame, rules: DataFrame, name: str, pattern: str) -> DataFrame:
+    # line_no comes first in the struct, so the maximum is the last matching rule
+    listed = F.struct("line_no", *[c for c in rules.columns if c != "line_no"])
+    tested = files.withColumn("_rules", rules.agg(F.collect_list(listed)).scalar())
+    lowered = F.lower(name)
+    last = F.array_max(F.filter("_rules", lambda rule: lowered.contains(rule[pattern])))
+    routed = tested.withColumn("_rule", last)
+    return routed.select(name, *[c for c in files.columns if c != name], *[F.col("_rule")[c].alias(c) for c in rules.columns])
+
+
+def _match_substrings(files: DataFrame, rules: DataFrame, name: str, pattern: str) -> DataFrame:
+    """Cut each name into its substrings of the lengths that rules have, and join these with the patterns."""
+    usable = rules.where(F.length(pattern) <= LONGEST_NAME)
+    lengths = F.coalesce(usable.agg(F.collect_set(F.length(pattern))).scalar(), F.array().cast("array<int>"))
     names = files.select(name).where(F.col(name).isNotNull()).dropDuplicates()
     lowered = names.withColumn("_lower", F.lower(name)).withColumn("_lengths", lengths)
 
@@ -31,8 +56,7 @@ def route_files(files: DataFrame, rules: DataFrame, name: str = "file_name", pat
         )
 
     parts = lowered.select(name, F.explode(F.array_distinct(F.flatten(F.transform("_lengths", cuts)))).alias("_part"))
-    rule_columns = [c for c in rules.columns]
     matched = parts.join(usable.withColumn("_part", F.col(pattern)), "_part")
-    best = matched.groupBy(name).agg(F.max_by(F.struct(*rule_columns), F.col("line_no")).alias("_rule"))
-    routed = best.select(name, *[F.col("_rule")[c].alias(c) for c in rule_columns])
+    best = matched.groupBy(name).agg(F.max_by(F.struct(*rules.columns), F.col("line_no")).alias("_rule"))
+    routed = best.select(name, *[F.col("_rule")[c].alias(c) for c in rules.columns])
     return files.join(routed, name, "left")

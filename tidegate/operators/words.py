@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.text import jvm_trim, lines_of, split_dropping_trailing
+from tidegate.functions.text import CONTROL, jvm_trim, lines_of, split_dropping_trailing
 from tidegate.operators.joins import exclude_keys
 
 # The stop words of the multi-file word count.
@@ -31,9 +31,14 @@ def document_lines(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def line_words(df: DataFrame, line: str = "value", trim: bool = False) -> DataFrame:
-    """Words between single blanks; blank words inside a line count, those at its end do not."""
-    words = df.select(F.explode(split_dropping_trailing(line, " ")).alias("w"))
-    return words.select(jvm_trim("w").alias("w")) if trim else words
+    """Words between single blanks; blank words inside a line count, those at its end do not.
+
+    Trimming only finds something in lines with control characters, so only their words are trimmed.
+    """
+    words = split_dropping_trailing(line, " ")
+    if trim:
+        words = F.when(F.col(line).rlike(CONTROL), F.transform(words, jvm_trim)).otherwise(words)
+    return df.select(F.explode(words).alias("w"))
 
 
 def count_words(words: DataFrame, word: str = "w") -> DataFrame:

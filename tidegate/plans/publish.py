@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.filenames import base_name, is_accepted, parse_names, source_file
 from tidegate.operators.anonymize import anonymize_lines
 from tidegate.operators.inventory import unpublished
+from tidegate.operators.joins import broadcast_if_small
 from tidegate.operators.quality import field_count
 from tidegate.operators.routing import route_files
 from tidegate.sinks.files import replace_partitions
@@ -15,6 +16,9 @@ from tidegate.sources.control import resolve_rules
 from tidegate.sources.files import file_inventory
 from tidegate.sources.text import read_lines
 
+# Routed files are about 200 bytes each; past this number they are joined by shuffle.
+BROADCAST_FILES = 200_000
+
 PUBLISHED = "published"
 REJECTED = "rejected"
 OUTCOME_FOLDERS = ("outcome", "entity", "date_range", "file_name")
@@ -42,7 +46,7 @@ def anonymize_routed(
     Lines without a rule and lines of the wrong width are rejected unchanged, under the run that saw
     them; all others are anonymised by their file's rule.
     """
-    tagged = lines.join(routed, "path")
+    tagged = lines.join(broadcast_if_small(routed, BROADCAST_FILES), "path")
     fits = F.col("positions").isNotNull() & (field_count("value", sep) == F.col("width"))
     fits = F.coalesce(fits, F.lit(False))
     tagged = tagged.withColumn("outcome", F.when(fits, PUBLISHED).otherwise(f"{REJECTED}-{run}"))

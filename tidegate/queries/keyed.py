@@ -16,6 +16,7 @@ from tidegate.operators.words import (
     words_frame,
 )
 from tidegate.queries.base import Query, table
+from tidegate.session import widen
 from tidegate.sources.text import inline_rows
 
 REMOVE_LIST = "Hello, is, this, the"
@@ -30,7 +31,7 @@ TRIM_SQL = " || ".join(f"chr({i})" for i in range(1, 33))
 
 
 def document_words(spark, sf, trim=False):
-    return line_words(document_lines(table(spark, sf, "documents")), trim=trim)
+    return line_words(document_lines(widen(table(spark, sf, "documents").select("text"))), trim=trim)
 
 
 def wc_basic(spark, sf):
@@ -74,7 +75,7 @@ def three_way(spark, sf):
 def composite_key(spark, sf):
     e = table(spark, sf, "events")
     left = pairs(e, first="user_id", last="event_type", technology="event_id")
-    right = aggregates.sum_by_key(pairs(e, first="user_id", last="event_type", v="value"), ["first", "last"], "v", "salary")
+    right = aggregates.sum_by_key(pairs(e, first="user_id", last="event_type", v="value"), ["first", "last"], "v", "salary", 2)
     return joins.inner_join(left, right, ["first", "last"])
 
 
@@ -106,16 +107,31 @@ def lists_key(spark, sf):
 
 
 def average_key(spark, sf):
-    return aggregates.average_by_key(table(spark, sf, "events"), "event_type", "value")
+    return aggregates.average_by_key(table(spark, sf, "events"), "event_type", "value", 2)
+
+
+def custom_combine(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderpriority", "o_custkey")
+    return aggregates.combine_by_key(
+        o,
+        "o_orderpriority",
+        "o_custkey",
+        create=lambda v: F.struct(F.lit(1).cast("long").alias("n"), v.alias("total")),
+        merge_value=lambda s, v: F.struct((s["n"] + 1).alias("n"), (s["total"] + v).alias("total")),
+        merge_states=lambda a, b: F.struct((a["n"] + b["n"]).alias("n"), (a["total"] + b["total"]).alias("total")),
+        finish=lambda s: s["total"] / s["n"],
+        name="average",
+        max_items=500,
+    )
 
 
 def multikey(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("l_returnflag", F.concat("l_returnflag", F.lit(" ")))
-    return aggregates.count_and_sum_by_key(li, ["l_returnflag", "l_linestatus", "l_linenumber"], "l_extendedprice")
+    return aggregates.count_and_sum_by_key(li, ["l_returnflag", "l_linestatus", "l_linenumber"], "l_extendedprice", scale=2)
 
 
 def two_keys(spark, sf):
-    return aggregates.sum_by_key(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"], "o_totalprice")
+    return aggregates.sum_by_key(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"], "o_totalprice", scale=2)
 
 
 def global_sum(spark, sf):
@@ -229,6 +245,11 @@ QUERIES = {
            FROM (SELECT event_type, count(value) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
                  FROM events GROUP BY event_type)""",
     ),
+    "agg_custom_combine": Query(
+        custom_combine,
+        """SELECT o_orderpriority, CAST(sum(o_custkey) AS DOUBLE) / count(*) AS average
+           FROM orders GROUP BY o_orderpriority""",
+    ),
     "agg_count_sum_multikey": Query(
         multikey,
         """SELECT l_returnflag, l_linestatus, l_linenumber, count(*) AS n,

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on: AQE sizes the shuffles, picks broadcast joins from
 # measured sizes, and splits skewed join partitions even where the join output is grouped again.
@@ -38,6 +40,17 @@ def build_session(app_name: str = "tidegate", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
+@contextmanager
+def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Set a runtime setting for one write that has no writer option for it."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only for local sessions without it."""
     sc = spark.sparkContext
@@ -56,3 +69,14 @@ def shared_folder(spark: SparkSession) -> str:
 def workspace(spark: SparkSession, label: str) -> str:
     """A new folder path below the shared folder; Spark creates it on the first write."""
     return f"{shared_folder(spark).rstrip('/')}/tidegate/{label}-{uuid.uuid4().hex}"
+
+
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer partitions than there are cores.
+
+    For expensive per-row work on small or unsplittable files. A large scan has more partitions than
+    cores and is returned as it is, so nothing large is shuffled. Pass a plain scan: asking a derived
+    frame for its partitions may run its shuffles.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
