@@ -93,8 +93,26 @@ def test_exclusion_keeps_duplicates(spark, rows):
     right = inline_rows(spark, [("b",), ("b",)], "w string")
     assert rows(sets.subtract(left, right)) == [("a",), ("a",), ("c",)]
     assert rows(joins.exclude_keys(left, right, "w")) == [("a",), ("a",), ("c",)]
-    big = joins.broadcast_if_small(right, max_rows=1)
-    assert big is right
+    assert joins.broadcast_if_small(right, max_rows=1) is right
+    assert joins.broadcast_if_small(right, max_bytes=15) is right
+    assert joins.broadcast_if_small(right, max_rows=2, max_bytes=20) is not right
+
+
+def test_exclusion_of_nulls(spark, rows):
+    left = inline_rows(spark, [("a", 1), (None, 1), (None, 2)], "w string, n int")
+    assert joins.exclude_keys(left, left.where("w IS NULL"), "w").count() == 1
+    assert sets.subtract(left, left.where("n = 1")).collect()[0].n == 2
+
+
+def test_sorting_spreads_copies(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).select(F.when(F.col("id") % 3 > 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("w"))
+        out = ordering.sort_by(df, "w", split_copies=True)
+        parts = out.where("w = 'same'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) > 1 and [r.w for r in out.collect()] == sorted(r.w for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_union_and_distinct(spark, rows):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.digest import as_column
 
 # The accepted name patterns.
-STAMPS = r"(\d{8}T\d{6})_(\d{8}T\d{6})_(\d{8}T\d{6})_(\d{2})"
+STAMPS = r"(?:\d{8}T\d{6}_){3}\d{2}"
 THREE_STAMPS = r"(\d{8}T\d{6}_){3}"
 ENTITY = r"^((?:[A-Za-z]+_)*[A-Za-z]+)_\d{8}T"
 IN_FLIGHT = "COPYING"
@@ -22,7 +22,9 @@ NAME_COLUMNS = ("file_name", "entity", "from_ts", "to_ts", "run_ts", "chunk", "d
 
 def base_name(path: Column | str) -> Column:
     """Last path element without its extension."""
-    return F.regexp_extract(as_column(path), r"([^/]+?)(\.[^./]*)?$", 1)
+    name = F.substring_index(as_column(path), "/", -1)
+    extension = F.length(F.substring_index(name, ".", -1)) + 1
+    return F.when(name.contains("."), F.left(name, F.length(name) - extension)).otherwise(name)
 
 
 def source_file(path: Column | str) -> Column:
@@ -31,21 +33,17 @@ def source_file(path: Column | str) -> Column:
     A text output is a folder of part files, so for `.../X.txt/part-00000` and
     `.../drop=X.txt/part-00000` the answer is `X.txt`; for any other path it is the last element.
     """
-    elements = F.split(as_column(path), "/")
-    last = F.element_at(elements, -1)
-    parent = F.try_element_at(elements, F.lit(-2))
-    name = F.when(last.startswith("part-") & parent.isNotNull(), parent).otherwise(last)
-    return F.regexp_replace(name, r"^[A-Za-z_]+=", "")
+    path = as_column(path)
+    last = F.substring_index(path, "/", -1)
+    parent = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    name = F.when(last.startswith("part-"), parent).otherwise(last)
+    return F.when(name.contains("="), F.regexp_replace(name, r"^[A-Za-z_]+=", "")).otherwise(name)
 
 
 def entity_of(name: Column | str) -> Column:
     return F.regexp_extract(as_column(name), ENTITY, 1)
 
 
-def date_range(from_ts: Column | str, to_ts: Column | str) -> Column:
-    return F.concat_ws("_", as_column(from_ts), as_column(to_ts))
-
-
 def partition_date(from_ts: Column | str, frequency: Column | str) -> Column:
     """yyyyMM for monthly files, yyyyMMdd for the others. A plain string is a frequency, not a column."""
     frequency = F.lit(frequency) if isinstance(frequency, str) else frequency
@@ -63,12 +61,15 @@ def parse_names(df: DataFrame, path: str = "path") -> DataFrame:
     """Add the name columns of a path column; a rejected name gives blanks."""
     named = df.withColumn("file_name", base_name(source_file(path)))
     stamped = named.select(
-        "*",
-        entity_of("file_name").alias("entity"),
-        *[
-            F.regexp_extract("file_name", STAMPS, i).alias(c)
-            for i, c in enumerate(("from_ts", "to_ts", "run_ts", "chunk"), start=1)
-        ],
+        "*", entity_of("file_name").alias("entity"), F.regexp_extract("file_name", STAMPS, 0).alias("_stamps")
+    )
+    # the stamps have fixed widths, so one match gives all of them
+    return stamped.select(
+        *named.columns,
+        "entity",
+        F.substring("_stamps", 1, 15).alias("from_ts"),
+        F.substring("_stamps", 17, 15).alias("to_ts"),
+        F.substring("_stamps", 33, 15).alias("run_ts"),
+        F.substring("_stamps", 49, 2).alias("chunk"),
+        F.substring("_stamps", 1, 31).alias("date_range"),
     )
-    spanned = F.when(F.col("from_ts") != "", date_range("from_ts", "to_ts")).otherwise("")
-    return stamped.withColumn("date_range", spanned)

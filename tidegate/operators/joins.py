@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def _names(on: str | Sequence[str]) -> list[str]:
@@ -27,14 +30,22 @@ def chain_join(first: DataFrame, *others: DataFrame, on: str | Sequence[str]) ->
     return joined
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting at most max_rows + 1 rows; larger frames join unhinted."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring the frame; a larger one joins unhinted.
+
+    Measuring reads at most max_rows + 1 rows and takes the length of their JSON text as their size.
+    """
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    rows, measured = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and measured <= max_bytes else df
 
 
 def exclude_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key is not listed; duplicates of the remaining rows stay."""
-    return df.join(broadcast_if_small(keys.select(*_names(on))), _names(on), "left_anti")
+    """Rows whose key is not listed; duplicates of the remaining rows stay. A null key can be listed."""
+    names = _names(on)
+    listed = broadcast_if_small(keys.select(*[F.col(n).alias(f"_listed_{n}") for n in names]))
+    same = [F.col(n).eqNullSafe(F.col(f"_listed_{n}")) for n in names]
+    return df.join(listed, reduce(and_, same), "left_anti")
 
 
 def hot_keys(df: DataFrame, on: str | Sequence[str], share: float = 0.01) -> DataFrame:

@@ -11,10 +11,20 @@ from pyspark.sql.window import Window
 from tidegate.session import shared_folder
 
 
-def sort_by(df: DataFrame, *columns: str | Column) -> DataFrame:
-    """Global sort; all other columns break ties, so rows of one hot value spread over several ranges."""
+def sort_by(df: DataFrame, *columns: str | Column, split_copies: bool = False) -> DataFrame:
+    """Global sort; all other columns break ties, so rows of one hot value spread over several ranges.
+
+    Rows that are equal in every column still share a range. Where such copies may be a large part of
+    the data, `split_copies` checkpoints the rows and numbers them, which spreads the copies as well;
+    after the checkpoint a lost executor cannot change the numbers.
+    """
     named = {c for c in columns if isinstance(c, str)}
-    return df.orderBy(*columns, *[c for c in df.columns if c not in named])
+    ties = [c for c in df.columns if c not in named]
+    if not split_copies:
+        return df.orderBy(*columns, *ties)
+    shared_folder(df.sparkSession)
+    numbered = df.checkpoint().withColumn("_copy", F.monotonically_increasing_id())
+    return numbered.orderBy(*columns, *ties, "_copy").drop("_copy")
 
 
 def first_rows(df: DataFrame, n: int, *columns: str | Column) -> DataFrame:
@@ -30,7 +40,7 @@ def with_position(df: DataFrame, name: str = "pos", order_by: Sequence[str | Col
     are one row per partition; no task sees more than its own partition.
     """
     shared_folder(df.sparkSession)
-    rows = (df.orderBy(*order_by) if order_by else df).checkpoint()
+    rows = (sort_by(df, *order_by) if order_by else df).checkpoint()
     marked = rows.withColumn("_id", F.monotonically_increasing_id())
     marked = marked.withColumn("_part", F.shiftright("_id", 33))
     sizes = marked.groupBy("_part").agg(F.count("*").alias("_n"))
