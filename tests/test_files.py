@@ -129,6 +129,9 @@ def test_several_paths_and_positional_csv(spark, text_file, rows):
     paths = [text_file(f"m/{i}/f.txt", f"{i},n{i},rest\n") for i in range(3)]
     assert rows(sources.read_lines(spark, *paths)) == [(f"{i},n{i},rest",) for i in range(3)]
     assert rows(sources.read_csv_positional(spark, paths[1], ["id", "name"])) == [("1", "n1")]
+    blank = text_file("b.csv", 'id,n\n"1",\n,x\n')
+    assert rows(sources.read_csv_header(spark, blank, ["id", "n"])) == [("", "x"), ('"1"', "")]
+    assert rows(sources.read_csv_positional(spark, blank, ["id"])) == [("",), ('"1"',), ("id",)]
 
 
 @pytest.mark.parametrize("codec, ending", [(None, ".txt"), ("gzip", ".txt.gz"), ("bzip2", ".txt.bz2")])

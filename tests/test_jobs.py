@@ -152,3 +152,14 @@ def test_a_failing_load_publishes_nothing(spark, tmp_path, text_file):
             spark, str(tmp_path / "in"), "sms", "diario", ["a", "b", "c"], "no_such_table", str(tmp_path / "out"), SALT
         )
     assert not os.path.exists(tmp_path / "out")
+
+
+def test_file_conditions_are_not_tested_per_line(spark, tmp_path, text_file, rules):
+    text_file(f"in/{SMS}_01.txt", "1|2|3\n")
+    archive = str(tmp_path / "in")
+    routed = publish.route_paths(publish.file_inventory(spark, archive), publish.resolve_rules(spark, rules))
+    lines = read_lines(spark, archive, recursive=True, with_path=True)
+    out = publish.anonymize_routed(lines, routed, SALT, 3, "x")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    text_scan = plan[plan.index("BroadcastHashJoin") : plan.index("FileScan text")]
+    assert "RLIKE" not in text_scan and "Exchange hashpartitioning" not in plan

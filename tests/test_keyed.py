@@ -143,8 +143,10 @@ def hot_rows(spark, n=9000):
     )
 
 
+@pytest.mark.parametrize("few", [True, False])
 @pytest.mark.parametrize("distinct", [False, True])
-def test_lists_of_a_hot_key_are_whole_and_chunked(spark, distinct):
+def test_lists_of_a_hot_key_are_whole_and_chunked(spark, monkeypatch, distinct, few):
+    monkeypatch.setattr(aggregates, "is_small", lambda _: few)
     df = hot_rows(spark)
     want = defaultdict(list)
     for r in df.collect():

@@ -51,10 +51,12 @@ def test_a_line_is_split_once_and_only_as_far_as_needed(spark):
     assert len(re.findall(r"split\(", plan)) == 1 and re.search(r"split\(value#\d+, \\\|, 3\)", plan)
 
 
-def test_chunked_lists_are_partitioned_by_key_and_chunk(spark):
+def test_lists_take_one_shuffle_unless_a_key_is_large(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
-    plan = plan_of(aggregates.list_by_key(df, "k", "id", 10))
-    assert re.search(r"hashpartitioning\(k#\d+L, chunk#\d+L, \d+\), REPARTITION_BY_COL", plan)
+    small = plan_of(aggregates.list_by_key(df, "k", "id", 1000))
+    assert small.count("Exchange hashpartitioning") == 1 and "REPARTITION" not in small
+    large = plan_of(aggregates.list_by_key(df, "k", "id", 10))
+    assert re.search(r"hashpartitioning\(k#\d+L, chunk#\d+L, \d+\), REPARTITION_BY_COL", large)
 
 
 def test_session_settings(spark, tmp_path):

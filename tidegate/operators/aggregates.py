@@ -1,16 +1,20 @@
 """Keyed and global aggregations.
 
 Plain sums, counts and averages rely on Spark's partial aggregation: a hot key leaves every task as
-one row. Lists and sets are built in chunks, so no task and no row ever holds a whole hot group.
+one row. Lists and sets of large keys are built in chunks, so no task and no row ever holds a whole hot group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.operators.joins import is_small
+
 CHUNK_ITEMS = 100_000
 
 
@@ -84,31 +88,56 @@ def list_by_key(
     spread: Column | None = None,
     distinct: bool = False,
 ) -> DataFrame:
-    """Values per key as sorted arrays: (keys, chunk, n, items).
+    """Values per key as sorted arrays: (keys, chunk, n, items). Null values are not listed.
 
     A key with up to `max_items` values has one row, chunk 0. A larger key is spread over
     ceil(count / max_items) chunks by `spread`, an integer expression over the value (its hash by
-    default); together the chunks hold every value. Equal values are counted before the shuffle and
-    a value with very many copies is cut into pieces, so copies cannot pile up in one chunk either.
-    Null values are not listed.
+    default); together the chunks hold every value.
+
+    Counting rows per key comes first and runs at once. Keys within the limit are then collected with
+    one shuffle; only the rows of larger keys take the longer way through `_chunked`.
     """
     names = _names(keys)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*names, value)
-    counted = counted.agg((F.lit(1).cast("long") if distinct else F.count("*")).alias("_copies"))
+    rows = df.where(F.col(value).isNotNull()).select(*names, value)
+    large = rows.groupBy(*names).agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
+    large = large.select(*[F.col(k).alias(f"_large_{k}") for k in names])
+    if large.isEmpty():
+        return _collected(rows, names, value, distinct)
+    few = is_small(large)
+    large = F.broadcast(large) if few else large
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in names])
+    small_rows = rows.join(large, same, "left_anti")
+    large_rows = rows.join(large, same, "left_semi")
+    return _collected(small_rows, names, value, distinct).unionByName(
+        _chunked(large_rows, names, value, max_items, spread, distinct, few)
+    )
+
+
+def _collected(rows: DataFrame, names: list[str], value: str, distinct: bool) -> DataFrame:
+    items = F.sort_array((F.collect_set if distinct else F.collect_list)(value))
+    return rows.groupBy(*names).agg(items.alias("items")).select(
+        *names, F.lit(0).cast("long").alias("chunk"), F.size("items").cast("long").alias("n"), "items"
+    )
+
+
+def _chunked(
+    rows: DataFrame, names: list[str], value: str, max_items: int, spread: Column | None, distinct: bool, few: bool
+) -> DataFrame:
+    """Lists of large keys. Equal values are counted before the shuffle and a value with very many
+    copies is cut into pieces, so copies cannot pile up in one chunk either."""
+    copies = F.lit(1).cast("long") if distinct else F.count("*")
+    counted = rows.groupBy(*names, value).agg(copies.alias("_copies"))
     sizes = counted.groupBy(*names).agg(F.ceil(F.sum("_copies") / F.lit(max_items)).alias("_chunks"))
     sizes = sizes.select(*[F.col(k).alias(f"_size_{k}") for k in names], "_chunks")
-    same_key = None
-    for k in names:
-        term = F.col(k).eqNullSafe(F.col(f"_size_{k}"))
-        same_key = term if same_key is None else same_key & term
-    sized = counted.join(sizes, same_key).drop(*[f"_size_{k}" for k in names])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_size_{k}")) for k in names])
+    sized = counted.join(F.broadcast(sizes) if few else sizes, same).drop(*[f"_size_{k}" for k in names])
     last_piece = F.ceil(F.col("_copies") / F.lit(max_items)) - 1
     pieces = sized.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
     here = F.least(F.lit(max_items).cast("long"), F.col("_copies") - F.col("_piece") * F.lit(max_items))
     spread = F.xxhash64(value) if spread is None else spread
     chunk = F.pmod(spread.cast("long") + F.col("_piece"), F.col("_chunks"))
-    # The explicit repartition keeps (key, chunk) groups apart: without it the grouping would reuse
-    # the join's partitioning by key and put a hot key's chunks into one task.
+    # The explicit repartition keeps (key, chunk) groups apart: without it the grouping could reuse a
+    # partitioning by key and put all chunks of a hot key into one task.
     return (
         pieces.select(*names, value, here.cast("int").alias("_here"), chunk.alias("chunk"))
         .repartition(*[F.col(k) for k in names], F.col("chunk"))

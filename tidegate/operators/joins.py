@@ -30,14 +30,16 @@ def chain_join(first: DataFrame, *others: DataFrame, on: str | Sequence[str]) ->
     return joined
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring the frame; a larger one joins unhinted.
-
-    Measuring reads at most max_rows + 1 rows and takes the length of their JSON text as their size.
-    """
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure a frame: at most max_rows + 1 rows are read, and the length of their JSON text is their size."""
     size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
     rows, measured = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and measured <= max_bytes else df
+    return rows <= max_rows and measured <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring the frame; a larger one joins unhinted."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def exclude_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -12,10 +12,9 @@ from tidegate.functions.filenames import is_accepted, parse_names, partition_dat
 from tidegate.functions.text import delimited_line
 from tidegate.operators.anonymize import ENTITY_POSITIONS, anonymize_lines, match_columns
 from tidegate.operators.inventory import next_per_entity, unpublished
-from tidegate.operators.joins import broadcast_if_small
 from tidegate.operators.quality import field_count
 from tidegate.operators.words import count_words, line_words
-from tidegate.plans.publish import BROADCAST_FILES, PUBLISHED, publish_outcomes
+from tidegate.plans.publish import PUBLISHED, lines_of_files, publish_outcomes
 from tidegate.session import session_setting
 from tidegate.sinks.files import replace_partitions, write_text
 from tidegate.sources.catalog import table_columns
@@ -164,7 +163,7 @@ def load_extract_publish(
         positions = ENTITY_POSITIONS[entity.lower()]
     pending = pending_files(spark, inbox, entity, published, only_next)
     lines = read_lines(spark, inbox, recursive=True, with_path=True)
-    lines = lines.join(broadcast_if_small(pending.select("path"), BROADCAST_FILES), "path", "left_semi")
+    lines = lines_of_files(lines, pending.select("path"), "left_semi")
     load_partition(spark, lines, columns, table, frequency, sep)
     dates = [r.fecha for r in pending.select(partition_date("from_ts", frequency).alias("fecha")).distinct().collect()]
     if enrich is not None:

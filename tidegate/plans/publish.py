@@ -32,6 +32,16 @@ def route_paths(paths: DataFrame, rules: DataFrame) -> DataFrame:
     return routed.select("path", "entity", "date_range", "file_name", "positions", "width")
 
 
+def lines_of_files(lines: DataFrame, files: DataFrame, how: str = "inner") -> DataFrame:
+    """Join lines (value, path) with a file-level frame on the path.
+
+    The files are broadcast after measuring them. Their key is a computed column: with the plain one
+    Catalyst would infer that the conditions on file names hold for the lines, and test every line.
+    """
+    keyed = files.withColumn("_path", F.concat("path", F.lit(""))).drop("path")
+    return lines.join(broadcast_if_small(keyed, BROADCAST_FILES), F.col("path") == F.col("_path"), how).drop("_path")
+
+
 def anonymize_routed(
     lines: DataFrame,
     routed: DataFrame,
@@ -46,7 +56,7 @@ def anonymize_routed(
     Lines without a rule and lines of the wrong width are rejected unchanged, under the run that saw
     them; all others are anonymised by their file's rule.
     """
-    tagged = lines.join(broadcast_if_small(routed, BROADCAST_FILES), "path")
+    tagged = lines_of_files(lines, routed)
     fits = F.col("positions").isNotNull() & (field_count("value", sep) == F.col("width"))
     fits = F.coalesce(fits, F.lit(False))
     tagged = tagged.withColumn("outcome", F.when(fits, PUBLISHED).otherwise(f"{REJECTED}-{run}"))

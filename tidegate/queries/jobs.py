@@ -103,7 +103,7 @@ def load_partition(spark, sf):
 
 def extract_partition(spark, sf):
     name = load_orders(spark, sf, "diario")
-    days = [f"{year}0101" for year in range(1995, 2002)]
+    days = [r.fecha for r in spark.table(name).select("fecha").distinct().collect()]
     target = workspace(spark, "extract")
     enriched = jobs.extract_partition(
         spark, name, days, lambda rows: rows.withColumn("label", F.concat("status", F.lit("-"), "priority"))

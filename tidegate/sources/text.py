@@ -61,9 +61,10 @@ def read_generated(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
 
 
 def read_csv_header(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
-    """Separated files whose first row is a header; quotes are ordinary characters."""
+    """Separated files whose first row is a header. Quotes are ordinary characters, blanks stay blanks."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).option("sep", sep).option("header", "true").option("quote", "").csv(path)
+    rows = spark.read.schema(schema).option("sep", sep).option("header", "true").option("quote", "").csv(path)
+    return rows.na.fill("")
 
 
 def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
@@ -75,7 +76,7 @@ def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 def read_csv_positional(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
     """The first fields of separated files without header; further fields are not read."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).option("sep", sep).option("quote", "").csv(path)
+    return spark.read.schema(schema).option("sep", sep).option("quote", "").csv(path).na.fill("")
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str, partitions: int | None = None) -> DataFrame:
