@@ -5,7 +5,6 @@ import pytest
 from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tidegate.functions.digest import ALGORITHMS, algorithm_name, digest, register_digest
 from tidegate.operators.anonymize import (

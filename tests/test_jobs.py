@@ -77,6 +77,7 @@ def test_publishing_skips_what_is_published(spark, tmp_path, text_file, rows, ru
     publish.publish_archive(spark, archive, rules, target, SALT)
     text_file(f"in/{SMS}_01.txt", "9|9|9\n")
     text_file(f"in/{SMS}_02.txt", "4|5|6\n")
+    assert publish.published_files(spark, str(tmp_path / "nothing")).count() == 0
     done = publish.published_files(spark, target)
     publish.publish_archive(spark, archive, rules, target, SALT, already_published=done)
     got = rows(publish.read_published(spark, target), "value", "file_name")

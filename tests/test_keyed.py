@@ -182,8 +182,20 @@ def test_salted_join_equals_the_plain_one(spark):
     names = df.where("k IS NOT NULL").groupBy("k").agg(F.max("v").alias("top"))
     plain = df.join(names, "k")
     assert [r.k for r in joins.hot_keys(df, "k", 0.1).collect()] == ["hot"]
-    salted = joins.salted_join(df, names, "k", share=0.1, salts=8)
-    assert Counter(map(tuple, salted.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
+    want = Counter(map(tuple, plain.collect()))
+    for copies in (False, True):
+        salted = joins.salted_join(df, names, "k", share=0.1, salts=8, fold_copies=copies)
+        assert Counter(map(tuple, salted.select(*plain.columns).collect())) == want
+
+
+def test_folded_copies_unfold_again(spark, monkeypatch):
+    monkeypatch.setattr(joins, "COPIES_PER_PIECE", 7)
+    df = hot_rows(spark).where("k IS NOT NULL")
+    names = df.groupBy("k").agg(F.max("v").alias("top"))
+    plain = df.join(names, "k")
+    folded = joins.salted_join(df, names, "k", share=0.1, salts=8, fold_copies=True)
+    assert folded.columns == plain.columns
+    assert Counter(map(tuple, folded.collect())) == Counter(map(tuple, plain.collect()))
 
 
 def test_salting_spreads_the_hot_key(spark):

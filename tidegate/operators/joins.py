@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 128 * 1024 * 1024
+COPIES_PER_PIECE = 100_000
 
 
 def _names(on: str | Sequence[str]) -> list[str]:
@@ -64,6 +65,7 @@ def salted_join(
     share: float = 0.01,
     salts: int = 64,
     spread: Column | None = None,
+    fold_copies: bool = False,
 ) -> DataFrame:
     """Inner equi join that spreads the hot keys of the left side over `salts` tasks.
 
@@ -71,15 +73,35 @@ def salted_join(
     repeated once per salt; all other keys join as usual. Hot keys are at most 1/share rows, so
     broadcasting them is bounded. Use it where adaptive skew handling cannot see the skew, for
     example below an aggregation on the same key.
+
+    Equal rows have equal content and so share a salt. Where they may be many, `fold_copies` counts
+    them before the shuffle, joins pieces of up to COPIES_PER_PIECE copies and unfolds these afterwards.
     """
     keys = _names(on)
+    columns = left.columns
     hot = F.broadcast(hot_keys(left, keys, share).withColumn("_hot", F.lit(True)))
-    spread = F.xxhash64(*left.columns) if spread is None else spread
+    spread = F.xxhash64(*columns) if spread is None else spread
+    if fold_copies:
+        left = _pieces_of_copies(left)
+        spread = spread + F.col("_piece")
     salt = F.when(F.col("_hot"), F.pmod(spread, F.lit(salts)).cast("int")).otherwise(F.lit(0))
     every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_left = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot")
+    salted_left = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot", "_piece")
     salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(every_salt)).drop("_hot")
-    return salted_left.join(salted_right, [*keys, "_salt"]).drop("_salt")
+    joined = salted_left.join(salted_right, [*keys, "_salt"]).drop("_salt")
+    if fold_copies:
+        joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_here")))).drop("_copy", "_here")
+    return joined
+
+
+def _pieces_of_copies(df: DataFrame) -> DataFrame:
+    """Distinct rows with `_here` copies each; rows with very many copies come in several pieces."""
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    size = F.lit(COPIES_PER_PIECE)
+    last = F.floor((F.col("_copies") - 1) / size)
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    here = F.least(size.cast("long"), F.col("_copies") - F.col("_piece") * size).cast("int")
+    return pieces.withColumn("_here", here).drop("_copies")
 
 
 def join_then_sum(left: DataFrame, right: DataFrame, on: str | Sequence[str], value: str, name: str) -> DataFrame:

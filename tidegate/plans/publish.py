@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,7 +96,13 @@ def read_rejected(spark: SparkSession, target: str) -> DataFrame:
 
 def published_files(spark: SparkSession, target: str) -> DataFrame:
     """Names of the files that have published output; lists folders, reads no contents."""
-    listed = file_inventory(spark, target).where(F.col("path").contains(f"/outcome={PUBLISHED}/"))
+    try:
+        inventory = file_inventory(spark, target)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file_name string")
+    listed = inventory.where(F.col("path").contains(f"/outcome={PUBLISHED}/"))
     return listed.select(base_name(source_file("path")).alias("file_name")).dropDuplicates()
 
 

@@ -52,9 +52,6 @@ CUSTOMER_SQL = """(
          '' AS note
   FROM customer)"""
 
-CUSTOMER_LINE_SQL = "custkey || '|' || name || '|' || nation || '|' || acctbal || '|' || segment || '|' || note"
-
-
 def customer_lines(spark: SparkSession, sf: str) -> DataFrame:
     return customer_records(spark, sf).select(delimited_line(CUSTOMER_FIELDS).alias("value"))
 

@@ -12,7 +12,7 @@ from tidegate.operators.anonymize import (
     digest_lookup_join,
 )
 from tidegate.operators.projections import concat_digests, pair_with_literal_key
-from tidegate.queries.base import CUSTOMER_LINE_SQL, CUSTOMER_SQL, SALT, Query, customer_lines, md5_sql, table
+from tidegate.queries.base import CUSTOMER_SQL, SALT, Query, customer_lines, md5_sql, table
 
 
 def digest_column(spark, sf):

@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.functions.filenames import parse_names, partition_date
-from tidegate.functions.text import delimited_line, field, split_fields, tuple_line
-from tidegate.operators import ordering
+from tidegate.functions.text import delimited_line, tuple_line
 from tidegate.operators.inventory import next_per_entity, unpublished
 from tidegate.operators.joins import inner_join
-from tidegate.operators.projections import pick_fields
 from tidegate.operators.quality import not_equal
 from tidegate.operators.routing import route_files
 from tidegate.queries.base import (
-    CUSTOMER_FIELDS,
-    CUSTOMER_LINE_SQL,
     CUSTOMER_SQL,
     ORDER_FILE_SQL,
     Query,
@@ -203,11 +199,13 @@ QUERIES = {
     "route_files_to_rules": Query(
         routed,
         f"""SELECT file_name, rule[1] AS table_name, rule[2] AS digest_columns, rule[3] AS folder
-            FROM (SELECT file_name, CASE WHEN contains(lower(file_name), 'sms_2000') THEN ['sms_2000', 'custkey,price', 'Messages2000']
-                                         WHEN contains(lower(file_name), 'line') THEN ['line', 'price', 'AnyLine']
-                                         WHEN contains(lower(file_name), 'sms') THEN ['sms', 'custkey', 'Messages'] END AS rule
-                  FROM (SELECT DISTINCT CASE ending WHEN '.txt' THEN stem ELSE stem || '.COPYING' END AS file_name
-                        FROM {ORDER_FILE_SQL}))""",
+            FROM (SELECT file_name,
+                         CASE WHEN contains(name, 'sms_2000') THEN ['sms_2000', 'custkey,price', 'Messages2000']
+                              WHEN contains(name, 'line') THEN ['line', 'price', 'AnyLine']
+                              WHEN contains(name, 'sms') THEN ['sms', 'custkey', 'Messages'] END AS rule
+                  FROM (SELECT DISTINCT file_name, lower(file_name) AS name
+                        FROM (SELECT CASE ending WHEN '.txt' THEN stem ELSE stem || '.COPYING' END AS file_name
+                              FROM {ORDER_FILE_SQL})))""",
     ),
     "next_file_per_entity": Query(
         next_file, f"SELECT entity, min(path) AS path FROM {ORDER_FILE_SQL} GROUP BY entity"

@@ -4,20 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegate.functions.digest import digest
-from tidegate.functions.filenames import base_name, source_file
 from tidegate.functions.text import delimited_line
 from tidegate.plans import jobs, publish
 from tidegate.queries.base import (
     CUSTOMER_FIELDS,
-    CUSTOMER_LINE_SQL,
     CUSTOMER_SQL,
     ORDER_DROP_SQL,
     ORDER_FIELDS,
     SALT,
     Query,
     customer_lines,
-    customer_records,
     md5_sql,
     order_drops,
     table,

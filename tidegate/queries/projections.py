@@ -10,7 +10,6 @@ from tidegate.operators.projections import explode_pairs, pick_fields, prepend_c
 from tidegate.operators.quality import flag_rows, is_date_text, not_equal
 from tidegate.queries.base import (
     CUSTOMER_FIELDS,
-    CUSTOMER_LINE_SQL,
     CUSTOMER_SQL,
     ORDER_FILE_SQL,
     Query,
