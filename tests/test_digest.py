@@ -11,6 +11,7 @@ from tidegate.operators.anonymize import (
     anonymize_by_name,
     anonymize_lines,
     digest_lookup_join,
+    entity_positions,
     match_columns,
     positions_for,
 )
@@ -124,6 +125,12 @@ def test_entity_positions(spark):
     got = {r.e: r.p for r in df.collect()}
     assert got["Mobile_Line"] == [2, 3, 5, 6] and got["sms"] == [2, 3, 5, 6]
     assert got["mobile_line_data_traffic"] == [5] and got["mobile_line_x_tariff"] == [5]
+    for name in names:
+        if got[name] is None:
+            with pytest.raises(ValueError):
+                entity_positions(name)
+        else:
+            assert list(entity_positions(name)) == got[name]
     assert got["mobile_service"] == [4, 5] and got["other"] is None and got["mobileXservice"] is None
 
 

@@ -73,7 +73,8 @@ def brute_force(names, rules):
 def test_routing_against_brute_force(spark, direct):
     rnd = random.Random(3)
     names = ["".join(rnd.choice("aBc_1") for _ in range(rnd.randint(0, 8))) for _ in range(150)] + ["ñandú_a", None]
-    rules = [(i, "".join(rnd.choice("abc_1") for _ in range(rnd.randint(1, 4)))) for i in range(12)] + [(12, "Ac"), (13, "ú_")]
+    rules = [(i, "".join(rnd.choice("abc_1") for _ in range(rnd.randint(1, 4)))) for i in range(12)]
+    rules += [(12, "Ac"), (13, "ú_")]
     files = frame(spark, names, "file_name").withColumn("extra", F.length("file_name"))
     table = spark.createDataFrame(rules + [(99, None)], "line_no int, table_name string")
     routed = route_files(files, table, direct_rules=direct)
@@ -142,7 +143,7 @@ def test_text_codecs(spark, tmp_path, rows, codec, ending):
     assert rows(sources.read_lines(spark, path)) == [("x",), ("y",)]
     if codec == "gzip":
         parts = [os.path.join(path, f) for f in os.listdir(path) if f.endswith(".gz")]
-        assert b"".join(gzip.open(p).read() for p in parts).split() == [b"x", b"y"]
+        assert sorted(b"".join(gzip.open(p).read() for p in parts).split()) == [b"x", b"y"]
 
 
 @pytest.mark.parametrize("max_rows, single", [(100, True), (99, False)])

@@ -138,9 +138,12 @@ def test_positions_and_zip(spark):
 def hot_rows(spark, n=9000):
     """A third of the rows under one key, most of those equal."""
     return spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") == 1, None).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("k"),
-        F.when(F.col("id") % 3 == 0, F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id"))).otherwise(F.col("id")).alias("v"),
-    )
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") == 1, None)
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string")))
+        .alias("k"),
+        F.when(F.col("id") % 6 == 0, 7).otherwise(F.col("id")).alias("v"),
+    )
 
 
 @pytest.mark.parametrize("few", [True, False])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,14 @@ def anonymize_by_name(
     )
 
 
+def entity_positions(entity: str) -> tuple[int, ...]:
+    """The positions of one entity; an entity without a rule is an error."""
+    for pattern, positions in ENTITY_POSITIONS.items():
+        if fnmatchcase(entity.lower(), pattern):
+            return positions
+    raise ValueError(f"no positions for entity {entity!r}")
+
+
 def positions_for(entity: Column | str) -> Column:
     """The positions of an entity as array<int>, null for an entity without a rule."""
     name = F.lower(F.col(entity) if isinstance(entity, str) else entity)
@@ -76,8 +85,8 @@ def anonymize_lines(
 ) -> DataFrame:
     """Digest fields of a delimited line by position, in place.
 
-    `positions` is a list, or the name of an array<int> column when every row has its own rule; then
-    `last_position` is the highest position any rule names. Only the fields up to that position are
+    `positions` is a list, or the name of an array<int> column when every row has its own rule (a null
+    changes nothing); then `last_position` is the highest position any rule names. Only the fields up to that position are
     split off; the rest of the line is carried over as one piece.
     """
     by_row = isinstance(positions, str)
@@ -96,7 +105,7 @@ def anonymize_lines(
         if not by_row:
             # a record that ends before this field stays as short as it is
             return F.when(raw.isNotNull(), digest(raw, salt, algorithm)) if i + index_base in positions else raw
-        hit = F.array_contains(F.col(positions), i + index_base) & raw.isNotNull()
+        hit = F.coalesce(F.array_contains(F.col(positions), i + index_base), F.lit(False)) & raw.isNotNull()
         return F.when(hit, digest(raw, salt, algorithm)).otherwise(raw)
 
     rebuilt = F.concat_ws(sep, *[piece(i) for i in range(width)], field(fields, width))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.digest import as_column
-from tidegate.functions.text import jvm_trim, separator_pattern
+from tidegate.functions.text import jvm_trim
 
 # The four accepted date formats.
 DATE_PATTERNS = (
@@ -24,11 +24,11 @@ def is_date_text(col: Column | str) -> Column:
 
 
 def field_count(line: Column | str, sep: str = "|") -> Column:
-    """Number of fields of a delimited line, blanks at the end included."""
+    """Number of fields of a delimited line, blanks at the end included, from the bytes its separators take."""
     line = as_column(line)
-    if len(sep) == 1:
-        return F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit(""))) + 1
-    return F.size(F.split(line, separator_pattern(sep), -1))
+    separators = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(sep), F.lit("")))
+    width = len(sep.encode())
+    return (separators if width == 1 else (separators / width).cast("int")) + 1
 
 
 def flag_rows(df: DataFrame, is_good: Column, name: str = "quality") -> DataFrame:

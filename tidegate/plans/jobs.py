@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.filenames import is_accepted, parse_names, partition_date, source_file
 from tidegate.functions.text import delimited_line
-from tidegate.operators.anonymize import ENTITY_POSITIONS, anonymize_lines, match_columns
+from tidegate.operators.anonymize import anonymize_lines, entity_positions, match_columns
 from tidegate.operators.inventory import next_per_entity, unpublished
 from tidegate.operators.quality import field_count
 from tidegate.operators.words import count_words, line_words
@@ -79,12 +79,13 @@ def load_partition(
     frequency: str,
     sep: str = "|",
 ) -> None:
-    """Load lines (value, path) into the `fecha` partitions of a table, the dates of their files.
+    """Load lines into the `fecha` partitions of a table, the dates of their files.
 
-    Each file has its own sub-partition: loading it again replaces it, and a second file of the same
-    date does not erase the first.
+    Lines are (value, path), or carry the name columns of their file already. Each file has its own
+    sub-partition: loading it again replaces it, and a second file of the same date does not erase
+    the first.
     """
-    named = parse_names(lines)
+    named = lines if "from_ts" in lines.columns else parse_names(lines)
     dated = named.select("value", partition_date("from_ts", frequency).alias("fecha"), "file_name")
     records = good_records(parse_records(dated, columns, sep, keep=["fecha", "file_name"]))
     with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
@@ -160,22 +161,18 @@ def load_extract_publish(
     A failing load ends the job before anything is published, so the files stay pending.
     """
     if positions is None:
-        positions = ENTITY_POSITIONS[entity.lower()]
+        positions = entity_positions(entity)
     pending = pending_files(spark, inbox, entity, published, only_next)
-    lines = read_lines(spark, inbox, recursive=True, with_path=True)
-    lines = lines_of_files(lines, pending.select("path"), "left_semi")
+    pending = pending.select("path", "file_name", F.lower("entity").alias("entity"), "from_ts", "date_range")
+    lines = lines_of_files(read_lines(spark, inbox, recursive=True, with_path=True), pending)
     load_partition(spark, lines, columns, table, frequency, sep)
     dates = [r.fecha for r in pending.select(partition_date("from_ts", frequency).alias("fecha")).distinct().collect()]
     if enrich is not None:
-        loaded = pending.select("file_name").dropDuplicates()
-        source = extract_partition(spark, table, dates, enrich, sep)
-        source = source.join(F.broadcast(loaded), "file_name", "left_semi") if only_next else source
-        source = parse_names(source.withColumnRenamed("file_name", "path"))
+        names = pending.select("file_name", "entity", "date_range").dropDuplicates(["file_name"])
+        source = lines_of_files(extract_partition(spark, table, dates, enrich, sep), names, "file_name")
     else:
-        source = parse_names(lines).where(field_count("value", sep) == len(columns))
+        source = lines.where(field_count("value", sep) == len(columns))
     hashed = anonymize_lines(source, "value", positions, salt, sep=sep, algorithm=algorithm, index_base=index_base)
-    outcomes = hashed.select(
-        "value", F.lit(PUBLISHED).alias("outcome"), F.lower("entity").alias("entity"), "date_range", "file_name"
-    )
+    outcomes = hashed.select("value", F.lit(PUBLISHED).alias("outcome"), "entity", "date_range", "file_name")
     publish_outcomes(outcomes, target)
     return sorted(dates)

@@ -33,14 +33,14 @@ def route_paths(paths: DataFrame, rules: DataFrame) -> DataFrame:
     return routed.select("path", "entity", "date_range", "file_name", "positions", "width")
 
 
-def lines_of_files(lines: DataFrame, files: DataFrame, how: str = "inner") -> DataFrame:
-    """Join lines (value, path) with a file-level frame on the path.
+def lines_of_files(lines: DataFrame, files: DataFrame, key: str = "path") -> DataFrame:
+    """Join lines with a file-level frame on the path or name of their file.
 
     The files are broadcast after measuring them. Their key is a computed column: with the plain one
     Catalyst would infer that the conditions on file names hold for the lines, and test every line.
     """
-    keyed = files.withColumn("_path", F.concat("path", F.lit(""))).drop("path")
-    return lines.join(broadcast_if_small(keyed, BROADCAST_FILES), F.col("path") == F.col("_path"), how).drop("_path")
+    keyed = files.withColumn("_key", F.concat(key, F.lit(""))).drop(key)
+    return lines.join(broadcast_if_small(keyed, BROADCAST_FILES), F.col(key) == F.col("_key")).drop("_key")
 
 
 def anonymize_routed(
@@ -59,10 +59,9 @@ def anonymize_routed(
     """
     tagged = lines_of_files(lines, routed)
     fits = F.col("positions").isNotNull() & (field_count("value", sep) == F.col("width"))
-    fits = F.coalesce(fits, F.lit(False))
-    tagged = tagged.withColumn("outcome", F.when(fits, PUBLISHED).otherwise(f"{REJECTED}-{run}"))
-    no_rule = F.array().cast("array<int>")
-    tagged = tagged.withColumn("positions", F.when(fits, F.col("positions")).otherwise(no_rule))
+    tagged = tagged.withColumn("_fits", F.coalesce(fits, F.lit(False)))
+    tagged = tagged.withColumn("outcome", F.when(F.col("_fits"), PUBLISHED).otherwise(f"{REJECTED}-{run}"))
+    tagged = tagged.withColumn("positions", F.when(F.col("_fits"), F.col("positions")))
     hashed = anonymize_lines(
         tagged, "value", "positions", salt, sep=sep, algorithm=algorithm, last_position=last_position
     )
