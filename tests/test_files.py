@@ -44,6 +44,7 @@ def test_acceptance_and_logical_names(spark):
         f"/a/{SMS}_01.txt._COPYING_": (f"{SMS}_01.txt._COPYING_", False),
         "/a/SMS_20170930T000000_20170930T235959_01.txt": ("SMS_20170930T000000_20170930T235959_01.txt", False),
         "part-0": ("part-0", False),
+        f"/a/k=v_{SMS}_01.txt": (f"k=v_{SMS}_01.txt", True),
     }
     df = frame(spark, cases).select("path", source_file("path"), is_accepted(source_file("path")))
     assert {r[0]: (r[1], r[2]) for r in df.collect()} == cases

@@ -102,6 +102,17 @@ def test_raw_landing(spark, tmp_path, text_file, rows):
     assert rows(publish.read_raw(spark, str(tmp_path / "raw"))) == [(v, f"{SMS}_01") for v in ("", "1|2|3", "bad")]
 
 
+def test_unusual_file_names_stay_as_they_are(spark, tmp_path, text_file, rows, rules):
+    name = f"a b+c%41é=d_{SMS}_01"
+    text_file(f"in/{name}.txt", "1|2|3\n")
+    archive = str(tmp_path / "in")
+    publish.land_raw(read_lines(spark, archive, with_path=True), str(tmp_path / "raw"))
+    assert rows(publish.read_raw(spark, str(tmp_path / "raw"))) == [("1|2|3", name)]
+    publish.publish_archive(spark, archive, rules, str(tmp_path / "out"), SALT)
+    want = [(f"1|{d('2')}|3", "unknown", RANGE, name)]
+    assert rows(publish.read_published(spark, str(tmp_path / "out"))) == want
+
+
 def test_load_keeps_other_files_of_the_date(spark, tmp_path, text_file, rows):
     columns = ["a", "b"]
     jobs.create_partitioned_table(spark, "load_t", columns, str(tmp_path / "t"))

@@ -36,8 +36,13 @@ def source_file(path: Column | str) -> Column:
     path = as_column(path)
     last = F.substring_index(path, "/", -1)
     parent = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    name = F.when(last.startswith("part-"), parent).otherwise(last)
-    return F.when(name.contains("="), F.regexp_replace(name, r"^[A-Za-z_]+=", "")).otherwise(name)
+    return F.when(last.startswith("part-"), F.regexp_replace(parent, r"^[A-Za-z_]+=", "")).otherwise(last)
+
+
+def scanned_path(path: Column) -> Column:
+    """The plain path of a scan's `_metadata.file_path`, where special characters are URL-encoded."""
+    plain = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), F.coalesce(plain, path)).otherwise(path)
 
 
 def entity_of(name: Column | str) -> Column:

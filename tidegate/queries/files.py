@@ -123,7 +123,7 @@ def inventory(spark, sf):
     path = workspace(spark, "inventory")
     sinks.write_by_key(lines, path, "o_orderpriority")
     files = file_inventory(spark, path, "part-*")
-    folder = F.regexp_extract(F.url_decode("path"), r"o_orderpriority=([^/]*)/", 1)
+    folder = F.regexp_extract("path", r"o_orderpriority=([^/]*)/", 1)
     return files.groupBy(folder.alias("folder")).agg(F.sum("length").alias("bytes"))
 
 

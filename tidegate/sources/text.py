@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.functions.filenames import scanned_path
 from tidegate.functions.text import field, split_fields
 from tidegate.operators.quality import field_count
 
@@ -18,7 +19,7 @@ def read_lines(spark: SparkSession, *paths: str, recursive: bool = False, with_p
     reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
     lines = reader.text(list(paths))
     if with_path:
-        return lines.select("value", F.col("_metadata.file_path").alias("path"))
+        return lines.select("value", scanned_path(F.col("_metadata.file_path")).alias("path"))
     return lines.select("value")
 
 

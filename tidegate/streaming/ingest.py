@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.functions.filenames import is_accepted, source_file
+from tidegate.functions.filenames import is_accepted, scanned_path, source_file
 from tidegate.plans.publish import anonymize_routed, highest_position, land_raw, publish_outcomes, route_paths
 from tidegate.sources.control import resolve_rules
 
@@ -33,7 +33,7 @@ def file_lines(
     lines = reader.load(path)
     if modified_after:
         lines = lines.where(F.col("_metadata.file_modification_time") > F.lit(modified_after).cast("timestamp"))
-    lines = lines.select("value", F.col("_metadata.file_path").alias("path"))
+    lines = lines.select("value", scanned_path(F.col("_metadata.file_path")).alias("path"))
     return lines.where(is_accepted(source_file("path")))
 
 
