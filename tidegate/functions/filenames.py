@@ -20,11 +20,13 @@ MONTHLY = "mensual"
 NAME_COLUMNS = ("file_name", "entity", "from_ts", "to_ts", "run_ts", "chunk", "date_range")
 
 
+# The expressions below use their input once: Catalyst copies them into filters, where a second use
+# would be a second evaluation.
+
+
 def base_name(path: Column | str) -> Column:
     """Last path element without its extension."""
-    name = F.substring_index(as_column(path), "/", -1)
-    extension = F.length(F.substring_index(name, ".", -1)) + 1
-    return F.when(name.contains("."), F.left(name, F.length(name) - extension)).otherwise(name)
+    return F.regexp_replace(F.substring_index(as_column(path), "/", -1), r"\.[^.]*+\z", "")
 
 
 def source_file(path: Column | str) -> Column:
@@ -33,10 +35,8 @@ def source_file(path: Column | str) -> Column:
     A text output is a folder of part files, so for `.../X.txt/part-00000` and
     `.../drop=X.txt/part-00000` the answer is `X.txt`; for any other path it is the last element.
     """
-    path = as_column(path)
-    last = F.substring_index(path, "/", -1)
-    parent = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    return F.when(last.startswith("part-"), F.regexp_replace(parent, r"^[A-Za-z_]+=", "")).otherwise(last)
+    in_folder = r"(?:\A|/)(?:[A-Za-z_]++=)?+([^/]++)/part-[^/]*+\z"
+    return F.substring_index(F.regexp_replace(as_column(path), in_folder, "/$1"), "/", -1)
 
 
 def scanned_path(path: Column) -> Column:

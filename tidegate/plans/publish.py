@@ -132,9 +132,10 @@ def publish_archive(
 
 
 def land_raw(lines: DataFrame, target: str, compression: str | None = None) -> None:
-    """Raw copy of lines (value, path), one folder per source file, before any transformation."""
-    named = lines.select("value", base_name(source_file("path")).alias("file_name"))
-    replace_partitions(named, target, ["file_name"], compression=compression)
+    """Raw copy of lines (value, path or file_name), one folder per source file, before any transformation."""
+    if "file_name" not in lines.columns:
+        lines = lines.withColumn("file_name", base_name(source_file("path")))
+    replace_partitions(lines.select("value", "file_name"), target, ["file_name"], compression=compression)
 
 
 def read_raw(spark: SparkSession, target: str) -> DataFrame:

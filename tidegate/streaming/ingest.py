@@ -7,8 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.functions.filenames import is_accepted, scanned_path, source_file
-from tidegate.plans.publish import anonymize_routed, highest_position, land_raw, publish_outcomes, route_paths
+from tidegate.functions.filenames import scanned_path
+from tidegate.plans.publish import (
+    anonymize_routed,
+    highest_position,
+    land_raw,
+    lines_of_files,
+    publish_outcomes,
+    route_paths,
+)
 from tidegate.sources.control import resolve_rules
 
 BATCH_INTERVAL = "2 seconds"
@@ -21,9 +28,9 @@ def file_lines(
     max_files: int | None = None,
     modified_after: str | None = None,
 ) -> DataFrame:
-    """Stream of lines (value, path) of complete files; whole files enter a batch, never parts of one.
+    """Stream of lines (value, path); whole files enter a batch, never parts of one.
 
-    A new checkpoint also sees files that already exist; `modified_after` leaves older ones out.
+    File names are checked by the ingest, once per file and not here for every line. A new checkpoint also sees files that already exist; `modified_after` leaves older ones out.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if glob:
@@ -33,8 +40,7 @@ def file_lines(
     lines = reader.load(path)
     if modified_after:
         lines = lines.where(F.col("_metadata.file_modification_time") > F.lit(modified_after).cast("timestamp"))
-    lines = lines.select("value", scanned_path(F.col("_metadata.file_path")).alias("path"))
-    return lines.where(is_accepted(source_file("path")))
+    return lines.select("value", scanned_path(F.col("_metadata.file_path")).alias("path"))
 
 
 def trigger_options(once: bool, interval: str = BATCH_INTERVAL) -> dict:
@@ -53,7 +59,7 @@ def start_file_ingest(
     once: bool = False,
     interval: str = BATCH_INTERVAL,
 ) -> StreamingQuery:
-    """Per batch: land the raw lines, then publish the anonymised and the rejected ones.
+    """Per batch: land the raw lines of complete files, then publish the anonymised and the rejected ones.
 
     Every output folder belongs to a source file (rejects also to a batch), and is replaced when the
     batch runs again after a failure. A real failure ends the query; the checkpoint retries the batch.
@@ -68,8 +74,8 @@ def start_file_ingest(
         try:
             if batch.isEmpty():
                 return
-            land_raw(batch, landing)
             routed = route_paths(batch.select("path").dropDuplicates(), resolved)
+            land_raw(lines_of_files(batch, routed.select("path", "file_name")), landing)
             run = f"batch{batch_id:09d}"
             publish_outcomes(anonymize_routed(batch, routed, salt, last_position, run, sep, algorithm), target)
         finally:
