@@ -65,8 +65,8 @@ ORDER_ENTITY_SQL = "CASE o_orderstatus WHEN 'P' THEN 'Mobile_Line' WHEN 'F' THEN
 
 
 def order_file_names(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    day = F.date_format("o_orderdate", "yyyyMMdd")
+    o = table(spark, sf, "orders").withColumn("day", F.date_format("o_orderdate", "yyyyMMdd"))
+    day = F.col("day")
     chunk = F.lpad((F.col("o_orderkey") % 100).cast("string"), 2, "0")
     ending = F.when(F.col("o_orderkey") % 17 == 0, ".COPYING.txt").otherwise(".txt")
     entity = order_entity(F.col("o_orderstatus"))
@@ -95,8 +95,8 @@ ORDER_FIELDS = ("orderkey", "custkey", "status", "price", "orderdate", "priority
 
 def order_drops(spark: SparkSession, sf: str) -> DataFrame:
     """(value, drop): a delimited line and the name of the file it belongs to."""
-    o = table(spark, sf, "orders")
-    year = F.date_format("o_orderdate", "yyyy")
+    o = table(spark, sf, "orders").withColumn("year", F.date_format("o_orderdate", "yyyy"))
+    year = F.col("year")
     name = F.concat(
         order_entity(F.col("o_orderstatus")),
         F.lit("_"), year, F.lit("0101T000000_"), year, F.lit("1231T235959_"), year, F.lit("1231T235959_0"),
