@@ -20,10 +20,6 @@ MONTHLY = "mensual"
 NAME_COLUMNS = ("file_name", "entity", "from_ts", "to_ts", "run_ts", "chunk", "date_range")
 
 
-# The expressions below use their input once: Catalyst copies them into filters, where a second use
-# would be a second evaluation.
-
-
 def base_name(path: Column | str) -> Column:
     """Last path element without its extension."""
     return F.regexp_replace(F.substring_index(as_column(path), "/", -1), r"\.[^.]*+\z", "")
@@ -36,7 +32,9 @@ def source_file(path: Column | str) -> Column:
     `.../drop=X.txt/part-00000` the answer is `X.txt`; for any other path it is the last element.
     """
     in_folder = r"(?:\A|/)(?:[A-Za-z_]++=)?+([^/]++)/part-[^/]*+\z"
-    return F.substring_index(F.regexp_replace(as_column(path), in_folder, "/$1"), "/", -1)
+    path = as_column(path)
+    logical = F.when(path.contains("/part-"), F.regexp_replace(path, in_folder, "/$1")).otherwise(path)
+    return F.substring_index(logical, "/", -1)
 
 
 def scanned_path(path: Column) -> Column:

@@ -52,12 +52,18 @@ def anonymize_routed(
     sep: str = "|",
     algorithm: str = "MD5",
 ) -> DataFrame:
-    """Lines (value, path) of accepted files as (value, outcome, entity, date_range, file_name).
+    """Lines (value, path) of accepted files as (value, outcome, entity, date_range, file_name)."""
+    return anonymize_tagged(lines_of_files(lines, routed), salt, last_position, run, sep, algorithm)
+
+
+def anonymize_tagged(
+    tagged: DataFrame, salt: str, last_position: int, run: str, sep: str = "|", algorithm: str = "MD5"
+) -> DataFrame:
+    """The same for lines that carry what `route_paths` says about their file.
 
     Lines without a rule and lines of the wrong width are rejected unchanged, under the run that saw
     them; all others are anonymised by their file's rule.
     """
-    tagged = lines_of_files(lines, routed)
     fits = F.col("positions").isNotNull() & (field_count("value", sep) == F.col("width"))
     tagged = tagged.withColumn("_fits", F.coalesce(fits, F.lit(False)))
     tagged = tagged.withColumn("outcome", F.when(F.col("_fits"), PUBLISHED).otherwise(f"{REJECTED}-{run}"))

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.filenames import scanned_path
 from tidegate.plans.publish import (
-    anonymize_routed,
+    anonymize_tagged,
     highest_position,
     land_raw,
     lines_of_files,
@@ -75,9 +75,10 @@ def start_file_ingest(
             if batch.isEmpty():
                 return
             routed = route_paths(batch.select("path").dropDuplicates(), resolved)
-            land_raw(lines_of_files(batch, routed.select("path", "file_name")), landing)
+            tagged = lines_of_files(batch, routed)
+            land_raw(tagged, landing)
             run = f"batch{batch_id:09d}"
-            publish_outcomes(anonymize_routed(batch, routed, salt, last_position, run, sep, algorithm), target)
+            publish_outcomes(anonymize_tagged(tagged, salt, last_position, run, sep, algorithm), target)
         finally:
             batch.unpersist()
 
