@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -13,10 +14,20 @@ _AWKWARD = re.compile(r"\s | \s")
 MOST_STRETCHES = 200_000
 
 
+def stretches(text: str | None) -> list[str]:
+    """The text cut where pre-tokenisation always cuts; joined they are the text again."""
+    if not text:
+        return []
+    if _AWKWARD.search(text):
+        return _CUT.split(text)
+    first, *rest = text.split(" ")
+    return [first, *[" " + part for part in rest]] if first else [" " + part for part in rest]
+
+
 class WordEncoder:
     """Encodes texts with the tokenizers library; each distinct stretch between cuts is encoded once.
 
-    Two tables, for stretches with and without their leading space, are emptied when they hold MOST_STRETCHES.
+    The table of them is emptied when it holds MOST_STRETCHES.
     """
 
     def __init__(self, path: str):
@@ -34,7 +45,7 @@ class WordEncoder:
             made.encode_special_tokens = True  # their strings in a text are ordinary text
             made.no_padding()
             made.no_truncation()
-            self._made = made, {}, {}
+            self._made = made, {}
         return self._made
 
     def vocabulary(self) -> int:
@@ -42,29 +53,13 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         """Ids of each text with `end_id` behind them."""
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        tokenizer, spaced, other = self._tokenizer()
+        tokenizer, known = self._tokenizer()
         end = np.array([end_id], "<u4").tobytes()
-        split = []
-        for text in texts:
-            text = text or ""
-            if _AWKWARD.search(text):
-                parts = _CUT.split(text)
-                split.append((parts[:1], [p[1:] for p in parts[1:]]))
-            else:
-                parts = text.split(" ")
-                split.append((parts[:1], parts[1:]))
-        if len(spaced) > MOST_STRETCHES:
-            spaced.clear()
-        if len(other) > MOST_STRETCHES:
-            other.clear()
-        for table, lead, k in ((other, "", 0), (spaced, " ", 1)):
-            new = list({p for pair in split for p in pair[k]} - table.keys())
-            for stretch, made in zip(new, tokenizer.encode_batch_fast([lead + p for p in new], add_special_tokens=False), strict=True):
-                table[stretch] = np.array(made.ids, "<u4").tobytes()
-        return [
-            np.frombuffer(b"".join([*map(other.__getitem__, first), *map(spaced.__getitem__, rest), end]), "<u4")
-            for first, rest in split
-        ]
+        lists = [stretches(text) for text in texts]
+        if len(known) > MOST_STRETCHES:
+            known.clear()
+        new = list({part for parts in lists for part in parts} - known.keys())
+        for part, made in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[part] = np.array(made.ids, "<u4").tobytes()
+        return [np.frombuffer(b"".join([*map(known.__getitem__, parts), end]), "<u4") for parts in lists]

@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, html_text, langid, quality_model, quality_rules, simhash, substring_dedup, token_store
+from tidegate.llm import bpe, decontaminate, html_text, langid, license_scan, quality_model, quality_rules, simhash, substring_dedup, token_store
 from tidegate.queries.base import Query, table
 
 
+def byte_level_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def language_id(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
     model = langid.learn(documents.where(~langid.held_out()))
@@ -95,7 +100,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
           {_RULES_SQL} AS kept
 FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM signals)"""
 
+
+def license_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
 ALL: dict[str, Query] = {
+    "op1_byte_level_bpe": Query(byte_level_bpe),
     "op2_language_id": Query(language_id),
     "op3_html_extraction": Query(html_extraction),
     "op4_benchmark_decontamination": Query(benchmark_leaks),
@@ -104,4 +115,5 @@ ALL: dict[str, Query] = {
     "op7_quality_rules": Query(rule_cascade, CASCADE_SQL),
     "op8_token_binary": Query(token_ids),
     "op9_substring_dedup": Query(repeated_passages, REPEATED_SQL),
+    "op10_license_scan": Query(license_labels, license_scan.scan_sql()),
 }
