@@ -313,7 +313,7 @@ def learn_hot_words(documents: DataFrame, vocabulary: Vocabulary, pattern: str)
 
 
 def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, and with `ids` the ids and decoded text.
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, and with `ids` also the ids.
 
     The digests are those of the decimal ids joined by commas, and of the bytes decoded from the ids.
     """
@@ -323,7 +323,7 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
     hot = spark.sparkContext.broadcast(learn_hot_words(rows, vocabulary, pattern))  # bounded by HOT_WORDS
     shared = spark.sparkContext.broadcast(vocabulary.ranks)
     encoded = _blocks(rows, pattern, hot).withColumn("ids", fold_words(F.col("words"), vocabulary)).drop("words")
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "text"] if ids else [])]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Vocabulary(shared.value)
@@ -336,7 +336,7 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
                 decoded = [decode(part, own) for part in parts]
                 stream = np.frombuffer(row.column("stream")[0].as_py(), np.int32)
                 edges = np.cumsum([0, *np.frombuffer(row.column("sizes")[0].as_py(), np.int32).tolist()])
-                out: list[list] = [[] for _ in range(5)]
+                out: list[list] = [[] for _ in range(4)]
                 for a, b in zip(edges, edges[1:], strict=False):
                     at = stream[a:b].tolist()
                     joined = ",".join([decimals[i] for i in at if decimals[i]])
@@ -346,11 +346,10 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
                     out[2].append(hashlib.sha256(data).hexdigest())
                     if ids:
                         out[3].append([x for i in at for x in parts[i]])
-                        out[4].append(data.decode("utf-8", "replace"))
                 columns = [pa.array(row.column("doc_ids")[0].as_py(), pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
                 if ids:
-                    columns += [pa.array(out[3], pa.list_(pa.int32())), pa.array(out[4], pa.string())]
+                    columns.append(pa.array(out[3], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, text string" if ids else "")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
     return encoded.mapInArrow(run, schema)

@@ -155,7 +155,7 @@ def search(texts: list[str | None], index: ItemIndex) -> list[tuple[int, int, in
         diagonal = np.repeat(at, counts) - index.places[posting] + longest
         stride = 2 * index.edits[item] + 1
         band = diagonal // stride
-        span = (len(points) + 2 * longest) // 1 + 2
+        span = len(points) + 2 * longest + 2
         keys, shared = np.unique(np.concatenate([item * span + band, item * span + np.maximum(band - 1, 0)]), return_counts=True)
         reached = shared >= index.bounds[keys // span]
         for key in keys[reached].tolist():
@@ -181,7 +181,7 @@ def search(texts: list[str | None], index: ItemIndex) -> list[tuple[int, int, in
     return [(d, i, *match) for (d, i), match in sorted(found.items())]
 
 
-def _item_blocks(benchmark: DataFrame, item_id: str, text: str) -> list[list[tuple[int | None, str | None]]]:
+def _item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int | None, str | None]]]:
     """Items by hash into as many blocks as ITEM_CHARS asks for; each block goes through the driver alone."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text"))
     chars = items.agg(F.sum(F.length("text") + 100)).first()[0] or 0
@@ -204,8 +204,7 @@ def find_leaks(
 
     Start and length count characters of the normalised text. Items are searched for block by block.
     """
-    if not edit_rate * Q < 1:
-        raise ValueError("the edit rate must be below 1 / Q, or the bound of shared q-grams says nothing")
+    _check(edit_rate)
     context = documents.sparkSession.sparkContext
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     out = None
@@ -234,7 +233,32 @@ def _searcher(shared):
     return run
 
 
-def without_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The documents, all columns, in which no benchmark item was found."""
-    hits = find_leaks(documents, benchmark, doc_id, **options).select(F.col("doc_id").alias("_leaked")).distinct()
-    return documents.join(hits, F.col(doc_id).eqNullSafe(F.col("_leaked")), "left_anti")
+def without_leaks(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    edit_rate: float = EDIT_RATE,
+) -> DataFrame:
+    """The documents, all columns, in which no benchmark item is found; nothing is shuffled."""
+    _check(edit_rate)
+    out = documents
+    for items in _item_blocks(benchmark, item_id, item_text):
+        shared = documents.sparkSession.sparkContext.broadcast(index_items(items, edit_rate))
+        out = out.mapInArrow(_filter(shared, text), out.schema)
+    return out
+
+
+def _filter(shared, text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, BLOCK_BYTES, text):
+            leaked = {hit[0] for hit in search(block.column(text).to_pylist(), shared.value)}
+            yield block.filter(pa.array([i not in leaked for i in range(block.num_rows)])) if leaked else block
+
+    return run
+
+
+def _check(edit_rate: float) -> None:
+    if not edit_rate * Q < 1:
+        raise ValueError("the edit rate must be below 1 / Q, or the bound of shared q-grams says nothing")

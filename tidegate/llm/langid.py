@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.llm.blocks import text_blocks
 
@@ -33,8 +34,6 @@ LONGEST_SAMPLE = 20_000  # labelled documents above this many characters are not
 BLOCK_BYTES = 24_000_000
 FEW = 24  # below so many documents in step, plain loops are faster than numpy
 
-SCHEMA = "doc_id long, lang_pred string, score double"
-
 
 class LanguageModel(NamedTuple):
     languages: list[str]
@@ -208,20 +207,26 @@ def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str],
     return names, [float(s) if text else 0.0 for s, text in zip(score, known, strict=True)]
 
 
-def predict(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) of every document; only its text is looked at."""
+def label(documents: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """All rows and columns with lang_pred and score; columns of these names are replaced."""
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by CHARS_PER_LANGUAGE a language
+    rows = documents.drop("lang_pred", "score")
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, BLOCK_BYTES):
-            names, scores = classify(block.column("text").to_pylist(), shared.value)
+        for block in text_blocks(batches, BLOCK_BYTES, text):
+            names, scores = classify(block.column(text).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
+                [*block.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema.fieldNames()
             )
 
+    return rows.mapInArrow(run, schema)
+
+
+def predict(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, lang_pred, score) of every document; only its text is looked at."""
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return label(rows, model).select("doc_id", "lang_pred", "score")
 
 
 def held_out(doc_id: str = "doc_id"):
