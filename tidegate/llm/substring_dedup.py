@@ -19,6 +19,7 @@ the row itself would lose. Other columns pass through `remove_repeats` unchanged
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,13 @@ from tidegate.llm.blocks import text_blocks
 from tidegate.llm.words import ascii_words, flat_words, prefix_hashes, run_hashes
 
 WINDOW = 20
-CORE = 8
+CORE = 4
 BLOCK_BYTES = 4_000_000
-BUCKETS_PER_PARTITION = 4
+SECTIONS = 8  # of a bucket, by minimiser; one is sorted at a time
+LEVEL = 9  # of compression
 _FIRST = np.iinfo(np.int64).min  # place of a null id in the order of ids
 
-_PACKED = "bucket int, ids binary, versions binary, starts binary, text binary"
+_PACKED = "bucket int, ids binary, versions binary, starts binary, cuts binary, text binary"
 _MARKS = "doc_id long, version long, start int, n int"
 
 
@@ -81,46 +83,47 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _pack(block: pa.RecordBatch, window: int, core: int, buckets: int) -> pa.RecordBatch:
-    """Super-k-mers of one block by bucket, and the marks of what repeats inside it (bucket below 0)."""
+    """Super-k-mers of one block by bucket, and the marks of what repeats inside it (a row without text)."""
     ids = block.column("doc_id").fill_null(_FIRST).to_numpy()
     by_id = np.argsort(ids, kind="stable")
     texts = block.column("text").to_pylist()
     words = flat_words([ascii_words(texts[i]) for i in by_id])
     ids, versions = ids[by_id], block.column("version").to_numpy()[by_id]
-    upto = prefix_hashes(words.data)
+    upto = prefix_hashes(words)
     at = np.arange(max(len(words.begin) - window + 1, 0))
     at = at[words.text[at] == words.text[at + window - 1]]
     low, high = words.begin[at], words.end[at + window - 1]
-    hashes = run_hashes(upto, low, high)
+    hashes = run_hashes(upto, at, window)
     doc, start = words.text[at], at - words.first[words.text[at]]
     first = _first_equal(np.argsort(hashes, kind="stable"), hashes, words.data, low, high)
     repeated = (first != np.arange(len(first))) & ((ids[doc] != ids[doc[first]]) | (start != start[first]))
     rows: list[tuple] = []
 
-    def add(bucket: int, who: np.ndarray, where: np.ndarray, text: bytes) -> None:
-        rows.append((bucket, ids[who].tobytes(), versions[who].tobytes(), where.astype(np.int32).tobytes(), text))
+    def add(bucket: int, who: np.ndarray, where: np.ndarray, cuts: np.ndarray, text: bytes) -> None:
+        rows.append((bucket, *[x.tobytes() for x in (ids[who], versions[who], where.astype(np.int32), cuts.astype(np.int32))], text))
 
     marked = np.flatnonzero(repeated)
     begin, length = _runs(at[marked], doc[marked][1:] == doc[marked][:-1])
     if len(begin):
-        # Spread over buckets, so that they pass the next stage evenly.
-        add(-1 - int(hashes[marked[0]] % np.uint64(buckets)), doc[marked][begin], start[marked][begin], length.astype(np.int32).tobytes())
+        # Any bucket will do; no text tells that these are marks.
+        add(int(hashes[marked[0]] % np.uint64(buckets)), doc[marked][begin], start[marked][begin], length, b"")
     cores = np.arange(max(len(words.begin) - core + 1, 0))
-    least = _least(run_hashes(upto, words.begin[cores], words.end[cores + core - 1]), window - core + 1)[at]
+    least = _least(run_hashes(upto, cores, core), window - core + 1)[at]
     sent = np.flatnonzero(~repeated)
     begin, length = _runs(at[sent], (least[sent][1:] == least[sent][:-1]) & (doc[sent][1:] == doc[sent][:-1]))
     lead = sent[begin]
     ends = high[sent[begin + length - 1]] if len(begin) else begin
     bucket = (least[lead] % np.uint64(buckets)).astype(np.int64)
-    text, packer = words.data.tobytes(), zstandard.ZstdCompressor(level=3)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, cuts) if len(order) else []:
+    section = (least[lead] // np.uint64(buckets) % np.uint64(SECTIONS)).astype(np.int64)
+    text, packer = words.data.tobytes(), zstandard.ZstdCompressor(level=LEVEL)
+    order = np.lexsort((section, bucket))
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
         strings = b"\n".join([text[low[lead[i]] : ends[i]] for i in part.tolist()]) + b"\n"
-        add(int(bucket[part[0]]), doc[lead[part]], start[lead[part]], packer.compress(strings))
+        cuts = np.searchsorted(section[part], np.arange(SECTIONS + 1))
+        add(int(bucket[part[0]]), doc[lead[part]], start[lead[part]], cuts, packer.compress(strings))
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[k] for r in rows], pa.int32() if k == 0 else pa.binary()) for k in range(5)],
-        ["bucket", "ids", "versions", "starts", "text"],
+        [pa.array([r[k] for r in rows], pa.int32() if k == 0 else pa.binary()) for k in range(6)],
+        ["bucket", "ids", "versions", "starts", "cuts", "text"],
     )
 
 
@@ -136,25 +139,32 @@ def _mark_batch(ids: np.ndarray, versions: np.ndarray, starts: np.ndarray, n: np
     )
 
 
-def _sort_bucket(rows: list[dict], window: int) -> pa.RecordBatch:
-    """Marks of the windows of one bucket that are not the earliest of their kind."""
-    ids = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in rows])
-    versions = np.concatenate([np.frombuffer(r["versions"], np.int64) for r in rows])
-    starts = np.concatenate([np.frombuffer(r["starts"], np.int32) for r in rows])
-    unpacker = zstandard.ZstdDecompressor()
-    strings = b"".join([unpacker.decompress(r["text"]) for r in rows]).split(b"\n")[:-1]
+class _Packed(NamedTuple):
+    """The super-k-mers of one block for one bucket; `cuts` bounds the sections among them."""
+
+    ids: np.ndarray
+    versions: np.ndarray
+    starts: np.ndarray
+    cuts: np.ndarray
+    strings: list[bytes]
+
+
+def _sort_section(parts: list[_Packed], section: int, window: int) -> pa.RecordBatch:
+    """Marks of the windows of one section of a bucket that are not the earliest of their kind."""
+    spans = [slice(p.cuts[section], p.cuts[section + 1]) for p in parts]
+    ids, versions, starts = (np.concatenate([p[k][s] for p, s in zip(parts, spans, strict=True)]) for k in range(3))
+    strings = [x for p, s in zip(parts, spans, strict=True) for x in p.strings[s]]
     order = np.lexsort((starts, ids))
     ids, versions, starts = ids[order], versions[order], starts[order]
     words = flat_words([strings[i].split() for i in order.tolist()])
     at = np.arange(max(len(words.begin) - window + 1, 0))
     at = at[words.text[at] == words.text[at + window - 1]]
     low, high = words.begin[at], words.end[at + window - 1]
-    hashes = run_hashes(prefix_hashes(words.data), low, high)
+    hashes = run_hashes(prefix_hashes(words), at, window)
     string = words.text[at]
     start = starts[string] + at - words.first[string]
     first = _first_equal(np.argsort(hashes, kind="stable"), hashes, words.data, low, high)
-    later = (ids[string] != ids[string[first]]) | (start != start[first])
-    marked = np.flatnonzero(later)
+    marked = np.flatnonzero((ids[string] != ids[string[first]]) | (start != start[first]))
     begin, length = _runs(at[marked], string[marked][1:] == string[marked][:-1])
     who = string[marked][begin]
     return _mark_batch(ids[who], versions[who], start[marked][begin], length)
@@ -168,36 +178,32 @@ def repeated_windows(
     `version` is a hash of the text, for ids that occur with several texts.
     """
     spark = documents.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = partitions * BUCKETS_PER_PARTITION
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, BLOCK_BYTES):
             yield _pack(block, window, core, buckets)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        unpacker = zstandard.ZstdDecompressor()
+        parts = []
         for batch in batches:
             for row in batch.to_pylist():
-                if row["bucket"] < 0:
-                    yield _mark_batch(
-                        np.frombuffer(row["ids"], np.int64),
-                        np.frombuffer(row["versions"], np.int64),
-                        np.frombuffer(row["starts"], np.int32),
-                        np.frombuffer(row["text"], np.int32),
-                    )
-                    continue
-                if held and held[0]["bucket"] != row["bucket"]:
-                    yield _sort_bucket(held, window)
-                    held = []
-                held.append(row)
-        if held:
-            yield _sort_bucket(held, window)
+                numbers = [
+                    np.frombuffer(row[name], kind)
+                    for name, kind in (("ids", "i8"), ("versions", "i8"), ("starts", "i4"), ("cuts", "i4"))
+                ]
+                if row["text"]:
+                    parts.append(_Packed(*numbers, unpacker.decompress(row["text"]).split(b"\n")[:-1]))
+                else:
+                    yield _mark_batch(*numbers)
+        for section in range(SECTIONS) if parts else ():
+            yield _sort_section(parts, section, window)
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("version", F.xxhash64("text"))
     packed = rows.mapInArrow(pack, _PACKED)
-    return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(sort, _MARKS)
+    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(sort, _MARKS)
 
 
 def keep_words(words: list[bytes], marks: list[tuple[int, int]], window: int) -> list[bytes]:

@@ -11,7 +11,7 @@ import numpy as np
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=4)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, for 2**bits places."""
     out = []
@@ -49,18 +49,25 @@ def flat_words(texts: Sequence[list[bytes]]) -> Words:
     )
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Polynomial hashes of the first 0, 1, ... bytes."""
-    power, _ = _powers(max(len(data), 1).bit_length())
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=out[1:])
-    return out
+def prefix_hashes(words: Words) -> np.ndarray:
+    """Polynomial hashes of the first 0, 1, ... words."""
+    data = words.data
+    separator = (data == 32) | (data == 10)
+    place = np.arange(len(data), dtype=np.int32)
+    place -= np.maximum.accumulate(np.where(separator, place + 1, 0).astype(np.int32))
+    powers, _ = _powers(max(int(place.max(initial=0)) + 1, 1).bit_length())
+    value = (data.astype(np.uint64) + np.uint64(1)) * powers[np.maximum(place, 0)]
+    value[separator] = 0
+    own = np.add.reduceat(value, words.begin) if len(words.begin) else np.zeros(0, np.uint64)
+    own = (own ^ (own >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    powers, _ = _powers(max(len(own), 1).bit_length())
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * powers[: len(own)], dtype=np.uint64)])
 
 
-def run_hashes(upto: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the pieces from begin to end, mixed so that their order is as good as random."""
+def run_hashes(upto: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n words from `begin`, mixed so that their order is as good as random."""
     _, inverse = _powers(max(len(upto) - 1, 1).bit_length())
-    out = (upto[end] - upto[begin]) * inverse[begin]
+    out = (upto[begin + n] - upto[begin]) * inverse[begin]
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         out = (out ^ (out >> np.uint64(shift))) * np.uint64(factor)
     return out ^ (out >> np.uint64(31))
