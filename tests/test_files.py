@@ -99,14 +99,21 @@ def test_control_table(spark, text_file):
     spark.createDataFrame([], "Cycle string, account string, area string, time string").createOrReplaceTempView("lines_t")
     text = (
         "esquema_hive|nomtabla|cols|part|server|schema|user|file\n"
-        "|lines_t|area,CYCLE,other|time|s|u|o|f\nurm|nowhere|a|time|s|u|o|f\n"
+        "|lines_t|area,CYCLE,other|time|s|u|o|f\ndepot|nowhere|a|time|s|u|o|f\n"
     )
     rules = read_rules(spark, text_file("conf.txt", text))
     got = {r.table_name: r for r in resolve_rules(spark, rules).collect()}
     assert (got["lines_t"].line_no, got["lines_t"].positions, got["lines_t"].width) == (1, [1, 3], 3)
     assert (got["nowhere"].positions, got["nowhere"].width, got["nowhere"].folder) == (None, None, "f")
-    with pytest.raises(ValueError):
-        resolve_rules(spark, rules, max_rules=1)
+
+
+def test_many_rules_and_long_patterns(spark):
+    long = "x" * 1100
+    rules = spark.createDataFrame([(i, f"rule_{i}_") for i in range(600)] + [(600, long)], "line_no int, table_name string")
+    files = frame(spark, ["a_rule_599_b", long + "_y", "none"], "file_name")
+    for direct in (0, 500, 1000):
+        got = {r.file_name: r.line_no for r in route_files(files, rules, direct_rules=direct).collect()}
+        assert got == {"a_rule_599_b": 599, long + "_y": 600, "none": None}
 
 
 def test_catalog_columns(spark, tmp_path):
@@ -130,10 +137,14 @@ def test_delimited_records_and_rejects(spark, text_file, rows):
 def test_several_paths_and_positional_csv(spark, text_file, rows):
     paths = [text_file(f"m/{i}/f.txt", f"{i},n{i},rest\n") for i in range(3)]
     assert rows(sources.read_lines(spark, *paths)) == [(f"{i},n{i},rest",) for i in range(3)]
-    assert rows(sources.read_csv_positional(spark, paths[1], ["id", "name"])) == [("1", "n1")]
-    blank = text_file("b.csv", 'id,n\n"1",\n,x\n')
-    assert rows(sources.read_csv_header(spark, blank, ["id", "n"])) == [("", "x"), ('"1"', "")]
-    assert rows(sources.read_csv_positional(spark, blank, ["id"])) == [("",), ('"1"',), ("id",)]
+    assert rows(sources.read_csv_positional(spark, paths[1], ["id", "name"])) == [("1", "n1", None)]
+    ragged = text_file("b.csv", 'id,n\n"1",\n,x\nshort\nlong,b,1\n')
+    header = sources.read_csv_header(spark, ragged, ["id", "n"])
+    assert rows(sources.good_records(header)) == [("", "x"), ('"1"', "")]
+    assert rows(sources.corrupt_records(header)) == [("long,b,1",), ("short",)]
+    positional = sources.read_csv_positional(spark, ragged, ["id", "n"])
+    assert rows(sources.good_records(positional)) == [("", "x"), ('"1"', ""), ("id", "n"), ("long", "b")]
+    assert rows(sources.corrupt_records(positional)) == [("short",)]
 
 
 @pytest.mark.parametrize("codec, ending", [(None, ".txt"), ("gzip", ".txt.gz"), ("bzip2", ".txt.bz2")])
@@ -147,15 +158,14 @@ def test_text_codecs(spark, tmp_path, rows, codec, ending):
         assert sorted(b"".join(gzip.open(p).read() for p in parts).split()) == [b"x", b"y"]
 
 
-@pytest.mark.parametrize("max_rows, single", [(100, True), (99, False)])
-def test_single_file_is_sorted_and_bounded(spark, tmp_path, max_rows, single):
-    df = spark.range(100).repartition(5).select(F.col("id").cast("string").alias("value"), "id")
+def test_single_file_is_sorted_and_keeps_the_tasks_before_it(spark, tmp_path):
+    df = spark.range(100).repartition(5).select(F.col("id").cast("string").alias("value"), "id", F.spark_partition_id().alias("p"))
     path = str(tmp_path / "one")
-    assert sinks.write_single_file(df, path, ["id"], max_rows=max_rows) is single
+    sinks.write_single_file(df.withColumn("value", F.concat_ws(":", "value", "p")), path, ["id"])
     parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
-    assert len(parts) == 1 or not single
-    text = "".join(open(os.path.join(path, p)).read() for p in parts).split()
-    assert text == [str(i) for i in range(100)]
+    assert len(parts) == 1
+    written = [line.split(":") for line in open(os.path.join(path, parts[0])).read().split()]
+    assert [v for v, _ in written] == [str(i) for i in range(100)] and len({p for _, p in written}) == 5
 
 
 def test_folder_per_key(spark, tmp_path, rows):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import aggregates, joins, ordering, sets
 from tidegate.sources.text import inline_rows
 
-PAIRS = ["foo=A", "foo=A", "foo=A", "foo=A", "foo=B", "bar=C", "bar=D", "bar=D"]
+PAIRS = ["red=pin", "red=pin", "red=pin", "red=pin", "red=cup", "tan=jar", "tan=lid", "tan=lid"]
 
 
 @pytest.fixture
@@ -16,19 +16,21 @@ def kv(spark):
 
 
 def test_count_and_set_by_key(kv, rows):
-    assert rows(aggregates.count_by_key(kv, "k")) == [("bar", 3), ("foo", 5)]
+    assert rows(aggregates.count_by_key(kv, "k")) == [("red", 5), ("tan", 3)]
     got = aggregates.set_by_key(kv, "k", "v")
-    assert rows(got, "k", "chunk", "items") == [("bar", 0, ["C", "D"]), ("foo", 0, ["A", "B"])]
+    assert rows(got, "k", "bucket", "items") == [("red", 0, ["cup", "pin"]), ("tan", 0, ["jar", "lid"])]
 
 
 def test_list_by_key_keeps_copies(kv, rows):
     got = aggregates.list_by_key(kv, "k", "v")
-    assert rows(got, "k", "n", "items") == [("bar", 3, ["C", "D", "D"]), ("foo", 5, ["A", "A", "A", "A", "B"])]
+    assert rows(got, "k", "n", "items") == [
+        ("red", 5, ["cup", "pin", "pin", "pin", "pin"]), ("tan", 3, ["jar", "lid", "lid"]),
+    ]
 
 
 def test_global_sum_and_count(spark):
-    people = inline_rows(spark, [("A", 45), ("G", 43), ("J", 28), ("L", 33), ("D", 18)], "name string, age int")
-    assert tuple(aggregates.sum_and_count(people, "age").first()) == (167, 5)
+    people = inline_rows(spark, [("P", 51), ("Q", 22), ("R", 37), ("S", 60), ("T", 9)], "name string, age int")
+    assert tuple(aggregates.sum_and_count(people, "age").first()) == (179, 5)
 
 
 def test_two_level_fold(spark):
@@ -47,27 +49,27 @@ def test_partition_tags(spark, rows):
 
 def test_average_by_key(spark):
     scores = inline_rows(
-        spark, [("F", 88.0), ("F", 95.0), ("F", 91.0), ("W", 93.0), ("W", 95.0), ("W", 98.0)], "name string, score double"
+        spark, [("X", 71.0), ("X", 64.5), ("X", 80.5), ("Y", 59.0), ("Y", 77.0), ("Y", 69.0)], "name string, score double"
     )
     got = {r.name: (r.n, r.total, r.average) for r in aggregates.average_by_key(scores, "name", "score").collect()}
-    assert got == {"F": (3, 274.0, 274.0 / 3), "W": (3, 286.0, 286.0 / 3)}
+    assert got == {"X": (3, 216.0, 72.0), "Y": (3, 205.0, 205.0 / 3)}
 
 
 def test_employees_by_three_keys(spark, rows):
-    lines = [("Sales", "Trainee", 12000.0, "UP")]
-    lines += [("Sales", "Lead", 32000.0, s) for s in ("AP", "LA", "TN", "AP", "TN ", "LA", "LA")]
-    lines += [("Marketing", "Associate", 18000.0, "TN")] * 2 + [("HR", "Manager", 58000.0, "TN")]
+    lines = [("Yard", "Novice", 900.0, "N")]
+    lines += [("Yard", "Chief", 2500.0, s) for s in ("N", "E", "S", "N", "S ", "E", "E")]
+    lines += [("Dock", "Clerk", 1300.0, "S")] * 2 + [("Desk", "Head", 4100.0, "S")]
     df = inline_rows(spark, lines, "dept string, desg string, cost double, state string")
     got = rows(aggregates.count_and_sum_by_key(df, ["dept", "desg", "state"], "cost"))
-    assert [r for r in got if r[1] == "Lead"] == [
-        ("Sales", "Lead", "AP", 2, 64000.0), ("Sales", "Lead", "LA", 3, 96000.0), ("Sales", "Lead", "TN", 2, 64000.0),
+    assert [r for r in got if r[1] == "Chief"] == [
+        ("Yard", "Chief", "E", 3, 7500.0), ("Yard", "Chief", "N", 2, 5000.0), ("Yard", "Chief", "S", 2, 5000.0),
     ]
 
 
 def test_sum_by_two_keys(spark, rows):
-    work = [("D", "m", 2000), ("D", "f", 2000), ("D", "m", 1000), ("N", "f", 2000)]
+    work = [("U", "x", 310), ("U", "y", 420), ("U", "x", 55), ("V", "y", 70)]
     df = inline_rows(spark, work, "name string, sex string, cost int")
-    assert rows(aggregates.sum_by_key(df, ["name", "sex"], "cost")) == [("D", "f", 2000), ("D", "m", 3000), ("N", "f", 2000)]
+    assert rows(aggregates.sum_by_key(df, ["name", "sex"], "cost")) == [("U", "x", 365), ("U", "y", 420), ("V", "y", 70)]
 
 
 def test_join_and_sum(spark, rows):
@@ -93,9 +95,6 @@ def test_exclusion_keeps_duplicates(spark, rows):
     right = inline_rows(spark, [("b",), ("b",)], "w string")
     assert rows(sets.subtract(left, right)) == [("a",), ("a",), ("c",)]
     assert rows(joins.exclude_keys(left, right, "w")) == [("a",), ("a",), ("c",)]
-    assert joins.broadcast_if_small(right, max_rows=1) is right
-    assert joins.broadcast_if_small(right, max_bytes=15) is right
-    assert joins.broadcast_if_small(right, max_rows=2, max_bytes=20) is not right
 
 
 def test_exclusion_of_nulls(spark, rows):
@@ -146,10 +145,8 @@ def hot_rows(spark, n=9000):
     )
 
 
-@pytest.mark.parametrize("few", [True, False])
 @pytest.mark.parametrize("distinct", [False, True])
-def test_lists_of_a_hot_key_are_whole_and_chunked(spark, monkeypatch, distinct, few):
-    monkeypatch.setattr(aggregates, "is_small", lambda _: few)
+def test_lists_of_a_hot_key_are_whole_and_dealt(spark, distinct):
     df = hot_rows(spark)
     want = defaultdict(list)
     for r in df.collect():
@@ -157,12 +154,23 @@ def test_lists_of_a_hot_key_are_whole_and_chunked(spark, monkeypatch, distinct,
     if distinct:
         want = {k: list(set(v)) for k, v in want.items()}
     got, sizes = defaultdict(list), []
-    for r in aggregates.list_by_key(df, "k", "v", max_items=100, distinct=distinct).collect():
-        assert r.n == len(r["items"])
+    numbered = df.withColumn("id", F.monotonically_increasing_id())
+    for r in aggregates.list_by_key(numbered, "k", "v", buckets=32, distinct=distinct).collect():
+        assert r.n == len(r["items"]) and 0 <= r.bucket < 32
         got[r.k] += r["items"]
         sizes.append(r.n)
     assert {k: Counter(v) for k, v in got.items()} == {k: Counter(v) for k, v in want.items()}
-    assert max(sizes) < 400 and None in got
+    assert max(sizes) < 200 and None in got
+
+
+def test_a_key_of_nulls_stays(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("b", None), ("b", None)], "k string, v int")
+    assert rows(aggregates.list_by_key(df, "k", "v"), "k", "items") == [("a", [1]), ("b", [])]
+    assert rows(aggregates.set_by_key(df, "k", "v", 4), "k", "n") == [("a", 1), ("b", 0)]
+    count = aggregates.combine_by_key(
+        df, "k", "v", lambda v: F.lit(1), lambda s, v: s + 1, lambda a, b: a + b, buckets=4
+    )
+    assert rows(count) == [("a", 1), ("b", 2)]
 
 
 def test_custom_combine_equals_the_built_in(spark, rows):
@@ -174,7 +182,7 @@ def test_custom_combine_equals_the_built_in(spark, rows):
         merge_value=lambda s, v: struct(s["n"] + 1, s["t"] + v),
         merge_states=lambda a, b: struct(a["n"] + b["n"], a["t"] + b["t"]),
         finish=lambda s: s["t"] / s["n"],
-        max_items=2,
+        buckets=8,
     )
     want = {r.k: r.a for r in df.groupBy("k").agg(F.avg("v").alias("a")).collect()}
     assert {r.k: r.result for r in got.collect()} == want
@@ -203,6 +211,8 @@ def test_folded_copies_unfold_again(spark, monkeypatch):
 
 def test_salting_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = hot_rows(spark).withColumn("id", F.monotonically_increasing_id())
@@ -210,9 +220,10 @@ def test_salting_spreads_the_hot_key(spark):
         salted = joins.salted_join(df, names, "k", share=0.1, salts=32)
         parts = salted.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
         assert len(parts) == 4 and max(r["count"] for r in parts) < 3000 * 0.6
-        lists = aggregates.list_by_key(df, "k", "v", max_items=50)
+        lists = aggregates.list_by_key(df, "k", "v", buckets=60)
         parts = lists.where("k = 'hot'").groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()
         assert len(parts) == 4 and max(r.n for r in parts) < 3000 * 0.6
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -42,13 +42,13 @@ def test_split(spark, text, kept, dropped):
 
 
 def test_trim_takes_control_characters(spark):
-    assert one(spark, "\t \x01word x\r\n ", jvm_trim("value")) == "word x"
+    assert one(spark, "\t \x01\x00word x\r\n \x00", jvm_trim("value")) == "word x"
 
 
 def test_blank_to_zero(spark):
-    text = '3070811,1963,1096,,"US","CA",,1,'
+    text = '8123,1977,,"AB",,"QX",7,,'
     got = one(spark, text, blank_to(split_fields("value", ",")))
-    assert got == ["3070811", "1963", "1096", "0", '"US"', '"CA"', "0", "1", "0"]
+    assert got == ["8123", "1977", "0", '"AB"', "0", '"QX"', "7", "0", "0"]
 
 
 def test_row_renderings(spark):
@@ -71,14 +71,14 @@ def test_pick_and_prepend(spark):
 
 
 def test_header_to_map(spark, text_file):
-    path = text_file("user.csv", "id,topic,hits\nana,scala,120\nmyself,cca,180\nluz,spark\n")
+    path = text_file("user.csv", "id,topic,hits\nana,kites,12\nself,boats,18\nluz,tents\n")
     header = header_of(spark, path)
     lines = read_lines(spark, path).where(F.col("value") != ",".join(header))
-    maps = lines.select(record_map(header, split_fields("value", ",")).alias("m")).where(F.col("m")["id"] != "myself")
+    maps = lines.select(record_map(header, split_fields("value", ",")).alias("m")).where(F.col("m")["id"] != "self")
     got = [r.m for r in maps.collect()]
-    assert got == [{"id": "ana", "topic": "scala", "hits": "120"}, {"id": "luz", "topic": "spark"}]
-    rows = not_equal(read_csv_header(spark, path, header), "id", "myself")
-    assert [r.id for r in rows.collect()] == ["ana", "luz"]
+    assert got == [{"id": "ana", "topic": "kites", "hits": "12"}, {"id": "luz", "topic": "tents"}]
+    rows = not_equal(read_csv_header(spark, path, header), "id", "self")
+    assert [tuple(r) for r in rows.collect()] == [("ana", "kites", "12", None), ("luz", "tents", None, "luz,tents")]
     with pytest.raises(ValueError):
         record_map(["a", "a"], F.array(F.lit("x")))
 
@@ -101,11 +101,11 @@ def test_word_count_sample(spark):
 
 def test_broadcast_filter_sample(spark):
     content = spark.createDataFrame(
-        [("Hello this is Example.com ",), ("This is Spark Learning Session",), ("Spark is faster than MapReduce",)], "value string"
+        [("Hello this is our shed ",), ("This is where Oars are kept",), ("Oars float better than anchors",)], "value string"
     )
     remove = spark.createDataFrame([("Hello, is, this, the",)], "value string")
     got = {r.w: r.n for r in words.count_words_except(words.line_words(content), words.list_words(remove)).collect()}
-    assert got["Spark"] == 2 and got["This"] == 1 and not {"Hello", "is", "this"} & set(got)
+    assert got["Oars"] == 2 and got["This"] == 1 and not {"Hello", "is", "this"} & set(got)
 
 
 def test_stop_words_order_and_trim(spark):

@@ -25,6 +25,13 @@ def base_name(path: Column | str) -> Column:
     return F.regexp_replace(F.substring_index(as_column(path), "/", -1), r"\.[^.]*+\z", "")
 
 
+def extension(path: Column | str) -> Column:
+    """What `base_name` leaves out, without the dot; `-` for a name that has none."""
+    name = F.substring_index(as_column(path), "/", -1)
+    found = F.regexp_extract(name, r"\.([^.]*+)\z", 1)
+    return F.when(found == "", "-").otherwise(found)
+
+
 def source_file(path: Column | str) -> Column:
     """The logical file of a path.
 

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.digest import as_column
 
-# Fixed value: the characters that trimming on the JVM removes (code points 1 to 32).
-CONTROL_AND_SPACE = "".join(chr(i) for i in range(1, 33))
+# Fixed value: the characters that trimming on the JVM removes (code points 0 to 32).
+CONTROL_AND_SPACE = "".join(chr(i) for i in range(33))
 
 # Any of them except the blank.
-CONTROL = r"[\x01-\x1f]"
+CONTROL = r"[\x00-\x1f]"
 
 # Line terminators of the text reader.
 LINE_BREAK = r"\r\n|\r|\n"

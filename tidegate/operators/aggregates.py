@@ -1,22 +1,17 @@
 """Keyed and global aggregations.
 
 Plain sums, counts and averages rely on Spark's partial aggregation: a hot key leaves every task as
-one row. Lists and sets of large keys are built in chunks, so no task and no row ever holds a whole hot group.
+one row. Lists and sets are built in a number of buckets per key that the caller gives, so a hot key need not
+be one row in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.operators.joins import is_small
-
-CHUNK_ITEMS = 100_000
-
 
 def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -80,84 +75,39 @@ def tag_partition(df: DataFrame, value: str, part: Column | None = None, name: s
     )
 
 
+def _bucket(df: DataFrame, buckets: int, spread: Column | None) -> Column:
+    spread = F.xxhash64(*df.columns) if spread is None else spread
+    return F.coalesce(F.pmod(spread.cast("long"), F.lit(buckets)), F.lit(0)).cast("int")
+
+
 def list_by_key(
     df: DataFrame,
     keys: str | Sequence[str],
     value: str,
-    max_items: int = CHUNK_ITEMS,
+    buckets: int = 1,
     spread: Column | None = None,
     distinct: bool = False,
 ) -> DataFrame:
-    """Values per key as sorted arrays: (keys, chunk, n, items). Null values are not listed.
-
-    A key with up to `max_items` values has one row, chunk 0. A larger key is spread over
-    ceil(count / max_items) chunks by `spread`, an integer expression over the value (its hash by
-    default); together the chunks hold every value.
+    """Values per key as sorted arrays: (keys, bucket, n, items), with one shuffle.
 
-    Counting rows per key comes first and runs at once. Keys within the limit are then collected with
-    one shuffle; only the rows of larger keys take the longer way through `_chunked`.
+    Each key has up to `buckets` rows that together hold every value; their number is the caller's and never
+    depends on the data. `spread`, an integer expression, says which bucket a row goes to: the hash of the
+    whole row by default, so carry a row id along to spread the copies of one value as well. Null values are
+    not listed, but their key is, if need be with an empty list.
     """
     names = _names(keys)
-    rows = df.where(F.col(value).isNotNull()).select(*names, value)
-    large = rows.groupBy(*names).agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
-    large = large.select(*[F.col(k).alias(f"_large_{k}") for k in names])
-    if large.isEmpty():
-        return _collected(rows, names, value, distinct)
-    few = is_small(large)
-    large = F.broadcast(large) if few else large
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in names])
-    small_rows = rows.join(large, same, "left_anti")
-    large_rows = rows.join(large, same, "left_semi")
-    return _collected(small_rows, names, value, distinct).unionByName(
-        _chunked(large_rows, names, value, max_items, spread, distinct, few)
-    )
-
-
-def _collected(rows: DataFrame, names: list[str], value: str, distinct: bool) -> DataFrame:
+    if distinct and spread is None:
+        spread = F.xxhash64(value)
     items = F.sort_array((F.collect_set if distinct else F.collect_list)(value))
-    return rows.groupBy(*names).agg(items.alias("items")).select(
-        *names, F.lit(0).cast("long").alias("chunk"), F.size("items").cast("long").alias("n"), "items"
-    )
-
-
-def _chunked(
-    rows: DataFrame, names: list[str], value: str, max_items: int, spread: Column | None, distinct: bool, few: bool
-) -> DataFrame:
-    """Lists of large keys. Equal values are counted before the shuffle and a value with very many
-    copies is cut into pieces, so copies cannot pile up in one chunk either."""
-    copies = F.lit(1).cast("long") if distinct else F.count("*")
-    counted = rows.groupBy(*names, value).agg(copies.alias("_copies"))
-    sizes = counted.groupBy(*names).agg(F.ceil(F.sum("_copies") / F.lit(max_items)).alias("_chunks"))
-    sizes = sizes.select(*[F.col(k).alias(f"_size_{k}") for k in names], "_chunks")
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_size_{k}")) for k in names])
-    sized = counted.join(F.broadcast(sizes) if few else sizes, same).drop(*[f"_size_{k}" for k in names])
-    last_piece = F.ceil(F.col("_copies") / F.lit(max_items)) - 1
-    pieces = sized.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
-    here = F.least(F.lit(max_items).cast("long"), F.col("_copies") - F.col("_piece") * F.lit(max_items))
-    spread = F.xxhash64(value) if spread is None else spread
-    chunk = F.pmod(spread.cast("long") + F.col("_piece"), F.col("_chunks"))
-    # The explicit repartition keeps (key, chunk) groups apart: without it the grouping could reuse a
-    # partitioning by key and put all chunks of a hot key into one task.
-    return (
-        pieces.select(*names, value, here.cast("int").alias("_here"), chunk.alias("chunk"))
-        .repartition(*[F.col(k) for k in names], F.col("chunk"))
-        .groupBy(*names, "chunk")
-        .agg(
-            F.sum("_here").cast("long").alias("n"),
-            F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col(value), F.col("_here"))))).alias("items"),
-        )
-    )
+    lists = df.withColumn("bucket", _bucket(df, buckets, spread)).groupBy(*names, "bucket").agg(items.alias("items"))
+    return lists.select(*names, "bucket", F.size("items").cast("long").alias("n"), "items")
 
 
 def set_by_key(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    value: str,
-    max_items: int = CHUNK_ITEMS,
-    spread: Column | None = None,
+    df: DataFrame, keys: str | Sequence[str], value: str, buckets: int = 1, spread: Column | None = None
 ) -> DataFrame:
-    """Distinct values per key, chunked like `list_by_key`."""
-    return list_by_key(df, keys, value, max_items, spread, distinct=True)
+    """Distinct values per key, in buckets like `list_by_key`; equal values share a bucket."""
+    return list_by_key(df, keys, value, buckets, spread, distinct=True)
 
 
 def combine_by_key(
@@ -169,27 +119,25 @@ def combine_by_key(
     merge_states: Callable[[Column, Column], Column],
     finish: Callable[[Column], Column] | None = None,
     name: str = "result",
-    max_items: int = CHUNK_ITEMS,
+    buckets: int = 1,
 ) -> DataFrame:
     """A user's aggregate given as (create, merge value, merge states) over column expressions.
 
-    Use it where no built-in aggregate says the same. `merge_states` must be associative and
-    commutative. Values are folded per chunk of a key, the states of up to 1000 chunks per group, and
-    the groups per key, so a hot key is folded by many tasks.
+    Use it where no built-in aggregate says the same. `merge_states` must be associative and commutative.
+    Rows are dealt by their hash to `buckets` groups per key, each is folded to a state, and the states of a
+    key are folded to one, so a hot key is folded by many tasks. Null values are folded like any other.
     """
     names = _names(keys)
 
-    def fold(states: Column) -> Column:
-        rest = F.slice(states, 2, F.greatest(F.size(states) - 1, F.lit(0)))
-        return F.aggregate(rest, F.get(states, F.lit(0)), merge_states)
-
-    chunks = list_by_key(df, names, value, max_items)
-    rest = F.slice("items", 2, F.greatest(F.size("items") - 1, F.lit(0)))
-    state = F.aggregate(rest, create(F.get("items", F.lit(0))), merge_value)
-    states = chunks.select(*names, F.floor(F.col("chunk") / 1000).alias("_group"), state.alias("_state"))
-    groups = states.groupBy(*names, "_group").agg(fold(F.collect_list("_state")).alias("_state"))
-    whole = groups.groupBy(*names).agg(fold(F.collect_list("_state")).alias("_state"))
-    return whole.select(*names, (finish or (lambda s: s))(F.col("_state")).alias(name))
+    def fold(items: Column, first: Callable[[Column], Column], merge: Callable[[Column, Column], Column]) -> Column:
+        return F.aggregate(F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))), first(F.get(items, F.lit(0))), merge)
+
+    wrapped = F.collect_list(F.struct(F.col(value).alias("v")))
+    dealt = df.withColumn("_bucket", _bucket(df, buckets, None)).groupBy(*names, "_bucket").agg(wrapped.alias("_values"))
+    state = fold(F.col("_values"), lambda x: create(x["v"]), lambda s, x: merge_value(s, x["v"]))
+    states = dealt.select(*names, state.alias("_state")).groupBy(*names).agg(F.collect_list("_state").alias("_states"))
+    whole = fold(F.col("_states"), lambda s: s, merge_states)
+    return states.select(*names, whole.alias("_state")).select(*names, (finish or (lambda s: s))(F.col("_state")).alias(name))
 
 
 def items_text(df: DataFrame, items: str = "items", sep: str = ",") -> DataFrame:

@@ -9,8 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 128 * 1024 * 1024
 COPIES_PER_PIECE = 100_000
 
 
@@ -31,22 +29,13 @@ def chain_join(first: DataFrame, *others: DataFrame, on: str | Sequence[str]) ->
     return joined
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure a frame: at most max_rows + 1 rows are read, and the length of their JSON text is their size."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    rows, measured = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
-    return rows <= max_rows and measured <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring the frame; a larger one joins unhinted."""
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
-
-
 def exclude_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key is not listed; duplicates of the remaining rows stay. A null key can be listed."""
+    """Rows whose key is not listed; duplicates of the remaining rows stay. A null key can be listed.
+
+    Adaptive execution broadcasts the listed keys if their measured size allows it.
+    """
     names = _names(on)
-    listed = broadcast_if_small(keys.select(*[F.col(n).alias(f"_listed_{n}") for n in names]))
+    listed = keys.select(*[F.col(n).alias(f"_listed_{n}") for n in names])
     same = [F.col(n).eqNullSafe(F.col(f"_listed_{n}")) for n in names]
     return df.join(listed, reduce(and_, same), "left_anti")
 

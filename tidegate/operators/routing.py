@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# No common store has longer names, so a longer pattern cannot occur in one.
-LONGEST_NAME = 1024
-
-# Up to this many rules every file name is tested against all of them.
+# Up to this many rules are tested one after another; more are matched by a join. Both give the same rows.
 DIRECT_RULES = 500
 
 
+def last_rule(rules: Column, name: Column | str, pattern: str = "table_name") -> Column:
+    """The last of an array of rules whose pattern occurs in the lower-cased name; null if none does.
+
+    `line_no` is the first field of a rule, so the maximum of those that match is the last one.
+    """
+    lowered = F.lower(name)
+    return F.array_max(F.filter(rules, lambda rule: lowered.contains(rule[pattern])))
+
+
 def route_files(
     files: DataFrame,
     rules: DataFrame,
@@ -27,24 +33,20 @@ def route_files(
     """
     rules = rules.where(F.col(pattern).isNotNull())
     if rules.limit(direct_rules + 1).count() <= direct_rules:
-        return _test_all(files, rules, name, pattern)
+        listed = F.struct("line_no", *[c for c in rules.columns if c != "line_no"])
+        tested = files.withColumn("_rules", rules.agg(F.collect_list(listed)).scalar())
+        routed = tested.withColumn("_rule", last_rule(F.col("_rules"), name, pattern))
+        others = [c for c in files.columns if c != name]
+        return routed.select(name, *others, *[F.col("_rule")[c].alias(c) for c in rules.columns])
     return _match_substrings(files, rules, name, pattern)
 
 
-def _test_all(files: DataFrame, rules: DataFrame, name: str, pattern: str) -> DataFrame:
-    # line_no comes first in the struct, so the maximum is the last matching rule
-    listed = F.struct("line_no", *[c for c in rules.columns if c != "line_no"])
-    tested = files.withColumn("_rules", rules.agg(F.collect_list(listed)).scalar())
-    lowered = F.lower(name)
-    last = F.array_max(F.filter("_rules", lambda rule: lowered.contains(rule[pattern])))
-    routed = tested.withColumn("_rule", last)
-    return routed.select(name, *[c for c in files.columns if c != name], *[F.col("_rule")[c].alias(c) for c in rules.columns])
-
-
 def _match_substrings(files: DataFrame, rules: DataFrame, name: str, pattern: str) -> DataFrame:
-    """Cut each name into its substrings of the lengths that rules have, and join these with the patterns."""
-    usable = rules.where(F.length(pattern) <= LONGEST_NAME)
-    lengths = F.coalesce(usable.agg(F.collect_set(F.length(pattern))).scalar(), F.array().cast("array<int>"))
+    """Cut each name into its substrings of the lengths that rules have, and join these with the patterns.
+
+    A pattern longer than the name has no substring to meet.
+    """
+    lengths = F.coalesce(rules.agg(F.collect_set(F.length(pattern))).scalar(), F.array().cast("array<int>"))
     names = files.select(name).where(F.col(name).isNotNull()).dropDuplicates()
     lowered = names.withColumn("_lower", F.lower(name)).withColumn("_lengths", lengths)
 
@@ -56,7 +58,7 @@ def _match_substrings(files: DataFrame, rules: DataFrame, name: str, pattern: st
         )
 
     parts = lowered.select(name, F.explode(F.array_distinct(F.flatten(F.transform("_lengths", cuts)))).alias("_part"))
-    matched = parts.join(usable.withColumn("_part", F.col(pattern)), "_part")
+    matched = parts.join(rules.withColumn("_part", F.col(pattern)), "_part")
     best = matched.groupBy(name).agg(F.max_by(F.struct(*rules.columns), F.col("line_no")).alias("_rule"))
     routed = best.select(name, *[F.col("_rule")[c].alias(c) for c in rules.columns])
     return files.join(routed, name, "left")

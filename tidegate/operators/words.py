@@ -12,7 +12,7 @@ from tidegate.operators.joins import exclude_keys
 
 # The stop words of the multi-file word count.
 STOP_WORDS = (
-    "a", "the", "an", "as", "a", "with", "this", "these", "is", "are", "in", "for", "to", "and", "The", "of",
+    "a", "the", "an", "as", "with", "this", "these", "is", "are", "in", "for", "to", "and", "The", "of",
 )
 
 

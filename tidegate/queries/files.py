@@ -28,11 +28,11 @@ from tidegate.sources.control import read_rules
 from tidegate.sources.files import file_inventory
 
 CONTROL_TABLE = """esquema_hive|nomtabla|cols|partcol|server|schema|user|file
-urm|mobile_line|orderkey|fecha|store|urm|loader|Lines
-urm|sms|custkey|fecha|store|urm|loader|Messages
-urm|line|price|fecha|store|urm|loader|AnyLine
-urm|sms_2000|custkey,price|fecha|store|urm|loader|Messages2000
-urm|Upper|price|fecha|store|urm|loader|Never
+depot|mobile_line|orderkey|fecha|store|depot|loader|Lines
+depot|sms|custkey|fecha|store|depot|loader|Messages
+depot|line|price|fecha|store|depot|loader|AnyLine
+depot|sms_2000|custkey,price|fecha|store|depot|loader|Messages2000
+depot|Upper|price|fecha|store|depot|loader|Never
 """
 
 
@@ -98,14 +98,19 @@ def csv_header(spark, sf):
     users = table(spark, sf, "customer").select(
         F.col("c_name").alias("id"), F.col("c_mktsegment").alias("topic"), F.col("c_custkey").alias("hits")
     )
-    users.write.option("header", "true").csv(path)
+    line = delimited_line(["id", "topic", "hits"], ",")
+    # One record in 30 is short, one in 40 long; a header leads each file.
+    ragged = F.when(F.col("hits") % 30 == 0, F.substring_index(line, ",", 2)).when(F.col("hits") % 40 == 0, F.concat(line, F.lit(",x")))
+    users = users.select(F.coalesce(ragged, line).alias("id,topic,hits"))
+    users.write.option("header", "true").option("quote", "").option("sep", "\u0001").csv(path)
     columns = sources.header_of(spark, path)
     return not_equal(sources.read_csv_header(spark, path, columns), "id", "Customer#000000001")
 
 
 def csv_positional(spark, sf):
     lines = table(spark, sf, "part").select(delimited_line(["p_partkey", "p_name", "p_brand"], ",").alias("value"))
-    return sources.read_csv_positional(spark, write_lines(lines, "csv"), ["id", "name"])
+    rows = sources.read_csv_positional(spark, write_lines(lines, "csv"), ["id", "name"])
+    return sources.good_records(rows)
 
 
 def catalog(spark, sf):
@@ -236,7 +241,9 @@ QUERIES = {
     ),
     "src_csv_header": Query(
         csv_header,
-        """SELECT c_name AS id, c_mktsegment AS topic, CAST(c_custkey AS VARCHAR) AS hits
+        """SELECT c_name AS id, c_mktsegment AS topic, CASE WHEN c_custkey % 30 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS hits,
+                  CASE WHEN c_custkey % 30 = 0 THEN c_name || ',' || c_mktsegment
+                       WHEN c_custkey % 40 = 0 THEN c_name || ',' || c_mktsegment || ',' || c_custkey || ',x' END AS _corrupt_record
            FROM customer WHERE c_name <> 'Customer#000000001'""",
     ),
     "src_csv_positional": Query(csv_positional, "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name FROM part"),

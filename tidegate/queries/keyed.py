@@ -60,9 +60,9 @@ def join_inner(spark, sf):
 
 
 def join_salted(spark, sf):
-    clicks = pairs(table(spark, sf, "events"), kind="event_type", event_id="event_id", user_id="user_id")
-    totals = aggregates.count_by_key(clicks, "kind", "n_kind")
-    return joins.salted_join(clicks, totals, "kind", share=0.01, salts=16)
+    lines = pairs(table(spark, sf, "lineitem"), part="l_partkey", order="l_orderkey", line="l_linenumber")
+    orders = pairs(table(spark, sf, "orders"), order="o_orderkey", customer="o_custkey")
+    return joins.salted_join(lines, orders, "order", share=0.01, salts=16)
 
 
 def three_way(spark, sf):
@@ -97,13 +97,17 @@ def count_key(spark, sf):
 
 
 def sets_key(spark, sf):
-    e = table(spark, sf, "events").select("event_type", "user_id")
-    return aggregates.items_text(aggregates.set_by_key(e, "event_type", "user_id", 50, F.col("user_id")))
+    e = table(spark, sf, "events")
+    user = F.when(F.col("event_type") != "error", F.col("user_id"))  # errors have no user: a key of nulls only
+    return aggregates.items_text(
+        aggregates.set_by_key(e.select("event_type", user.alias("user_id")), "event_type", "user_id", 8, F.col("user_id"))
+    )
 
 
 def lists_key(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderpriority", "o_custkey")
-    return aggregates.items_text(aggregates.list_by_key(o, "o_orderpriority", "o_custkey", 500, F.col("o_custkey")))
+    customer = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey"))
+    o = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", customer.alias("o_custkey"))
+    return aggregates.items_text(aggregates.list_by_key(o, "o_orderpriority", "o_custkey", 16, F.col("o_orderkey")))
 
 
 def average_key(spark, sf):
@@ -111,7 +115,8 @@ def average_key(spark, sf):
 
 
 def custom_combine(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderpriority", "o_custkey")
+    customer = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey"))
+    o = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", customer.alias("o_custkey"))
     return aggregates.combine_by_key(
         o,
         "o_orderpriority",
@@ -121,7 +126,7 @@ def custom_combine(spark, sf):
         merge_states=lambda a, b: F.struct((a["n"] + b["n"]).alias("n"), (a["total"] + b["total"]).alias("total")),
         finish=lambda s: s["total"] / s["n"],
         name="average",
-        max_items=500,
+        buckets=16,
     )
 
 
@@ -181,13 +186,6 @@ def subtract(spark, sf):
     return sets.subtract(e, pairs(builders, id="c_custkey"))
 
 
-def chunk_sql(source: str, key: str, value: str, max_items: int) -> str:
-    return f"""SELECT {key}, {value} % chunks AS chunk, CAST(count(*) AS BIGINT) AS n,
-                      string_agg(CAST({value} AS VARCHAR), ',' ORDER BY {value}) AS items
-               FROM (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY {key}) / {max_items}.0) AS BIGINT) AS chunks
-                     FROM {source}) GROUP BY ALL"""
-
-
 QUERIES = {
     "wc_basic": Query(wc_basic, f"SELECT w, count(*) AS n FROM {WORDS_SQL} GROUP BY w"),
     "wc_stopwords_desc": Query(
@@ -205,8 +203,8 @@ QUERIES = {
     ),
     "join_inner_salted": Query(
         join_salted,
-        """SELECT event_type AS kind, event_id, user_id, n_kind
-           FROM events JOIN (SELECT event_type, count(*) AS n_kind FROM events GROUP BY event_type) USING (event_type)""",
+        """SELECT l_orderkey AS "order", l_partkey AS part, l_linenumber AS line, o_custkey AS customer
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     ),
     "join_three_way": Query(
         three_way,
@@ -234,10 +232,18 @@ QUERIES = {
     ),
     "agg_count_by_key": Query(count_key, "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"),
     "agg_set_by_key": Query(
-        sets_key, chunk_sql("(SELECT DISTINCT event_type, user_id FROM events)", "event_type", "user_id", 50)
+        sets_key,
+        """SELECT event_type, CAST(coalesce(user_id % 8, 0) AS INTEGER) AS bucket, count(user_id) AS n,
+                  coalesce(string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id), '') AS items
+           FROM (SELECT DISTINCT event_type, CASE WHEN event_type <> 'error' THEN user_id END AS user_id FROM events)
+           GROUP BY event_type, bucket""",
     ),
     "agg_list_by_key": Query(
-        lists_key, chunk_sql("(SELECT o_orderpriority, o_custkey FROM orders)", "o_orderpriority", "o_custkey", 500)
+        lists_key,
+        """SELECT o_orderpriority, CAST(o_orderkey % 16 AS INTEGER) AS bucket, count(o_custkey) AS n,
+                  coalesce(string_agg(CAST(o_custkey AS VARCHAR), ',' ORDER BY o_custkey), '') AS items
+           FROM (SELECT o_orderpriority, o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN orders.o_custkey END AS o_custkey FROM orders)
+           GROUP BY o_orderpriority, bucket""",
     ),
     "agg_avg_by_key": Query(
         average_key,
@@ -247,7 +253,7 @@ QUERIES = {
     ),
     "agg_custom_combine": Query(
         custom_combine,
-        """SELECT o_orderpriority, CAST(sum(o_custkey) AS DOUBLE) / count(*) AS average
+        """SELECT o_orderpriority, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(sum(o_custkey) AS DOUBLE) / count(*) END AS average
            FROM orders GROUP BY o_orderpriority""",
     ),
     "agg_count_sum_multikey": Query(

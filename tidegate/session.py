@@ -10,7 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on: AQE sizes the shuffles, picks broadcast joins from
-# measured sizes, and splits skewed join partitions even where the join output is grouped again.
+# measured sizes (so nothing is measured beforehand), and splits skewed join partitions even where the join output is grouped again.
 # Writes by folder keep a few files open per task, which saves sorting the rows by folder first.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,6 +18,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }

@@ -1,15 +1,16 @@
-"""File sinks. All of them write in parallel; a single file is an option for outputs of checked size."""
+"""File sinks. All of them write in parallel, but for the single file."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import bracketed_line, delimited_line
+from tidegate.session import session_setting
 
-SINGLE_FILE_ROWS = 1_000_000
 GZIP_CODEC = "org.apache.hadoop.io.compress.GzipCodec"
 
 
@@ -25,25 +26,17 @@ def write_text(lines: DataFrame, path: str, compression: str | None = None, mode
 
 
 def write_single_file(
-    lines: DataFrame,
-    path: str,
-    sort_by: Sequence[str | Column] = (),
-    compression: str | None = None,
-    max_rows: int = SINGLE_FILE_ROWS,
-) -> bool:
-    """One output file if the rows are few enough, ordered part files otherwise.
+    lines: DataFrame, path: str, sort_by: Sequence[str | Column] = (), compression: str | None = None
+) -> None:
+    """One output file, written by one task; for outputs that one machine can hold.
 
-    Counting stops at max_rows + 1. `lines` may hold sort columns next to `value`; only `value` is
-    written. Returns whether a single file was written. The part files of a larger output follow the
-    sort order by name, so reading them in that order gives the same text.
+    What makes the lines keeps its tasks: the rows are shuffled to the writer and sorted there, on disk where
+    memory is short. `lines` may hold sort columns next to `value`; only `value` is written.
     """
-    single = lines.limit(max_rows + 1).count() <= max_rows
-    if single:
-        ordered = lines.coalesce(1).sortWithinPartitions(*sort_by) if sort_by else lines.coalesce(1)
-    else:
-        ordered = lines.orderBy(*sort_by) if sort_by else lines
+    ordered = lines.repartition(1)
+    if sort_by:
+        ordered = ordered.sortWithinPartitions(*sort_by)
     write_text(ordered.select("value"), path, compression)
-    return single
 
 
 def write_by_key(lines: DataFrame, path: str, keys: str | Sequence[str], compression: str | None = None) -> None:
@@ -80,18 +73,60 @@ def replace_partitions(
     writer.partitionBy(*partition_columns).save(path)
 
 
+def partition_folders(spark: SparkSession, path: str, *below: str) -> DataFrame:
+    """(folder, partition columns as text) of a folder-per-key output: a listing, no contents are read.
+
+    `below` restricts it to some sub-folders, as patterns; a path that does not exist has no folders.
+    """
+    reader = spark.read.format("binaryFile").option("basePath", path)
+    with session_setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+        try:
+            listed = reader.load([f"{path}/{b}" for b in below] if below else path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], "folder string, file_name string, extension string")
+        keys = [c for c in listed.columns if c not in ("path", "modificationTime", "length", "content")]
+        return listed.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), *keys).dropDuplicates()
+
+
+def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete folders and what is in them, in whichever store they are."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        place = hadoop.Path(folder)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def remove_outputs_of(files: DataFrame, path: str, *below: str) -> None:
+    """Remove every output folder below `path` of the given files (file_name, extension).
+
+    Done before they are written again, so that nothing stays of an outcome that no longer occurs.
+    """
+    existing = partition_folders(files.sparkSession, path, *below)
+    keys = [c for c in ("file_name", "extension") if c in existing.columns]
+    if len(keys) == 2:
+        stale = existing.join(files.select(*keys).dropDuplicates(), keys, "left_semi").select("folder").collect()
+        remove_folders(files.sparkSession, [row.folder for row in stale])
+
+
 def write_binary(df: DataFrame, path: str) -> None:
     """Byte payloads in gzip-compressed columnar files."""
     df.write.mode("overwrite").option("compression", "gzip").parquet(path)
 
 
 def write_sequence_file(df: DataFrame, payload: str, path: str, codec: str = GZIP_CODEC) -> None:
-    """Byte payloads as a SequenceFile with null keys; DataFrames have no writer for that format."""
+    """Byte payloads as a SequenceFile with null keys; DataFrames have no writer for that format.
+
+    Rows pass through Python one at a time: for compatibility and small exports. `write_binary` is the way to
+    keep payloads.
+    """
     pairs = df.select(payload).rdd.map(lambda row: (None, bytearray(row[0])))
     pairs.saveAsSequenceFile(path, codec)
 
 
 def read_sequence_file(spark: SparkSession, path: str, payload: str = "payload") -> DataFrame:
+    """The payloads of a SequenceFile, row by row like the writer."""
     rows = spark.sparkContext.sequenceFile(path).map(lambda pair: (bytes(pair[1]),))
     return spark.createDataFrame(rows, f"{payload} binary")
 

@@ -18,8 +18,6 @@ RULE_COLUMNS = (
     "server", "storage_schema", "owner", "folder",
 )
 
-MAX_RULES = 10_000
-
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
     """Rules in file order: `line_no` and the eight fields. The configuration file is read as one text,
@@ -29,17 +27,14 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     return rules.select("line_no", *[field(F.col("_f"), i).alias(c) for i, c in enumerate(RULE_COLUMNS)])
 
 
-def resolve_rules(spark: SparkSession, rules: DataFrame, max_rules: int = MAX_RULES) -> DataFrame:
+def resolve_rules(spark: SparkSession, rules: DataFrame) -> DataFrame:
     """Turn column names into one-based field positions with the catalog's help.
 
     Adds `positions` (array<int>) and `width`, the number of fields a record must have; both are null
     where the table is unknown. Only configuration rows and table metadata pass through the driver.
     """
-    rows = rules.limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        raise ValueError(f"more than {max_rules} rules")
     resolved = []
-    for row in rows:
+    for row in rules.toLocalIterator():
         table = f"{row.schema_name}.{row.table_name}" if row.schema_name else row.table_name
         positions = width = None
         if row.table_name and spark.catalog.tableExists(table):

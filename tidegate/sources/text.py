@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,19 +24,35 @@ def read_lines(spark: SparkSession, *paths: str, recursive: bool = False, with_p
     return lines.select("value")
 
 
+def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines (value, path) of exactly these files; no other file is opened."""
+    if not paths:
+        return spark.createDataFrame([], "value string, path string")
+    # The reader takes paths as patterns.
+    plain = [re.sub(r"([\\{}\[\]*?])", r"\\\1", path) for path in paths]
+    return read_lines(spark, *plain, with_path=True)
+
+
 def parse_records(
-    lines: DataFrame, columns: Sequence[str], sep: str = "|", line: str = "value", keep: Sequence[str] = ()
+    lines: DataFrame,
+    columns: Sequence[str],
+    sep: str = "|",
+    line: str = "value",
+    keep: Sequence[str] = (),
+    longer: bool = False,
 ) -> DataFrame:
     """String columns from delimited lines, blanks kept as blanks; `keep` names columns to carry along.
 
     A line with another number of fields has itself in `_corrupt_record` and what fields it has in the
-    columns. The line is split rather than read as CSV: CSV turns blanks into nulls and skips blank lines.
+    columns. With `longer` further fields are ignored. The line is split rather than read as CSV: CSV turns blanks into nulls and skips blank lines.
     """
     # Exploding a one-element array keeps the optimizer from repeating the split in a pushed-down filter.
-    parts = lines.select("*", F.explode(F.array(split_fields(line, sep))).alias("_fields"))
+    limit = len(columns) + 1 if longer else -1
+    parts = lines.select("*", F.explode(F.array(split_fields(line, sep, limit))).alias("_fields"))
+    fits = F.size("_fields") >= len(columns) if longer else F.size("_fields") == len(columns)
     return parts.select(
         *[field(F.col("_fields"), i).alias(c) for i, c in enumerate(columns)],
-        F.when(F.size("_fields") != len(columns), F.col(line)).alias(CORRUPT),
+        F.when(~fits, F.col(line)).alias(CORRUPT),
         *keep,
     )
 
@@ -62,10 +79,13 @@ def read_generated(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
 
 
 def read_csv_header(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
-    """Separated files whose first row is a header. Quotes are ordinary characters, blanks stay blanks."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    rows = spark.read.schema(schema).option("sep", sep).option("header", "true").option("quote", "").csv(path)
-    return rows.na.fill("")
+    """Separated files that each begin with a header row. Quotes are ordinary characters, blanks stay blanks.
+
+    A record of another width keeps itself in `_corrupt_record`; nothing is padded or cut. The header is told
+    by its text, so a header that is repeated inside a file is one as well.
+    """
+    lines = read_lines(spark, path).where(F.col("value") != F.lit(sep.join(columns)))
+    return parse_records(lines, columns, sep)
 
 
 def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
@@ -75,9 +95,11 @@ def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 
 
 def read_csv_positional(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
-    """The first fields of separated files without header; further fields are not read."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).option("sep", sep).option("quote", "").csv(path).na.fill("")
+    """The first fields of separated files without header; further fields are not read.
+
+    A record with fewer fields keeps itself in `_corrupt_record`, a blank line too unless one field is enough.
+    """
+    return parse_records(read_lines(spark, path), columns, sep, longer=True)
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str, partitions: int | None = None) -> DataFrame:
