@@ -66,8 +66,9 @@ def test_publish_archive(spark, tmp_path, text_file, rows, rules):
     assert rows(publish.read_published(spark, target)) == sorted(want)
     bad = rows(publish.read_rejected(spark, target), "value", "file_name")
     assert bad == [("bad", f"{SMS}_01"), ("o|o|o", f"Other_{SMS[4:]}_01")]
-    assert rows(publish.published_files(spark, target)) == [(f"{LINE}_01",), (f"{SMS}_01",), (f"{SMS}_02",)]
-    folder = f"{target}/outcome=published/entity=sms/date_range={RANGE}/file_name={SMS}_01"
+    tried = publish.processed_files(spark, target).select("file_name", "extension").distinct()
+    assert rows(tried) == [(n, "txt") for n in sorted([f"{LINE}_01", f"{SMS}_01", f"{SMS}_02", f"Other_{SMS[4:]}_01"])]
+    folder = f"{target}/outcome=published/entity=sms/date_range={RANGE}/file_name={SMS}_01/extension=txt"
     assert any(f.endswith(".bz2") for f in os.listdir(folder))
 
 
@@ -77,21 +78,81 @@ def test_publishing_skips_what_is_published(spark, tmp_path, text_file, rows, ru
     publish.publish_archive(spark, archive, rules, target, SALT)
     text_file(f"in/{SMS}_01.txt", "9|9|9\n")
     text_file(f"in/{SMS}_02.txt", "4|5|6\n")
-    assert publish.published_files(spark, str(tmp_path / "nothing")).count() == 0
-    done = publish.published_files(spark, target)
+    assert publish.processed_files(spark, str(tmp_path / "nothing")).count() == 0
+    done = publish.processed_files(spark, target)
     publish.publish_archive(spark, archive, rules, target, SALT, already_published=done)
     got = rows(publish.read_published(spark, target), "value", "file_name")
     assert got == [(f"1|{d('2')}|3", f"{SMS}_01"), (f"4|{d('5')}|6", f"{SMS}_02")]
 
 
-def test_a_shuffled_route_join_gives_the_same(spark, tmp_path, text_file, rules, monkeypatch, rows):
-    text_file(f"in/{SMS}_01.txt", "1|2|3\nbad\n")
-    text_file(f"in/{LINE}_01.txt", "7|8|9\n")
-    archive = str(tmp_path / "in")
-    publish.publish_archive(spark, archive, rules, str(tmp_path / "a"), SALT)
-    monkeypatch.setattr(publish, "BROADCAST_FILES", 0)
-    publish.publish_archive(spark, archive, rules, str(tmp_path / "b"), SALT)
-    assert rows(publish.read_outcomes(spark, str(tmp_path / "a"))) == rows(publish.read_outcomes(spark, str(tmp_path / "b")))
+def outcomes_of(spark, target, rows):
+    return rows(publish.read_outcomes(spark, target), "value", "outcome", "file_name")
+
+
+def test_nothing_stays_of_an_earlier_outcome(spark, tmp_path, text_file, rows, rules):
+    archive, target = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run(first, second):
+        text_file(f"in/{SMS}_01.txt", first)
+        text_file(f"in/{SMS}_02.txt", second)
+        publish.publish_archive(spark, archive, rules, target, SALT)
+        return outcomes_of(spark, target, rows)
+
+    good, bad = (f"1|{d('2')}|3", "published", f"{SMS}_01"), ("bad", "rejected", f"{SMS}_01")
+    other = (f"4|{d('5')}|6", "published", f"{SMS}_02")
+    assert run("1|2|3\nbad\n", "4|5|6\n") == sorted([good, bad, other])
+    assert run("1|2|3\n", "4|5|6\n") == sorted([good, other])  # corrected
+    assert run("bad\n", "4|5|6\n") == sorted([bad, other])  # all bad now
+    assert run("", "4|5|6\n") == [other]  # empty now
+
+
+def test_two_files_of_one_stem_are_both_kept(spark, tmp_path, text_file, rows, rules):
+    text_file(f"x/{SMS}_01.txt", "1|2|3\n")
+    text_file(f"y/{SMS}_01.csv", "4|5|6\n")
+    for folder in ("x", "y"):
+        publish.publish_archive(spark, str(tmp_path / folder), rules, str(tmp_path / "out"), SALT)
+    assert rows(publish.read_published(spark, str(tmp_path / "out")), "value") == [(f"1|{d('2')}|3",), (f"4|{d('5')}|6",)]
+
+
+def test_only_pending_files_are_opened(spark, tmp_path, text_file, rows, rules):
+    text_file(f"in/{SMS}_01.txt", "1|2|3\n")
+    inbox, target = str(tmp_path / "in"), str(tmp_path / "out")
+    publish.publish_archive(spark, inbox, rules, target, SALT)
+    # Neither what is published nor another entity's file can be read any more.
+    for name in (f"{SMS}_00.txt.gz", f"{LINE}_01.txt.gz"):
+        text_file(f"in/{name}", "this is not gzip")
+    text_file(f"in/{SMS}_02.txt", "4|5|6\n")
+    done = publish.processed_files(spark, target).select("file_name", "extension")
+    done = done.union(spark.createDataFrame([(f"{SMS}_00.txt", "gz")], done.schema))
+    jobs.create_partitioned_table(spark, "pending_t", ["a", "b", "c"], str(tmp_path / "t"))
+    jobs.load_extract_publish(
+        spark, inbox, "sms", "diario", ["a", "b", "c"], "pending_t", target, SALT, positions=[2], published=done
+    )
+    assert rows(publish.read_published(spark, target), "value") == [(f"1|{d('2')}|3",), (f"4|{d('5')}|6",)]
+
+
+def test_lines_are_routed_in_the_row(spark, tmp_path, text_file, rules):
+    text_file(f"in/{SMS}_01.txt", "1|2|3\n")
+    lines = read_lines(spark, str(tmp_path / "in"), recursive=True, with_path=True)
+    listed = publish.rule_array(publish.resolve_rules(spark, rules))
+    plan = publish.anonymize_routed(lines, listed, SALT, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_the_queue_moves_past_bad_and_empty_files(spark, tmp_path, text_file, rows):
+    text_file(f"in/{SMS}_01.txt", "bad\nworse\n")
+    text_file(f"in/{SMS}_02.txt", "")
+    text_file(f"in/{SMS}_03.txt", "1|2|3\n")
+    inbox, target = str(tmp_path / "in"), str(tmp_path / "out")
+    jobs.create_partitioned_table(spark, "queue_t", ["a", "b", "c"], str(tmp_path / "t"))
+    for _ in range(3):
+        jobs.load_extract_publish(
+            spark, inbox, "sms", "diario", ["a", "b", "c"], "queue_t", target, SALT, positions=[2],
+            only_next=True, published=publish.processed_files(spark, target),
+        )
+    assert outcomes_of(spark, target, rows) == sorted(
+        [("bad", "rejected", f"{SMS}_01"), ("worse", "rejected", f"{SMS}_01"), (f"1|{d('2')}|3", "published", f"{SMS}_03")]
+    )
 
 
 def test_raw_landing(spark, tmp_path, text_file, rows):
@@ -119,17 +180,22 @@ def test_load_keeps_other_files_of_the_date(spark, tmp_path, text_file, rows):
 
     def load(name, text):
         path = text_file(f"{name}/{name}.txt", text)
-        jobs.load_partition(spark, read_lines(spark, path, with_path=True), columns, "load_t", "mensual")
+        lines = read_lines(spark, path, with_path=True)
+        jobs.load_partition(spark, lines, columns, "load_t", "mensual", str(tmp_path / "rejects"))
 
     load(f"{SMS}_01", "1|2\n3|\nbad|bad|bad\n")
     load(f"{SMS}_02", "5|6\n")
     load(f"{SMS}_01", "7|8\n")
-    want = [("5", "6", "201709", f"{SMS}_02"), ("7", "8", "201709", f"{SMS}_01")]
+    want = [("5", "6", "201709", f"{SMS}_02", "txt"), ("7", "8", "201709", f"{SMS}_01", "txt")]
     assert rows(spark.table("load_t")) == want
+    assert publish.read_raw(spark, str(tmp_path / "rejects")).count() == 0  # the bad line is gone
     plan = jobs.extract_partition(spark, "load_t", ["201709"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fecha" in plan or "PartitionFilters: [(fecha" in plan
     assert rows(jobs.extract_partition(spark, "load_t", ["201709"]), "value") == [("5|6",), ("7|8",)]
     assert jobs.extract_partition(spark, "load_t", ["201710"]).count() == 0
+    load(f"{SMS}_01", "bad\n")
+    assert rows(spark.table("load_t")) == want[:1]
+    assert rows(publish.read_raw(spark, str(tmp_path / "rejects"))) == [("bad", f"{SMS}_01")]
 
 
 @pytest.mark.parametrize("enriched", [False, True])
@@ -151,7 +217,7 @@ def test_load_extract_publish(spark, tmp_path, text_file, rows, enriched):
     assert run() == ["20170930"]
     first = [(f"1|{d('2')}|3{tail('1')}", "sms", RANGE, f"{SMS}_01")]
     assert rows(publish.read_published(spark, target)) == first
-    run(publish.published_files(spark, target))
+    run(publish.processed_files(spark, target))
     second = first + [(f"4|{d('5')}|6{tail('4')}", "sms", RANGE, f"{SMS}_02")]
     assert rows(publish.read_published(spark, target)) == second
     assert spark.table(table).count() == 2
@@ -164,14 +230,3 @@ def test_a_failing_load_publishes_nothing(spark, tmp_path, text_file):
             spark, str(tmp_path / "in"), "sms", "diario", ["a", "b", "c"], "no_such_table", str(tmp_path / "out"), SALT
         )
     assert not os.path.exists(tmp_path / "out")
-
-
-def test_file_conditions_are_not_tested_per_line(spark, tmp_path, text_file, rules):
-    text_file(f"in/{SMS}_01.txt", "1|2|3\n")
-    archive = str(tmp_path / "in")
-    routed = publish.route_paths(publish.file_inventory(spark, archive), publish.resolve_rules(spark, rules))
-    lines = read_lines(spark, archive, recursive=True, with_path=True)
-    out = publish.anonymize_routed(lines, routed, SALT, 3, "x")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    text_scan = plan[plan.index("BroadcastHashJoin") : plan.index("FileScan text")]
-    assert "RLIKE" not in text_scan and "Exchange hashpartitioning" not in plan

@@ -38,7 +38,12 @@ def test_new_files_only_and_replays_add_nothing(spark, tmp_path, text_file, rows
         assert rows(publish.read_published(spark, target), "value", "file_name") == sorted(want)
         assert rows(publish.read_raw(spark, landing)) == landed
     outcomes = {r.outcome for r in publish.read_outcomes(spark, target).select("outcome").distinct().collect()}
-    assert outcomes == {"published", "rejected-batch000000000"}
+    assert outcomes == {"published", "rejected"}
+    text_file(f"in/{SMS}_01.txt", "1|2|3\n")  # corrected
+    ingest("third")
+    assert publish.read_rejected(spark, target).count() == 0
+    text_file(f"in/{SMS}_01.txt", "1|2|3\nbad\n")
+    ingest("fourth")
     assert rows(publish.read_rejected(spark, target), "value") == [("bad",)]
 
 
@@ -66,7 +71,7 @@ def test_a_failure_ends_the_query_and_the_batch_is_retried(spark, tmp_path, text
 
     text_file(f"in/{SMS}_01.txt", "1|2|3\n")
     real = module.publish_outcomes
-    monkeypatch.setattr(module, "publish_outcomes", lambda *_: 1 / 0)
+    monkeypatch.setattr(module, "publish_outcomes", lambda *_, **__: 1 / 0)
     with pytest.raises(Exception):
         ingest()
     monkeypatch.setattr(module, "publish_outcomes", real)

@@ -15,7 +15,7 @@ from tidegate.plans import jobs, publish
 from tidegate.session import build_session
 from tidegate.sources.catalog import table_columns
 from tidegate.sources.control import read_rules
-from tidegate.streaming.ingest import BATCH_INTERVAL, file_lines, start_file_ingest
+from tidegate.streaming.ingest import BATCH_INTERVAL, FILES_PER_BATCH, file_lines, start_file_ingest
 from tidegate.streaming.messages import kafka_messages, land_messages
 
 
@@ -56,7 +56,7 @@ def parser() -> argparse.ArgumentParser:
 
     stream = add("ingest", "the publish job as a stream", "path", "rules", "landing", "target", "checkpoint", salted=True)
     stream.add_argument("--glob")
-    stream.add_argument("--max-files", type=int)
+    stream.add_argument("--max-files", type=int, default=FILES_PER_BATCH)
     stream.add_argument("--modified-after")
 
     messages = add("land-messages", "land Kafka messages as text", "servers", "topics", "target", "checkpoint")
@@ -76,7 +76,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     salted = {}
     if hasattr(args, "salt_file"):
         salted = {"salt": salt_of(spark, args.salt_file), "algorithm": args.algorithm, "sep": args.sep}
-    done = publish.published_files(spark, args.target) if getattr(args, "skip_published", False) else None
+    done = publish.processed_files(spark, args.target) if getattr(args, "skip_published", False) else None
     if args.job == "count-words":
         jobs.count_words_job(spark, args.source, args.target)
     elif args.job == "anonymize":
@@ -90,7 +90,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         rules = read_rules(spark, args.rules)
         publish.publish_archive(spark, args.archive, rules, args.target, run=args.run, already_published=done, **salted)
     elif args.job == "load-publish":
-        columns = [c for c in table_columns(spark, args.table) if c not in ("fecha", "file_name")]
+        columns = [c for c in table_columns(spark, args.table) if c not in ("fecha", *publish.FILE_KEY)]
         positions = [int(p) for p in args.positions.split(",")] if args.positions else None
         dates = jobs.load_extract_publish(
             spark, args.inbox, args.entity, args.frequency, columns, args.table, args.target, positions=positions,

@@ -8,18 +8,17 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.filenames import is_accepted, parse_names, partition_date, source_file
+from tidegate.functions.filenames import partition_date
 from tidegate.functions.text import delimited_line
 from tidegate.operators.anonymize import anonymize_lines, entity_positions, match_columns
-from tidegate.operators.inventory import next_per_entity, unpublished
+from tidegate.operators.inventory import next_per_entity
 from tidegate.operators.quality import field_count
 from tidegate.operators.words import count_words, line_words
-from tidegate.plans.publish import PUBLISHED, lines_of_files, publish_outcomes
+from tidegate.plans.publish import FILE_KEY, PUBLISHED, REJECTED, list_files, named, publish_outcomes
 from tidegate.session import session_setting
-from tidegate.sinks.files import replace_partitions, write_text
+from tidegate.sinks.files import remove_outputs_of, replace_partitions, write_text
 from tidegate.sources.catalog import table_columns
-from tidegate.sources.files import file_inventory
-from tidegate.sources.text import good_records, parse_records, read_lines
+from tidegate.sources.text import CORRUPT, good_records, parse_records, read_files, read_lines
 
 
 def count_words_job(spark: SparkSession, source: str, target: str) -> None:
@@ -53,8 +52,9 @@ def anonymize_file_job(
 
     The catalog gives the column order, so the names become field positions: a line is split only up
     to the last anonymised field and nothing is shuffled. Lines with another number of fields go to
-    `rejects` when that is given.
+    `rejects`, by default a folder of the target's name with `.rejected` behind it.
     """
+    rejects = rejects or f"{target.rstrip('/')}.rejected"
     fields = table_columns(spark, table, partition_column)
     known, unknown = match_columns(fields, columns, case_sensitive)
     lines = read_lines(spark, source)
@@ -66,8 +66,7 @@ def anonymize_file_job(
         body = F.replace("value", F.lit(sep), F.lit(","))
         hashed = hashed.select(F.concat(F.lit("["), body, F.lit("]")).alias("value"))
     write_text(hashed, target, compression)
-    if rejects:
-        write_text(lines.where(~fits), rejects)
+    write_text(lines.where(~fits), rejects)
     return AnonymizeReport(known, unknown)
 
 
@@ -77,27 +76,42 @@ def load_partition(
     columns: Sequence[str],
     table: str,
     frequency: str,
+    rejects: str,
     sep: str = "|",
+    files: DataFrame | None = None,
 ) -> None:
-    """Load lines into the `fecha` partitions of a table, the dates of their files.
+    """Load lines (value, path) into the `fecha` partitions of a table, the dates of their files.
 
-    Lines are (value, path), or carry the name columns of their file already. Each file has its own
-    sub-partition: loading it again replaces it, and a second file of the same date does not erase
-    the first.
+    Each file has its own sub-partition: loading it again replaces it, and a second file of the same date does
+    not erase the first. Lines of another width go to `rejects`, one folder per file. `files` (path) lists
+    files that may have no line left; by default the files are those of the lines.
     """
-    named = lines if "from_ts" in lines.columns else parse_names(lines)
-    dated = named.select("value", partition_date("from_ts", frequency).alias("fecha"), "file_name")
-    records = good_records(parse_records(dated, columns, sep, keep=["fecha", "file_name"]))
+    tried = named(lines if files is None else files).select(*FILE_KEY).dropDuplicates()
+    _load(spark, named(lines), tried, columns, table, frequency, sep, rejects)
+
+
+def _load(
+    spark: SparkSession, lines: DataFrame, tried: DataFrame, columns: Sequence[str], table: str, frequency: str, sep: str, rejects: str | None
+) -> None:
+    dated = lines.select("value", partition_date("from_ts", frequency).alias("fecha"), *FILE_KEY)
+    records = parse_records(dated, columns, sep, keep=["fecha", *FILE_KEY])
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    remove_outputs_of(tried, detail.data_type)
     with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        records.write.insertInto(table, overwrite=True)
+        good_records(records).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+    if rejects:
+        remove_outputs_of(tried, rejects)
+        bad = records.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"), *FILE_KEY)
+        replace_partitions(bad, rejects, FILE_KEY)
 
 
 def create_partitioned_table(spark: SparkSession, table: str, columns: Sequence[str], location: str) -> None:
     """Catalog entry of a table folder that `load_partition` fills."""
-    listed = ", ".join([*[f"`{c}` STRING" for c in columns], "fecha STRING", "file_name STRING"])
+    listed = ", ".join([*[f"`{c}` STRING" for c in columns], "fecha STRING", "file_name STRING", "extension STRING"])
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({listed}) USING parquet "
-        f"PARTITIONED BY (fecha, file_name) LOCATION '{location}'"
+        f"PARTITIONED BY (fecha, file_name, extension) LOCATION '{location}'"
     )
 
 
@@ -108,33 +122,31 @@ def extract_partition(
     enrich: Callable[[DataFrame], DataFrame] | None = None,
     sep: str = "|",
 ) -> DataFrame:
-    """Delimited lines (value, fecha, file_name) of chosen `fecha` partitions, enriched on the way.
+    """Delimited lines (value, fecha, file_name, extension) of chosen `fecha` partitions, enriched on the way.
 
     The date filter prunes partitions, so other dates are not read.
     """
     rows = spark.table(table).where(F.col("fecha").isin(list(dates)))
     if enrich is not None:
         rows = enrich(rows)
-    data = [c for c in rows.columns if c not in ("fecha", "file_name")]
-    return rows.select(delimited_line(data, sep).alias("value"), "fecha", "file_name")
+    data = [c for c in rows.columns if c not in ("fecha", *FILE_KEY)]
+    return rows.select(delimited_line(data, sep).alias("value"), "fecha", *FILE_KEY)
 
 
 def write_extract(lines: DataFrame, target: str) -> None:
     """Text output of an extraction, one folder per date and file."""
-    replace_partitions(lines, target, ["fecha", "file_name"])
+    replace_partitions(lines, target, ["fecha", *FILE_KEY])
 
 
 def pending_files(
-    spark: SparkSession, inbox: str, entity: str, published: DataFrame | None = None, only_next: bool = False
+    spark: SparkSession, inbox: str, entity: str, done: DataFrame | None = None, only_next: bool = False
 ) -> DataFrame:
-    """Accepted files of an entity that are not published yet; `only_next` keeps the lowest name."""
-    files = parse_names(file_inventory(spark, inbox).where(is_accepted(source_file("path"))))
-    files = files.where(F.lower("entity") == entity.lower())
-    if published is not None:
-        files = unpublished(files, published)
+    """Accepted files of an entity that are not done yet; `only_next` keeps the lowest name."""
+    files = list_files(spark, inbox, done).where(F.col("entity") == entity.lower())
     if only_next:
-        lowest = next_per_entity(files, "entity", "file_name")
-        files = files.join(lowest.select("file_name"), "file_name", "left_semi")
+        whole = files.withColumn("_whole", F.concat_ws(".", *FILE_KEY))
+        lowest = next_per_entity(whole, "entity", "_whole").select("_whole")
+        files = whole.join(lowest, "_whole", "left_semi").drop("_whole")
     return files
 
 
@@ -154,25 +166,34 @@ def load_extract_publish(
     sep: str = "|",
     algorithm: str = "MD5",
     index_base: int = 1,
+    run: str = "batch",
 ) -> list[str]:
     """Load the pending files of an entity, extract their dates when an enrichment is given,
     anonymise by position and publish one output per file. Returns the loaded dates.
 
-    A failing load ends the job before anything is published, so the files stay pending.
+    `published` are the files that are done (`processed_files`). Only pending files are opened. Lines of
+    another width are published as rejected, and a file counts as done whatever its lines were. A failing
+    load ends the job before anything is published, so the files stay pending.
     """
     if positions is None:
         positions = entity_positions(entity)
     pending = pending_files(spark, inbox, entity, published, only_next)
-    pending = pending.select("path", "file_name", F.lower("entity").alias("entity"), "from_ts", "date_range")
-    lines = lines_of_files(read_lines(spark, inbox, recursive=True, with_path=True), pending)
-    load_partition(spark, lines, columns, table, frequency, sep)
-    dates = [r.fecha for r in pending.select(partition_date("from_ts", frequency).alias("fecha")).distinct().collect()]
+    dated = pending.select("path", *FILE_KEY, partition_date("from_ts", frequency).alias("fecha")).collect()
+    if not dated:
+        return []
+    tried = spark.createDataFrame([(r.file_name, r.extension) for r in dated], "file_name string, extension string")
+    dates = sorted({r.fecha for r in dated})
+    lines = named(read_files(spark, [r.path for r in dated]))
+    _load(spark, lines, tried, columns, table, frequency, sep, rejects=None)
+    fits = field_count("value", sep) == len(columns)
+    good = lines.where(fits)
     if enrich is not None:
-        names = pending.select("file_name", "entity", "date_range").dropDuplicates(["file_name"])
-        source = lines_of_files(extract_partition(spark, table, dates, enrich, sep), names, "file_name")
-    else:
-        source = lines.where(field_count("value", sep) == len(columns))
-    hashed = anonymize_lines(source, "value", positions, salt, sep=sep, algorithm=algorithm, index_base=index_base)
-    outcomes = hashed.select("value", F.lit(PUBLISHED).alias("outcome"), "entity", "date_range", "file_name")
-    publish_outcomes(outcomes, target)
-    return sorted(dates)
+        extracted = extract_partition(spark, table, dates, enrich, sep).join(tried, [*FILE_KEY], "left_semi")
+        good = named(extracted.withColumn("path", F.concat("file_name", F.when(F.col("extension") != "-", F.concat(F.lit("."), "extension")).otherwise(""))))
+    hashed = anonymize_lines(good, "value", positions, salt, sep=sep, algorithm=algorithm, index_base=index_base)
+    folders = ["entity", "date_range", *FILE_KEY]
+    outcomes = hashed.select("value", F.lit(PUBLISHED).alias("outcome"), *folders).unionByName(
+        lines.where(~fits).select("value", F.lit(REJECTED).alias("outcome"), *folders)
+    )
+    publish_outcomes(outcomes, tried, target, run)
+    return dates

@@ -1,78 +1,83 @@
-"""Anonymise delimited files of many entities in one job and publish one output per file."""
+"""Anonymise delimited files of many entities in one job and publish one output per file.
+
+A file is known by its name, extension included. Its output is one folder per outcome, published or rejected;
+before a run writes a file again, all its earlier output goes. A ledger beside the output names the files that
+were tried, whatever became of their lines, so that a queue moves on past a bad or empty file.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.filenames import base_name, is_accepted, parse_names, source_file
+from tidegate.functions.filenames import base_name, extension, is_accepted, parse_names, scanned_path, source_file
 from tidegate.operators.anonymize import anonymize_lines
 from tidegate.operators.inventory import unpublished
-from tidegate.operators.joins import broadcast_if_small
 from tidegate.operators.quality import field_count
-from tidegate.operators.routing import route_files
-from tidegate.sinks.files import replace_partitions
+from tidegate.operators.routing import last_rule
+from tidegate.sinks.files import remove_outputs_of, replace_partitions
 from tidegate.sources.control import resolve_rules
-from tidegate.sources.files import file_inventory
-from tidegate.sources.text import read_lines
-
-# Routed files are about 200 bytes each; past this number they are joined by shuffle.
-BROADCAST_FILES = 200_000
+from tidegate.sources.text import read_files
 
 PUBLISHED = "published"
 REJECTED = "rejected"
-OUTCOME_FOLDERS = ("outcome", "entity", "date_range", "file_name")
+OUTCOME_FOLDERS = ("outcome", "entity", "date_range", "file_name", "extension")
+FILE_KEY = ("file_name", "extension")
+LEDGER = "_processed"
+LEDGER_SCHEMA = "file_name string, extension string, run string, tried_at timestamp"
+RULES = "array<struct<line_no:int,table_name:string,positions:array<int>,width:int>>"
+
+
+def named(rows: DataFrame) -> DataFrame:
+    """Rows with a `path`: accepted files only, with the parts of their names and the extension."""
+    rows = rows.where(is_accepted(source_file("path"))).withColumn("extension", extension(source_file("path")))
+    return parse_names(rows).withColumn("entity", F.lower("entity"))
 
 
-def route_paths(paths: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per accepted file: its name parts, rule positions and expected width."""
-    files = parse_names(paths.select("path").where(is_accepted(source_file("path"))))
-    files = files.withColumn("entity", F.lower("entity"))
-    routed = route_files(files, rules.select("line_no", "table_name", "positions", "width"))
-    return routed.select("path", "entity", "date_range", "file_name", "positions", "width")
+def rule_array(rules: DataFrame) -> Column:
+    """Resolved rules as one constant array; configuration, so it passes through the driver once."""
+    rows = rules.where(F.col("table_name").isNotNull()).select("line_no", "table_name", "positions", "width")
+    listed = rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("rules")).first()["rules"]
+    return F.from_json(F.lit(listed), RULES)
 
 
-def lines_of_files(lines: DataFrame, files: DataFrame, key: str = "path") -> DataFrame:
-    """Join lines with a file-level frame on the path or name of their file.
+def route_lines(lines: DataFrame, rules: Column) -> DataFrame:
+    """Lines (value, path) of accepted files with name parts, rule positions and expected width.
 
-    The files are broadcast after measuring them. Their key is a computed column: with the plain one
-    Catalyst would infer that the conditions on file names hold for the lines, and test every line.
+    The rule is found in the row, so lines are neither joined nor moved, however many files there are.
     """
-    keyed = files.withColumn("_key", F.concat(key, F.lit(""))).drop(key)
-    return lines.join(broadcast_if_small(keyed, BROADCAST_FILES), F.col(key) == F.col("_key")).drop("_key")
+    routed = named(lines).withColumn("_rule", last_rule(rules, "file_name"))
+    rule = F.col("_rule")
+    return routed.select(
+        "value", "entity", "date_range", *FILE_KEY, rule["positions"].alias("positions"), rule["width"].alias("width")
+    )
 
 
 def anonymize_routed(
-    lines: DataFrame,
-    routed: DataFrame,
-    salt: str,
-    last_position: int,
-    run: str,
-    sep: str = "|",
-    algorithm: str = "MD5",
+    lines: DataFrame, rules: Column, salt: str, last_position: int, sep: str = "|", algorithm: str = "MD5"
 ) -> DataFrame:
-    """Lines (value, path) of accepted files as (value, outcome, entity, date_range, file_name)."""
-    return anonymize_tagged(lines_of_files(lines, routed), salt, last_position, run, sep, algorithm)
+    """Lines (value, path) of accepted files as (value, outcome, entity, date_range, file_name, extension)."""
+    return anonymize_tagged(route_lines(lines, rules), salt, last_position, sep, algorithm)
 
 
-def anonymize_tagged(
-    tagged: DataFrame, salt: str, last_position: int, run: str, sep: str = "|", algorithm: str = "MD5"
-) -> DataFrame:
-    """The same for lines that carry what `route_paths` says about their file.
+def anonymize_tagged(tagged: DataFrame, salt: str, last_position: int, sep: str = "|", algorithm: str = "MD5") -> DataFrame:
+    """The same for lines that carry what `route_lines` adds.
 
-    Lines without a rule and lines of the wrong width are rejected unchanged, under the run that saw
-    them; all others are anonymised by their file's rule.
+    Lines without a rule and lines of the wrong width are rejected unchanged; all others are anonymised by
+    their file's rule.
     """
     fits = F.col("positions").isNotNull() & (field_count("value", sep) == F.col("width"))
     tagged = tagged.withColumn("_fits", F.coalesce(fits, F.lit(False)))
-    tagged = tagged.withColumn("outcome", F.when(F.col("_fits"), PUBLISHED).otherwise(f"{REJECTED}-{run}"))
+    tagged = tagged.withColumn("outcome", F.when(F.col("_fits"), PUBLISHED).otherwise(REJECTED))
     tagged = tagged.withColumn("positions", F.when(F.col("_fits"), F.col("positions")))
     hashed = anonymize_lines(
         tagged, "value", "positions", salt, sep=sep, algorithm=algorithm, last_position=last_position
     )
     entity = F.when(F.col("entity") == "", "unknown").otherwise(F.col("entity"))
-    return hashed.select("value", "outcome", entity.alias("entity"), "date_range", "file_name")
+    return hashed.select("value", "outcome", entity.alias("entity"), "date_range", *FILE_KEY)
 
 
 def highest_position(rules: DataFrame) -> int:
@@ -81,14 +86,23 @@ def highest_position(rules: DataFrame) -> int:
     return top or 0
 
 
-def publish_outcomes(outcomes: DataFrame, target: str, compression: str = "bzip2") -> None:
-    """Published and rejected lines in one pass, a folder per file, replacing earlier output of the same files."""
+def publish_outcomes(
+    outcomes: DataFrame, files: DataFrame, target: str, run: str, compression: str = "bzip2", below: Sequence[str] = ()
+) -> None:
+    """Published and rejected lines in one pass, a folder per file and outcome, in place of earlier ones.
+
+    `files` (file_name, extension) are all files of the run, also those without a line. A run that fails
+    between the removal and the entry in the ledger is simply run again: its files are still pending.
+    """
+    remove_outputs_of(files, target, *below)
     replace_partitions(outcomes, target, OUTCOME_FOLDERS, compression=compression)
+    entries = files.select(*FILE_KEY, F.lit(run).alias("run"), F.current_timestamp().alias("tried_at"))
+    entries.write.mode("append").parquet(f"{target}/{LEDGER}")
 
 
 def read_outcomes(spark: SparkSession, target: str) -> DataFrame:
     schema = ", ".join(["value string", *[f"{c} string" for c in OUTCOME_FOLDERS]])
-    return spark.read.schema(schema).text(target)
+    return spark.read.schema(schema).text(target).drop("extension")
 
 
 def read_published(spark: SparkSession, target: str) -> DataFrame:
@@ -96,19 +110,28 @@ def read_published(spark: SparkSession, target: str) -> DataFrame:
 
 
 def read_rejected(spark: SparkSession, target: str) -> DataFrame:
-    return read_outcomes(spark, target).where(F.col("outcome").startswith(REJECTED)).drop("outcome")
+    return read_outcomes(spark, target).where(F.col("outcome") == REJECTED).drop("outcome")
 
 
-def published_files(spark: SparkSession, target: str) -> DataFrame:
-    """Names of the files that have published output; lists folders, reads no contents."""
+def processed_files(spark: SparkSession, target: str) -> DataFrame:
+    """(file_name, extension, run, tried_at): the ledger of all files that a run has tried."""
     try:
-        inventory = file_inventory(spark, target)
+        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{target}/{LEDGER}")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "file_name string")
-    listed = inventory.where(F.col("path").contains(f"/outcome={PUBLISHED}/"))
-    return listed.select(base_name(source_file("path")).alias("file_name")).dropDuplicates()
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+
+
+def list_files(spark: SparkSession, archive: str, done: DataFrame | None = None) -> DataFrame:
+    """Accepted files of a folder with their name parts, without those that are done; a listing only.
+
+    Taken from the reader's list of files, because a scan leaves out empty ones.
+    """
+    found = spark.read.option("recursiveFileLookup", "true").text(archive).inputFiles()
+    paths = spark.createDataFrame([(path,) for path in found], "path string").select(scanned_path(F.col("path")).alias("path"))
+    files = named(paths)
+    return files if done is None else unpublished(files, done, FILE_KEY)
 
 
 def publish_archive(
@@ -125,24 +148,31 @@ def publish_archive(
 ) -> None:
     """Anonymise every archived file in one job.
 
-    File names come from the listing, so the data is read once. `already_published` (file_name)
-    leaves out files that are done.
+    `already_published` (file_name, extension; `processed_files` gives them) leaves out files that are done.
+    The files are chosen from the listing, and only those are opened.
     """
     resolved = rules if "positions" in rules.columns else resolve_rules(spark, rules)
-    routed = route_paths(file_inventory(spark, archive), resolved)
-    if already_published is not None:
-        routed = unpublished(routed, already_published)
-    lines = read_lines(spark, archive, recursive=True, with_path=True)
-    outcomes = anonymize_routed(lines, routed, salt, highest_position(resolved), run, sep, algorithm)
-    publish_outcomes(outcomes, target, compression)
+    chosen = [(r.path, r.file_name, r.extension) for r in list_files(spark, archive, already_published).collect()]
+    if not chosen:
+        return
+    lines = read_files(spark, [path for path, *_ in chosen])
+    outcomes = anonymize_routed(lines, rule_array(resolved), salt, highest_position(resolved), sep, algorithm)
+    files = spark.createDataFrame([key for _, *key in chosen], "file_name string, extension string")
+    publish_outcomes(outcomes, files, target, run, compression)
 
 
-def land_raw(lines: DataFrame, target: str, compression: str | None = None) -> None:
-    """Raw copy of lines (value, path or file_name), one folder per source file, before any transformation."""
+def land_raw(lines: DataFrame, target: str, compression: str | None = None, files: DataFrame | None = None) -> None:
+    """Raw copy of lines (value, path or name columns), one folder per source file, before any transformation.
+
+    `files` (file_name, extension) names files whose earlier copy goes even if they have no line now.
+    """
     if "file_name" not in lines.columns:
-        lines = lines.withColumn("file_name", base_name(source_file("path")))
-    replace_partitions(lines.select("value", "file_name"), target, ["file_name"], compression=compression)
+        name = source_file("path")
+        lines = lines.withColumns({"file_name": base_name(name), "extension": extension(name)})
+    if files is not None:
+        remove_outputs_of(files, target)
+    replace_partitions(lines.select("value", *FILE_KEY), target, FILE_KEY, compression=compression)
 
 
 def read_raw(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema("value string, file_name string").text(target)
+    return spark.read.schema("value string, file_name string, extension string").text(target).drop("extension")

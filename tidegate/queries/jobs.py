@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import delimited_line
@@ -28,21 +30,31 @@ from tidegate.streaming.ingest import file_lines, start_file_ingest
 from tidegate.streaming.messages import file_messages, land_messages
 
 ORDER_RULES = """esquema_hive|nomtabla|cols|partcol|server|schema|user|file
-|mobile_line|custkey,price,no_such_column|fecha|store|urm|loader|Mobile_Line
-|sms|PRICE,custkey|fecha|store|urm|loader|SMS
+tidegate_rules|mobile_line|custkey,price,no_such_column|fecha|store|depot|loader|Mobile_Line
+tidegate_rules|sms|PRICE,custkey|fecha|store|depot|loader|SMS
 """
 
 EVENT_FIELDS = ("event_id", "user_id", "kind", "amount")
 
 EVENT_RULES = """esquema_hive|nomtabla|cols|partcol|server|schema|user|file
-|web|user_id|fecha|store|urm|loader|Web
+tidegate_rules|web|user_id|fecha|store|depot|loader|Web
 """
 
 
-def register_schema(spark, name, columns):
-    """A catalog entry with the given text columns and a partition column."""
-    schema = ", ".join(f"{c} string" for c in [*columns, "fecha"])
-    spark.createDataFrame([], schema).createOrReplaceTempView(name)
+@contextmanager
+def schemas(spark, *names, columns):
+    """Catalog entries with the given text columns and a partition column, while rules are resolved.
+
+    Views of the caller with these names stay as they are: the entries live in a schema of their own.
+    """
+    listed = ", ".join(f"{c} STRING" for c in [*columns, "fecha"])
+    spark.sql("CREATE DATABASE IF NOT EXISTS tidegate_rules")
+    for name in names:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS tidegate_rules.{name} ({listed}) USING parquet")
+    try:
+        yield
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS tidegate_rules CASCADE")
 
 
 def word_count_job(spark, sf):
@@ -53,26 +65,39 @@ def word_count_job(spark, sf):
 
 
 def anonymize_file(spark, sf):
-    register_schema(spark, "tidegate_subscribers", CUSTOMER_FIELDS)
     target = workspace(spark, "anonymized")
-    jobs.anonymize_file_job(
-        spark,
-        write_lines(customer_lines(spark, sf), "subscribers"),
-        "tidegate_subscribers",
-        ["name", "segment", "note", "no_such_column"],
-        target,
-        SALT,
-        partition_column="fecha",
-    )
+    with schemas(spark, "subscribers", columns=CUSTOMER_FIELDS):
+        jobs.anonymize_file_job(
+            spark,
+            write_lines(customer_lines(spark, sf), "subscribers"),
+            "tidegate_rules.subscribers",
+            ["name", "segment", "note", "no_such_column"],
+            target,
+            SALT,
+            partition_column="fecha",
+        )
     return read_lines(spark, target)
 
 
 def batch_publish(spark, sf):
-    register_schema(spark, "mobile_line", ORDER_FIELDS)
-    register_schema(spark, "sms", ORDER_FIELDS)
     archive = write_drops(order_drops(spark, sf), "archive")
     target = workspace(spark, "published")
-    publish.publish_archive(spark, archive, control_rules(spark, ORDER_RULES), target, SALT)
+    with schemas(spark, "mobile_line", "sms", columns=ORDER_FIELDS):
+        publish.publish_archive(spark, archive, control_rules(spark, ORDER_RULES), target, SALT)
+    return publish.read_outcomes(spark, target)
+
+
+def republish_corrected(spark, sf):
+    """Publish, then publish again: short lines are complete now, and the rules no longer know one entity."""
+    drops = order_drops(spark, sf)
+    archive = write_drops(drops, "archive")
+    target = workspace(spark, "published")
+    short = F.size(F.split("value", r"\|")) < len(ORDER_FIELDS)
+    corrected = drops.withColumn("value", F.when(short, F.concat("value", F.lit("|none"))).otherwise(F.col("value")))
+    with schemas(spark, "mobile_line", "sms", columns=ORDER_FIELDS):
+        publish.publish_archive(spark, archive, control_rules(spark, ORDER_RULES), target, SALT)
+        only_sms = "\n".join(line for line in ORDER_RULES.split("\n") if "mobile_line" not in line)
+        publish.publish_archive(spark, write_drops(corrected, "archive"), control_rules(spark, only_sms), target, SALT)
     return publish.read_outcomes(spark, target)
 
 
@@ -89,23 +114,29 @@ def load_orders(spark, sf, frequency):
     lines = read_lines(spark, archive, recursive=True, with_path=True)
     name = "tidegate_" + location.rsplit("-", 1)[1]
     jobs.create_partitioned_table(spark, name, ORDER_FIELDS, location)
-    jobs.load_partition(spark, lines, ORDER_FIELDS, name, frequency)
-    return name
+    rejects = workspace(spark, "load-rejects")
+    jobs.load_partition(spark, lines, ORDER_FIELDS, name, frequency, rejects)
+    return name, location, rejects
 
 
 def load_partition(spark, sf):
-    return spark.table(load_orders(spark, sf, "mensual"))
+    name, location, rejects = load_orders(spark, sf, "mensual")
+    loaded = spark.read.schema(spark.table(name).schema).parquet(location).drop("extension")
+    spark.sql(f"DROP TABLE {name}")
+    bad = publish.read_raw(spark, rejects).withColumnRenamed("value", "rejected")
+    return loaded.unionByName(bad, allowMissingColumns=True)
 
 
 def extract_partition(spark, sf):
-    name = load_orders(spark, sf, "diario")
+    name, _, _ = load_orders(spark, sf, "diario")
     days = [r.fecha for r in spark.table(name).select("fecha").distinct().collect()]
     target = workspace(spark, "extract")
     enriched = jobs.extract_partition(
         spark, name, days, lambda rows: rows.withColumn("label", F.concat("status", F.lit("-"), "priority"))
     )
     jobs.write_extract(enriched, target)
-    return read_by_key(spark, target, ["fecha", "file_name"])
+    spark.sql(f"DROP TABLE {name}")
+    return read_by_key(spark, target, ["fecha", "file_name", "extension"]).drop("extension")
 
 
 def load_extract_publish(spark, sf):
@@ -119,7 +150,8 @@ def load_extract_publish(spark, sf):
         jobs.load_extract_publish(
             spark, archive, entity, "mensual", ORDER_FIELDS, name, target, SALT, positions=[2, 4], enrich=extra
         )
-    return publish.read_published(spark, target)
+    spark.sql(f"DROP TABLE {name}")
+    return publish.read_outcomes(spark, target)
 
 
 def event_drops(spark, sf):
@@ -137,18 +169,18 @@ def event_drops(spark, sf):
 
 
 def run_ingest(spark, sf):
-    register_schema(spark, "web", EVENT_FIELDS)
     drops = write_drops(event_drops(spark, sf), "stream-in")
     landing, target = workspace(spark, "stream-landing"), workspace(spark, "stream-published")
-    query = start_file_ingest(
-        file_lines(spark, drops, max_files=4),
-        control_rules(spark, EVENT_RULES),
-        landing,
-        target,
-        workspace(spark, "stream-checkpoint"),
-        SALT,
-        once=True,
-    )
+    with schemas(spark, "web", columns=EVENT_FIELDS):
+        query = start_file_ingest(
+            file_lines(spark, drops, max_files=8),
+            control_rules(spark, EVENT_RULES),
+            landing,
+            target,
+            workspace(spark, "stream-checkpoint"),
+            SALT,
+            once=True,
+        )
     query.awaitTermination()
     return landing, target
 
@@ -200,7 +232,16 @@ QUERIES = {
     "job_batch_publish": Query(
         batch_publish,
         f"""SELECT CASE WHEN short OR entity = 'Call_CDR' THEN value ELSE hashed END AS value,
-                   CASE WHEN short OR entity = 'Call_CDR' THEN 'rejected-batch' ELSE 'published' END AS outcome,
+                   CASE WHEN short OR entity = 'Call_CDR' THEN 'rejected' ELSE 'published' END AS outcome,
+                   lower(entity) AS entity, date_range, file_name FROM {ORDER_DROP_SQL}""",
+    ),
+    "job_republish_corrected": Query(
+        republish_corrected,
+        f"""SELECT CASE WHEN entity = 'SMS' AND short
+                        THEN CAST(o_orderkey AS VARCHAR) || '|' || {md5_sql("CAST(o_custkey AS VARCHAR)")} || '|' || o_orderstatus
+                             || '|' || {md5_sql("CAST(o_totalprice AS VARCHAR)")} || '|' || strftime(o_orderdate, '%Y-%m-%d') || '|none'
+                        WHEN entity = 'SMS' THEN hashed WHEN short THEN value || '|none' ELSE value END AS value,
+                   CASE entity WHEN 'SMS' THEN 'published' ELSE 'rejected' END AS outcome,
                    lower(entity) AS entity, date_range, file_name FROM {ORDER_DROP_SQL}""",
     ),
     "job_raw_landing": Query(raw_landing, f"SELECT value, file_name FROM {ORDER_DROP_SQL}"),
@@ -209,7 +250,9 @@ QUERIES = {
         f"""SELECT CAST(o_orderkey AS VARCHAR) AS orderkey, CAST(o_custkey AS VARCHAR) AS custkey,
                    o_orderstatus AS status, CAST(o_totalprice AS VARCHAR) AS price,
                    strftime(o_orderdate, '%Y-%m-%d') AS orderdate, o_orderpriority AS priority,
-                   year(o_orderdate) || '01' AS fecha, file_name FROM {ORDER_DROP_SQL} WHERE NOT short""",
+                   year(o_orderdate) || '01' AS fecha, file_name, CAST(NULL AS VARCHAR) AS rejected
+            FROM {ORDER_DROP_SQL} WHERE NOT short
+            UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, file_name, value FROM {ORDER_DROP_SQL} WHERE short""",
     ),
     "job_extract_partition": Query(
         extract_partition,
@@ -218,9 +261,12 @@ QUERIES = {
     ),
     "job_load_extract_publish": Query(
         load_extract_publish,
-        f"""SELECT CASE entity WHEN 'Mobile_Line' THEN hashed || '|' || o_orderstatus || '-' || o_orderpriority
-                               ELSE hashed END AS value, lower(entity) AS entity, date_range, file_name
-            FROM {ORDER_DROP_SQL} WHERE NOT short AND entity <> 'Call_CDR'""",
+        f"""SELECT CASE WHEN short THEN value
+                        WHEN entity = 'Mobile_Line' THEN hashed || '|' || o_orderstatus || '-' || o_orderpriority
+                        ELSE hashed END AS value,
+                   CASE WHEN short THEN 'rejected' ELSE 'published' END AS outcome,
+                   lower(entity) AS entity, date_range, file_name
+            FROM {ORDER_DROP_SQL} WHERE entity <> 'Call_CDR'""",
     ),
     "stream_file_ingest": Query(
         stream_file_ingest,

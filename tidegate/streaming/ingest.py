@@ -2,42 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.filenames import scanned_path
 from tidegate.plans.publish import (
-    anonymize_tagged,
+    FILE_KEY,
+    anonymize_routed,
     highest_position,
     land_raw,
-    lines_of_files,
+    named,
     publish_outcomes,
-    route_paths,
+    rule_array,
 )
 from tidegate.sources.control import resolve_rules
 
 BATCH_INTERVAL = "2 seconds"
+FILES_PER_BATCH = 200
 
 
 def file_lines(
     spark: SparkSession,
     path: str,
     glob: str | None = None,
-    max_files: int | None = None,
+    max_files: int = FILES_PER_BATCH,
     modified_after: str | None = None,
 ) -> DataFrame:
-    """Stream of lines (value, path); whole files enter a batch, never parts of one.
+    """Stream of lines (value, path); whole files enter a batch, never parts of one, and `max_files` at most.
 
-    File names are checked by the ingest, once per file and not here for every line. A new checkpoint also sees files that already exist; `modified_after` leaves older ones out.
+    A new checkpoint also sees files that already exist; `modified_after` leaves older ones out.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.load(path)
+    lines = reader.option("maxFilesPerTrigger", max_files).load(path)
     if modified_after:
         lines = lines.where(F.col("_metadata.file_modification_time") > F.lit(modified_after).cast("timestamp"))
     return lines.select("value", scanned_path(F.col("_metadata.file_path")).alias("path"))
@@ -61,26 +60,24 @@ def start_file_ingest(
 ) -> StreamingQuery:
     """Per batch: land the raw lines of complete files, then publish the anonymised and the rejected ones.
 
-    Every output folder belongs to a source file (rejects also to a batch), and is replaced when the
-    batch runs again after a failure. A real failure ends the query; the checkpoint retries the batch.
+    Every output folder belongs to a source file and is replaced when the file comes again or the batch runs
+    again after a failure. The rules are resolved once per query. A batch is bounded, so its files are read
+    once for each of the two outputs rather than kept. A real failure ends the query; the checkpoint retries
+    the batch.
     """
     spark = lines.sparkSession
     resolved = rules if "positions" in rules.columns else resolve_rules(spark, rules)
-    last_position = highest_position(resolved)
+    last_position, listed = highest_position(resolved), rule_array(resolved)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        # three passes follow; a batch is bounded by max_files, and lost blocks are read again
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
-                return
-            routed = route_paths(batch.select("path").dropDuplicates(), resolved)
-            tagged = lines_of_files(batch, routed)
-            land_raw(tagged, landing)
-            run = f"batch{batch_id:09d}"
-            publish_outcomes(anonymize_tagged(tagged, salt, last_position, run, sep, algorithm), target)
-        finally:
-            batch.unpersist()
+        names = named(batch.select("path").dropDuplicates()).select("entity", "date_range", *FILE_KEY).collect()
+        if not names:
+            return
+        files = spark.createDataFrame([(n.file_name, n.extension) for n in names], "file_name string, extension string")
+        below = sorted({f"outcome=*/entity={n.entity or 'unknown'}/date_range={n.date_range}" for n in names})
+        land_raw(named(batch), landing)
+        outcomes = anonymize_routed(batch, listed, salt, last_position, sep, algorithm)
+        publish_outcomes(outcomes, files, target, f"batch{batch_id:09d}", below=below)
 
     writer = lines.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_options(once, interval)).start()
