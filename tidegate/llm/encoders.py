@@ -4,30 +4,40 @@ from __future__ import annotations
 
 import os
 import re
+import string
+import sys
+from array import array
 
 import numpy as np
 
 #: Before a space that follows a character other than white space, byte-level pre-tokenisation always cuts:
 #: a space only begins a piece there, and no piece looks across it.
 _CUT = re.compile(r"(?<=\S)(?= )")
-_AWKWARD = re.compile(r"\s | \s")
-MOST_STRETCHES = 200_000
+_SPACES = [char for char in map(chr, range(sys.maxunicode + 1)) if char.isspace() and char != " "]
+MOST_STRETCHES = 600_000
 
 
-def stretches(text: str | None) -> list[str]:
-    """The text cut where pre-tokenisation always cuts; joined they are the text again."""
+def _runs_of_spaces(text: str) -> bool:
+    """Does a space stand beside other white space?"""
+    return any(char in text and (char + " " in text or " " + char in text) for char in _SPACES) or "  " in text
+
+
+def stretches(text: str | None) -> tuple[str, list[str]]:
+    """The text cut where pre-tokenisation always cuts: the first stretch, and the others without the space
+    that each begins with. An empty first stretch stands for none."""
     if not text:
-        return []
-    if _AWKWARD.search(text):
-        return _CUT.split(text)
+        return "", []
+    if _runs_of_spaces(text):
+        first, *rest = _CUT.split(text)
+        return (first, [part[1:] for part in rest]) if first[0] != " " else ("", [part[1:] for part in (first, *rest)])
     first, *rest = text.split(" ")
-    return [first, *[" " + part for part in rest]] if first else [" " + part for part in rest]
+    return first, rest
 
 
 class WordEncoder:
     """Encodes texts with the tokenizers library; each distinct stretch between cuts is encoded once.
 
-    The table of them is emptied when it holds MOST_STRETCHES.
+    The tables of them are emptied when they hold MOST_STRETCHES.
     """
 
     def __init__(self, path: str):
@@ -45,7 +55,7 @@ class WordEncoder:
             made.encode_special_tokens = True  # their strings in a text are ordinary text
             made.no_padding()
             made.no_truncation()
-            self._made = made, {}
+            self._made = made, ({}, {}, {})
         return self._made
 
     def vocabulary(self) -> int:
@@ -56,10 +66,22 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tokenizer, known = self._tokenizer()
         end = np.array([end_id], "<u4").tobytes()
-        lists = [stretches(text) for text in texts]
-        if len(known) > MOST_STRETCHES:
-            known.clear()
-        new = list({part for parts in lists for part in parts} - known.keys())
-        for part, made in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[part] = np.array(made.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join([*map(known.__getitem__, parts), end]), "<u4") for parts in lists]
+        split = [stretches(text) for text in texts]
+        for table in known:
+            if len(table) > MOST_STRETCHES:
+                table.clear()
+        leading, spaced, tails = known
+        self._add(leading, "", {first for first, _ in split})
+        new = {part for _, rest in split for part in rest if part not in spaced}
+        # Letters and punctuation behind them are never one piece, so they are encoded apart.
+        ended = {part: body for part in new if (body := part.rstrip(string.punctuation)) != part and body.isalpha()}
+        self._add(spaced, " ", (new - set(ended)) | set(ended.values()))
+        self._add(tails, "", {part[len(body) :] for part, body in ended.items()})
+        for part, body in ended.items():
+            spaced[part] = spaced[body] + tails[part[len(body) :]]
+        return [np.frombuffer(b"".join([leading[first], *map(spaced.__getitem__, rest), end]), "<u4") for first, rest in split]
+
+    def _add(self, table: dict[str, bytes], lead: str, new: set[str]) -> None:
+        parts = [part for part in new if part not in table]
+        for part, made in zip(parts, self._made[0].encode_batch_fast([lead + p for p in parts], add_special_tokens=False), strict=True):
+            table[part] = array("I", made.ids).tobytes()

@@ -30,7 +30,7 @@ from tidegate.llm.blocks import text_blocks
 from tidegate.llm.encoders import WordEncoder
 from tidegate.session import workspace
 
-BLOCK_BYTES = 1_000_000  # of text
+BLOCK_BYTES = 2_000_000  # of text
 
 FILE_SCHEMA = (
     "part int, block int, first_doc long, last_doc long, doc_ids array<long>, offsets array<int>, ids_before long, "
