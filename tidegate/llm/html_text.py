@@ -6,7 +6,8 @@ elements named so by their class, id or role) make no line. A line's text-to-tag
 its tags. The ratios are smoothed with a Gaussian along the page. Neighbouring lines of one container are a
 region; a region is content if one of its smoothed ratios reaches the threshold, the standard deviation of all,
 or the largest ratio where that is lower. Content regions are kept whole, so short paragraphs of an article
-stay. Where the page marks an article or main element with text, regions outside are not considered.
+stay. Where the page marks an article or main element with text, regions outside are not considered; on other
+pages a region without a heading must also reach the threshold by itself, all its characters by all its tags.
 
 Defined results: a null, empty or text-free page has the empty text. Character references are decoded; white
 space inside a block becomes one space; blocks are joined by one space in page order. Unclosed and stray
@@ -39,6 +40,7 @@ _BLOCK = frozenset(
 )
 _CONTAINER = frozenset("article main section div td body blockquote header ul ol table".split())
 _MAIN = frozenset(("article", "main"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of class, id and role that name what is no article text.
 _NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
@@ -52,11 +54,12 @@ _LOOSE = frozenset("p li dt dd td th tr option".split())
 
 
 class _Lines(HTMLParser):
-    """Blocks of text as (text, tags, region, in an article)."""
+    """Blocks of text as (text, tags, region, in an article, heading)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self._heading = False
         self._text: list[str] = []
         self._tags = 0
         self._region = 0
@@ -67,8 +70,8 @@ class _Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            self.lines.append((text, self._tags, self._region, self._main > 0))
-        self._text, self._tags = [], 0
+            self.lines.append((text, self._tags, self._region, self._main > 0, self._heading))
+        self._text, self._tags, self._heading = [], 0, False
 
     def _is_silent(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in _SILENT or tag == "header" and not self._main:
@@ -101,6 +104,7 @@ class _Lines(HTMLParser):
             return
         if tag in _BLOCK:
             self.flush()
+            self._heading = tag in _HEADINGS
         elif tag == "br":
             self._text.append(" ")
         if tag in _CONTAINER:
@@ -157,13 +161,20 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = [x for x in parser.lines if x[3]] or parser.lines
+    marked = [line for line in parser.lines if line[3]]
+    lines = marked or parser.lines
     if not lines:
         return ""
-    ratio = _smooth(np.array([len(text) / max(tags, 1) for text, tags, _, _ in lines]))
+    ratio = _smooth(np.array([len(text) / max(tags, 1) for text, tags, *_ in lines]))
     threshold = min(float(ratio.std()), float(ratio.max()))
-    content = {region for (_, _, region, _), r in zip(lines, ratio, strict=True) if r >= threshold}
-    return " ".join(text for text, _, region, _ in lines if region in content)
+    content = {line[2] for line, r in zip(lines, ratio, strict=True) if r >= threshold}
+    if not marked:
+        for region in list(content):
+            own = [line for line in lines if line[2] == region]
+            dense = sum(len(line[0]) for line in own) >= threshold * max(sum(line[1] for line in own), 1)
+            if not dense and not any(line[4] for line in own):
+                content.discard(region)
+    return " ".join(line[0] for line in lines if line[2] in content)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

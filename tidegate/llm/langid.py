@@ -39,8 +39,7 @@ class LanguageModel(NamedTuple):
     languages: list[str]
     alphabet: list[str]  # codes from 1; 0 is the space, the last code any other letter
     table: np.ndarray  # (state, code) -> state of the whole table, -1 where no such piece goes on
-    roots: np.ndarray  # (language, code) -> state after a phrase that starts with the code; the root if none does
-    starts: np.ndarray  # root of each language
+    roots: np.ndarray  # (language, code) -> state of a phrase that starts with the code; a dead end if none does
     chars: np.ndarray  # characters of labelled text of each language
 
 
@@ -59,7 +58,9 @@ def _letters(text: str) -> np.ndarray:
     """Lower-case letters as code points, any other run as one 0."""
     points = _lower_letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
     space = points == 0
-    return points[~(space & np.roll(space, 1))] if len(points) > 1 else points
+    space[1:] &= space[:-1].copy()
+    space[:1] = False
+    return points[~space]
 
 
 def _suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
@@ -99,25 +100,24 @@ def fit(sample: dict[str, str]) -> LanguageModel:
     alphabet = sorted({chr(p) for points in letters.values() for p in np.unique(points) if p})
     width = len(alphabet) + 2
     code = {ord(char): i + 1 for i, char in enumerate(alphabet)} | {0: 0}
-    tables, roots, starts = [], [], []
-    base = 0
+    # State 0 is the dead end: a character that the language's text lacks is a phrase of its own.
+    tables, roots = [np.full((1, width), -1, np.int32)], []
+    base = 1
     for lang in languages:
         moves = _suffix_automaton([code[int(p)] for p in letters[lang]])
         table = np.full((len(moves), width), -1, np.int32)
         for state, to in enumerate(moves):
             table[state, list(to)] = [base + x for x in to.values()]
         root = table[0].copy()
-        root[root < 0] = base
+        root[root < 0] = 0
         tables.append(table)
         roots.append(root)
-        starts.append(base)
         base += len(moves)
     return LanguageModel(
         languages,
         alphabet,
-        np.concatenate(tables) if tables else np.zeros((0, width), np.int32),
+        np.concatenate(tables),
         np.stack(roots) if roots else np.zeros((0, width), np.int32),
-        np.array(starts, np.int32),
         np.array([len(letters[lang]) for lang in languages], float),
     )
 
@@ -164,9 +164,11 @@ def count_phrases(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, n
     width = model.table.shape[1]
     table, roots = model.table.reshape(-1), model.roots
     phrases = np.zeros((len(model.languages), len(texts)), np.int64)
-    state = np.repeat(model.starts[:, None], len(texts), axis=1).astype(np.int64)
     active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
-    step = 0
+    state = np.zeros((len(model.languages), len(texts)), np.int64)
+    if len(active):
+        state[:, : active[0]] = roots[:, flat[first[: active[0]]]]
+    step = 1
     while step < len(active) and active[step] >= FEW:
         k = active[step]
         char = flat[first[:k] + step].astype(np.int64)
@@ -223,6 +225,18 @@ def label(documents: DataFrame, model: LanguageModel, text: str = "text") -> Dat
     return rows.mapInArrow(run, schema)
 
 
+def known_language(documents: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows, all columns, whose language is told; those that are UNKNOWN go."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by CHARS_PER_LANGUAGE a language
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, BLOCK_BYTES, text):
+            names, _ = classify(block.column(text).to_pylist(), shared.value)
+            yield block.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def predict(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every document; only its text is looked at."""
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -45,6 +45,7 @@ gpl-2.0+ | 100 | spdx | spdx license identifier gpl 2 0 or later
 gpl-2.0 | 100 | gnu | gnu org licenses (old licenses )?gpl 2 0( html| txt)?
 gpl-2.0 | 100 | licens | opensource org licenses gpl 2 0
 gpl-2.0 | 80 | general public | general public licen[sc]e (version |v )2( 0)?
+gpl-2.0 | 80 | general public | general public licen[sc]e v2( 0)?
 gpl-2.0 | 80 | gpl | (gnu )?gpl (version |v )?2( 0)?
 gpl-2.0 | 80 | gplv2 | (gnu )?gplv2( only)?
 gpl-2.0+ | 80 | gplv2 | gplv2 or later
@@ -55,6 +56,7 @@ gpl-3.0+ | 100 | spdx | spdx license identifier gpl 3 0 or later
 gpl-3.0 | 100 | gnu | gnu org licenses gpl 3 0( html| txt)?
 gpl-3.0 | 100 | licens | opensource org licenses gpl 3 0
 gpl-3.0 | 80 | general public | general public licen[sc]e (version |v )3( 0)?
+gpl-3.0 | 80 | general public | general public licen[sc]e v3( 0)?
 gpl-3.0 | 80 | gpl | (gnu )?gpl (version |v )?3( 0)?
 gpl-3.0 | 80 | gplv3 | (gnu )?gplv3( only)?
 gpl-3.0+ | 80 | gplv3 | gplv3 or later

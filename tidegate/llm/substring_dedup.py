@@ -225,29 +225,33 @@ def remove_repeats(
 
     A text that loses no word is left as it is.
     """
-    marks = repeated_windows(documents, doc_id, text, window, core)
-    marks = marks.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "n")).alias("_marks"))
-    marks = marks.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "_marks")
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_version"))
-    joined = documents.join(marks, same, "left").drop("_id", "_version")
+    # Inside, the other columns travel as one, so that no name of theirs can clash.
+    others = [name for name in documents.columns if name not in (doc_id, text, "n_words", "n_removed")]
+    rows = documents.select(
+        F.col(f"`{doc_id}`").alias("id"),
+        F.col(f"`{text}`").cast("string").alias("text"),
+        F.struct(F.lit(None).cast("int").alias("_"), *[F.col(f"`{name}`") for name in others]).alias("others"),
+    )
+    marks = repeated_windows(rows, "id", "text", window, core)
+    marks = marks.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
+    same = F.col("id").cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("version"))
+    joined = rows.join(marks, same, "left").select("id", "text", "others", "marks")
     schema = T.StructType(
-        [f for f in joined.schema.fields if f.name not in ("_marks", "n_words", "n_removed")]
-        + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+        [*joined.schema.fields[:3], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
     )
-    names = [f.name for f in schema.fields[:-2]]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, gone = [], [], []
-            for value, found in zip(batch.column(text).to_pylist(), batch.column("_marks").to_pylist(), strict=True):
+            for value, found in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
                 words = ascii_words(value)
                 kept = keep_words(words, [(m["start"], m["n"]) for m in found or ()], window)
                 texts.append(b" ".join(kept).decode() if len(kept) < len(words) else value)
                 counts.append(len(words))
                 gone.append(len(words) - len(kept))
-            columns = [pa.array(texts, pa.string()) if name == text else batch.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], [f.name for f in schema.fields]
-            )
+            columns = [batch.column("id"), pa.array(texts, pa.string()), batch.column("others")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], schema.fieldNames())
 
-    return joined.mapInArrow(clean, schema)
+    names = {doc_id: F.col("id"), text: F.col("text")} | {name: F.col("others")[name] for name in others}
+    order = [name for name in documents.columns if name in names]
+    return joined.mapInArrow(clean, schema).select(*[names[name].alias(name) for name in order], "n_words", "n_removed")
