@@ -122,8 +122,8 @@ def brute_repeats(documents, window):
     return out
 
 
-@pytest.mark.parametrize("block", [150, 4_000_000])
-def test_substring_dedup_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, share", [(150, None), (4_000_000, None), (300, 0.002)])
+def test_substring_dedup_equals_brute_force(spark, monkeypatch, block, share):
     monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", block)
     chance = np.random.default_rng(4)
     passage = [f"p{k}" for k in range(30)]
@@ -135,7 +135,7 @@ def test_substring_dedup_equals_brute_force(spark, monkeypatch, block):
     texts += [texts[5], texts[6] + " end"]
     ids = [*range(100, 100 + len(texts)), 105, None, None]
     texts += [texts[5], texts[7], texts[8]]
-    got = substring_dedup.remove_repeats(frame(spark, texts, ids)).collect()
+    got = substring_dedup.remove_repeats(frame(spark, texts, ids), hot_share=share).collect()
     assert len(got) == len(texts) and got[0].key == "k"
     words = [[w.decode() for w in (t or "").encode().split()] for t in texts]
     kept = brute_repeats(list(zip(ids, words, strict=True)), substring_dedup.WINDOW)
@@ -145,6 +145,15 @@ def test_substring_dedup_equals_brute_force(spark, monkeypatch, block):
     assert substring_dedup.remove_repeats(frame(spark, ["x"]).where("doc_id < 0")).count() == 0
 
 
+def test_hot_minimisers_are_found(spark):
+    chance = np.random.default_rng(6)
+    common = "aa bb cc dd ee ff gg hh".split()
+    texts = [" ".join([*map(str, chance.integers(10**6, size=30)), *common, *map(str, chance.integers(10**6, size=30))]) for _ in range(200)]
+    rows = frame(spark, texts).select("doc_id", "text")
+    hot = substring_dedup.hot_minimisers(rows, 20, 4, 0.01)
+    assert 1 <= len(hot) <= 5 and len(substring_dedup.hot_minimisers(rows, 20, 4, 0.9)) == 0
+
+
 def test_versions_of_one_id_are_one_document(spark):
     long = " ".join(f"w{k}" for k in range(40))
     rows = substring_dedup.remove_repeats(frame(spark, [long, long, long + " more", long], [1, 1, 1, 2])).collect()

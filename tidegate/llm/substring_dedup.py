@@ -8,7 +8,9 @@ marked window covers.
 
 Before anything travels, windows that repeat inside a block of documents are marked at once and only the
 earliest goes on, so a passage that a third of all documents share is sent once per block. The strings of a
-block for one bucket are compressed together.
+block for one bucket are compressed together. A minimiser with very many different windows would fill one
+bucket; those that hold more than their share in a bounded sample of documents are left out of use, and their
+windows go by their own hash, one by one, so they spread over all buckets and equal ones still meet.
 
 Defined results: a null or empty text has no word and stays as it is; a text shorter than a window loses
 nothing. Documents are ordered by id, a null id first. Rows that repeat an id count as the same document:
@@ -29,12 +31,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.llm.blocks import text_blocks
-from tidegate.llm.words import ascii_words, flat_words, prefix_hashes, run_hashes
+from tidegate.llm.stages import stored
+from tidegate.llm.words import Words, ascii_words, flat_words, prefix_hashes, run_hashes
 
 WINDOW = 20
 CORE = 4
 BLOCK_BYTES = 4_000_000
 SECTIONS = 8  # of a bucket, by minimiser; one is sorted at a time
+SAMPLE_DOCS = 2000  # bound of the sample in which hot minimisers are looked for
+LEAST_SHARE = 1e-5  # of all windows; what the sample can tell, and the bound of the list (1 / LEAST_SHARE)
 LEVEL = 9  # of compression
 _FIRST = np.iinfo(np.int64).min  # place of a null id in the order of ids
 
@@ -82,7 +87,19 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def _pack(block: pa.RecordBatch, window: int, core: int, buckets: int) -> pa.RecordBatch:
+def _minimisers(upto: np.ndarray, at: np.ndarray, window: int, core: int) -> np.ndarray:
+    """The smallest hash of a run of `core` words in each window that starts at `at`."""
+    cores = np.arange(max(len(upto) - core, 0))
+    return _least(run_hashes(upto, cores, core), window - core + 1)[at]
+
+
+def _window_starts(words: Words, window: int) -> np.ndarray:
+    """First words of all windows; a window stays inside its text."""
+    at = np.arange(max(len(words.begin) - window + 1, 0))
+    return at[words.text[at] == words.text[at + window - 1]]
+
+
+def _pack(block: pa.RecordBatch, window: int, core: int, buckets: int, hot: np.ndarray) -> pa.RecordBatch:
     """Super-k-mers of one block by bucket, and the marks of what repeats inside it (a row without text)."""
     ids = block.column("doc_id").fill_null(_FIRST).to_numpy()
     by_id = np.argsort(ids, kind="stable")
@@ -90,8 +107,7 @@ def _pack(block: pa.RecordBatch, window: int, core: int, buckets: int) -> pa.Rec
     words = flat_words([ascii_words(texts[i]) for i in by_id])
     ids, versions = ids[by_id], block.column("version").to_numpy()[by_id]
     upto = prefix_hashes(words)
-    at = np.arange(max(len(words.begin) - window + 1, 0))
-    at = at[words.text[at] == words.text[at + window - 1]]
+    at = _window_starts(words, window)
     low, high = words.begin[at], words.end[at + window - 1]
     hashes = run_hashes(upto, at, window)
     doc, start = words.text[at], at - words.first[words.text[at]]
@@ -107,8 +123,9 @@ def _pack(block: pa.RecordBatch, window: int, core: int, buckets: int) -> pa.Rec
     if len(begin):
         # Any bucket will do; no text tells that these are marks.
         add(int(hashes[marked[0]] % np.uint64(buckets)), doc[marked][begin], start[marked][begin], length, b"")
-    cores = np.arange(max(len(words.begin) - core + 1, 0))
-    least = _least(run_hashes(upto, cores, core), window - core + 1)[at]
+    least = _minimisers(upto, at, window, core)
+    if len(hot):
+        least = np.where(np.isin(least, hot), hashes, least)
     sent = np.flatnonzero(~repeated)
     begin, length = _runs(at[sent], (least[sent][1:] == least[sent][:-1]) & (doc[sent][1:] == doc[sent][:-1]))
     lead = sent[begin]
@@ -157,8 +174,7 @@ def _sort_section(parts: list[_Packed], section: int, window: int) -> pa.RecordB
     order = np.lexsort((starts, ids))
     ids, versions, starts = ids[order], versions[order], starts[order]
     words = flat_words([strings[i].split() for i in order.tolist()])
-    at = np.arange(max(len(words.begin) - window + 1, 0))
-    at = at[words.text[at] == words.text[at + window - 1]]
+    at = _window_starts(words, window)
     low, high = words.begin[at], words.end[at + window - 1]
     hashes = run_hashes(prefix_hashes(words), at, window)
     string = words.text[at]
@@ -170,19 +186,50 @@ def _sort_section(parts: list[_Packed], section: int, window: int) -> pa.RecordB
     return _mark_batch(ids[who], versions[who], start[marked][begin], length)
 
 
+def hot_minimisers(rows: DataFrame, window: int, core: int, share: float) -> np.ndarray:
+    """Minimisers of more than `share` of the different windows in about SAMPLE_DOCS of the documents."""
+    total = max(rows.select("doc_id").count(), 1)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, BLOCK_BYTES):
+            words = flat_words([ascii_words(text) for text in block.column("text").to_pylist()])
+            upto, at = prefix_hashes(words), _window_starts(words, window)
+            _, once = np.unique(run_hashes(upto, at, window), return_index=True)
+            least, n = np.unique(_minimisers(upto, at[once], window, core), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(n.astype(np.int64))], ["m", "n"])
+
+    counted = rows.where(place <= SAMPLE_DOCS / total).mapInArrow(count, "m long, n long")
+    counted = stored(counted.groupBy("m").agg(F.sum("n").alias("n")), "minimisers")
+    bound = share * (counted.agg(F.sum("n")).first()[0] or 0)
+    found = [row.m for row in counted.where(F.col("n") > bound).select("m").collect()]
+    return np.sort(np.array(found, np.int64).view(np.uint64))
+
+
 def repeated_windows(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, core: int = CORE
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    core: int = CORE,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """(doc_id, version, start, n): windows start, start + 1, ... (n of them) that also start earlier.
 
-    `version` is a hash of the text, for ids that occur with several texts.
+    `version` is a hash of the text, for ids that occur with several texts. A minimiser is hot above
+    `hot_share` of the windows, by default the mean share of a section.
     """
     spark = documents.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("version", F.xxhash64("text"))
+    share = max(1 / (buckets * SECTIONS) if hot_share is None else hot_share, LEAST_SHARE)
+    hot = spark.sparkContext.broadcast(hot_minimisers(rows, window, core, share))  # at most 1 / share numbers
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, BLOCK_BYTES):
-            yield _pack(block, window, core, buckets)
+            yield _pack(block, window, core, buckets, hot.value)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstandard.ZstdDecompressor()
@@ -200,8 +247,6 @@ def repeated_windows(
         for section in range(SECTIONS) if parts else ():
             yield _sort_section(parts, section, window)
 
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumn("version", F.xxhash64("text"))
     packed = rows.mapInArrow(pack, _PACKED)
     return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(sort, _MARKS)
 
@@ -219,7 +264,12 @@ def keep_words(words: list[bytes], marks: list[tuple[int, int]], window: int) ->
 
 
 def remove_repeats(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, core: int = CORE
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    core: int = CORE,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """All rows and columns; in `text` the kept words joined by one space, plus `n_words` and `n_removed`.
 
@@ -232,7 +282,7 @@ def remove_repeats(
         F.col(f"`{text}`").cast("string").alias("text"),
         F.struct(F.lit(None).cast("int").alias("_"), *[F.col(f"`{name}`") for name in others]).alias("others"),
     )
-    marks = repeated_windows(rows, "id", "text", window, core)
+    marks = repeated_windows(rows, "id", "text", window, core, hot_share)
     marks = marks.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
     same = F.col("id").cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("version"))
     joined = rows.join(marks, same, "left").select("id", "text", "others", "marks")
