@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on: AQE sizes the shuffles, picks broadcast joins from
 # measured sizes (so nothing is measured beforehand), and splits skewed join partitions even where the join output is grouped again.
+# Batches to Python are bounded by size, whatever the length of the texts.
 # Writes by folder keep a few files open per task, which saves sorting the rows by folder first.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,6 +21,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "32MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
