@@ -22,8 +22,10 @@ import functools
 import hashlib
 import heapq
 import json
-from collections import Counter
+import string
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -32,14 +34,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.blocks import text_blocks
+from tidegate.llm.blocks import flat_bytes, text_blocks
 from tidegate.llm.encoders import stretches
+from tidegate.llm.stages import stored
 
 LONGEST_FOLD = 256
 HOT_DOCS = 20_000  # bound of the sample in which frequent words are looked for, documents
-HOT_WORDS = 300_000  # and of the words kept
+HOT_WORDS = 200_000  # and of the words kept
 LONGEST_HOT = 64  # bytes of such a word
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 4_000_000
 _NO_MERGE = 1 << 40
 _SIZES = (499_979, 498_977)  # primes, about five places per pair
 _REST = 1 << 30
@@ -174,12 +177,15 @@ def decode(ids: list[int], vocabulary: Vocabulary) -> bytes:
 
 
 class HotWords(NamedTuple):
-    index: dict[str, int]
-    ids: list[list[int]]
+    """Frequent words and their ids; `ids` is flat, `edges` bounds the ids of each word."""
+
+    words: pa.Array
+    ids: np.ndarray
+    edges: np.ndarray
 
 
 _BLOCK = (
-    "doc_ids array<bigint>, sizes binary, stream binary, word_counts binary, word_stream binary, "
+    "doc_ids array<bigint>, first binary, sizes binary, rest binary, word_counts binary, word_stream binary, "
     "words array<array<bigint>>, long_words array<binary>"
 )
 
@@ -193,50 +199,58 @@ def _to_block(block: pa.RecordBatch, pattern, hot: dict[str, int]) -> pa.RecordB
     """The documents as numbers of distinct stretches, those as numbers of words, and the words not yet known.
 
     A word's number is its place among the hot words, or -1 - its place in `words`, or _REST + its place in
-    `long_words`.
+    `long_words`. Stretches are numbered as they come: those that begin with a space, then those that don't.
     """
-    lists = [stretches(text) for text in block.column("text").to_pylist()]
-    number: dict[str, int] = {}
-    for parts in lists:
-        for part in parts:
-            if part not in number:
-                number[part] = len(number)
-    stream = np.fromiter((number[part] for parts in lists for part in parts), np.int32)
+    spaced: dict[str, int] = defaultdict(lambda: len(spaced))
+    leading: dict[str, int] = defaultdict(lambda: len(leading))
+    firsts, rests = [], []
+    for text in block.column("text").to_pylist():
+        lead, others = stretches(text)
+        firsts.append(leading[lead])
+        rests.append(np.fromiter(map(spaced.__getitem__, others), np.int32, len(others)))
+    first, sizes = np.array(firsts, np.int32), np.array([len(r) for r in rests], np.int32)
+    rest = np.concatenate([*rests, np.zeros(0, np.int32)])
     cold: dict[str, int] = {}
     long_words: list[bytes] = []
     words: list[bytes] = []
     counts, flat = [], []
-    for part in number:
-        found = pattern.findall(part)
+    for stretch in chain((" " + part for part in spaced), leading):
+        at = hot.get(stretch)
+        if at is not None:  # a word by itself
+            counts.append(1)
+            flat.append(at)
+            continue
+        body = stretch.rstrip(string.punctuation)
+        if body[1:].isalpha() and body[0] == " ":  # a word, and the punctuation behind it
+            found = [body, stretch[len(body) :]] if len(body) < len(stretch) else [stretch]
+        else:
+            found = pattern.findall(stretch)
         counts.append(len(found))
         for word in found:
             at = hot.get(word)
             if at is None:
                 at = cold.get(word)
-                if at is None:
-                    data = word.encode()
-                    if len(data) > LONGEST_FOLD:
-                        at = _REST + len(long_words)
-                        long_words.append(data)
-                    else:
-                        at = -1 - len(words)
-                        words.append(data)
-                    cold[word] = at
+            if at is None:
+                data = word.encode()
+                if len(data) > LONGEST_FOLD:
+                    at = _REST + len(long_words)
+                    long_words.append(data)
+                else:
+                    at = -1 - len(words)
+                    words.append(data)
+                cold[word] = at
             flat.append(at)
-    sizes = np.array([len(parts) for parts in lists], np.int32)
-    bytes_ = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    values = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
     edges = np.cumsum([0, *map(len, words)], dtype=np.int32)
+    numbers = [first + np.int32(len(spaced)), sizes, rest, np.array(counts, np.int32), np.array(flat, np.int32)]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([block.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-            pa.array([sizes.tobytes()], pa.binary()),
-            pa.array([stream.tobytes()], pa.binary()),
-            pa.array([np.array(counts, np.int32).tobytes()], pa.binary()),
-            pa.array([np.array(flat, np.int32).tobytes()], pa.binary()),
-            pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.ListArray.from_arrays(edges, pa.array(bytes_))),
+            *[pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in numbers],
+            pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.ListArray.from_arrays(edges, pa.array(values))),
             pa.array([long_words], pa.list_(pa.binary())),
         ],
-        ["doc_ids", "sizes", "stream", "word_counts", "word_stream", "words", "long_words"],
+        ["doc_ids", "first", "sizes", "rest", "word_counts", "word_stream", "words", "long_words"],
     )
 
 
@@ -247,41 +261,32 @@ def _lists(column: pa.Array) -> list[list[int]]:
     return [values[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _from_block(row: pa.RecordBatch, hot: list[list[int]], vocabulary: Vocabulary) -> list[list[int]]:
-    """Ids of each stretch of a block of one row."""
-    folded = _lists(row.column("ids"))
-    merged = [merge_by_heap(word, vocabulary) for word in row.column("long_words")[0].as_py()]
-    counts = np.frombuffer(row.column("word_counts")[0].as_py(), np.int32).tolist()
-    flat = np.frombuffer(row.column("word_stream")[0].as_py(), np.int32).tolist()
-    words = iter([folded[-1 - w] if w < 0 else hot[w] if w < _REST else merged[w - _REST] for w in flat])
-    out = []
-    for n in counts:
-        if n == 1:
-            out.append(next(words))
-        else:
-            out.append([i for _ in range(n) for i in next(words)])
-    return out
+def _numbers(row: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.frombuffer(row.column(name)[0].as_py(), np.int32)
 
 
 def _blocks(documents: DataFrame, pattern: str, hot) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = _pretokeniser(pattern)
+        index = {word: i for i, word in enumerate(hot.value.to_pylist())}
         for block in text_blocks(batches, BLOCK_BYTES):
-            yield _to_block(block, compiled, hot.value.index)
+            yield _to_block(block, compiled, index)
 
     return documents.mapInArrow(run, _BLOCK)
 
 
 def learn_hot_words(documents: DataFrame, vocabulary: Vocabulary, pattern: str) -> HotWords:
-    """The most frequent words of about HOT_DOCS documents (doc_id, text), folded."""
-    spark = documents.sparkSession
+    """The most frequent words of about HOT_DOCS documents (doc_id, text), folded; at most HOT_WORDS of them."""
     total = max(documents.select("doc_id").count(), 1)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = _pretokeniser(pattern)
         for block in text_blocks(batches, BLOCK_BYTES):
-            parts = Counter(part for text in block.column("text").to_pylist() for part in stretches(text))
+            parts: Counter = Counter()
+            for first, rest in map(stretches, block.column("text").to_pylist()):
+                parts[first] += 1
+                parts.update([" " + part for part in rest])
             words: Counter = Counter()
             for part, n in parts.items():
                 for word in compiled.findall(part):
@@ -291,25 +296,29 @@ def learn_hot_words(documents: DataFrame, vocabulary: Vocabulary, pattern: str)
                 word, n = zip(*kept, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n, pa.int64())], ["word", "n"])
 
-    sample = documents.where(place <= HOT_DOCS / total).mapInArrow(count, "word string, n long")
-    top = sample.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(HOT_WORDS)
-    words = [row.word for row in top.select("word").collect()]
-
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array([[list(w.encode())] for w in batch.column("word").to_pylist()], pa.list_(pa.list_(pa.int64())))],
-                ["word", "words"],
-            )
-
-    if not words:
-        return HotWords({}, [])
-    rows = spark.createDataFrame(pa.table({"word": words})).repartition(spark.sparkContext.defaultParallelism * 2)
-    rows = rows.mapInArrow(bytes_of, "word string, words array<array<bigint>>")
-    folded = rows.select("word", F.get(fold_words(F.col("words"), vocabulary), F.lit(0)).alias("ids")).toArrow()
-    return HotWords(
-        {word: i for i, word in enumerate(folded.column("word").to_pylist())}, folded.column("ids").to_pylist()
-    )
+            data, starts = flat_bytes(batch.column("word"))
+            each = pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(data.astype(np.int64)))
+            one = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32), each)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), one], ["word", "words"])
+
+    sample = documents.where(place <= HOT_DOCS / total).mapInArrow(count, "word string, n long")
+    counted = stored(sample.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # One row per frequency, to find the least frequency of which all words have room.
+    room, least = HOT_WORDS, 1 << 62
+    for row in counted.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        room -= row.words
+        if room < 0:
+            break
+        least = row.n
+    rows = counted.where(F.col("n") >= least).select("word").mapInArrow(bytes_of, "word string, words array<array<bigint>>")
+    folded = rows.select("word", F.get(fold_words(F.col("words"), vocabulary), F.lit(0)).cast("array<int>").alias("ids")).toArrow()
+    if not folded.num_rows:
+        return HotWords(pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(1, np.int64))
+    ids = folded.column("ids").combine_chunks()
+    edges = ids.offsets.to_numpy().astype(np.int64)
+    return HotWords(folded.column("word").combine_chunks(), ids.flatten().to_numpy(), edges - edges[0])
 
 
 def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
@@ -318,38 +327,62 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
     The digests are those of the decimal ids joined by commas, and of the bytes decoded from the ids.
     """
     vocabulary = read_ranks(ranks)
-    spark = documents.sparkSession
+    context = documents.sparkSession.sparkContext
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    hot = spark.sparkContext.broadcast(learn_hot_words(rows, vocabulary, pattern))  # bounded by HOT_WORDS
-    shared = spark.sparkContext.broadcast(vocabulary.ranks)
-    encoded = _blocks(rows, pattern, hot).withColumn("ids", fold_words(F.col("words"), vocabulary)).drop("words")
+    learned = learn_hot_words(rows, vocabulary, pattern)  # bounded by HOT_WORDS
+    words, hot, shared = map(context.broadcast, (learned.words, learned._replace(words=None), vocabulary.ranks))
+    encoded = _blocks(rows, pattern, words).withColumn("ids", fold_words(F.col("words"), vocabulary)).drop("words")
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Vocabulary(shared.value)
         for batch in batches:
             for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                parts = _from_block(row, hot.value.ids, own)
-                lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-                decimals = [",".join(map(str, part)) for part in parts]
-                decoded = [decode(part, own) for part in parts]
-                stream = np.frombuffer(row.column("stream")[0].as_py(), np.int32)
-                edges = np.cumsum([0, *np.frombuffer(row.column("sizes")[0].as_py(), np.int32).tolist()])
-                out: list[list] = [[] for _ in range(4)]
-                for a, b in zip(edges, edges[1:], strict=False):
-                    at = stream[a:b].tolist()
-                    joined = ",".join([decimals[i] for i in at if decimals[i]])
-                    data = b"".join([decoded[i] for i in at])
-                    out[0].append(int(lengths[stream[a:b]].sum()))
-                    out[1].append(hashlib.sha256(joined.encode()).hexdigest())
-                    out[2].append(hashlib.sha256(data).hexdigest())
-                    if ids:
-                        out[3].append([x for i in at for x in parts[i]])
-                columns = [pa.array(row.column("doc_ids")[0].as_py(), pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
-                if ids:
-                    columns.append(pa.array(out[3], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield _digests(batch.slice(k, 1), hot.value, own, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
     return encoded.mapInArrow(run, schema)
+
+
+def _digests(row: pa.RecordBatch, hot: HotWords, vocabulary: Vocabulary, names: list[str]) -> pa.RecordBatch:
+    """The documents of a block of one row, put together from their stretches, those from their words."""
+    folded = _lists(row.column("ids"))
+    merged = [merge_by_heap(word, vocabulary) for word in row.column("long_words")[0].as_py()]
+    used, place = np.unique(_numbers(row, "word_stream"), return_inverse=True)
+    words = [
+        folded[-1 - w] if w < 0 else hot.ids[hot.edges[w] : hot.edges[w + 1]].tolist() if w < _REST else merged[w - _REST]
+        for w in used.tolist()
+    ]
+    edges = np.concatenate([[0], np.cumsum(_numbers(row, "word_counts"))])
+    upto = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words))[place])])
+    lengths = upto[edges[1:]] - upto[edges[:-1]]
+    place, cuts = place.tolist(), edges.tolist()
+
+    def by_stretch(of_words: list, join) -> list:
+        return [
+            of_words[place[a]] if b == a + 1 else join([of_words[i] for i in place[a:b]])
+            for a, b in zip(cuts, cuts[1:], strict=False)
+        ]
+
+    decimals = by_stretch([f",{','.join(map(str, ids))}" for ids in words], "".join)
+    decoded = by_stretch([decode(ids, vocabulary) for ids in words], b"".join)
+    parts = by_stretch(words, lambda lists: list(chain.from_iterable(lists))) if len(names) > 4 else []
+    del words
+    first, rest = _numbers(row, "first"), _numbers(row, "rest")
+    ends = np.cumsum([0, *_numbers(row, "sizes").tolist()])
+    counts, ids_sha, text_sha, lists = [], [], [], []
+    for lead, a, b in zip(first.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        at = [lead, *rest[a:b].tolist()]
+        counts.append(int(lengths[lead] + lengths[rest[a:b]].sum()))
+        ids_sha.append(hashlib.sha256("".join([decimals[i] for i in at])[1:].encode()).hexdigest())
+        text_sha.append(hashlib.sha256(b"".join([decoded[i] for i in at])).hexdigest())
+        if parts:
+            lists.append(np.array(list(chain.from_iterable([parts[i] for i in at])), np.int32))
+    columns = [
+        pa.array(row.column("doc_ids")[0].as_py(), pa.int64()),
+        pa.array(counts, pa.int64()),
+        pa.array(ids_sha, pa.string()),
+        pa.array(text_sha, pa.string()),
+        *([pa.array(lists, pa.list_(pa.int32()))] if len(names) > 4 else []),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names)
