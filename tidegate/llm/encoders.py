@@ -14,7 +14,7 @@ import numpy as np
 #: a space only begins a piece there, and no piece looks across it.
 _CUT = re.compile(r"(?<=\S)(?= )")
 _SPACES = [char for char in map(chr, range(sys.maxunicode + 1)) if char.isspace() and char != " "]
-MOST_STRETCHES = 600_000
+MOST_STRETCHES = 1_200_000
 
 
 def _runs_of_spaces(text: str) -> bool:
@@ -72,14 +72,28 @@ class WordEncoder:
                 table.clear()
         leading, spaced, tails = known
         self._add(leading, "", {first for first, _ in split})
-        new = {part for _, rest in split for part in rest if part not in spaced}
+        known_bytes = [list(map(spaced.get, rest)) for _, rest in split]
+        new = {
+            part
+            for (_, rest), found in zip(split, known_bytes, strict=True)
+            if None in found
+            for part, data in zip(rest, found, strict=True)
+            if data is None
+        }
         # Letters and punctuation behind them are never one piece, so they are encoded apart.
         ended = {part: body for part in new if (body := part.rstrip(string.punctuation)) != part and body.isalpha()}
         self._add(spaced, " ", (new - set(ended)) | set(ended.values()))
         self._add(tails, "", {part[len(body) :] for part, body in ended.items()})
         for part, body in ended.items():
             spaced[part] = spaced[body] + tails[part[len(body) :]]
-        return [np.frombuffer(b"".join([leading[first], *map(spaced.__getitem__, rest), end]), "<u4") for first, rest in split]
+        # The bytes of those that were missing are looked up again.
+        for k, ((_, rest), found) in enumerate(zip(split, known_bytes, strict=True)):
+            if None in found:
+                known_bytes[k] = [spaced[part] if data is None else data for part, data in zip(rest, found, strict=True)]
+        return [
+            np.frombuffer(b"".join([leading[first], *found, end]), "<u4")
+            for (first, _), found in zip(split, known_bytes, strict=True)
+        ]
 
     def _add(self, table: dict[str, bytes], lead: str, new: set[str]) -> None:
         parts = [part for part in new if part not in table]
