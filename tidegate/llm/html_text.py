@@ -6,8 +6,9 @@ elements named so by their class, id or role) make no line. A line's text-to-tag
 its tags. The ratios are smoothed with a Gaussian along the page. Neighbouring lines of one container are a
 region; a region is content if one of its smoothed ratios reaches the threshold, the standard deviation of all,
 or the largest ratio where that is lower. Content regions are kept whole, so short paragraphs of an article
-stay. Where the page marks an article or main element with text, regions outside are not considered; on other
-pages a region without a heading must also reach the threshold by itself, all its characters by all its tags.
+stay. Where the page marks an article or main element with text, every line of it is content and nothing outside
+is; on other pages a region without a heading must also reach the threshold by itself, all its characters by all
+its tags.
 
 Defined results: a null, empty or text-free page has the empty text. Character references are decoded; white
 space inside a block becomes one space; blocks are joined by one space in page order. Unclosed and stray
@@ -162,18 +163,19 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.flush()
     marked = [line for line in parser.lines if line[3]]
-    lines = marked or parser.lines
+    if marked:
+        return " ".join(line[0] for line in marked)
+    lines = parser.lines
     if not lines:
         return ""
     ratio = _smooth(np.array([len(text) / max(tags, 1) for text, tags, *_ in lines]))
     threshold = min(float(ratio.std()), float(ratio.max()))
     content = {line[2] for line, r in zip(lines, ratio, strict=True) if r >= threshold}
-    if not marked:
-        for region in list(content):
-            own = [line for line in lines if line[2] == region]
-            dense = sum(len(line[0]) for line in own) >= threshold * max(sum(line[1] for line in own), 1)
-            if not dense and not any(line[4] for line in own):
-                content.discard(region)
+    for region in list(content):
+        own = [line for line in lines if line[2] == region]
+        dense = sum(len(line[0]) for line in own) >= threshold * max(sum(line[1] for line in own), 1)
+        if not dense and not any(line[4] for line in own):
+            content.discard(region)
     return " ".join(line[0] for line in lines if line[2] in content)
 
 
