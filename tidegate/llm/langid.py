@@ -38,7 +38,8 @@ FEW = 24  # below so many documents in step, plain loops are faster than numpy
 class LanguageModel(NamedTuple):
     languages: list[str]
     alphabet: list[str]  # codes from 1; 0 is the space, the last code any other letter
-    table: np.ndarray  # (state, code) -> state of the whole table, -1 where no such piece goes on
+    to: np.ndarray  # at state + code: the state that follows if `owner` there is the state; else no such piece goes on
+    owner: np.ndarray
     roots: np.ndarray  # (language, code) -> state of a phrase that starts with the code; a dead end if none does
     chars: np.ndarray  # characters of labelled text of each language
 
@@ -93,6 +94,49 @@ def _suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+def _packed(automata: list[list[dict[int, int]]], width: int) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+    """All transitions in one array: `to` and `owner` at state + code, and the new number of each state.
+
+    A state's number is a place of its own such that its codes fall on free entries, so the size follows the
+    transitions and not states times letters. Number 0 has no transition.
+    """
+    states = [(k, state) for k, moves in enumerate(automata) for state in range(len(moves))]
+    states.sort(key=lambda x: -len(automata[x[0]][x[1]]))
+    numbers = [[0] * len(moves) for moves in automata]
+    taken, used, low = bytearray(width), bytearray(width), 0
+    used[0] = 1
+    for k, state in states:
+        codes = sorted(automata[k][state]) or [0]
+        ends = not automata[k][state]
+        at, tries = low, 0
+        while True:
+            at = used.find(0, at) if ends else taken.find(0, at)
+            if at < 0 or at - codes[0] + width >= len(taken):
+                size = len(taken)
+                taken.extend(bytes(size + width))
+                used.extend(bytes(size + width))
+                at = max(low, 0) if at < 0 else at
+                continue
+            number = at - codes[0]
+            if number > 0 and not used[number] and (ends or not any(taken[number + c] for c in codes)):
+                break
+            at, tries = at + 1, tries + 1
+        if tries > 50 and not ends:
+            low = at  # few entries below are free
+        used[number] = 1
+        numbers[k][state] = number
+        if not ends:
+            for c in codes:
+                taken[number + c] = 1
+    to, owner = np.full(len(taken), -1, np.int32), np.full(len(taken), -1, np.int32)
+    for moves, number in zip(automata, numbers, strict=True):
+        for state, after in enumerate(moves):
+            at = number[state]
+            for c, x in after.items():
+                to[at + c], owner[at + c] = number[x], at
+    return to, owner, numbers
+
+
 def fit(sample: dict[str, str]) -> LanguageModel:
     """The model of some text per language."""
     languages = sorted(lang for lang, text in sample.items() if any(map(str.isalpha, text)))
@@ -100,26 +144,13 @@ def fit(sample: dict[str, str]) -> LanguageModel:
     alphabet = sorted({chr(p) for points in letters.values() for p in np.unique(points) if p})
     width = len(alphabet) + 2
     code = {ord(char): i + 1 for i, char in enumerate(alphabet)} | {0: 0}
+    automata = [_suffix_automaton([code[int(p)] for p in letters[lang]]) for lang in languages]
+    to, owner, numbers = _packed(automata, width)
     # State 0 is the dead end: a character that the language's text lacks is a phrase of its own.
-    tables, roots = [np.full((1, width), -1, np.int32)], []
-    base = 1
-    for lang in languages:
-        moves = _suffix_automaton([code[int(p)] for p in letters[lang]])
-        table = np.full((len(moves), width), -1, np.int32)
-        for state, to in enumerate(moves):
-            table[state, list(to)] = [base + x for x in to.values()]
-        root = table[0].copy()
-        root[root < 0] = 0
-        tables.append(table)
-        roots.append(root)
-        base += len(moves)
-    return LanguageModel(
-        languages,
-        alphabet,
-        np.concatenate(tables),
-        np.stack(roots) if roots else np.zeros((0, width), np.int32),
-        np.array([len(letters[lang]) for lang in languages], float),
-    )
+    roots = np.zeros((len(languages), width), np.int32)
+    for root, moves, number in zip(roots, automata, numbers, strict=True):
+        root[list(moves[0])] = [number[x] for x in moves[0].values()]
+    return LanguageModel(languages, alphabet, to, owner, roots, np.array([len(letters[lang]) for lang in languages], float))
 
 
 def learn(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
@@ -145,11 +176,11 @@ def learn(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
 def _codes(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all texts one after another, and where each starts (one more entry: the end)."""
-    code = np.full(sys.maxunicode + 1, len(model.alphabet) + 1, np.uint8)
+    code = np.full(sys.maxunicode + 1, len(model.alphabet) + 1, np.int32)
     code[0] = 0
     code[[ord(char) for char in model.alphabet]] = np.arange(1, len(model.alphabet) + 1)
     parts = [code[_letters(text)] for text in texts]
-    return np.concatenate([*parts, np.zeros(0, np.uint8)]), np.cumsum([0, *map(len, parts)])
+    return np.concatenate([*parts, np.zeros(0, np.int32)]), np.cumsum([0, *map(len, parts)])
 
 
 def count_phrases(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
@@ -161,8 +192,7 @@ def count_phrases(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, n
     lengths = np.diff(starts)
     order = np.argsort(-lengths, kind="stable")
     first, size = starts[:-1][order], lengths[order]
-    width = model.table.shape[1]
-    table, roots = model.table.reshape(-1), model.roots
+    table, owner, roots = model.to, model.owner, model.roots
     phrases = np.zeros((len(model.languages), len(texts)), np.int64)
     active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
     state = np.zeros((len(model.languages), len(texts)), np.int64)
@@ -172,23 +202,23 @@ def count_phrases(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, n
     while step < len(active) and active[step] >= FEW:
         k = active[step]
         char = flat[first[:k] + step].astype(np.int64)
-        to = table[state[:, :k] * width + char]
-        ended = to < 0
+        at = state[:, :k] + char
+        ended = owner[at] != state[:, :k]
         phrases[:, :k] += ended
-        state[:, :k] = np.where(ended, roots[:, char], to)
+        state[:, :k] = np.where(ended, roots[:, char], table[at])
         step += 1
     if step < len(active):
-        plain = memoryview(np.ascontiguousarray(table))
+        plain, owners = memoryview(table), memoryview(owner)
         for at in range(active[step]):
             chars = flat[first[at] + step : first[at] + size[at]].tolist()
             for lang in range(len(model.languages)):
                 now, n, again = int(state[lang, at]), 0, roots[lang].tolist()
                 for char in chars:
-                    to = plain[now * width + char]
-                    if to < 0:
+                    if owners[now + char] == now:
+                        now = plain[now + char]
+                    else:
                         n += 1
-                        to = again[char]
-                    now = to
+                        now = again[char]
                 phrases[lang, at] += n
     out = np.empty_like(phrases)
     out[:, order] = phrases + (size > 0)
