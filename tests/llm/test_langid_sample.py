@@ -32,3 +32,18 @@ def test_samples_of_many_letters_equal_brute_force(monkeypatch, few):
         for i, text in enumerate(texts):
             assert lengths[i] == len(text) and got[k, i] == phrases_of(text, sample[lang])
     assert langid.classify(texts[:3], model)[0] == ["zh", "ko", "en"]
+
+
+def test_long_labelled_documents_teach(spark):
+    base = {"en": "the house and the garden of the old man ", "de": "das haus und der garten des alten mannes "}
+    rows = [(k, ("7 " * 30_000 if k % 2 else "") + text * 900, lang) for k, (lang, text) in enumerate(list(base.items()) * 2)]
+    rows += [(10 + k, "der hund und die katze des mannes " * 2, "nl") for k in range(5)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["de", "en", "nl"]
+    assert langid.classify(["the old garden", "der alte garten"], model)[0] == ["en", "de"]
+
+
+def test_texts_with_a_letter_stay_where_no_language_was_learned(spark):
+    rows = [(1, "the house", None), (2, "12 3", None), (3, None, None), (4, "猫", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in langid.known_language(docs, langid.learn(docs)).collect()) == [1, 4]

@@ -7,7 +7,7 @@ entropy c * log2(N) / n with N characters of labelled text and n of the document
 to the language first in order.
 
 Defined results: a null text, or one without a letter, is `und` with score 0. Without any labelled text all
-documents are `und`. A null language label or text teaches nothing. Letters are compared in lower case; a
+documents are `und`. A null language label or text teaches nothing; of a long one a piece does. Letters are compared in lower case; a
 run of other characters counts as one space. Repeated rows and ids are predicted one by one; other columns
 of the input are not read.
 """
@@ -30,7 +30,7 @@ from tidegate.llm.blocks import text_blocks
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 200  # bound of the labelled sample, documents
 CHARS_PER_LANGUAGE = 25_000  # and its characters after normalisation
-LONGEST_SAMPLE = 20_000  # labelled documents above this many characters are not taken into the sample
+LONGEST_PIECE = 20_000  # of a labelled document so many characters from its first letter on are taken
 BLOCK_BYTES = 24_000_000
 FEW = 24  # below so many documents in step, plain loops are faster than numpy
 
@@ -158,11 +158,13 @@ def learn(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     known = labelled.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = known.where(F.length("text") <= LONGEST_SAMPLE)
+    known = known.where(F.col("text").rlike(r"\p{L}"))
     # Places on a ring of ids: each language keeps the share of the ring that holds about as many as it needs.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
     share = known.join(F.broadcast(counts), "lang").where(place * F.col("n") <= 2.0 * DOCS_PER_LANGUAGE)
+    piece = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, LONGEST_PIECE)
+    share = share.withColumn("text", F.when(F.length("text") > LONGEST_PIECE, piece).otherwise(F.col("text")))
     sample: dict[str, list[str]] = {}
     room: dict[str, list[int]] = {}
     for row in sorted(share.select("lang", "text", place.alias("place")).collect(), key=lambda r: (r.lang, r.place, r.text)):
@@ -256,13 +258,20 @@ def label(documents: DataFrame, model: LanguageModel, text: str = "text") -> Dat
 
 
 def known_language(documents: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The rows, all columns, whose language is told; those that are UNKNOWN go."""
+    """The rows, all columns, whose language is told; those that are UNKNOWN go.
+
+    Where no language was learned, only rows without a letter go.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by CHARS_PER_LANGUAGE a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, BLOCK_BYTES, text):
-            names, _ = classify(block.column(text).to_pylist(), shared.value)
-            yield block.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
+            texts = block.column(text).to_pylist()
+            if shared.value.languages:
+                known = [name != UNKNOWN for name in classify(texts, shared.value)[0]]
+            else:
+                known = [x is not None and any(map(str.isalpha, x)) for x in texts]
+            yield block.filter(pa.array(known, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 
