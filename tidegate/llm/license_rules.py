@@ -2,7 +2,8 @@
 
 Patterns are written over words in lower case with one space between them, where `2.0` is `2 0` and a URL is
 its words. Priority 100 is for identifiers and addresses, 80 for names, 60 for sentences of the text itself.
-A pattern is only tried where its keyword occurs.
+A pattern is only tried where its keyword occurs; where a match need not hold the keyword, GATES names what
+every match holds, and that is looked for instead.
 """
 
 RULES = """
@@ -278,3 +279,19 @@ proprietary | 80 | all rights | all rights reserved
 proprietary | 80 | proprietary | proprietary and confidential
 proprietary | 60 | unauthorized | unauthorized copying of this file via any medium is strictly prohibited
 """
+
+#: Of patterns whose matches need not hold their keyword: what all of them hold. The keyword itself stays in the
+#: table, since the query's SQL is written from it.
+GATES = {
+    "(released|licensed|distributed|available|provided|published) under (the )?(terms of the )?mit": " mit",
+    "licen[sc]e (is )?mit": " mit",
+    "expat licen[sc]e": "expat",
+    "(mit )?x11 licen[sc]e": "x11",
+    "asl 2 0": "asl 2 0",
+    "either version 2 of the license or at your option any later version": "either version",
+    "either version 3 of the license or at your option any later version": "either version",
+    "(simplified|freebsd) (bsd )?licen[sc]e": "licen",
+    "isc licen[sc]e": "isc licen",
+    "do what the [a-z]+ you want to public licen[sc]e": "public licen",
+    "(creativeml |bigscience |bigcode )?open ?rail( m| s)?( licen[sc]e)?": "rail",
+}

@@ -1,8 +1,8 @@
 """Licence scan with ordered signature rules, in DataFrame functions only.
 
 A text becomes its words in lower case, each between two spaces of its own, so that neighbouring matches share
-nothing. Rules (license_rules.py) are grouped by keyword; only the groups whose keyword occurs in the text are
-tried. A detection is (priority, rule, label, start, end). A detection that lies inside another is suppressed
+nothing. Rules (license_rules.py) are grouped by gate, a string that every match holds; only the groups whose gate
+occurs in the text are tried. A detection is (priority, rule, label, start, end). A detection that lies inside another is suppressed
 if the other has a higher priority, or the same and is longer, or is equal in both and earlier in the list of
 rules. The labels of a text are those of the detections left, together with the base phrases, which always
 count: a phrase's label stands wherever its words stand one after another.
@@ -23,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.license_rules import RULES
+from tidegate.llm.license_rules import GATES, RULES
 
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 BASE_PRIORITY = 80
@@ -36,13 +36,14 @@ class Rule(NamedTuple):
     priority: int
     keyword: str
     pattern: str  # over words that stand between two spaces
+    gate: str  # what every match holds: the keyword or, where it isn't implied, another string
 
 
 def read_rules(lines: str = RULES) -> list[Rule]:
     out = []
     for line in lines.strip().splitlines():
         label, priority, keyword, pattern = (part.strip() for part in line.split("|", 3))
-        out.append(Rule(len(out), label, int(priority), keyword, spaced(pattern)))
+        out.append(Rule(len(out), label, int(priority), keyword, spaced(pattern), GATES.get(pattern, keyword)))
     return out
 
 
@@ -79,14 +80,14 @@ def detections(text: Column, words: Column, rules: Sequence[Rule]) -> Column:
     """All detections in the order start, longest, highest priority, first rule."""
     groups: dict[str, list[dict]] = {}
     for rule in rules:
-        groups.setdefault(rule.keyword, []).append(
+        groups.setdefault(rule.gate, []).append(
             {"number": rule.number, "label": rule.label, "priority": rule.priority, "pattern": rule.pattern}
         )
     table = F.from_json(
-        F.lit(json.dumps([{"keyword": k, "rules": v} for k, v in groups.items()])),
-        "array<struct<keyword:string,rules:array<struct<number:int,label:string,priority:int,pattern:string>>>>",
+        F.lit(json.dumps([{"gate": k, "rules": v} for k, v in groups.items()])),
+        "array<struct<gate:string,rules:array<struct<number:int,label:string,priority:int,pattern:string>>>>",
     )
-    tried = F.flatten(F.transform(F.filter(table, lambda g: F.contains(words, g["keyword"])), lambda g: g["rules"]))
+    tried = F.flatten(F.transform(F.filter(table, lambda g: F.contains(words, g["gate"])), lambda g: g["rules"]))
     found = F.transform(
         tried,
         lambda rule: F.transform(
