@@ -25,7 +25,7 @@ from tidegate.llm.blocks import flat_bytes, text_blocks
 
 SAMPLE_ROWS = 2500  # bound of the labelled sample, documents
 SAMPLE_BYTES = 8_000_000  # and bytes
-LONGEST_SAMPLE = 20_000  # labelled documents above this many characters are not taken into the sample
+LONGEST_PIECE = 20_000  # of a longer labelled document the first characters are taken
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 EPOCHS = 6
@@ -140,14 +140,15 @@ def learn(
 ) -> QualityModel:
     """Fit on a bounded sample of at most SAMPLE_ROWS labelled documents, picked by a hash of the id.
 
-    The pick is made on both sides before they are joined, so no text of other documents is moved.
+    Of a document above LONGEST_PIECE characters so many are learned from. The pick is made on both sides
+    before they are joined, so no text of other documents is moved.
     """
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     bound = 1.2 * SAMPLE_ROWS / max(known.count(), 1)
-    texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    texts = texts.where(F.col("text").isNotNull() & (F.length("text") <= LONGEST_SAMPLE) & (place <= bound))
+    texts = documents.select(F.col(doc_id).alias("doc_id"), F.substring(text, 1, LONGEST_PIECE).alias("text"))
+    texts = texts.where(F.col("text").isNotNull() & (place <= bound))
     picked = texts.join(known.where(place <= bound), "doc_id").select("text", "label", place.alias("place"))
     sample, marks, size = [], [], 0
     for row in sorted(picked.collect(), key=lambda r: (r.place, r.text, r.label))[:SAMPLE_ROWS]:
