@@ -163,7 +163,7 @@ def test_versions_of_one_id_are_one_document(spark):
 @pytest.fixture(scope="module")
 def sql():
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     return con
 
@@ -172,7 +172,7 @@ def sql():
 def test_queries_equal_their_sql(spark, sql, name):
     got = queries.ALL[name].run(spark, SMALL).toPandas()
     want = sql.execute(queries.ALL[name].sql).df()[list(got.columns)]
-    got, want = (x.astype(object).where(x.notna(), None).sort_values("doc_id").reset_index(drop=True) for x in (got, want))
+    got, want = (x.astype(object).where(x.notna(), None).sort_values(list(x.columns)[:3]).reset_index(drop=True) for x in (got, want))
     pd.testing.assert_frame_equal(got, want, check_dtype=False)
 
 

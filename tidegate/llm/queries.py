@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, decontaminate, html_text, langid, license_scan, quality_model, quality_rules, simhash, substring_dedup, token_store
+from tidegate.llm import (
+    bpe,
+    collocations,
+    decontaminate,
+    html_text,
+    langid,
+    license_scan,
+    line_dedup,
+    quality_model,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    token_store,
+    vector_codes,
+)
 from tidegate.queries.base import Query, table
 
 
@@ -105,6 +119,20 @@ def license_labels(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+def vector_compression(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf, "embeddings"))
+
+
+def shared_lines(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = line_dedup.drop_shared_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
+def phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 ALL: dict[str, Query] = {
     "op1_byte_level_bpe": Query(byte_level_bpe),
     "op2_language_id": Query(language_id),
@@ -116,4 +144,7 @@ ALL: dict[str, Query] = {
     "op8_token_binary": Query(token_ids),
     "op9_substring_dedup": Query(repeated_passages, REPEATED_SQL),
     "op10_license_scan": Query(license_labels, license_scan.scan_sql()),
+    "op11_vector_codes": Query(vector_compression, vector_codes.CODES_SQL),
+    "op12_line_dedup": Query(shared_lines, line_dedup.LINES_SQL),
+    "op13_phrase_collocations": Query(phrase_collocations, collocations.COLLOCATIONS_SQL),
 }
