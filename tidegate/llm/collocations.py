@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,8 @@ TOP = 2000
 SPLITS = 64
 HOT_SHARE = 1000
 BLOCK_BYTES = 8_000_000
-SHARD_BYTES = 32_000_000
-MOST_HELD = 4_000_000  # entries of a merging task before it adds them up
+SHARD_BYTES = 8_000_000
+MOST_HELD = 1_000_000  # entries of a merging task before it adds them up
 _MAP = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 _STRIPES = "lang string, shard int, prefixes array<binary>, pieces array<int>, sizes array<int>, nexts array<binary>, counts array<long>"
 _MERGED = "lang string, prefix binary, piece int, total long, nexts array<binary>, counts array<long>, hashes array<long>"
@@ -86,60 +87,90 @@ class Tokens:
         whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[~apart].tobytes())])
         coded = whole.dictionary_encode()
         self.word = coded.indices.to_numpy().astype(np.int64)
-        self.words = coded.dictionary.to_pylist()
-        self.hashes = word_hashes(self.words, lang)
+        self.words = coded.dictionary
+        self.hashes = word_hashes(self.words.to_pylist(), lang)
 
-    def phrases(self, at: np.ndarray, n: int) -> list[bytes]:
-        columns = [pa.array(self.words, pa.large_binary()).take(pa.array(self.word[at + k])) for k in range(n)]
-        return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())).to_pylist() if n > 1 else columns[0].to_pylist()
+    def phrases(self, at: np.ndarray, n: int) -> pa.Array:
+        columns = [self.words.take(pa.array(self.word[at + k])) for k in range(n)]
+        return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if n > 1 else columns[0]
 
 
-def block_stripes(texts: list[bytes], lang: str, frequent: list[Filter], hot: set[int]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """The stripes of prefixes with len(frequent) words: prefixes, pieces, and per element its stripe, count and next word.
+class Stripes(NamedTuple):
+    """The stripes of a block: per stripe its prefix, piece and hash; per element, ordered by stripe, its
+    stripe, count and next word, null for all that have no name of their own."""
+
+    prefixes: pa.Array
+    pieces: np.ndarray
+    hashes: np.ndarray
+    stripe: np.ndarray
+    counts: np.ndarray
+    nexts: pa.Array
+
+
+def block_stripes(texts: list[bytes], lang: str, frequent: list[Filter], hot: set[int]) -> Stripes | None:
+    """The stripes of prefixes with len(frequent) words.
 
     `frequent` are the filters of phrases with 1, 2, ... words, `hot` the hashes of prefixes whose stripes are split.
     """
     tokens, n = Tokens(texts, lang), len(frequent)
+    if not len(tokens.word):
+        return None
     size = len(tokens.words) + 1
     piece_of = (tokens.hashes % np.uint64(SPLITS)).astype(np.int64)
     if not n:
         word, counts = np.unique(tokens.word, return_counts=True)
-        stripe, pieces = np.unique(piece_of[word], return_inverse=True)
-        order = np.argsort(pieces, kind="stable")
-        return [b""] * len(stripe), stripe, pieces[order], counts[order], [tokens.words[w] for w in word[order].tolist()]
+        pieces, stripe = np.unique(piece_of[word], return_inverse=True)
+        order = np.argsort(stripe, kind="stable")
+        empty = pa.array([b""] * len(pieces), pa.large_binary())
+        return Stripes(empty, pieces, np.zeros(len(pieces), np.uint64), stripe[order], counts[order], tokens.words.take(pa.array(word[order])))
 
-    at = np.arange(len(tokens.word))
     hashes = tokens.hashes[tokens.word]
-    good = frequent[0].holds(tokens.hashes)[tokens.word]  # of the phrase with k words from here, k = 1
+    good = frequent[0].holds(tokens.hashes)[tokens.word]  # whether the phrase of k words from here is frequent, k = 1
     code = tokens.word
+    same = tokens.same  # whether the word behind that phrase is of its piece
     for k in range(1, n):
-        both = np.flatnonzero(good[:-1] & good[1:] & tokens.same[: len(good) - 1])
-        both = both[both + k < len(tokens.word)]
-        pair = code[both] * size + tokens.word[both + k]
+        both = np.flatnonzero(good[:-1] & good[1:] & same[:-1])
         longer = joined_hash(hashes[both], tokens.hashes[tokens.word[both + k]])
-        first, inverse = np.unique(pair, return_index=True, return_inverse=True)[1:]
-        held = frequent[k].holds(longer[first])
-        good, new, made = np.zeros(len(good), bool), np.zeros(len(good), np.int64), np.zeros(len(good), np.uint64)
-        good[both], new[both], made[both] = held[inverse], inverse, longer
-        code, hashes = new, made
-        # What follows a phrase of k + 1 words is in the same piece if its last word's follower is.
-        tokens.same = np.append(tokens.same[1:], False) if len(tokens.same) else tokens.same
-    if not good.any():
-        return [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), []
-    at = at[good]
-    # The next word counts by name if the phrase that leaves out the first word is frequent, too.
-    follows = tokens.same[at]
-    after = np.minimum(at + n, len(tokens.word) - 1)
-    named = follows & good[np.minimum(at + 1, len(good) - 1)]
-    nexts = np.where(named, tokens.word[after], size - 1)
+        _, first, inverse = np.unique(code[both] * size + tokens.word[both + k], return_index=True, return_inverse=True)
+        good, code, hashes = np.zeros(len(good), bool), np.zeros(len(good), np.int64), np.zeros(len(good), np.uint64)
+        good[both], code[both], hashes[both] = frequent[k].holds(longer[first])[inverse], inverse, longer
+        same = np.append(same[1:], False)
+    at = np.flatnonzero(good)
+    if not len(at):
+        return None
+    # The next word has its name if the phrase that leaves out the first word is frequent, too.
+    named = same[at] & good[np.minimum(at + 1, len(good) - 1)]
+    nexts = np.where(named, tokens.word[np.minimum(at + n, len(good) - 1)], size - 1)
     apart = np.isin(hashes[at], np.fromiter(hot, np.uint64, len(hot)))
-    piece = np.where(apart & named, piece_of[np.minimum(nexts, size - 2)], 0)
-    key = (code[at] * SPLITS + piece) * size + nexts
-    key, first, counts = np.unique(key, return_index=True, return_counts=True)
+    piece = np.where(apart & named, np.append(piece_of, 0)[nexts], 0)
+    key, first, counts = np.unique((code[at] * SPLITS + piece) * size + nexts, return_index=True, return_counts=True)
     stripe, begin, number = np.unique(key // size, return_index=True, return_inverse=True)
-    prefixes = tokens.phrases(at[first[begin]], n)
-    names = [*tokens.words, b""]
-    return prefixes, stripe % SPLITS, number, counts, [names[w] for w in (key % size).tolist()]
+    lead, word = at[first[begin]], key % size
+    names = tokens.words.take(pa.array(word, mask=word == size - 1))
+    return Stripes(tokens.phrases(lead, n), stripe % SPLITS, hashes[lead], number, counts, names)
+
+
+def packed(lang: str, made: Stripes, shards: int) -> pa.RecordBatch:
+    """One row per shard with all its stripes."""
+    salted = _mixed(made.hashes + made.pieces.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    shard = (salted % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    moved = np.argsort(place[made.stripe], kind="stable")
+    sizes = np.bincount(made.stripe, minlength=len(order))[order]
+    kept, first = np.unique(shard[order], return_index=True)
+    ends = np.append(first, len(order)).astype(np.int32)
+    element_ends = np.concatenate([[0], np.cumsum(sizes)])[ends].astype(np.int32)
+    listed = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends), values)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([lang] * len(kept)), pa.array(kept, pa.int32()), listed(ends, made.prefixes.take(pa.array(order)).cast(pa.binary())),
+            listed(ends, pa.array(made.pieces[order], pa.int32())), listed(ends, pa.array(sizes, pa.int32())),
+            listed(element_ends, made.nexts.take(pa.array(moved)).cast(pa.binary())), listed(element_ends, pa.array(made.counts[moved], pa.int64())),
+        ],
+        ["lang", "shard", "prefixes", "pieces", "sizes", "nexts", "counts"],
+    )
 
 
 def stripes(rows: DataFrame, frequent, hot: dict[str, set[int]], shards: int) -> DataFrame:
@@ -149,39 +180,16 @@ def stripes(rows: DataFrame, frequent, hot: dict[str, set[int]], shards: int) ->
         filters = frequent.value
         for block in text_blocks(batches, BLOCK_BYTES):
             langs = block.column("lang").dictionary_encode()
-            texts, out = block.column("text").to_pylist(), []
-            number = langs.indices.to_numpy()
+            texts, number = block.column("text").to_pylist(), langs.indices.to_numpy()
             for k, lang in enumerate(langs.dictionary.to_pylist()):
                 own = [texts[i] for i in np.flatnonzero(number == k).tolist()]
-                prefixes, pieces, stripe, counts, nexts = block_stripes(own, lang, filters, hot.get(lang, set()))
-                if not len(prefixes):
-                    continue
-                shard = np.array([xxhash.xxh32_intdigest(p, int(c)) % shards for p, c in zip(prefixes, pieces.tolist(), strict=True)])
-                edges = np.searchsorted(stripe, np.arange(len(prefixes) + 1))
-                for s in np.unique(shard).tolist():
-                    chosen = np.flatnonzero(shard == s).tolist()
-                    out.append(
-                        {
-                            "lang": lang, "shard": s, "prefixes": [prefixes[i] for i in chosen], "pieces": [int(pieces[i]) for i in chosen],
-                            "sizes": [int(edges[i + 1] - edges[i]) for i in chosen],
-                            "nexts": [w for i in chosen for w in nexts[edges[i] : edges[i + 1]]],
-                            "counts": np.concatenate([counts[edges[i] : edges[i + 1]] for i in chosen]),
-                        }
-                    )
-            if out:
-                yield pa.RecordBatch.from_pylist(out, _SCHEMA)
+                made = block_stripes(own, lang, filters, hot.get(lang, set()))
+                if made is not None:
+                    yield packed(lang, made, shards)
 
     return rows.select("lang", "text").mapInArrow(run, _STRIPES)
 
 
-_SCHEMA = pa.schema(
-    [
-        ("lang", pa.string()), ("shard", pa.int32()), ("prefixes", pa.list_(pa.binary())), ("pieces", pa.list_(pa.int32())),
-        ("sizes", pa.list_(pa.int32())), ("nexts", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())),
-    ]
-)
-
-
 def _elements(batch: pa.RecordBatch) -> pa.Table:
     """One row per element of the packed stripes."""
     lists = {c: batch.column(c) for c in ("prefixes", "pieces", "sizes", "nexts", "counts")}
@@ -197,7 +205,7 @@ def _elements(batch: pa.RecordBatch) -> pa.Table:
 _KEYS = ["lang", "prefix", "piece", "next"]
 
 
-def merged(packed: DataFrame, shards: int, min_count: int) -> DataFrame:
+def merged(blocks: DataFrame, shards: int, min_count: int) -> DataFrame:
     """Whole stripes: the sum of all elements, and the elements that reach the threshold, with the hashes of their phrases.
 
     A task holds its shards' distinct elements; the number of shards follows the size of the texts.
@@ -220,13 +228,13 @@ def merged(packed: DataFrame, shards: int, min_count: int) -> DataFrame:
         if size:
             yield from _whole_stripes(added(), min_count)
 
-    return packed.repartition(shards, "lang", "shard").mapInArrow(run, _MERGED)
+    return blocks.repartition(shards, "lang", "shard").mapInArrow(run, _MERGED)
 
 
 def _whole_stripes(elements: pa.Table, min_count: int) -> Iterator[pa.RecordBatch]:
     totals = elements.group_by(["lang", "prefix", "piece"], use_threads=False).aggregate([("n", "sum")])
     totals = totals.rename_columns(["lang", "prefix", "piece", "total"])
-    large = elements.filter(pc.and_(pc.greater_equal(elements["n"], min_count), pc.not_equal(elements["next"], pa.scalar(b""))))
+    large = elements.filter(pc.and_(pc.greater_equal(elements["n"], min_count), pc.is_valid(elements["next"])))
     large = large.sort_by([("lang", "ascending"), ("prefix", "ascending"), ("piece", "ascending")])
     found: dict[tuple, tuple[list[bytes], list[int]]] = {}
     for lang, prefix, piece, word, n in zip(*[large[c].to_pylist() for c in (*_KEYS, "n")], strict=True):
