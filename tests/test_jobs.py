@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.plans import jobs, publish
+from tidegate.sinks import versions
 from tidegate.sources.control import read_rules
 from tidegate.sources.text import read_lines
 
@@ -68,7 +69,8 @@ def test_publish_archive(spark, tmp_path, text_file, rows, rules):
     assert bad == [("bad", f"{SMS}_01"), ("o|o|o", f"Other_{SMS[4:]}_01")]
     tried = publish.processed_files(spark, target).select("file_name", "extension").distinct()
     assert rows(tried) == [(n, "txt") for n in sorted([f"{LINE}_01", f"{SMS}_01", f"{SMS}_02", f"Other_{SMS[4:]}_01"])]
-    folder = f"{target}/outcome=published/entity=sms/date_range={RANGE}/file_name={SMS}_01/extension=txt"
+    (version,) = [f for f in os.listdir(target) if f.startswith("version=") and os.path.exists(f"{target}/{f}")][:1]
+    folder = f"{target}/{version}/outcome=published/entity=sms/date_range={RANGE}/file_name={SMS}_01/extension=txt"
     assert any(f.endswith(".bz2") for f in os.listdir(folder))
 
 
@@ -131,12 +133,16 @@ def test_only_pending_files_are_opened(spark, tmp_path, text_file, rows, rules):
     assert rows(publish.read_published(spark, target), "value") == [(f"1|{d('2')}|3",), (f"4|{d('5')}|6",)]
 
 
-def test_lines_are_routed_in_the_row(spark, tmp_path, text_file, rules):
+def test_lines_meet_the_plan_without_a_shuffle(spark, tmp_path, text_file, rules):
     text_file(f"in/{SMS}_01.txt", "1|2|3\n")
-    lines = read_lines(spark, str(tmp_path / "in"), recursive=True, with_path=True)
-    listed = publish.rule_array(publish.resolve_rules(spark, rules))
-    plan = publish.anonymize_routed(lines, listed, SALT, 3)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Join" not in plan
+    files = publish.list_files(spark, str(tmp_path / "in")).select(*publish.PLAN_COLUMNS)
+    plan = publish.Plan(publish.with_rules(files, publish.resolve_rules(spark, rules)))
+    ((known, lines),) = plan.each()
+    text = publish.anonymize_tagged(lines, SALT, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text and "regexp" not in text
+    lost = publish.lines_of(known.where("false"), [r.path for r in known.collect()])
+    with pytest.raises(Exception, match="not in the plan"):
+        lost.collect()
 
 
 def test_the_queue_moves_past_bad_and_empty_files(spark, tmp_path, text_file, rows):
@@ -230,3 +236,53 @@ def test_a_failing_load_publishes_nothing(spark, tmp_path, text_file):
             spark, str(tmp_path / "in"), "sms", "diario", ["a", "b", "c"], "no_such_table", str(tmp_path / "out"), SALT
         )
     assert not os.path.exists(tmp_path / "out")
+
+
+def test_a_reader_sees_the_old_or_the_new_output(spark, tmp_path, text_file, rows, rules, monkeypatch):
+    text_file(f"in/{SMS}_01.txt", "1|2|3\n")
+    text_file(f"in/{SMS}_02.txt", "4|5|6\n")
+    archive, target = str(tmp_path / "in"), str(tmp_path / "out")
+    publish.publish_archive(spark, archive, rules, target, SALT)
+    old = outcomes_of(spark, target, rows)
+    text_file(f"in/{SMS}_01.txt", "1|0|3\n")
+    seen, write = [], versions.write_version
+
+    def watched(outcomes, files, *args):
+        seen.append(outcomes_of(spark, target, rows))
+        outcomes.write.partitionBy(*publish.OUTCOME_FOLDERS).text(f"{target}/version=lost")  # a run that dies here
+        seen.append(outcomes_of(spark, target, rows))
+        begun = publish.read_outcomes(spark, target)
+        write(outcomes, files, *args)
+        seen.append(rows(begun, "value", "outcome", "file_name"))  # planned before the pointer moved
+
+    monkeypatch.setattr(publish, "write_version", watched)
+    publish.publish_archive(spark, archive, rules, target, SALT)
+    new = outcomes_of(spark, target, rows)
+    assert new != old and len(new) == len(old) == 2
+    assert seen[:2] == [old, old] and seen[2] in (old, new)
+    assert versions.vacuum(spark, target, "1 day") == 0
+    assert versions.vacuum(spark, target, "0 seconds") == 4
+    assert outcomes_of(spark, target, rows) == new
+    assert sorted(f for f in os.listdir(target) if f.startswith("version=")) and versions.vacuum(spark, str(tmp_path / "none")) == 0
+
+
+def test_an_archive_of_100_000_names(spark, tmp_path, monkeypatch, rules):
+    """The listing never reaches the driver; of the chosen files one slice does."""
+    for folder in range(100):
+        os.makedirs(tmp_path / "in" / f"{folder:03d}")
+        for i in range(1000):
+            with open(tmp_path / "in" / f"{folder:03d}" / f"Old_{SMS[4:]}_{folder:03d}x{i}.txt", "w"):
+                pass
+    for i in range(25):
+        (tmp_path / "in" / f"{i:03d}" / f"{SMS}_{i:02d}.txt").write_text(f"{i}|2|3\n")
+    archive, target = str(tmp_path / "in"), str(tmp_path / "out")
+    from tidegate.sources.listing import list_folder_files
+
+    done = publish.named(list_folder_files(spark, archive)).where("entity <> 'sms'").select(*publish.FILE_KEY)
+    held, collect = [], type(done).collect
+    monkeypatch.setattr(type(done), "collect", lambda self: held.append(out := collect(self)) or out)
+    assert publish.publish_archive(spark, archive, rules, target, SALT, already_published=done, files_per_slice=10) == 25
+    assert max(len(x) for x in held) <= 20
+    monkeypatch.undo()
+    assert publish.read_published(spark, target).count() == 25
+    assert publish.processed_files(spark, target).select("version").distinct().count() == 3

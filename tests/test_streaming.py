@@ -5,16 +5,17 @@ from pyspark.sql import functions as F
 from test_jobs import LINE, SALT, SMS, d, rules  # noqa: F401
 
 from tidegate.plans import publish
-from tidegate.streaming.ingest import BATCH_INTERVAL, file_lines, start_file_ingest, trigger_options
+from tidegate.sources.listing import changed_files
+from tidegate.streaming.ingest import BATCH_INTERVAL, start_file_ingest, trigger_options
 from tidegate.streaming.messages import file_messages, kafka_messages, land_messages
 
 
 @pytest.fixture
 def ingest(spark, tmp_path, rules):  # noqa: F811
-    def run(checkpoint="cp", **options):
+    def run(checkpoint="cp", max_files=200, **options):
         query = start_file_ingest(
-            file_lines(spark, str(tmp_path / "in"), **options), rules,
-            str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / checkpoint), SALT, once=True,
+            changed_files(spark, str(tmp_path / "in"), **options), rules,
+            str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / checkpoint), SALT, once=True, max_files=max_files,
         )
         query.awaitTermination()
 
@@ -63,18 +64,36 @@ def test_batches_glob_and_age(spark, tmp_path, text_file, rows, ingest):
     ingest(glob="*.txt", max_files=2, modified_after="2000-01-01 00:00:00")
     got = rows(publish.read_published(spark, str(tmp_path / "out")), "file_name")
     assert got == [(f"{SMS}_0{i}",) for i in range(2, 6)]
-    assert len([f for f in os.listdir(tmp_path / "cp" / "commits") if f.isdigit()]) == 3
+    versions = publish.processed_files(spark, str(tmp_path / "out")).select("version").distinct().count()
+    assert 2 <= versions <= 4
+
+
+def test_a_file_that_is_written_again_or_emptied_replaces_its_output(spark, tmp_path, text_file, rows, ingest):
+    text_file(f"in/{SMS}_01.txt", "1|2|3\nbad\n")
+    text_file(f"in/x/{SMS}_02.txt", "4|5|6\n")
+    text_file(f"in/x/y/{SMS}_03.txt", "7|8|9\n")
+    ingest()
+    target, landing = str(tmp_path / "out"), str(tmp_path / "landing")
+    assert publish.read_outcomes(spark, target).count() == 4
+    text_file(f"in/{SMS}_01.txt", "")
+    text_file(f"in/x/{SMS}_02.txt", "4|0|6\n")
+    ingest()
+    got = rows(publish.read_outcomes(spark, target), "value", "file_name")
+    assert got == sorted([(f"4|{d('0')}|6", f"{SMS}_02"), (f"7|{d('8')}|9", f"{SMS}_03")])
+    assert rows(publish.read_raw(spark, landing)) == [("4|0|6", f"{SMS}_02"), ("7|8|9", f"{SMS}_03")]
+    ingest()
+    assert publish.processed_files(spark, target).count() == 5  # what has not changed did not come again
 
 
 def test_a_failure_ends_the_query_and_the_batch_is_retried(spark, tmp_path, text_file, rows, ingest, monkeypatch):
     import tidegate.streaming.ingest as module
 
     text_file(f"in/{SMS}_01.txt", "1|2|3\n")
-    real = module.publish_outcomes
-    monkeypatch.setattr(module, "publish_outcomes", lambda *_, **__: 1 / 0)
+    real = module.publish_files
+    monkeypatch.setattr(module, "publish_files", lambda *_, **__: 1 / 0)
     with pytest.raises(Exception):
         ingest()
-    monkeypatch.setattr(module, "publish_outcomes", real)
+    monkeypatch.setattr(module, "publish_files", real)
     ingest()
     assert rows(publish.read_published(spark, str(tmp_path / "out")), "value") == [(f"1|{d('2')}|3",)]
     assert publish.read_raw(spark, str(tmp_path / "landing")).count() == 1

@@ -13,9 +13,11 @@ from pyspark.sql import SparkSession
 
 from tidegate.plans import jobs, publish
 from tidegate.session import build_session
+from tidegate.sinks.versions import vacuum
 from tidegate.sources.catalog import table_columns
 from tidegate.sources.control import read_rules
-from tidegate.streaming.ingest import BATCH_INTERVAL, FILES_PER_BATCH, file_lines, start_file_ingest
+from tidegate.sources.listing import changed_files
+from tidegate.streaming.ingest import BATCH_INTERVAL, FILES_PER_BATCH, start_file_ingest
 from tidegate.streaming.messages import kafka_messages, land_messages
 
 
@@ -59,6 +61,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--max-files", type=int, default=FILES_PER_BATCH)
     stream.add_argument("--modified-after")
 
+    old = add("vacuum", "remove outputs that were replaced", "target")
+    old.add_argument("--keep", default="1 day")
+
     messages = add("land-messages", "land Kafka messages as text", "servers", "topics", "target", "checkpoint")
     for command in (stream, messages):
         command.add_argument("--once", action="store_true", help="stop when everything present is processed")
@@ -97,11 +102,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
             published=done, only_next=args.only_next, index_base=args.index_base, **salted,
         )
         print(f"loaded: {', '.join(dates)}")
+    elif args.job == "vacuum":
+        print(f"removed: {vacuum(spark, args.target, args.keep)}")
     elif args.job == "ingest":
-        lines = file_lines(spark, args.path, args.glob, args.max_files, args.modified_after)
+        files = changed_files(spark, args.path, args.glob, args.modified_after)
         query = start_file_ingest(
-            lines, read_rules(spark, args.rules), args.landing, args.target, args.checkpoint,
-            once=args.once, interval=args.interval, **salted,
+            files, read_rules(spark, args.rules), args.landing, args.target, args.checkpoint,
+            once=args.once, interval=args.interval, max_files=args.max_files, **salted,
         )
         query.awaitTermination()
     else:

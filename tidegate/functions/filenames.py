@@ -50,6 +50,12 @@ def scanned_path(path: Column) -> Column:
     return F.when(path.contains("%"), F.coalesce(plain, path)).otherwise(path)
 
 
+def plain_path(path: Column) -> Column:
+    """Local paths without `file:` and whatever slashes follow it, which differ between readers; others as they are."""
+    local = F.concat(F.lit("/"), F.ltrim(F.substring(path, 6, 1 << 20), F.lit("/")))
+    return F.when(path.startswith("file:"), local).otherwise(path)
+
+
 def entity_of(name: Column | str) -> Column:
     return F.regexp_extract(as_column(name), ENTITY, 1)
 

@@ -14,11 +14,12 @@ from tidegate.operators.anonymize import anonymize_lines, entity_positions, matc
 from tidegate.operators.inventory import next_per_entity
 from tidegate.operators.quality import field_count
 from tidegate.operators.words import count_words, line_words
-from tidegate.plans.publish import FILE_KEY, PUBLISHED, REJECTED, list_files, named, publish_outcomes
-from tidegate.session import session_setting
+from tidegate.plans.publish import FILE_KEY, PLAN_COLUMNS, PUBLISHED, REJECTED, Plan, list_files, named, publish_outcomes
+from tidegate.session import session_setting, workspace
 from tidegate.sinks.files import remove_outputs_of, replace_partitions, write_text
+from tidegate.sinks.versions import write_version
 from tidegate.sources.catalog import table_columns
-from tidegate.sources.text import CORRUPT, good_records, parse_records, read_files, read_lines
+from tidegate.sources.text import CORRUPT, good_records, parse_records, read_lines
 
 
 def count_words_job(spark: SparkSession, source: str, target: str) -> None:
@@ -86,8 +87,9 @@ def load_partition(
     not erase the first. Lines of another width go to `rejects`, one folder per file. `files` (path) lists
     files that may have no line left; by default the files are those of the lines.
     """
-    tried = named(lines if files is None else files).select(*FILE_KEY).dropDuplicates()
-    _load(spark, named(lines), tried, columns, table, frequency, sep, rejects)
+    known = workspace(spark, "known")
+    named(lines.select("path").distinct() if files is None else files).select("from_ts", *FILE_KEY).dropDuplicates().write.parquet(known)
+    _load(spark, named(lines), spark.read.parquet(known), columns, table, frequency, sep, rejects)
 
 
 def _load(
@@ -96,14 +98,14 @@ def _load(
     dated = lines.select("value", partition_date("from_ts", frequency).alias("fecha"), *FILE_KEY)
     records = parse_records(dated, columns, sep, keep=["fecha", *FILE_KEY])
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
-    remove_outputs_of(tried, detail.data_type)
+    dates = tried.select(partition_date("from_ts", frequency).alias("fecha")).dropDuplicates().collect()
+    remove_outputs_of(tried, detail.data_type, *sorted(f"fecha={row.fecha}" for row in dates))
     with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         good_records(records).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
     if rejects:
-        remove_outputs_of(tried, rejects)
         bad = records.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"), *FILE_KEY)
-        replace_partitions(bad, rejects, FILE_KEY)
+        write_version(bad, tried, rejects, FILE_KEY, "load")
 
 
 def create_partitioned_table(spark: SparkSession, table: str, columns: Sequence[str], location: str) -> None:
@@ -177,23 +179,20 @@ def load_extract_publish(
     """
     if positions is None:
         positions = entity_positions(entity)
-    pending = pending_files(spark, inbox, entity, published, only_next)
-    dated = pending.select("path", *FILE_KEY, partition_date("from_ts", frequency).alias("fecha")).collect()
-    if not dated:
-        return []
-    tried = spark.createDataFrame([(r.file_name, r.extension) for r in dated], "file_name string, extension string")
-    dates = sorted({r.fecha for r in dated})
-    lines = named(read_files(spark, [r.path for r in dated]))
-    _load(spark, lines, tried, columns, table, frequency, sep, rejects=None)
-    fits = field_count("value", sep) == len(columns)
-    good = lines.where(fits)
-    if enrich is not None:
-        extracted = extract_partition(spark, table, dates, enrich, sep).join(tried, [*FILE_KEY], "left_semi")
-        good = named(extracted.withColumn("path", F.concat("file_name", F.when(F.col("extension") != "-", F.concat(F.lit("."), "extension")).otherwise(""))))
-    hashed = anonymize_lines(good, "value", positions, salt, sep=sep, algorithm=algorithm, index_base=index_base)
-    folders = ["entity", "date_range", *FILE_KEY]
-    outcomes = hashed.select("value", F.lit(PUBLISHED).alias("outcome"), *folders).unionByName(
-        lines.where(~fits).select("value", F.lit(REJECTED).alias("outcome"), *folders)
-    )
-    publish_outcomes(outcomes, tried, target, run)
-    return dates
+    plan = Plan(pending_files(spark, inbox, entity, published, only_next).select(*PLAN_COLUMNS))
+    loaded: set[str] = set()
+    for files, lines in plan.each():
+        dates = sorted({r.fecha for r in files.select(partition_date("from_ts", frequency).alias("fecha")).distinct().collect()})
+        _load(spark, lines, files, columns, table, frequency, sep, rejects=None)
+        fits = field_count("value", sep) == len(columns)
+        good, folders = lines.where(fits), ["entity", "date_range", *FILE_KEY]
+        if enrich is not None:
+            keys = files.select(*folders).dropDuplicates()  # of a slice
+            good = extract_partition(spark, table, dates, enrich, sep).join(F.broadcast(keys), [*FILE_KEY])
+        hashed = anonymize_lines(good, "value", positions, salt, sep=sep, algorithm=algorithm, index_base=index_base)
+        outcomes = hashed.select("value", F.lit(PUBLISHED).alias("outcome"), *folders).unionByName(
+            lines.where(~fits).select("value", F.lit(REJECTED).alias("outcome"), *folders)
+        )
+        publish_outcomes(outcomes, files, target, run)
+        loaded.update(dates)
+    return sorted(loaded)

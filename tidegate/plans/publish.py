@@ -1,34 +1,37 @@
 """Anonymise delimited files of many entities in one job and publish one output per file.
 
-A file is known by its name, extension included. Its output is one folder per outcome, published or rejected;
-before a run writes a file again, all its earlier output goes. A ledger beside the output names the files that
-were tried, whatever became of their lines, so that a queue moves on past a bad or empty file.
+A file is known by its name, extension included. What is known of it, the parts of its name, its rule, the slice it
+is worked on with, stands in a plan: a written table with a row per file, made from a listing by tasks. Slices hold
+at most some thousand files, and only the paths of one slice pass through the driver at a time, because Spark's
+reader wants them from there. Lines meet their file's row by the path; nothing is parsed per line.
+
+A run writes to a folder of its own; the ledger beside the output points to it afterwards (`sinks.versions`), and names
+all files that were tried, whatever became of their lines, so that a queue moves on past a bad or empty file.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.filenames import base_name, extension, is_accepted, parse_names, scanned_path, source_file
+from tidegate.functions.filenames import base_name, extension, is_accepted, parse_names, plain_path, source_file
 from tidegate.operators.anonymize import anonymize_lines
 from tidegate.operators.inventory import unpublished
 from tidegate.operators.quality import field_count
-from tidegate.operators.routing import last_rule
-from tidegate.sinks.files import remove_outputs_of, replace_partitions
+from tidegate.operators.routing import route_files
+from tidegate.session import workspace
+from tidegate.sinks.versions import FILE_KEY, ledger, read_version, write_version
 from tidegate.sources.control import resolve_rules
+from tidegate.sources.listing import list_folder_files
 from tidegate.sources.text import read_files
 
 PUBLISHED = "published"
 REJECTED = "rejected"
 OUTCOME_FOLDERS = ("outcome", "entity", "date_range", "file_name", "extension")
-FILE_KEY = ("file_name", "extension")
-LEDGER = "_processed"
-LEDGER_SCHEMA = "file_name string, extension string, run string, tried_at timestamp"
-RULES = "array<struct<line_no:int,table_name:string,positions:array<int>,width:int>>"
+FILES_PER_SLICE = 2_000
+PLAN_COLUMNS = ("path", "modified", "entity", "date_range", "from_ts", *FILE_KEY)
 
 
 def named(rows: DataFrame) -> DataFrame:
@@ -37,34 +40,52 @@ def named(rows: DataFrame) -> DataFrame:
     return parse_names(rows).withColumn("entity", F.lower("entity"))
 
 
-def rule_array(rules: DataFrame) -> Column:
-    """Resolved rules as one constant array; configuration, so it passes through the driver once."""
-    rows = rules.where(F.col("table_name").isNotNull()).select("line_no", "table_name", "positions", "width")
-    listed = rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("rules")).first()["rules"]
-    return F.from_json(F.lit(listed), RULES)
+def list_files(spark: SparkSession, archive: str, done: DataFrame | None = None) -> DataFrame:
+    """Accepted files of a folder with their name parts, without those that are done; a listing only."""
+    files = named(list_folder_files(spark, archive))
+    return files if done is None else unpublished(files, done, FILE_KEY)
 
 
-def route_lines(lines: DataFrame, rules: Column) -> DataFrame:
-    """Lines (value, path) of accepted files with name parts, rule positions and expected width.
+def with_rules(files: DataFrame, rules: DataFrame) -> DataFrame:
+    """Named files with the `positions` and the `width` of their rule; null where there is none."""
+    slim = rules.select("line_no", "table_name", F.col("positions"), F.col("width"))
+    return route_files(files, slim).drop("line_no", "table_name")
 
-    The rule is found in the row, so lines are neither joined nor moved, however many files there are.
-    """
-    routed = named(lines).withColumn("_rule", last_rule(rules, "file_name"))
-    rule = F.col("_rule")
-    return routed.select(
-        "value", "entity", "date_range", *FILE_KEY, rule["positions"].alias("positions"), rule["width"].alias("width")
-    )
 
+class Plan:
+    """A written table of files in slices."""
 
-def anonymize_routed(
-    lines: DataFrame, rules: Column, salt: str, last_position: int, sep: str = "|", algorithm: str = "MD5"
-) -> DataFrame:
-    """Lines (value, path) of accepted files as (value, outcome, entity, date_range, file_name, extension)."""
-    return anonymize_tagged(route_lines(lines, rules), salt, last_position, sep, algorithm)
+    def __init__(self, files: DataFrame, most: int = FILES_PER_SLICE):
+        """`files` has the PLAN_COLUMNS and whatever else lines shall carry; all paths of a file share a slice."""
+        self.spark = files.sparkSession
+        folder = workspace(self.spark, "plan")
+        placed = files.withColumn("_place", F.xxhash64(*FILE_KEY))
+        placed.write.parquet(folder)
+        self.files = self.spark.read.schema(placed.schema).parquet(folder)
+        self.count = self.files.count()
+        self.slices = -(-self.count // most)
+
+    def each(self) -> Iterator[tuple[DataFrame, DataFrame]]:
+        """Per slice its files and their lines: (value, path and all that is known of the file)."""
+        for number in range(self.slices):
+            chosen = self.files.where(F.pmod("_place", F.lit(self.slices)) == number).drop("_place")
+            rows = chosen.collect()  # a slice
+            if rows:
+                files = self.spark.createDataFrame(rows, chosen.schema)
+                yield files, lines_of(files, [row.path for row in rows])
+
+
+def lines_of(files: DataFrame, paths: list[str]) -> DataFrame:
+    """The lines of a slice's files with what is known of each file; a line of another file fails the query."""
+    known = files.select(F.col("path").alias("_path"), *[c for c in files.columns if c != "path"])
+    same = plain_path(F.col("path")) == plain_path(F.col("_path"))
+    joined = read_files(files.sparkSession, paths).join(F.broadcast(known), same, "left")
+    checked = F.when(F.col("_path").isNull(), F.raise_error(F.concat(F.lit("not in the plan: "), "path"))).otherwise(F.col("value"))
+    return joined.withColumn("value", checked).drop("_path")
 
 
 def anonymize_tagged(tagged: DataFrame, salt: str, last_position: int, sep: str = "|", algorithm: str = "MD5") -> DataFrame:
-    """The same for lines that carry what `route_lines` adds.
+    """Lines that carry their file's name parts, `positions` and `width` as (value, outcome, entity, date_range, file_name, extension).
 
     Lines without a rule and lines of the wrong width are rejected unchanged; all others are anonymised by
     their file's rule.
@@ -86,23 +107,16 @@ def highest_position(rules: DataFrame) -> int:
     return top or 0
 
 
-def publish_outcomes(
-    outcomes: DataFrame, files: DataFrame, target: str, run: str, compression: str = "bzip2", below: Sequence[str] = ()
-) -> None:
+def publish_outcomes(outcomes: DataFrame, files: DataFrame, target: str, run: str, compression: str = "bzip2") -> None:
     """Published and rejected lines in one pass, a folder per file and outcome, in place of earlier ones.
 
-    `files` (file_name, extension) are all files of the run, also those without a line. A run that fails
-    between the removal and the entry in the ledger is simply run again: its files are still pending.
+    `files` (file_name, extension) are all files of the run, also those without a line.
     """
-    remove_outputs_of(files, target, *below)
-    replace_partitions(outcomes, target, OUTCOME_FOLDERS, compression=compression)
-    entries = files.select(*FILE_KEY, F.lit(run).alias("run"), F.current_timestamp().alias("tried_at"))
-    entries.write.mode("append").parquet(f"{target}/{LEDGER}")
+    write_version(outcomes, files, target, OUTCOME_FOLDERS, run, compression)
 
 
 def read_outcomes(spark: SparkSession, target: str) -> DataFrame:
-    schema = ", ".join(["value string", *[f"{c} string" for c in OUTCOME_FOLDERS]])
-    return spark.read.schema(schema).text(target).drop("extension")
+    return read_version(spark, target, OUTCOME_FOLDERS).drop("extension")
 
 
 def read_published(spark: SparkSession, target: str) -> DataFrame:
@@ -114,24 +128,8 @@ def read_rejected(spark: SparkSession, target: str) -> DataFrame:
 
 
 def processed_files(spark: SparkSession, target: str) -> DataFrame:
-    """(file_name, extension, run, tried_at): the ledger of all files that a run has tried."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{target}/{LEDGER}")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-
-
-def list_files(spark: SparkSession, archive: str, done: DataFrame | None = None) -> DataFrame:
-    """Accepted files of a folder with their name parts, without those that are done; a listing only.
-
-    Taken from the reader's list of files, because a scan leaves out empty ones.
-    """
-    found = spark.read.option("recursiveFileLookup", "true").text(archive).inputFiles()
-    paths = spark.createDataFrame([(path,) for path in found], "path string").select(scanned_path(F.col("path")).alias("path"))
-    files = named(paths)
-    return files if done is None else unpublished(files, done, FILE_KEY)
+    """(file_name, extension, run, tried_at and more): the ledger of all files that a run has tried."""
+    return ledger(spark, target)
 
 
 def publish_archive(
@@ -145,34 +143,52 @@ def publish_archive(
     algorithm: str = "MD5",
     compression: str = "bzip2",
     already_published: DataFrame | None = None,
-) -> None:
-    """Anonymise every archived file in one job.
+    files_per_slice: int = FILES_PER_SLICE,
+) -> int:
+    """Anonymise every archived file, one job per slice of files; returns the number of files.
 
-    `already_published` (file_name, extension; `processed_files` gives them) leaves out files that are done.
-    The files are chosen from the listing, and only those are opened.
+    `already_published` (file_name, extension; `processed_files` gives them) leaves out files that are done. Only
+    chosen files are opened. A slice that is done has its entries, so a job that failed goes on with the next one.
     """
     resolved = rules if "positions" in rules.columns else resolve_rules(spark, rules)
-    chosen = [(r.path, r.file_name, r.extension) for r in list_files(spark, archive, already_published).collect()]
-    if not chosen:
-        return
-    lines = read_files(spark, [path for path, *_ in chosen])
-    outcomes = anonymize_routed(lines, rule_array(resolved), salt, highest_position(resolved), sep, algorithm)
-    files = spark.createDataFrame([key for _, *key in chosen], "file_name string, extension string")
-    publish_outcomes(outcomes, files, target, run, compression)
+    files = list_files(spark, archive, already_published).select(*PLAN_COLUMNS)
+    return publish_files(files, resolved, target, salt, run, sep, algorithm, compression, files_per_slice=files_per_slice)
 
 
-def land_raw(lines: DataFrame, target: str, compression: str | None = None, files: DataFrame | None = None) -> None:
+def publish_files(
+    files: DataFrame,
+    rules: DataFrame,
+    target: str,
+    salt: str,
+    run: str,
+    sep: str = "|",
+    algorithm: str = "MD5",
+    compression: str = "bzip2",
+    landing: str | None = None,
+    files_per_slice: int = FILES_PER_SLICE,
+) -> int:
+    """Publish named files by resolved rules, and keep their raw lines in `landing` if that is given."""
+    plan = Plan(with_rules(files, rules), files_per_slice)
+    last = highest_position(rules) if plan.count else 0
+    for known, lines in plan.each():
+        if landing:
+            write_version(lines, known, landing, FILE_KEY, run)
+        publish_outcomes(anonymize_tagged(lines, salt, last, sep, algorithm), known, target, run, compression)
+    return plan.count
+
+
+def land_raw(lines: DataFrame, target: str, compression: str | None = None, files: DataFrame | None = None, run: str = "landing") -> None:
     """Raw copy of lines (value, path or name columns), one folder per source file, before any transformation.
 
-    `files` (file_name, extension) names files whose earlier copy goes even if they have no line now.
+    `files` (file_name, extension) names all files if some may have no line now; else those of the lines are taken.
     """
     if "file_name" not in lines.columns:
         name = source_file("path")
-        lines = lines.withColumns({"file_name": base_name(name), "extension": extension(name)})
-    if files is not None:
-        remove_outputs_of(files, target)
-    replace_partitions(lines.select("value", *FILE_KEY), target, FILE_KEY, compression=compression)
+        keys = {"file_name": base_name(name), "extension": extension(name)}
+        files = lines.select("path").distinct().withColumns(keys) if files is None else files
+        lines = lines.withColumns(keys)
+    write_version(lines, lines.select(*FILE_KEY).distinct() if files is None else files, target, FILE_KEY, run, compression)
 
 
 def read_raw(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema("value string, file_name string, extension string").text(target).drop("extension")
+    return read_version(spark, target, FILE_KEY).drop("extension")

@@ -26,7 +26,8 @@ from tidegate.queries.files import control_rules
 from tidegate.session import workspace
 from tidegate.sinks.files import read_by_key
 from tidegate.sources.text import read_lines
-from tidegate.streaming.ingest import file_lines, start_file_ingest
+from tidegate.sources.listing import changed_files
+from tidegate.streaming.ingest import start_file_ingest
 from tidegate.streaming.messages import file_messages, land_messages
 
 ORDER_RULES = """esquema_hive|nomtabla|cols|partcol|server|schema|user|file
@@ -173,13 +174,14 @@ def run_ingest(spark, sf):
     landing, target = workspace(spark, "stream-landing"), workspace(spark, "stream-published")
     with schemas(spark, "web", columns=EVENT_FIELDS):
         query = start_file_ingest(
-            file_lines(spark, drops, max_files=8),
+            changed_files(spark, drops),
             control_rules(spark, EVENT_RULES),
             landing,
             target,
             workspace(spark, "stream-checkpoint"),
             SALT,
             once=True,
+            max_files=8,
         )
     query.awaitTermination()
     return landing, target

@@ -74,9 +74,10 @@ def replace_partitions(
 
 
 def partition_folders(spark: SparkSession, path: str, *below: str) -> DataFrame:
-    """(folder, partition columns as text) of a folder-per-key output: a listing, no contents are read.
+    """(folder, written, partition columns as text) of a folder-per-key output: a listing, no contents are read.
 
-    `below` restricts it to some sub-folders, as patterns; a path that does not exist has no folders.
+    `below` restricts it to some sub-folders, as patterns; a path that does not exist has no folders. `written` is
+    when the last of a folder's files was.
     """
     reader = spark.read.format("binaryFile").option("basePath", path)
     with session_setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
@@ -85,23 +86,27 @@ def partition_folders(spark: SparkSession, path: str, *below: str) -> DataFrame:
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], "folder string, file_name string, extension string")
+            return spark.createDataFrame([], "folder string, written timestamp")
         keys = [c for c in listed.columns if c not in ("path", "modificationTime", "length", "content")]
-        return listed.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), *keys).dropDuplicates()
+        folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+        return listed.groupBy(folder, *keys).agg(F.max("modificationTime").alias("written"))
 
 
-def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+def remove_folders(spark: SparkSession, folders: Iterable[str]) -> int:
     """Delete folders and what is in them, in whichever store they are."""
     hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    count = 0
     for folder in folders:
         place = hadoop.Path(folder)
         place.getFileSystem(conf).delete(place, True)
+        count += 1
+    return count
 
 
 def remove_outputs_of(files: DataFrame, path: str, *below: str) -> None:
     """Remove every output folder below `path` of the given files (file_name, extension).
 
-    Done before they are written again, so that nothing stays of an outcome that no longer occurs.
+    For tables, whose partitions are replaced in place: nothing stays of a file that has no good line any more.
     """
     existing = partition_folders(files.sparkSession, path, *below)
     keys = [c for c in ("file_name", "extension") if c in existing.columns]

@@ -7,15 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.filenames import scanned_path
-from tidegate.plans.publish import (
-    FILE_KEY,
-    anonymize_routed,
-    highest_position,
-    land_raw,
-    named,
-    publish_outcomes,
-    rule_array,
-)
+from tidegate.plans.publish import PLAN_COLUMNS, named, publish_files
 from tidegate.sources.control import resolve_rules
 
 BATCH_INTERVAL = "2 seconds"
@@ -31,7 +23,8 @@ def file_lines(
 ) -> DataFrame:
     """Stream of lines (value, path); whole files enter a batch, never parts of one, and `max_files` at most.
 
-    A new checkpoint also sees files that already exist; `modified_after` leaves older ones out.
+    A new checkpoint also sees files that already exist; `modified_after` leaves older ones out. A file without a line
+    does not appear in it, nor one that is written again; `sources.listing.changed_files` has both.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if glob:
@@ -47,7 +40,7 @@ def trigger_options(once: bool, interval: str = BATCH_INTERVAL) -> dict:
 
 
 def start_file_ingest(
-    lines: DataFrame,
+    files: DataFrame,
     rules: DataFrame,
     landing: str,
     target: str,
@@ -57,27 +50,22 @@ def start_file_ingest(
     algorithm: str = "MD5",
     once: bool = False,
     interval: str = BATCH_INTERVAL,
+    max_files: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Per batch: land the raw lines of complete files, then publish the anonymised and the rejected ones.
+    """Per batch of files (path, length, modified; `changed_files` gives them): land the raw lines of complete files,
+    then publish the anonymised and the rejected ones.
 
-    Every output folder belongs to a source file and is replaced when the file comes again or the batch runs
-    again after a failure. The rules are resolved once per query. A batch is bounded, so its files are read
-    once for each of the two outputs rather than kept. A real failure ends the query; the checkpoint retries
-    the batch.
+    A batch is worked on in slices of about `max_files` files. A file that comes again, because it was written again or because
+    the batch runs again after a failure, replaces its output, also by none. The rules are resolved once per query. A
+    slice's files are read once for each of the two outputs rather than kept. A real failure ends the query; the
+    checkpoint retries the batch.
     """
-    spark = lines.sparkSession
+    spark = files.sparkSession
     resolved = rules if "positions" in rules.columns else resolve_rules(spark, rules)
-    last_position, listed = highest_position(resolved), rule_array(resolved)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        names = named(batch.select("path").dropDuplicates()).select("entity", "date_range", *FILE_KEY).collect()
-        if not names:
-            return
-        files = spark.createDataFrame([(n.file_name, n.extension) for n in names], "file_name string, extension string")
-        below = sorted({f"outcome=*/entity={n.entity or 'unknown'}/date_range={n.date_range}" for n in names})
-        land_raw(named(batch), landing)
-        outcomes = anonymize_routed(batch, listed, salt, last_position, sep, algorithm)
-        publish_outcomes(outcomes, files, target, f"batch{batch_id:09d}", below=below)
+        chosen = named(batch).select(*PLAN_COLUMNS)
+        publish_files(chosen, resolved, target, salt, f"batch{batch_id:09d}", sep, algorithm, landing=landing, files_per_slice=max_files)
 
-    writer = lines.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    writer = files.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_options(once, interval)).start()
