@@ -3,11 +3,12 @@ import os
 import random
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tidegate.functions.filenames import NAME_COLUMNS, is_accepted, parse_names, partition_date, source_file
 from tidegate.operators.inventory import next_per_entity, unpublished
-from tidegate.operators.routing import route_files
+from tidegate.operators.routing import automaton, route_files
 from tidegate.sinks import files as sinks
 from tidegate.sources import text as sources
 from tidegate.sources.catalog import catalog_columns, table_columns
@@ -70,29 +71,27 @@ def brute_force(names, rules):
     return out
 
 
-@pytest.mark.parametrize("direct", [0, 1000])
-def test_routing_against_brute_force(spark, direct):
+def test_routing_against_brute_force(spark):
     rnd = random.Random(3)
     names = ["".join(rnd.choice("aBc_1") for _ in range(rnd.randint(0, 8))) for _ in range(150)] + ["ñandú_a", None]
     rules = [(i, "".join(rnd.choice("abc_1") for _ in range(rnd.randint(1, 4)))) for i in range(12)]
     rules += [(12, "Ac"), (13, "ú_")]
     files = frame(spark, names, "file_name").withColumn("extra", F.length("file_name"))
     table = spark.createDataFrame(rules + [(99, None)], "line_no int, table_name string")
-    routed = route_files(files, table, direct_rules=direct)
+    routed = route_files(files, table)
     assert routed.columns == ["file_name", "extra", "line_no", "table_name"]
     got = routed.collect()
     assert len(got) == len(names)
     want = brute_force([n for n in names if n is not None], rules) | {None: None}
     assert {r.file_name: r.line_no for r in got} == want
-    none = route_files(files, table.where("line_no < 0"), direct_rules=direct)
+    none = route_files(files, table.where("line_no < 0"))
     assert none.where("line_no IS NOT NULL").count() == 0 and none.count() == len(names)
 
 
 def test_an_empty_pattern_matches_every_name(spark):
     files = frame(spark, ["abc"], "file_name")
     table = spark.createDataFrame([(1, "")], "line_no int, table_name string")
-    for direct in (0, 10):
-        assert route_files(files, table, direct_rules=direct).first().line_no == 1
+    assert route_files(files, table).first().line_no == 1
 
 
 def test_control_table(spark, text_file):
@@ -111,9 +110,33 @@ def test_many_rules_and_long_patterns(spark):
     long = "x" * 1100
     rules = spark.createDataFrame([(i, f"rule_{i}_") for i in range(600)] + [(600, long)], "line_no int, table_name string")
     files = frame(spark, ["a_rule_599_b", long + "_y", "none"], "file_name")
-    for direct in (0, 500, 1000):
-        got = {r.file_name: r.line_no for r in route_files(files, rules, direct_rules=direct).collect()}
-        assert got == {"a_rule_599_b": 599, long + "_y": 600, "none": None}
+    got = {r.file_name: r.line_no for r in route_files(files, rules).collect()}
+    assert got == {"a_rule_599_b": 599, long + "_y": 600, "none": None}
+
+
+def test_ten_thousand_rules(spark):
+    chance = random.Random(4)
+    rules = [(n, "".join(chance.choices("abcé😀_1", k=chance.randrange(1, 9)))) for n in range(10_000)]
+    names = ["".join(chance.choices("abcABCé😀_1zÉ", k=chance.randrange(0, 30))) for _ in range(300)]
+    table = spark.createDataFrame(rules, "line_no int, table_name string").repartition(4)
+    routed = route_files(frame(spark, names, "file_name"), table)
+    want = {n: max((k for k, p in rules if p in n.lower()), default=None) for n in names}
+    assert {r.file_name: r.line_no for r in routed.collect()} == want
+    assert "Join" not in plan_of(routed)
+
+
+def test_the_automaton_finds_what_searching_finds():
+    chance = random.Random(9)
+    for _ in range(200):
+        patterns = ["".join(chance.choices("ab", k=chance.randrange(0, 5))) for _ in range(chance.randrange(0, 8))]
+        text = "".join(chance.choices("abc", k=20))
+        letters, width, steps, found = automaton(patterns)
+        state = 0
+        best = found[0]
+        for c in text:
+            state = steps[state * width + (letters[ord(c)] if ord(c) < len(letters) else 0)]
+            best = max(best, found[state])
+        assert best == max((k for k, p in enumerate(patterns) if p in text), default=-1)
 
 
 def test_catalog_columns(spark, tmp_path):

@@ -137,7 +137,7 @@ def test_lines_meet_the_plan_without_a_shuffle(spark, tmp_path, text_file, rules
     text_file(f"in/{SMS}_01.txt", "1|2|3\n")
     files = publish.list_files(spark, str(tmp_path / "in")).select(*publish.PLAN_COLUMNS)
     plan = publish.Plan(publish.with_rules(files, publish.resolve_rules(spark, rules)))
-    ((known, lines),) = plan.each()
+    ((_, known, lines),) = plan.each()
     text = publish.anonymize_tagged(lines, SALT, 3)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text and "regexp" not in text
     lost = publish.lines_of(known.where("false"), [r.path for r in known.collect()])

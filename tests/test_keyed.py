@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tidegate.operators import aggregates, joins, ordering, sets
@@ -17,12 +18,12 @@ def kv(spark):
 
 def test_count_and_set_by_key(kv, rows):
     assert rows(aggregates.count_by_key(kv, "k")) == [("red", 5), ("tan", 3)]
-    got = aggregates.set_by_key(kv, "k", "v")
+    got = aggregates.set_by_key(kv, "k", "v", 1)
     assert rows(got, "k", "bucket", "items") == [("red", 0, ["cup", "pin"]), ("tan", 0, ["jar", "lid"])]
 
 
 def test_list_by_key_keeps_copies(kv, rows):
-    got = aggregates.list_by_key(kv, "k", "v")
+    got = aggregates.list_by_key(kv, "k", "v", 1)
     assert rows(got, "k", "n", "items") == [
         ("red", 5, ["cup", "pin", "pin", "pin", "pin"]), ("tan", 3, ["jar", "lid", "lid"]),
     ]
@@ -80,14 +81,14 @@ def test_join_and_sum(spark, rows):
 
 
 def test_three_way_and_composite_joins(spark):
-    names = inline_rows(spark, [("E02", "B"), ("E01", "L")], "id string, name string")
-    salaries = inline_rows(spark, [("E01", "50000"), ("E02", "45000")], "id string, salary string")
-    managers = inline_rows(spark, [("E01", "V"), ("E02", "S"), ("E03", "X")], "id string, manager string")
-    out = ordering.sort_by(joins.chain_join(names, salaries, managers, on="id"), "id")
-    assert [tuple(r) for r in out.collect()] == [("E01", "L", "50000", "V"), ("E02", "B", "45000", "S")]
-    tech = inline_rows(spark, [("A", "J", "java"), ("A", "K", "unix")], "first string, last string, technology string")
-    pay = inline_rows(spark, [("A", "J", "1")], "first string, last string, salary string")
-    assert [tuple(r) for r in joins.inner_join(tech, pay, ["first", "last"]).collect()] == [("A", "J", "java", "1")]
+    boats = inline_rows(spark, [("w7", "heron"), ("w3", "otter")], "id string, boat string")
+    lengths = inline_rows(spark, [("w3", "11.5"), ("w7", "8.2"), ("w9", "4.0")], "id string, metres string")
+    berths = inline_rows(spark, [("w3", "north"), ("w7", "quay"), ("w1", "slip")], "id string, berth string")
+    out = ordering.sort_by(joins.chain_join(boats, lengths, berths, on="id"), "id")
+    assert [tuple(r) for r in out.collect()] == [("w3", "otter", "11.5", "north"), ("w7", "heron", "8.2", "quay")]
+    tides = inline_rows(spark, [("may", "am", "high"), ("may", "pm", "low")], "month string, half string, tide string")
+    winds = inline_rows(spark, [("may", "pm", "6")], "month string, half string, wind string")
+    assert [tuple(r) for r in joins.inner_join(tides, winds, ["month", "half"]).collect()] == [("may", "pm", "low", "6")]
 
 
 def test_exclusion_keeps_duplicates(spark, rows):
@@ -165,10 +166,10 @@ def test_lists_of_a_hot_key_are_whole_and_dealt(spark, distinct):
 
 def test_a_key_of_nulls_stays(spark, rows):
     df = spark.createDataFrame([("a", 1), ("b", None), ("b", None)], "k string, v int")
-    assert rows(aggregates.list_by_key(df, "k", "v"), "k", "items") == [("a", [1]), ("b", [])]
+    assert rows(aggregates.list_by_key(df, "k", "v", 1), "k", "items") == [("a", [1]), ("b", [])]
     assert rows(aggregates.set_by_key(df, "k", "v", 4), "k", "n") == [("a", 1), ("b", 0)]
     count = aggregates.combine_by_key(
-        df, "k", "v", lambda v: F.lit(1), lambda s, v: s + 1, lambda a, b: a + b, buckets=4
+        df, "k", "v", lambda v: F.lit(1), lambda s, v: s + 1, lambda a, b: a + b
     )
     assert rows(count) == [("a", 1), ("b", 2)]
 
@@ -182,7 +183,6 @@ def test_custom_combine_equals_the_built_in(spark, rows):
         merge_value=lambda s, v: struct(s["n"] + 1, s["t"] + v),
         merge_states=lambda a, b: struct(a["n"] + b["n"], a["t"] + b["t"]),
         finish=lambda s: s["t"] / s["n"],
-        buckets=8,
     )
     want = {r.k: r.a for r in df.groupBy("k").agg(F.avg("v").alias("a")).collect()}
     assert {r.k: r.result for r in got.collect()} == want
@@ -227,3 +227,26 @@ def test_salting_spreads_the_hot_key(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_user_aggregate_shuffles_states_only(spark):
+    df = spark.range(50_000).repartition(5).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("v"))
+    runs = aggregates.runs_by_key(df, ["k"], "v")
+    counted = runs.select("k", F.size("values").alias("n"))
+    assert counted.count() <= 3 * 5 and counted.agg(F.sum("n")).first()[0] == 50_000
+    pieces = aggregates.runs_by_key(df, ["k"], "v", most=1000).select("k", F.explode("values").alias("x")).select("k", "x.v")
+    assert pieces.exceptAll(df).count() == 0 and pieces.count() == 50_000
+    total = aggregates.combine_by_key(
+        df, "k", "v", lambda v: F.coalesce(v, F.lit(0)), lambda s, v: s + F.coalesce(v, F.lit(0)), lambda a, b: a + b
+    )
+    want = df.groupBy("k").agg(F.sum("v").alias("result"))
+    assert sorted(map(tuple, total.collect())) == sorted(map(tuple, want.collect()))
+    plan = plan_of(total).split("== Initial Plan ==")[0]
+    assert plan.index("MapInArrow") > plan.rindex("Exchange hashpartitioning")  # the rows are gathered below every shuffle
+
+
+def test_lists_ask_for_buckets(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    for make in (aggregates.list_by_key, aggregates.set_by_key):
+        with pytest.raises(TypeError):
+            make(df, "k", "v")

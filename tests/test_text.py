@@ -100,12 +100,10 @@ def test_word_count_sample(spark):
 
 
 def test_broadcast_filter_sample(spark):
-    content = spark.createDataFrame(
-        [("Hello this is our shed ",), ("This is where Oars are kept",), ("Oars float better than anchors",)], "value string"
-    )
-    remove = spark.createDataFrame([("Hello, is, this, the",)], "value string")
+    content = spark.createDataFrame([("low tide leaves mud ",), ("mud and reeds and herons",), ("reeds hide herons",)], "value string")
+    remove = spark.createDataFrame([("and, low, hide",)], "value string")
     got = {r.w: r.n for r in words.count_words_except(words.line_words(content), words.list_words(remove)).collect()}
-    assert got["Oars"] == 2 and got["This"] == 1 and not {"Hello", "is", "this"} & set(got)
+    assert got == {"tide": 1, "leaves": 1, "mud": 2, "reeds": 2, "herons": 2}
 
 
 def test_stop_words_order_and_trim(spark):

@@ -1,16 +1,19 @@
 """Keyed and global aggregations.
 
 Plain sums, counts and averages rely on Spark's partial aggregation: a hot key leaves every task as
-one row. Lists and sets are built in a number of buckets per key that the caller gives, so a hot key need not
-be one row in one task.
+one row. A user's aggregate gets the same: each task folds its own values to states, and only states are
+shuffled. Lists and sets are made as sorted runs in a number of buckets per key that the caller has to give, so a
+hot key need not be one row in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _names(keys: str | Sequence[str]) -> list[str]:
@@ -84,7 +87,7 @@ def list_by_key(
     df: DataFrame,
     keys: str | Sequence[str],
     value: str,
-    buckets: int = 1,
+    buckets: int,
     spread: Column | None = None,
     distinct: bool = False,
 ) -> DataFrame:
@@ -104,12 +107,48 @@ def list_by_key(
 
 
 def set_by_key(
-    df: DataFrame, keys: str | Sequence[str], value: str, buckets: int = 1, spread: Column | None = None
+    df: DataFrame, keys: str | Sequence[str], value: str, buckets: int, spread: Column | None = None
 ) -> DataFrame:
     """Distinct values per key, in buckets like `list_by_key`; equal values share a bucket."""
     return list_by_key(df, keys, value, buckets, spread, distinct=True)
 
 
+RUN_ROWS = 1 << 18
+STATE_GROUPS = 64
+
+
+def runs_by_key(df: DataFrame, keys: Sequence[str], value: str, most: int = RUN_ROWS) -> DataFrame:
+    """(keys, values): the values that each task has of a key, gathered without a shuffle, `most` rows at a time.
+
+    Rows only move inside their task and as Arrow batches; a key has one row per task and `most` rows of it.
+    """
+    names = _names(keys)
+    rows = df.select(*names, F.struct(F.col(value).alias("v")).alias("values"))
+    out = T.StructType([*rows.select(*names).schema.fields, T.StructField("values", T.ArrayType(rows.schema["values"].dataType))])
+
+    def gathered(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        spread = table.select(names).append_column("_at", pa.array(range(table.num_rows), pa.int64()))
+        groups = spread.group_by(names, use_threads=False).aggregate([("_at", "list")])
+        order = groups["_at_list"].combine_chunks()
+        own = table["values"].combine_chunks().take(order.flatten())
+        lists = pa.ListArray.from_arrays(order.offsets, own)
+        return pa.RecordBatch.from_arrays([*[groups[n].combine_chunks() for n in names], lists], [*names, "values"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= most:
+                yield gathered(held)
+                held, size = [], 0
+        if size:
+            yield gathered(held)
+
+    return rows.mapInArrow(run, out)
+
+
 def combine_by_key(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -119,25 +158,28 @@ def combine_by_key(
     merge_states: Callable[[Column, Column], Column],
     finish: Callable[[Column], Column] | None = None,
     name: str = "result",
-    buckets: int = 1,
 ) -> DataFrame:
     """A user's aggregate given as (create, merge value, merge states) over column expressions.
 
     Use it where no built-in aggregate says the same. `merge_states` must be associative and commutative.
-    Rows are dealt by their hash to `buckets` groups per key, each is folded to a state, and the states of a
-    key are folded to one, so a hot key is folded by many tasks. Null values are folded like any other.
+    Each task gathers its own rows by key and folds them to a state before anything is shuffled, so a key has as
+    many rows in the shuffle as there are tasks (more only where a task has several times RUN_ROWS rows). States are
+    folded in two steps, by groups of tasks and then whole. Null values are folded like any other.
     """
     names = _names(keys)
 
     def fold(items: Column, first: Callable[[Column], Column], merge: Callable[[Column, Column], Column]) -> Column:
         return F.aggregate(F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))), first(F.get(items, F.lit(0))), merge)
 
-    wrapped = F.collect_list(F.struct(F.col(value).alias("v")))
-    dealt = df.withColumn("_bucket", _bucket(df, buckets, None)).groupBy(*names, "_bucket").agg(wrapped.alias("_values"))
-    state = fold(F.col("_values"), lambda x: create(x["v"]), lambda s, x: merge_value(s, x["v"]))
-    states = dealt.select(*names, state.alias("_state")).groupBy(*names).agg(F.collect_list("_state").alias("_states"))
-    whole = fold(F.col("_states"), lambda s: s, merge_states)
-    return states.select(*names, whole.alias("_state")).select(*names, (finish or (lambda s: s))(F.col("_state")).alias(name))
+    def folded(states: DataFrame, *by: str) -> DataFrame:
+        listed = states.groupBy(*names, *by).agg(F.collect_list("_state").alias("_states"))
+        return listed.select(*names, fold(F.col("_states"), lambda s: s, merge_states).alias("_state"))
+
+    runs = runs_by_key(df, names, value)
+    state = fold(F.col("values"), lambda x: create(x["v"]), lambda s, x: merge_value(s, x["v"]))
+    states = runs.select(*names, state.alias("_state"), (F.spark_partition_id() % STATE_GROUPS).alias("_group"))
+    whole = folded(folded(states, "_group"))
+    return whole.select(*names, (finish or (lambda s: s))(F.col("_state")).alias(name))
 
 
 def items_text(df: DataFrame, items: str = "items", sep: str = ",") -> DataFrame:

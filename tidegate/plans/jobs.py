@@ -89,17 +89,20 @@ def load_partition(
     """
     known = workspace(spark, "known")
     named(lines.select("path").distinct() if files is None else files).select("from_ts", *FILE_KEY).dropDuplicates().write.parquet(known)
-    _load(spark, named(lines), spark.read.parquet(known), columns, table, frequency, sep, rejects)
+    tried = spark.read.parquet(known)
+    dates = sorted(row.fecha for row in tried.select(partition_date("from_ts", frequency).alias("fecha")).distinct().collect())
+    _load(spark, named(lines), tried, dates, columns, table, frequency, sep, rejects)
 
 
 def _load(
-    spark: SparkSession, lines: DataFrame, tried: DataFrame, columns: Sequence[str], table: str, frequency: str, sep: str, rejects: str | None
+    spark: SparkSession, lines: DataFrame, tried: DataFrame, dates: Sequence[str], columns: Sequence[str], table: str, frequency: str, sep: str,
+    rejects: str | None,
 ) -> None:
+    """Load lines of the `tried` files, whose partitions are `dates`."""
     dated = lines.select("value", partition_date("from_ts", frequency).alias("fecha"), *FILE_KEY)
     records = parse_records(dated, columns, sep, keep=["fecha", *FILE_KEY])
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
-    dates = tried.select(partition_date("from_ts", frequency).alias("fecha")).dropDuplicates().collect()
-    remove_outputs_of(tried, detail.data_type, *sorted(f"fecha={row.fecha}" for row in dates))
+    remove_outputs_of(tried, detail.data_type, *[f"fecha={date}" for date in dates])
     with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         good_records(records).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
@@ -179,11 +182,12 @@ def load_extract_publish(
     """
     if positions is None:
         positions = entity_positions(entity)
-    plan = Plan(pending_files(spark, inbox, entity, published, only_next).select(*PLAN_COLUMNS))
+    pending = pending_files(spark, inbox, entity, published, only_next)
+    plan = Plan(pending.select(*PLAN_COLUMNS, partition_date("from_ts", frequency).alias("fecha")))
     loaded: set[str] = set()
-    for files, lines in plan.each():
-        dates = sorted({r.fecha for r in files.select(partition_date("from_ts", frequency).alias("fecha")).distinct().collect()})
-        _load(spark, lines, files, columns, table, frequency, sep, rejects=None)
+    for rows, files, lines in plan.each():
+        dates = sorted({row.fecha for row in rows})
+        _load(spark, lines, files, dates, columns, table, frequency, sep, rejects=None)
         fits = field_count("value", sep) == len(columns)
         good, folders = lines.where(fits), ["entity", "date_range", *FILE_KEY]
         if enrich is not None:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.filenames import base_name, extension, is_accepted, parse_names, plain_path, source_file
@@ -65,14 +65,14 @@ class Plan:
         self.count = self.files.count()
         self.slices = -(-self.count // most)
 
-    def each(self) -> Iterator[tuple[DataFrame, DataFrame]]:
-        """Per slice its files and their lines: (value, path and all that is known of the file)."""
+    def each(self) -> Iterator[tuple[list[Row], DataFrame, DataFrame]]:
+        """Per slice its files, as rows and as a frame, and their lines: (value, path and all that is known of the file)."""
         for number in range(self.slices):
             chosen = self.files.where(F.pmod("_place", F.lit(self.slices)) == number).drop("_place")
             rows = chosen.collect()  # a slice
             if rows:
                 files = self.spark.createDataFrame(rows, chosen.schema)
-                yield files, lines_of(files, [row.path for row in rows])
+                yield rows, files, lines_of(files, [row.path for row in rows])
 
 
 def lines_of(files: DataFrame, paths: list[str]) -> DataFrame:
@@ -170,7 +170,7 @@ def publish_files(
     """Publish named files by resolved rules, and keep their raw lines in `landing` if that is given."""
     plan = Plan(with_rules(files, rules), files_per_slice)
     last = highest_position(rules) if plan.count else 0
-    for known, lines in plan.each():
+    for _, known, lines in plan.each():
         if landing:
             write_version(lines, known, landing, FILE_KEY, run)
         publish_outcomes(anonymize_tagged(lines, salt, last, sep, algorithm), known, target, run, compression)

@@ -19,7 +19,7 @@ from tidegate.queries.base import Query, table
 from tidegate.session import widen
 from tidegate.sources.text import inline_rows
 
-REMOVE_LIST = "Hello, is, this, the"
+REMOVE_LIST = "der, of, and, und"
 
 # Words as the text reader and the blank split give them: lines first, blanks at a line's end dropped,
 # a line of blanks only has no words, an empty line has one empty word.
@@ -60,7 +60,9 @@ def join_inner(spark, sf):
 
 
 def join_salted(spark, sf):
-    lines = pairs(table(spark, sf, "lineitem"), part="l_partkey", order="l_orderkey", line="l_linenumber")
+    """Every third line belongs to one order, so that a third of the left rows has one key."""
+    order = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_orderkey"))
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("part"), order.alias("order"), F.col("l_linenumber").alias("line"), "l_orderkey")
     orders = pairs(table(spark, sf, "orders"), order="o_orderkey", customer="o_custkey")
     return joins.salted_join(lines, orders, "order", share=0.01, salts=16)
 
@@ -106,7 +108,8 @@ def sets_key(spark, sf):
 
 def lists_key(spark, sf):
     customer = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey"))
-    o = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", customer.alias("o_custkey"))
+    hot = F.when(F.col("o_orderkey") % 3 == 1, "a third").otherwise(F.col("o_orderpriority"))
+    o = table(spark, sf, "orders").select(hot.alias("o_orderpriority"), "o_orderkey", customer.alias("o_custkey"))
     return aggregates.items_text(aggregates.list_by_key(o, "o_orderpriority", "o_custkey", 16, F.col("o_orderkey")))
 
 
@@ -126,7 +129,6 @@ def custom_combine(spark, sf):
         merge_states=lambda a, b: F.struct((a["n"] + b["n"]).alias("n"), (a["total"] + b["total"]).alias("total")),
         finish=lambda s: s["total"] / s["n"],
         name="average",
-        buckets=16,
     )
 
 
@@ -194,7 +196,7 @@ QUERIES = {
             WHERE w NOT IN ({", ".join(repr(w) for w in sorted(set(STOP_WORDS)))}) GROUP BY w ORDER BY n DESC, w""",
     ),
     "wc_broadcast_filter": Query(
-        wc_broadcast, f"SELECT w, count(*) AS n FROM {WORDS_SQL} WHERE w NOT IN ('Hello', 'is', 'this', 'the') GROUP BY w"
+        wc_broadcast, f"SELECT w, count(*) AS n FROM {WORDS_SQL} WHERE w NOT IN ('der', 'of', 'and', 'und') GROUP BY w"
     ),
     "join_inner": Query(
         join_inner,
@@ -203,8 +205,8 @@ QUERIES = {
     ),
     "join_inner_salted": Query(
         join_salted,
-        """SELECT l_orderkey AS "order", l_partkey AS part, l_linenumber AS line, o_custkey AS customer
-           FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+        """SELECT o_orderkey AS "order", l_partkey AS part, l_linenumber AS line, l_orderkey, o_custkey AS customer
+           FROM lineitem JOIN orders ON CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_orderkey END = o_orderkey""",
     ),
     "join_three_way": Query(
         three_way,
@@ -242,7 +244,8 @@ QUERIES = {
         lists_key,
         """SELECT o_orderpriority, CAST(o_orderkey % 16 AS INTEGER) AS bucket, count(o_custkey) AS n,
                   coalesce(string_agg(CAST(o_custkey AS VARCHAR), ',' ORDER BY o_custkey), '') AS items
-           FROM (SELECT o_orderpriority, o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN orders.o_custkey END AS o_custkey FROM orders)
+           FROM (SELECT CASE WHEN o_orderkey % 3 = 1 THEN 'a third' ELSE o_orderpriority END AS o_orderpriority, o_orderkey,
+                        CASE WHEN orders.o_orderpriority <> '5-LOW' THEN orders.o_custkey END AS o_custkey FROM orders)
            GROUP BY o_orderpriority, bucket""",
     ),
     "agg_avg_by_key": Query(
