@@ -11,6 +11,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tidegate.llm import bpe, decontaminate, html_text, langid, license_scan, quality_model, quality_rules, token_store
+from tidegate.llm.encoders import WordEncoder
 
 LONG = "the quick brown fox jumps over a lazy dog again and again " * 400
 TEXTS = [
@@ -261,11 +262,32 @@ def test_packing(width):
     assert (token_store.unpack(packed, width, 123, 457) == ids[123:457]).all() and len(token_store.unpack(packed, width, 9, 9)) == 0
 
 
+def test_strings_of_special_tokens_are_read_as_the_library_reads_them():
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, encoder = Tokenizer.from_file(file), WordEncoder(file)
+    texts = ["hello <|endoftext|> x", "a<|endoftext|>b c", " <|endoftext|>,, z", "word<|endoftext|>", "  <|endoftext|>  \n y", "<|endoftext |>", "hello x"]
+    assert encoded(encoder, texts) == [[*tokenizer.encode(text, add_special_tokens=False).ids, 0] for text in texts]
+
+
+def encoded(encoder, texts):
+    return [ids.tolist() for ids in encoder.encode(texts, 0)]
+
+
+def test_odd_texts_are_encoded_as_by_the_library(monkeypatch):
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, encoder = Tokenizer.from_file(file), WordEncoder(file)
+    monkeypatch.setattr("tidegate.llm.encoders.MOST_STRETCHES", 3000)
+    chance = np.random.default_rng(8)
+    pieces = [" ", " ", " ", "  ", "\n", "\t", "\x85", "\xa0", "　", "a", "it's", "won't", "é", "中文", "🙂", "12", "3.5", ",", "...", "<|endoftext|>", "x" * 30, "ﬁ", "e\u0301", "\u200b"]
+    for _ in range(20):
+        texts = ["".join(chance.choice(pieces, chance.integers(0, 12))) for _ in range(200)]
+        assert encoded(encoder, texts) == [[*tokenizer.encode(text, add_special_tokens=False).ids, 0] for text in texts]
+
+
 def test_token_store_equals_the_library(spark, documents, empty, monkeypatch):
     monkeypatch.setattr(token_store, "BLOCK_BYTES", 3000)
     file = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(file)
-    tokenizer.encode_special_tokens = True
     path = token_store.write_tokens(documents, file)
     rows = token_store.document_spans(spark, path).collect()
     assert len(rows) == documents.count()

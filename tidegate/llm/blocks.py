@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +15,10 @@ import pyarrow.compute as pc
 def text_blocks(batches: Iterator[pa.RecordBatch], most_bytes: int, text: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows of `batches` in order, in batches of about `most_bytes` of text; a longer text stands alone.
 
-    Small batches are put together and large ones cut, so memory follows `most_bytes` and the longest text.
+    Small batches are put together and large ones cut, so memory follows `most_bytes` and the longest text. What
+    an earlier task left in the worker goes back to the machine before and after.
     """
+    give_back()
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -30,6 +35,15 @@ def text_blocks(batches: Iterator[pa.RecordBatch], most_bytes: int, text: str =
             held.append(batch.slice(start))
     if held:
         yield pa.concat_batches(held) if len(held) > 1 else held[0]
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: workers are used again by later stages, and the C library keeps it else."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

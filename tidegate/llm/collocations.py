@@ -41,7 +41,7 @@ SPLITS = 64
 HOT_SHARE = 1000
 BLOCK_BYTES = 8_000_000
 SHARD_BYTES = 8_000_000
-MOST_HELD = 1_000_000  # entries of a merging task before it adds them up
+MOST_HELD = 500_000  # entries of a merging task before it adds them up
 _MAP = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 _STRIPES = "lang string, shard int, prefixes array<binary>, pieces array<int>, sizes array<int>, nexts array<binary>, counts array<long>"
 _MERGED = "lang string, prefix binary, piece int, total long, nexts array<binary>, counts array<long>, hashes array<long>"
@@ -81,7 +81,7 @@ class Tokens:
         apart = (data == 32) | (data == 10)
         edge = np.flatnonzero(np.diff(apart, prepend=True))
         begin, end = edge[::2], edge[1::2]
-        piece = np.cumsum(data == 10)[begin] if len(begin) else np.zeros(0, np.int64)
+        piece = np.searchsorted(np.flatnonzero(data == 10), begin)
         self.same = np.append(piece[1:] == piece[:-1], False) if len(begin) else np.zeros(0, bool)
         offsets = np.concatenate([[0], np.cumsum(end - begin)])
         whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[~apart].tobytes())])

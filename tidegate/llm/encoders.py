@@ -42,20 +42,20 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.path = path
-        self._made = None
+        self._made = self._added = None
 
     def __getstate__(self):
-        return {"path": self.path, "_made": None}
+        return {"path": self.path, "_made": None, "_added": None}
 
     def _tokenizer(self):
         if self._made is None:
             from tokenizers import Tokenizer
 
             made = Tokenizer.from_file(self.path)
-            made.encode_special_tokens = True  # their strings in a text are ordinary text
             made.no_padding()
             made.no_truncation()
             self._made = made, ({}, {}, {})
+            self._added = [token.content for token in made.get_added_tokens_decoder().values()]
         return self._made
 
     def vocabulary(self) -> int:
@@ -66,7 +66,9 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tokenizer, known = self._tokenizer()
         end = np.array([end_id], "<u4").tobytes()
-        split = [stretches(text) for text in texts]
+        # The library reads the string of an added token as that token; such a text is encoded whole.
+        whole = {i: text for i, text in enumerate(texts) if text and any(own in text for own in self._added)}
+        split = [stretches(None if i in whole else text) for i, text in enumerate(texts)]
         for table in known:
             if len(table) > MOST_STRETCHES:
                 table.clear()
@@ -90,10 +92,13 @@ class WordEncoder:
         for k, ((_, rest), found) in enumerate(zip(split, known_bytes, strict=True)):
             if None in found:
                 known_bytes[k] = [spaced[part] if data is None else data for part, data in zip(rest, found, strict=True)]
-        return [
+        ids = [
             np.frombuffer(b"".join([leading[first], *found, end]), "<u4")
             for (first, _), found in zip(split, known_bytes, strict=True)
         ]
+        for i, made in zip(whole, tokenizer.encode_batch_fast(list(whole.values()), add_special_tokens=False), strict=True):
+            ids[i] = np.array([*made.ids, end_id], "<u4")
+        return ids
 
     def _add(self, table: dict[str, bytes], lead: str, new: set[str]) -> None:
         parts = [part for part in new if part not in table]
