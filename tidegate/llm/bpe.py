@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.blocks import flat_bytes, text_blocks
+from tidegate.llm.blocks import flat_bytes, give_back, text_blocks
 from tidegate.llm.encoders import stretches
 from tidegate.llm.stages import stored
 
@@ -42,7 +42,7 @@ LONGEST_FOLD = 256
 HOT_DOCS = 20_000  # bound of the sample in which frequent words are looked for, documents
 HOT_WORDS = 200_000  # and of the words kept
 LONGEST_HOT = 64  # bytes of such a word
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 3_000_000
 _NO_MERGE = 1 << 40
 _SIZES = (499_979, 498_977)  # primes, about five places per pair
 _REST = 1 << 30
@@ -271,6 +271,8 @@ def _blocks(documents: DataFrame, pattern: str, hot) -> DataFrame:
         index = {word: i for i, word in enumerate(hot.value.to_pylist())}
         for block in text_blocks(batches, BLOCK_BYTES):
             yield _to_block(block, compiled, index)
+        del index
+        give_back()
 
     return documents.mapInArrow(run, _BLOCK)
 
@@ -339,6 +341,9 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
         for batch in batches:
             for k in range(batch.num_rows):
                 yield _digests(batch.slice(k, 1), hot.value, own, names)
+                pa.default_memory_pool().release_unused()
+        del own
+        give_back()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
     return encoded.mapInArrow(run, schema)

@@ -31,7 +31,7 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 200  # bound of the labelled sample, documents
 CHARS_PER_LANGUAGE = 25_000  # and its characters after normalisation
 LONGEST_PIECE = 20_000  # of a labelled document so many characters from its first letter on are taken
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 10_000_000
 FEW = 24  # below so many documents in step, plain loops are faster than numpy
 
 
