@@ -6,6 +6,11 @@ with the item (q-gram lemma), all of them on diagonals (place in the document mi
 differ by at most 2 * e. Diagonals are cut into overlapping bands, so one band holds them all. Bands that
 reach the bound are verified by banded alignment.
 
+Repeated characters (rules, table lines) share a q-gram at every place with every place of an item. Places of one
+q-gram at equal steps are therefore a run, in the item and in the text, and two runs are counted diagonal by
+diagonal rather than place by place. Counting goes through the text in pieces of bounded size, and a band is
+judged and forgotten as soon as no later piece can reach it.
+
 Texts are compared in lower case with runs of white space as one space.
 
 Defined results: a null or empty item or document matches nothing. An item of fewer than q characters has no
@@ -30,6 +35,7 @@ Q = 10
 EDIT_RATE = 0.05
 BLOCK_BYTES = 2_000_000
 ITEM_CHARS = 4_000_000  # characters of benchmark items searched for at once; more items take more passes
+PIECE = 500_000  # diagonals counted at once
 
 SCHEMA = "doc_id long, item_id long, edits int, start int, length int"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -43,9 +49,11 @@ class ItemIndex(NamedTuple):
     edits: np.ndarray
     bounds: np.ndarray
     grams: np.ndarray  # distinct hashes in order
-    first: np.ndarray  # first posting of each, the end included
-    items: np.ndarray  # postings: item and place
+    steps: np.ndarray  # step between the places of each in its runs, 0 where it has none
+    first: np.ndarray  # first run of each, the end included
+    items: np.ndarray  # runs of places: item, first place and number of places
     places: np.ndarray
+    lengths: np.ndarray
     known: np.ndarray  # a bit of each hash, to rule most others out
     short: list[int]  # items of fewer than q characters
 
@@ -87,15 +95,32 @@ def index_items(items: list[tuple[int | None, str | None]], edit_rate: float = E
     place = np.concatenate([*[np.arange(len(g)) for g in grams], np.zeros(0, np.int64)]).astype(np.int64)
     order = np.argsort(every, kind="stable")
     distinct, first = np.unique(every[order], return_index=True)
+    gram = np.repeat(np.arange(len(distinct)), np.diff([*first, len(every)]))
+    item, place = item[order], place[order]
+    gap = np.where((gram[1:] == gram[:-1]) & (item[1:] == item[:-1]), place[1:] - place[:-1], 0)
+    steps = np.zeros(len(distinct), np.int64)
+    repeats = np.flatnonzero(gap)[::-1]
+    steps[gram[1:][repeats]] = gap[repeats]  # of each, the first one
+    begin, lengths = _runs(gap, steps[gram[1:]], len(every))
     known = np.zeros(1 << _FILTER_BITS, bool)
     known[(distinct >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
     short = [i for i, t in enumerate(texts) if 0 < len(t) < Q]
     return ItemIndex(
-        ids, texts, sizes, edits, np.maximum(sizes - Q + 1 - Q * edits, 1), distinct,
-        np.concatenate([first, [len(every)]]), item[order], place[order], known, short,
+        ids, texts, sizes, edits, np.maximum(sizes - Q + 1 - Q * edits, 1), distinct, steps,
+        np.searchsorted(gram[begin], np.arange(len(distinct) + 1)), item[begin], place[begin], lengths, known, short,
     )
 
 
+def _runs(gap: np.ndarray, step: np.ndarray, n: int, most: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First member and length of the runs of n places: neighbours a step apart, at most `most` (of each place) long."""
+    joined = np.concatenate([[False], (gap == step) & (gap > 0)])[:n]
+    begin = np.flatnonzero(~joined)
+    if most is not None and joined.any():
+        inside = np.arange(n) - np.repeat(begin, np.diff([*begin, n]))
+        begin = np.flatnonzero(inside % most == 0)
+    return begin, np.diff([*begin, n])
+
+
 def align(item: np.ndarray, piece: np.ndarray, most: int, low: int, high: int) -> tuple[int, int, int] | None:
     """(edits, start, length) of the part of `piece` closest to `item` within `most` edits; else None.
 
@@ -131,6 +156,73 @@ def align(item: np.ndarray, piece: np.ndarray, most: int, low: int, high: int) -
     return int(row[k]), int(begin[k]), end - int(begin[k])
 
 
+def _bands(points: np.ndarray, index: ItemIndex) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(item, lowest and highest diagonal) of the bands that share enough q-grams, piece by piece of the text."""
+    grams = q_grams(points)
+    at = np.flatnonzero(index.known[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+    if not len(at) or not len(index.grams):
+        return
+    which = np.minimum(np.searchsorted(index.grams, grams[at]), len(index.grams) - 1)
+    real = index.grams[which] == grams[at]
+    at, which = at[real], which[real]
+    del grams, real
+    # Runs of the text: places of one q-gram, as far apart as in the items, of a length that a piece can take.
+    lists = np.diff(index.first)
+    if index.steps[which].any():
+        order = np.argsort(which, kind="stable")
+        at, which = at[order], which[order]
+        gap = np.where(which[1:] == which[:-1], at[1:] - at[:-1], 0)
+        begin, length = _runs(gap, index.steps[which[1:]], len(at), np.clip(PIECE // lists[which], 1, PIECE))
+        order = np.argsort(at[begin], kind="stable")
+        begin, length = begin[order], length[order]
+        at, which = at[begin], which[begin]
+    else:
+        length = np.ones(len(at), np.int64)
+    reach = np.concatenate([[0], np.cumsum(index.lengths)])
+    cost = (length - 1) * lists[which] + reach[index.first[which + 1]] - reach[index.first[which]]
+    piece = np.cumsum(cost) // PIECE
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(at)]
+    longest = int(index.sizes.max())
+    span = len(points) + 2 * longest + 2
+    keys, shared = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for start, stop in zip(cuts, cuts[1:], strict=False):
+        item, diagonal, n = _diagonals(at[start:stop], which[start:stop], length[start:stop], index)
+        diagonal += longest
+        band = diagonal // (2 * index.edits[item] + 1)
+        lower = np.flatnonzero(band)
+        every = np.concatenate([keys, item * span + band, item[lower] * span + band[lower] - 1])
+        n = np.concatenate([shared, n, n[lower]])
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])[: len(every)])
+        keys, shared = every[first], np.add.reduceat(n[order], first) if len(first) else n
+        item, band = keys // span, keys % span
+        width = 2 * index.edits[item] + 1
+        # What comes later starts at the next run or behind it.
+        low, high = band * width - longest, (band + 2) * width - 1 - longest
+        over = np.ones(len(keys), bool) if stop == len(at) else high < at[stop] - index.sizes[item]
+        reached = over & (shared >= index.bounds[item])
+        yield item[reached], low[reached], high[reached]
+        keys, shared = keys[~over], shared[~over]
+
+
+def _diagonals(at: np.ndarray, which: np.ndarray, length: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, diagonal, shared q-grams) of runs of a text against all runs of their q-gram in the items."""
+    lists = index.first[which + 1] - index.first[which]
+    run = np.repeat(index.first[which] - np.cumsum(lists) + lists, lists) + np.arange(lists.sum())
+    at, length, step = np.repeat(at, lists), np.repeat(length, lists), np.repeat(index.steps[which], lists)
+    other = index.lengths[run]
+    lowest = at - index.places[run] - step * (other - 1)
+    if (length == 1).all() and (other == 1).all():
+        return index.items[run], lowest, np.ones(len(run), np.int64)
+    # Two runs of a and b places meet on a + b - 1 diagonals: once on the outermost, min(a, b) times in the middle.
+    n = length + other - 1
+    pair = np.repeat(np.arange(len(run)), n)
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    met = np.minimum(np.minimum(k + 1, n[pair] - k), np.minimum(length, other)[pair])
+    return index.items[run][pair], lowest[pair] + step[pair] * k, met
+
+
 def search(texts: list[str | None], index: ItemIndex) -> list[tuple[int, int, int, int, int]]:
     """(text, item, edits, start, length) of each item found in each text, at its closest place."""
     plain = [normalise(t) for t in texts]
@@ -142,40 +234,22 @@ def search(texts: list[str | None], index: ItemIndex) -> list[tuple[int, int, in
             at = f" {text} ".find(f" {index.texts[i]} ")
             if at >= 0:
                 found[d, i] = (0, at, int(index.sizes[i]))
-    grams = q_grams(points)
-    at = np.flatnonzero(index.known[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-    if len(at) and len(index.grams):
-        which = np.minimum(np.searchsorted(index.grams, grams[at]), len(index.grams) - 1)
-        real = index.grams[which] == grams[at]
-        at, which = at[real], which[real]
-        counts = index.first[which + 1] - index.first[which]
-        posting = np.repeat(index.first[which] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        item = index.items[posting]
-        longest = int(index.sizes.max())
-        diagonal = np.repeat(at, counts) - index.places[posting] + longest
-        stride = 2 * index.edits[item] + 1
-        band = diagonal // stride
-        span = len(points) + 2 * longest + 2
-        keys, shared = np.unique(np.concatenate([item * span + band, item * span + np.maximum(band - 1, 0)]), return_counts=True)
-        reached = shared >= index.bounds[keys // span]
-        for key in keys[reached].tolist():
-            i, j = divmod(key, span)
-            width = 2 * int(index.edits[i]) + 1
-            low, high = j * width - longest, (j + 2) * width - 1 - longest
-            # A band near the end of a text may cover its neighbour, so both are aligned.
-            left = np.searchsorted(starts, max(low, 0), side="right") - 1
-            right = np.searchsorted(starts, min(high + index.sizes[i], len(points) - 1), side="right") - 1
-            for d in range(int(left), min(int(right), len(plain) - 1) + 1):
+    for item, low, high in _bands(points, index):
+        # A band near the end of a text may cover its neighbour, so both are aligned.
+        left = np.searchsorted(starts, np.maximum(low, 0), side="right") - 1
+        right = np.searchsorted(starts, np.minimum(high + index.sizes[item], len(points) - 1), side="right") - 1
+        right = np.minimum(right, len(plain) - 1)
+        for i, a, z, first, last in zip(*(x.tolist() for x in (item, low, high, left, right)), strict=True):
+            for d in range(first, last + 1):
                 if found.get((d, i), (1,))[0] == 0:
                     continue
                 begin, end = int(starts[d]), int(starts[d + 1]) - 1
-                whole = plain[d].find(index.texts[i], max(low - begin, 0), max(high - begin, 0) + int(index.sizes[i]))
+                size, edits = int(index.sizes[i]), int(index.edits[i])
+                whole = plain[d].find(index.texts[i], max(a - begin, 0), max(z - begin, 0) + size)
                 if whole >= 0:
-                    found[d, i] = (0, whole, int(index.sizes[i]))
+                    found[d, i] = (0, whole, size)
                     continue
-                match = align(
-                    _points(index.texts[i]), points[begin:end], int(index.edits[i]), low - begin - int(index.edits[i]), high - begin + int(index.edits[i])
-                )
+                match = align(_points(index.texts[i]), points[begin:end], edits, a - begin - edits, z - begin + edits)
                 if match and match < found.get((d, i), (1 << 30, 0, 0)):
                     found[d, i] = match
     return [(d, i, *match) for (d, i), match in sorted(found.items())]
