@@ -2,13 +2,15 @@
 
 The page runs once through the standard library's streaming parser. Its events become lines, one per block of
 text, each with the tags that stood in it; elements that never hold article text (menus, forms, scripts, and
-elements named so by their class, id or role) make no line. A line's text-to-tag ratio is its characters by
-its tags. The ratios are smoothed with a Gaussian along the page. Neighbouring lines of one container are a
-region; a region is content if one of its smoothed ratios reaches the threshold, the standard deviation of all,
-or the largest ratio where that is lower. Content regions are kept whole, so short paragraphs of an article
-stay. Where the page marks an article or main element with text, every line of it is content and nothing outside
-is; on other pages a region without a heading must also reach the threshold by itself, all its characters by all
-its tags.
+containers named so) make no line. A line's text-to-tag ratio is its characters by its tags. The ratios are
+smoothed with a Gaussian along the page. Neighbouring lines of one container are a region; where the page marks an
+article or main element, all that it marks is one region. A region is content if one of its smoothed ratios reaches
+the threshold, the standard deviation of all, or the largest ratio where that is lower. Content regions are kept
+whole, so short paragraphs, lists and tables of an article stay. Where a marked region is content, it is all the
+content; else a region without a heading must also reach the threshold by itself, all its characters by all its tags.
+
+Headings and paragraphs are never left out by their names. Others are by class, role or id, if all its words say
+so; inside a marked article only containers are, and by an id only reader comments, as ids there are made of titles.
 
 Defined results: a null, empty or text-free page has the empty text. Character references are decoded; white
 space inside a block becomes one space; blocks are joined by one space in page order. Unclosed and stray
@@ -29,6 +31,7 @@ from tidegate.llm.blocks import text_blocks
 
 SIGMA = 1.5
 BLOCK_BYTES = 4_000_000
+MARKED = 0  # the region of all that stands in article and main elements
 
 _SILENT = frozenset(
     "script style noscript template head title nav aside footer form button select textarea iframe object svg canvas "
@@ -50,20 +53,36 @@ _NAMES = frozenset(
     "social follow related recommended newsletter subscribe subscription signup login search pagination pager popup modal "
     "overlay hidden skip complementary contentinfo tags toc disclaimer legal copyright".split()
 )
+#: Those of them that containers inside an article bear.
+_INNER_NAMES = _NAMES - frozenset("header masthead side foot toc tags legal copyright disclaimer search skip discussion".split())
+_COMMENTS = frozenset("comment comments replies disqus".split())
+#: Words that say nothing beside one of these.
+_PLAIN_NAMES = frozenset(
+    "site page main global top bottom left right box list block area section container wrapper wrap bar inner outer item "
+    "items panel post posts link links content user".split()
+)
+_SPOKEN = _HEADINGS | {"p"}
+_INNER_CONTAINERS = frozenset("div section ul ol dl table".split())
 #: Unclosed, these end where the next block begins.
 _LOOSE = frozenset("p li dt dd td th tr option".split())
 
 
+def _says(name: str, words: frozenset[str]) -> bool:
+    """Whether a class, id or role is made of such words and plain ones only."""
+    parts = set(name.lower().replace("-", " ").replace("_", " ").split())
+    return not words.isdisjoint(parts) and parts <= words | _PLAIN_NAMES
+
+
 class _Lines(HTMLParser):
-    """Blocks of text as (text, tags, region, in an article, heading)."""
+    """Blocks of text as (text, tags, region, heading)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
         self._heading = False
         self._text: list[str] = []
         self._tags = 0
-        self._region = 0
+        self._region = MARKED + 1
         self._main = 0
         self._silent = ""  # the element that makes no line, and how deep the same element is nested in it
         self._depth = 0
@@ -71,20 +90,23 @@ class _Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            self.lines.append((text, self._tags, self._region, self._main > 0, self._heading))
+            self.lines.append((text, self._tags, MARKED if self._main else self._region, self._heading))
         self._text, self._tags, self._heading = [], 0, False
 
     def _is_silent(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in _SILENT or tag == "header" and not self._main:
             return True
-        if tag in _MAIN or tag in ("body", "html"):
+        if tag in _MAIN or tag in _SPOKEN or tag in ("body", "html"):
             return False
         for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                if not _NAMES.isdisjoint(value.lower().replace("-", " ").replace("_", " ").split()):
-                    return True
-            elif name == "hidden" or name == "aria-hidden" and value == "true":
+            if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
+            if name in ("class", "role") and value and (not self._main or tag in _INNER_CONTAINERS):
+                if any(_says(word, _INNER_NAMES if self._main else _NAMES) for word in value.split()):
+                    return True
+            elif name == "id" and value and (not self._main or tag in _INNER_CONTAINERS):
+                if _says(value, _COMMENTS if self._main else _NAMES):
+                    return True
         return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -94,7 +116,7 @@ class _Lines(HTMLParser):
                     self._silent = ""
                 else:
                     self._depth += 1
-            elif tag in _MAIN or tag == "h1" or self._silent in _LOOSE and tag in _BLOCK:
+            elif tag in _MAIN or tag == "h1" and self._silent in ("nav", "menu") or self._silent in _LOOSE and tag in _BLOCK:
                 self._silent = ""  # it was left open
         if self._silent:
             return
@@ -162,21 +184,26 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    marked = [line for line in parser.lines if line[3]]
-    if marked:
-        return " ".join(line[0] for line in marked)
     lines = parser.lines
     if not lines:
         return ""
+    content = content_regions(lines)
+    return " ".join(line[0] for line in lines if line[2] in content)
+
+
+def content_regions(lines: list[tuple[str, int, int, bool]]) -> set[int]:
+    """The regions that text-to-tag ratios choose."""
     ratio = _smooth(np.array([len(text) / max(tags, 1) for text, tags, *_ in lines]))
     threshold = min(float(ratio.std()), float(ratio.max()))
     content = {line[2] for line, r in zip(lines, ratio, strict=True) if r >= threshold}
+    if MARKED in content:
+        return {MARKED}
     for region in list(content):
         own = [line for line in lines if line[2] == region]
         dense = sum(len(line[0]) for line in own) >= threshold * max(sum(line[1] for line in own), 1)
-        if not dense and not any(line[4] for line in own):
+        if not dense and not any(line[3] for line in own):
             content.discard(region)
-    return " ".join(line[0] for line in lines if line[2] in content)
+    return content
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
