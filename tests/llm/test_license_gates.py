@@ -3,6 +3,8 @@
 import re
 import re._parser as parser
 
+import duckdb
+
 from tidegate.llm import license_scan
 
 
@@ -41,3 +43,22 @@ def test_matches_without_the_keyword_are_labelled(spark):
     rows = license_scan.scan(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")).collect()
     assert {r.doc_id: r.labels for r in rows} == dict(enumerate(want.values()))
     assert all(r.n_base == 0 and r.base_labels == "" for r in rows)
+
+
+def test_sql_equals_the_operator(spark):
+    texts = [
+        None, "", "under the Expat licence", "Released under MIT.", "ISC licence and X11 licence", "MİT LİCENSE", "MIT LICENSE mit License",
+        "the Kelvin licence: MIT", "GNU GENERAL PUBLIC LICENSE Version 3", "ÉMIT LICENSE apache license", "Open RAIL-M", "mit license " * 300,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    database = duckdb.connect()
+    documents = rows.toPandas()  # noqa: F841
+    database.execute("CREATE TABLE documents AS SELECT * FROM documents")
+    want = database.execute(license_scan.scan_sql()).fetchall()
+    assert sorted(map(tuple, license_scan.scan(rows).collect())) == sorted(want)
+
+
+def test_only_ascii_letters_are_lowered(spark):
+    rows = spark.createDataFrame([(1, "MİT LİCENSE İİ MIT LICENSE"), (2, "K MIT LICENSE")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_base, r.first_word) for r in license_scan.scan(rows).collect()}
+    assert got == {1: (5, 1, 3), 2: (3, 1, 1)}

@@ -1,6 +1,6 @@
 """Licence scan with ordered signature rules, in DataFrame functions only.
 
-A text becomes its words in lower case, each between two spaces of its own, so that neighbouring matches share
+A text becomes its words with A-Z in lower case, each between two spaces of its own, so that neighbouring matches share
 nothing. Rules (license_rules.py) are grouped by gate, a string that every match holds; only the groups whose gate
 occurs in the text are tried. A detection is (priority, rule, label, start, end). A detection that lies inside another is suppressed
 if the other has a higher priority, or the same and is longer, or is equal in both and earlier in the list of
@@ -17,6 +17,7 @@ Letters outside A-Z keep their words apart from those of the rules.
 from __future__ import annotations
 
 import json
+import string
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
@@ -27,6 +28,7 @@ from tidegate.llm.license_rules import GATES, RULES
 
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 BASE_PRIORITY = 80
+UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -132,7 +134,7 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", rules
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every document."""
     rules = read_rules() if rules is None else rules
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
-    rows = rows.select("doc_id", F.trim(F.regexp_replace(F.lower("_text"), OTHER, " ")).alias("_words"))
+    rows = rows.select("doc_id", F.trim(F.regexp_replace(F.translate("_text", UPPER, LOWER), OTHER, " ")).alias("_words"))
     rows = rows.withColumn("_spaced", F.concat(F.lit(" "), F.replace("_words", F.lit(" "), F.lit("  ")), F.lit(" ")))
     none = F.array().cast("array<struct<label:string,start:int>>")
 
@@ -177,15 +179,15 @@ def _quoted(value: str) -> str:
 def scan_sql() -> str:
     """The same scan as SQL, written from the same rules."""
     rules = ",\n    ".join(
-        f"({r.number}, {_quoted(r.label)}, {r.priority}, {_quoted(r.keyword)}, {_quoted(r.pattern)})" for r in read_rules()
+        f"({r.number}, {_quoted(r.label)}, {r.priority}, {_quoted(r.gate)}, {_quoted(r.pattern)})" for r in read_rules()
     )
     base = ", ".join(f"({_quoted(spaced(phrase))}, {_quoted(label)})" for phrase, label in BASE)
     return rf"""
-WITH rules(number, label, priority, keyword, pattern) AS (VALUES
+WITH rules(number, label, priority, gate, pattern) AS (VALUES
     {rules}),
 base(pattern, label) AS (VALUES {base}),
 plain AS (
-  SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '{OTHER}', ' ', 'g'), ' ') AS words FROM documents),
+  SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{OTHER}', ' ', 'g'), ' ') AS words FROM documents),
 texts AS (SELECT doc_id, words, ' ' || replace(words, ' ', '  ') || ' ' AS spaced FROM plain),
 base_hits AS (
   SELECT doc_id, label, spaced, regexp_split_to_array(spaced, pattern) AS pieces, regexp_extract_all(spaced, pattern) AS matches
@@ -199,7 +201,7 @@ based AS (
 rule_hits AS (
   SELECT doc_id, number, label, priority, regexp_split_to_array(spaced, pattern) AS pieces,
          regexp_extract_all(spaced, pattern) AS matches
-  FROM texts JOIN rules ON contains(words, keyword) AND regexp_matches(spaced, pattern)),
+  FROM texts JOIN rules ON contains(words, gate) AND regexp_matches(spaced, pattern)),
 found AS (
   SELECT doc_id, number, label, priority, place AS s, place + length(matches[k]) AS e
   FROM (SELECT *, CAST(list_sum(list_transform(pieces[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(matches[1:k - 1], lambda x: length(x))), 0) AS BIGINT) AS place
