@@ -154,20 +154,21 @@ def fit(sample: dict[str, str]) -> LanguageModel:
 
 
 def learn(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
-    """Fit on a bounded sample: about DOCS_PER_LANGUAGE documents of each language, picked by a hash of the id."""
+    """Fit on a bounded sample: about DOCS_PER_LANGUAGE documents of each language, picked by a hash of id and text."""
     known = labelled.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.where(F.col("text").rlike(r"\p{L}"))
     # Places on a ring of ids: each language keeps the share of the ring that holds about as many as it needs.
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    share = known.join(F.broadcast(counts), "lang").where(place * F.col("n") <= 2.0 * DOCS_PER_LANGUAGE)
+    known = known.withColumn("place", place)
+    share = known.join(F.broadcast(counts), "lang").where(F.col("place") * F.col("n") <= 2.0 * DOCS_PER_LANGUAGE)
     piece = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, LONGEST_PIECE)
     share = share.withColumn("text", F.when(F.length("text") > LONGEST_PIECE, piece).otherwise(F.col("text")))
     sample: dict[str, list[str]] = {}
     room: dict[str, list[int]] = {}
-    for row in sorted(share.select("lang", "text", place.alias("place")).collect(), key=lambda r: (r.lang, r.place, r.text)):
+    for row in sorted(share.select("lang", "text", "place").collect(), key=lambda r: (r.lang, r.place, r.text)):
         left = room.setdefault(row.lang, [DOCS_PER_LANGUAGE, 2 * CHARS_PER_LANGUAGE])
         if min(left) > 0:
             sample.setdefault(row.lang, []).append(row.text)
