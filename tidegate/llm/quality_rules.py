@@ -25,7 +25,7 @@ SPACES = r"[\x20\x09-\x0D]"
 NO_SPACES = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 SAMPLE_ROWS = 1000  # bound of the sample on which costs and selectivities are estimated
-REPEATS = 10  # times that a job judges each of its rows, so that rules weigh more than the job itself
+REPEATS = 2  # times that a job judges each of its rows, so that rules weigh more than the job itself
 ROUNDS = 2  # jobs of each rule, of which the quickest counts
 LEAST_COST = 1e-8  # seconds a document: rules below what can be measured cost the same
 
