@@ -85,7 +85,7 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for number, block in enumerate(text_blocks(batches, BLOCK_BYTES)):
-            lists = encoder.encode(block.column("text").to_pylist(), end_id)
+            lists = encoder.encode(block.column("text"), end_id)
             offsets = np.cumsum([0, *map(len, lists)])
             ids = block.column("doc_id")
             edge = ids.drop_null()
