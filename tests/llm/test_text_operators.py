@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import pickle
 import zlib
 
 import numpy as np
@@ -284,6 +285,16 @@ def test_odd_texts_are_encoded_as_by_the_library(monkeypatch):
         assert encoded(encoder, texts) == [[*tokenizer.encode(text, add_special_tokens=False).ids, 0] for text in texts]
 
 
+def test_an_encoder_that_is_sent_keeps_its_stretches():
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(file)
+    first, second = (pickle.loads(pickle.dumps(WordEncoder(file))) for _ in range(2))
+    assert first is second
+    for texts in (["one two, three", None, " one"], ["three, two one", "", "two\u00a0 three"], []):
+        want = [[*tokenizer.encode(text or "", add_special_tokens=False).ids, 7] for text in texts]
+        assert [ids.tolist() for ids in second.encode(texts, 7)] == want
+
+
 def test_token_store_equals_the_library(spark, documents, empty, monkeypatch):
     monkeypatch.setattr(token_store, "BLOCK_BYTES", 3000)
     file = public_tokenizers.path("byte_bpe_50k.json")

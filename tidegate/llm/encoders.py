@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import string
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 #: a space only begins a piece there, and no piece looks across it.
 _CUT = re.compile(r"(?<=\S)(?= )")
 _SPACES = [char for char in map(chr, range(sys.maxunicode + 1)) if char.isspace() and char != " "]
-MOST_STRETCHES = 1_200_000
+MOST_STRETCHES = 1_000_000
 TOGETHER = 50  # stretches encoded as one string
 _CHUNKS = 200  # strings encoded at once
 _SPACE = "\u0120"  # fixed value: how byte-level vocabularies write the byte of a space
@@ -45,15 +46,17 @@ class WordEncoder:
 
     Arrow numbers the distinct stretches of a block, Python looks up only these, and the ids of all documents are
     one gather from a flat store. New stretches are encoded many to a string: a token begins with a space only
-    where a stretch begins, so the ids fall apart again. The store is emptied when it holds MOST_STRETCHES.
+    where a stretch begins, so the ids fall apart again. A worker keeps its store for the tasks that follow; it is
+    emptied when it holds MOST_STRETCHES, which costs time and changes no ids.
     """
 
     def __init__(self, path: str):
         self.path = path
         self._made = None
 
-    def __getstate__(self):
-        return {"path": self.path, "_made": None}
+    def __reduce__(self):
+        written = os.stat(self.path)
+        return _of_worker, (self.path, written.st_mtime_ns, written.st_size)
 
     def _tokenizer(self):
         if self._made is None:
@@ -177,3 +180,9 @@ class WordEncoder:
         ids, upto = self._join(codes)
         last = np.concatenate([[0], upto])[ends]
         return np.split(np.insert(ids, last, end_id).astype("<u4"), (last + np.arange(1, len(ends) + 1))[:-1])
+
+
+@functools.lru_cache(maxsize=1)
+def _of_worker(path: str, written: int, size: int) -> WordEncoder:
+    """The encoder that a worker keeps, as long as the tokenizer file is the same."""
+    return WordEncoder(path)
