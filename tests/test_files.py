@@ -1,3 +1,4 @@
+import bz2
 import gzip
 import os
 import random
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.filenames import NAME_COLUMNS, is_accepted, parse_names, partition_date, source_file
 from tidegate.operators.inventory import next_per_entity, unpublished
 from tidegate.operators.routing import automaton, route_files
+from tidegate.session import session_setting
 from tidegate.sinks import files as sinks
 from tidegate.sources import text as sources
 from tidegate.sources.catalog import catalog_columns, table_columns
@@ -191,6 +193,47 @@ def test_single_file_is_sorted_and_keeps_the_tasks_before_it(spark, tmp_path):
     assert [v for v, _ in written] == [str(i) for i in range(100)] and len({p for _, p in written}) == 5
 
 
+@pytest.mark.parametrize(("codec", "opened"), [(None, open), ("gzip", gzip.open), ("bzip2", bz2.open)])
+def test_single_file_is_joined_from_compressed_parts(spark, tmp_path, codec, opened):
+    chance = random.Random(3)
+    values = [f"{chance.random()}-{i % 7}" * 5 for i in range(20_000)] + ["", "", "x" * 100_000]
+    df = frame(spark, values, "value").withColumn("hot", F.lit(1)).repartition(6)
+    path = str(tmp_path / "one")
+    for _ in range(2):  # again over the first
+        sinks.write_single_file(df, path, ["hot"], codec)
+        parts = os.listdir(path)
+        assert len(parts) == 1 and parts[0].startswith("part-00000-") and parts[0].endswith(".txt" + sinks.JOINED[codec or "none"])
+        with opened(os.path.join(path, parts[0]), "rt") as text:
+            assert text.read() == "".join(f"{v}\n" for v in sorted(values))
+        assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(values)
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", "100000"):  # cut where readers can cut
+        assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(values)
+
+
+@pytest.mark.parametrize("codec", [None, "gzip", "bzip2", "deflate"])
+def test_single_file_of_no_rows_and_of_empty_parts(spark, tmp_path, codec):
+    none, some = str(tmp_path / "none"), str(tmp_path / "some")
+    sinks.write_single_file(frame(spark, [], "value").repartition(3), none, ["value"], codec)
+    sinks.write_single_file(spark.range(0, 8, 1, 8).where("id % 4 = 1").selectExpr("'v' || id AS value"), some, (), codec)
+    assert spark.read.text(none).count() == 0 and len([x for x in os.listdir(some) if x.startswith("part-")]) == 1
+    assert sorted(r.value for r in spark.read.text(some).collect()) == ["v1", "v5"]
+
+
+def test_single_file_at_a_relative_path_and_with_a_scheme(spark, tmp_path):
+    lines = frame(spark, ["b", "a", "c"], "value").repartition(3)
+    for path in (os.path.relpath(tmp_path / "near"), f"file://{tmp_path}/far"):
+        sinks.write_single_file(lines, path, [F.desc("value")], "gzip")
+    for name in ("near", "far"):
+        (part,) = [x for x in os.listdir(tmp_path / name) if not x.startswith((".", "_"))]
+        with gzip.open(tmp_path / name / part, "rt") as text:
+            assert text.read() == "c\nb\na\n"
+
+
+def test_parts_are_joined_in_the_order_of_their_numbers():
+    names = ["part-100000-u-c000.txt", "part-99999-u-c001.txt", "part-00002-u-c000.txt", "part-99999-u-c000.txt"]
+    assert sorted(names, key=sinks._part_number) == [names[2], names[3], names[1], names[0]]
+
+
 def test_folder_per_key(spark, tmp_path, rows):
     df = spark.createDataFrame([("L", "50000"), ("B", "50000"), ("S", "10000"), ("N", None)], "value string, salary string")
     path = str(tmp_path / "keys")

@@ -1,17 +1,24 @@
-"""File sinks. All of them write in parallel, but for the single file."""
+"""File sinks. All of them write in parallel."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import bracketed_line, delimited_line
-from tidegate.session import session_setting
+from tidegate.session import session_setting, workspace
+from tidegate.sources.listing import store_of
 
 GZIP_CODEC = "org.apache.hadoop.io.compress.GzipCodec"
+JOINED = {"none": "", "gzip": ".gz", "bzip2": ".bz2"}  # codecs whose files one after another are such a file
+COPIED = 4 << 20  # bytes held at a time while parts are joined
 
 
 def as_lines(df: DataFrame, sep: str = "|", bracketed: bool = False) -> DataFrame:
@@ -28,15 +35,72 @@ def write_text(lines: DataFrame, path: str, compression: str | None = None, mode
 def write_single_file(
     lines: DataFrame, path: str, sort_by: Sequence[str | Column] = (), compression: str | None = None
 ) -> None:
-    """One output file, written by one task; for outputs that one machine can hold.
+    """One output file in the folder `path`, made by many tasks.
 
-    What makes the lines keeps its tasks: the rows are shuffled to the writer and sorted there, on disk where
-    memory is short. `lines` may hold sort columns next to `value`; only `value` is written.
+    The lines are sorted, compressed and written in parts by all tasks; then one task puts the bytes of the parts one
+    after another, which for JOINED codecs is a file of that codec. Equal sort keys are ordered by the line. `lines`
+    may hold sort columns next to `value`; only `value` is written. No rows give an empty file. Where the codec or
+    the store does not allow joining, one task sorts and writes all lines.
     """
-    ordered = lines.repartition(1)
-    if sort_by:
-        ordered = ordered.sortWithinPartitions(*sort_by)
-    write_text(ordered.select("value"), path, compression)
+    codec = (compression or "none").lower()
+    parts, target = (_qualified(lines.sparkSession, x) for x in (workspace(lines.sparkSession, "parts"), path))
+    if codec not in JOINED or not (_known_store(parts) and _known_store(target)):
+        ordered = lines.repartition(1)
+        if sort_by:
+            ordered = ordered.sortWithinPartitions(*sort_by, "value")
+        return write_text(ordered.select("value"), path, compression)
+    write_text((lines.orderBy(*sort_by, "value") if sort_by else lines).select("value"), parts, codec)
+    join_parts(lines.sparkSession, parts, target, ".txt" + JOINED[codec])
+    remove_folders(lines.sparkSession, [parts])
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store, so that tasks do not take one of the default store, or a relative one, for their own."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def _known_store(path: str) -> bool:
+    try:
+        store_of(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+    return True
+
+
+def _part_number(name: str) -> tuple[int, ...]:
+    """Task and file of a part, as Spark names it: `part-<task>-<run>-c<file>...`."""
+    found = re.match(r"part-(\d+)(?:.*-c(\d+))?", name)
+    return tuple(int(x or 0) for x in found.groups())
+
+
+def join_parts(spark: SparkSession, parts: str, path: str, extension: str) -> None:
+    """The bytes of the part files of one folder, in their order, as the only file of the folder `path`.
+
+    A task copies COPIED bytes at a time to a hidden name of its own attempt; what a lost attempt left is removed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("parts").to_pylist():
+                (source, inner, _), (store, target, _) = store_of(folder), store_of(path)
+                found = [x for x in source.get_file_info(fs.FileSelector(inner)) if x.base_name.startswith("part-")]
+                store.create_dir(target, recursive=True)
+                name = f"_joined-{uuid.uuid4().hex}"
+                with store.open_output_stream(f"{target}/{name}", compression=None) as out:
+                    for part in sorted(found, key=lambda x: _part_number(x.base_name)):
+                        with source.open_input_stream(part.path, compression=None) as data:
+                            while chunk := data.read(COPIED):
+                                out.write(chunk)
+                yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
+
+    one = spark.createDataFrame([(parts,)], "parts string").coalesce(1)
+    name = one.mapInArrow(run, "name string").first().name
+    store, target, _ = store_of(path)
+    for old in store.get_file_info(fs.FileSelector(target)):
+        if old.base_name != name:
+            store.delete_dir(old.path) if old.type == fs.FileType.Directory else store.delete_file(old.path)
+    store.move(f"{target}/{name}", f"{target}/part-00000-{name[8:]}-c000{extension}")
 
 
 def write_by_key(lines: DataFrame, path: str, keys: str | Sequence[str], compression: str | None = None) -> None:
