@@ -7,11 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tidegate.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-).split()
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -48,7 +43,3 @@ def text_file(tmp_path):
         return str(path)
 
     return write
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,7 @@ import base64
 import hashlib
 
 import pytest
-from conftest import plan_of
+from common import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

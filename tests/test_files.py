@@ -4,7 +4,7 @@ import os
 import random
 
 import pytest
-from conftest import plan_of
+from common import plan_of
 from pyspark.sql import functions as F
 
 from tidegate.functions.filenames import NAME_COLUMNS, is_accepted, parse_names, partition_date, source_file

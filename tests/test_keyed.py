@@ -1,7 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import plan_of
+from common import plan_of
 from pyspark.sql import functions as F
 
 from tidegate.operators import aggregates, joins, ordering, sets

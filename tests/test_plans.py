@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SMALL, plan_of
+from common import SMALL, plan_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract

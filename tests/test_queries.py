@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SMALL, TABLES
+from common import SMALL, TABLES
 
 import __spark_entry__ as contract
 
