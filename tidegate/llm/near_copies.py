@@ -1,17 +1,17 @@
-"""Near copies by Jaccard similarity of word shingles: SimHash within a wide radius, bands of minima as its index.
+"""Near copies by Jaccard similarity of word shingles: seeded SimHash fingerprints in a byte-position inverted index.
 
-Texts at similarity 0.8 differ in about 10 of the 64 bits of their fingerprints, which no index over few
-differing bits finds. So candidates are texts that share a band, BAND minima of the shingles' hashes; with
-BANDS bands a pair at similarity 0.8 shares none with a chance of 2 in 10,000, and a closer pair with less.
-Candidates whose SimHash fingerprints differ in more than WIDE bits are dropped (at similarity 0.8 five
+Texts at similarity 0.8 differ in about 10 of the 64 bits of a SimHash fingerprint, too many for the 5 of 8 positional
+bytes that operator 6 asks for. So a text has SEEDS fingerprints, and candidates are texts that share SHARED positional
+bytes of one of them: at similarity 0.8 a pair shares none with a chance of 4 in 1,000, and a closer pair with less. The
+index lists the texts under their positional bytes; the lists of two positions are intersected inside a task. Candidates
+whose fingerprints together differ in more than APART of all bits are dropped (at similarity 0.8 three and a half
 standard deviations off); of the others the similarity is computed from the whole sets of shingles.
 
-Texts with the same set of shingles are one node. First each node of a band's list is compared with the first of
-the list. Lists that hold several components afterwards go on in rounds: in each round some members that are chosen by
-their hashes, FIRST_SOME of a list and MORE times as many in each further round, are compared with all members of other
-components than theirs, until all members of a list have been chosen or are of one component. So all candidates that
-could join components are compared, and members of a large group, which find a partner among the first few, cost a few
-comparisons each. Only members that stay apart are compared with all members of their list.
+Texts with the same set of shingles are one node. In an intersected list each node gets pairs with the first
+FIRST_SOME close nodes before it. The first of these are verified first, the others only where they could still join
+components. A list in which a node has FIRST_SOME of them and perhaps more is kept, and at last all its close pairs of
+different components are verified. So all candidates that could join components are compared, and members of a large
+group, which find a partner among the first, cost a few comparisons each.
 
 Defined results: fewer words than a shingle: the whole sequence is one shingle. Texts without a word, nulls
 among them, are copies of each other. Rows without an id take no part and are not in the result.
@@ -23,8 +23,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.blocks import text_blocks
@@ -34,15 +35,17 @@ from tidegate.llm.words import ascii_words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, BAND = 16, 4
-WIDE = 24
-FIRST_SOME, MORE = 16, 8
+SEEDS, SHARED = 5, 2
+APART = 0.225
+FIRST_SOME = 16
 SEED = 42
 BLOCK_BYTES = 4_000_000
+PAIRS_AT_ONCE = 1 << 18
+_POSITIONS = 8  # bytes of a fingerprint
 _HASHES_AT_ONCE = 1 << 12
 _chance = np.random.default_rng(SEED)
-_FLIPS = _chance.integers(0, 1 << 64, BANDS * BAND, np.uint64)[:, None]
-_FACTORS = _chance.integers(0, 1 << 64, BANDS * BAND, np.uint64)[:, None] | np.uint64(1)
+_FLIPS = _chance.integers(0, 1 << 64, SEEDS, np.uint64)
+_FACTORS = _chance.integers(0, 1 << 64, SEEDS, np.uint64) | np.uint64(1)
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -64,41 +67,192 @@ def node_of(hashes: np.ndarray) -> int:
     return name - (1 << 64) if name >> 63 else name
 
 
-def sketch(hashes: np.ndarray) -> tuple[int, list[int]]:
-    """SimHash fingerprint and the bands' keys of a set that isn't empty, as signed longs."""
-    least = np.full((BANDS * BAND, 1), np.iinfo(np.uint64).max, np.uint64)
-    ones = np.zeros(64, np.int64)
+def sketch(hashes: np.ndarray) -> list[int]:
+    """The positional bytes of the fingerprints of a set that isn't empty, each as 256 * place + byte."""
+    ones = np.zeros(64 * SEEDS, np.int64)
     for at in range(0, len(hashes), _HASHES_AT_ONCE):
-        part = hashes[at : at + _HASHES_AT_ONCE]
-        mixed = (part[None, :] ^ _FLIPS) * _FACTORS
+        mixed = (hashes[at : at + _HASHES_AT_ONCE, None] ^ _FLIPS) * _FACTORS
+        for shift in (32, 29):
+            mixed ^= mixed >> np.uint64(shift)
+            mixed *= _FACTORS
         mixed ^= mixed >> np.uint64(32)
-        least = np.minimum(least, (mixed * _FACTORS).min(axis=1, keepdims=True))
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0]
-    rows = least.reshape(BANDS, BAND)
-    keys = np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(rows)], np.uint64)
-    return int(bits), keys.view(np.int64).tolist()
+        ones += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    places = np.packbits(2 * ones > len(hashes), bitorder="little")
+    return (np.arange(len(places)) * 256 + places).tolist()
 
 
 def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, bits, keys) of every row; no keys if it has no word."""
+    """(doc_id, node, keys) of every row; no keys if it has no word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, BLOCK_BYTES):
             sets = [shingle_set(x, shingle) for x in block.column("text").to_pylist()]
-            made = [sketch(hashes) if len(hashes) else (0, []) for hashes in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("doc_id"),
-                    pa.array(map(node_of, sets), pa.int64()),
-                    pa.array([bits for bits, _ in made], pa.int64()),
-                    pa.array([keys for _, keys in made], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "node", "bits", "keys"],
-            )
+            made = [sketch(hashes) if len(hashes) else [] for hashes in sets]
+            nodes = pa.array(map(node_of, sets), pa.int64())
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), nodes, pa.array(made, pa.list_(pa.int64()))], ["doc_id", "node", "keys"])
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, node long, bits long, keys array<long>")
+    return rows.where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, node long, keys array<long>")
+
+
+def _binary(matrix: np.ndarray) -> pa.Array:
+    """The rows of a matrix of bytes as values."""
+    edges = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(matrix))])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Values of equal length as the rows of a matrix of bytes."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _words(prints: np.ndarray) -> np.ndarray:
+    """Rows of bytes as 64-bit numbers, filled up with zeros; one array for each."""
+    filled = np.zeros((len(prints), -(-prints.shape[1] // 8) * 8), np.uint8)
+    filled[:, : prints.shape[1]] = prints
+    return np.ascontiguousarray(filled.view(np.uint64).T)
+
+
+def _close(words: np.ndarray, left: np.ndarray, right: np.ndarray, most: float) -> np.ndarray:
+    """Which pairs of rows differ in at most `most` bits."""
+    apart = np.zeros(len(left), np.uint16)
+    for own in words:
+        apart += np.bitwise_count(own[left] ^ own[right])
+    return apart <= most
+
+
+def postings(nodes: DataFrame) -> DataFrame:
+    """(key, node, prints): nodes (node, keys) under their positional bytes, but the last that starts no SHARED positions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pc.greater(pc.list_value_length(batch.column("keys")), 0))
+            if not batch.num_rows:
+                continue
+            keys = batch.column("keys").flatten().to_numpy().reshape(batch.num_rows, -1)
+            prints = _binary((keys & 255).astype(np.uint8))
+            for place in range(keys.shape[1]):
+                if place % _POSITIONS <= min(keys.shape[1], _POSITIONS) - min(keys.shape[1], SHARED):
+                    columns = [pa.array(keys[:, place].copy()), batch.column("node"), prints]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "node", "prints"])
+
+    return nodes.select("node", "keys").mapInArrow(run, "key long, node long, prints binary")
+
+
+def _whole_lists(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches that are sorted by `key`, cut so that no list is in two of them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        last = int(np.searchsorted(keys, keys[-1]))
+        if held and (last or held[-1].column(key)[-1].as_py() != keys[-1]):
+            yield pa.concat_batches([*held, batch.slice(0, last)])
+            held = []
+        elif not held and last:
+            yield batch.slice(0, last)
+        held.append(batch.slice(last))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _first_close(lists: np.ndarray, words: np.ndarray, most: float, some: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """In sorted lists each row's first `some` close rows before it: (row, that row, their number), and the rows of open lists.
+
+    A list is open if a row had found so many before it was compared with all.
+    """
+    start = np.searchsorted(lists, lists)
+    place, count, k = np.arange(len(lists)) - start, np.zeros(len(lists), np.int64), 0
+    active, found, opened, linked = np.flatnonzero(place > 0), [], np.zeros(len(lists), bool), np.zeros(len(lists), bool)
+    while len(active):
+        left = start[active] + k
+        near = _close(words, active, left, most)
+        if near.any():
+            hit = active[near]
+            found.append((hit, left[near], count[hit]))
+            count[hit] += 1
+            linked[hit] = linked[left[near]] = True
+        k += 1
+        more = place[active] > k
+        full = count[active] >= some
+        opened[start[active[more & full]]] = True
+        active = active[more & ~full]
+    pairs = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
+    return *pairs, np.flatnonzero(linked & opened[start])
+
+
+def candidates(listed: DataFrame, some: int) -> DataFrame:
+    """Close pairs (a, b, number) of the postings, numbered for each b from 0 to `some` - 1; and open lists (list, a, prints)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_lists(batches, "key"):
+            key, node, prints = batch.column("key").to_numpy(), batch.column("node").to_numpy(), _matrix(batch.column("prints"))
+            width = prints.shape[1]
+            place = key >> 8
+            found = []
+            for step in range(1, _POSITIONS) if width > 1 else (0,):
+                valid = np.flatnonzero(place % _POSITIONS + step < min(_POSITIONS, width))
+                lists = (key[valid] * 256 + prints[valid, place[valid] + step]) * _POSITIONS + step
+                order = np.lexsort((node[valid], lists))
+                rows, lists = valid[order], lists[order]
+                right, left, number, members = _first_close(lists, _words(prints[rows]), APART * 8 * width, some)
+                found.append((node[rows[left]], node[rows[right]], number))
+                if len(members):
+                    yield _candidate_batch(node[rows[members]], lists=lists[members], prints=prints[rows[members]])
+            a, b, number = map(np.concatenate, zip(*found, strict=True))
+            # A pair that is in several lists of the batch is sent once, with its least number.
+            order = np.lexsort((number, b, a))
+            a, b, number = a[order], b[order], number[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            yield _candidate_batch(a[new], b[new], number[new])
+
+    by_key = listed.repartition("key").sortWithinPartitions("key")
+    return by_key.mapInArrow(run, "a long, b long, number long, list long, prints binary")
+
+
+def _candidate_batch(
+    a: np.ndarray, b: np.ndarray | None = None, number: np.ndarray | None = None, lists: np.ndarray | None = None, prints: np.ndarray | None = None
+) -> pa.RecordBatch:
+    columns = [pa.nulls(len(a), pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (a, b, number, lists)]
+    columns.append(pa.nulls(len(a), pa.binary()) if prints is None else _binary(prints))
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "number", "list", "prints"])
+
+
+def _between(lists: DataFrame) -> DataFrame:
+    """(a, b): the close pairs of different components in the lists (list, node, root, prints)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_lists(batches, "list"):
+            key, node, root = (batch.column(name).to_numpy() for name in ("list", "node", "root"))
+            prints = _matrix(batch.column("prints"))
+            found, held = [], 0
+            edges = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+            for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                own = root[begin:end]
+                _, inverse, sizes = np.unique(own, return_inverse=True, return_counts=True)
+                if len(sizes) == 1:
+                    continue
+                # The largest component is last, so that its members are only looked up, never compared with each other.
+                order = np.lexsort((inverse, sizes[inverse]))
+                rows, runs = order + begin, inverse[order]
+                words = _words(prints[rows])
+                ends = np.append(np.flatnonzero(np.diff(runs)) + 1, len(runs))
+                beyond = ends[np.searchsorted(ends, np.arange(len(runs)), side="right")]
+                for i in np.flatnonzero(beyond < len(runs)).tolist():
+                    right = np.arange(beyond[i], len(runs))
+                    right = right[_close(words, np.full(len(right), i), right, APART * 8 * prints.shape[1])]
+                    x, y = np.full(len(right), node[rows[i]]), node[rows[right]]
+                    found.append((np.minimum(x, y), np.maximum(x, y)))
+                    held += len(right)
+                    if held > PAIRS_AT_ONCE:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
+                        found, held = [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
+
+    return lists.repartition("list").sortWithinPartitions("list").mapInArrow(run, "a long, b long").distinct()
 
 
 def similar(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -127,48 +281,33 @@ def similar(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, similari
     return rows.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long").distinct()
 
 
-def _close(left: str, right: str) -> Column:
-    return F.bit_count(F.col(left).bitwiseXOR(F.col(right))) <= WIDE
-
-
 def near_copies(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
     """(doc_id, component_id) of every row with an id: the smallest id of all that near copies connect with it."""
     texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = stored(sketches(documents, doc_id, text, shingle), "sketches")
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
-    members = nodes.select("node", "id", "bits", F.explode("keys").alias("key"))
-    firsts = members.groupBy("key").agg(F.min(F.struct("node", "id", "bits")).alias("first"), F.count("*").alias("n"))
-    members = members.join(firsts.where("n > 1"), "key")
-    members = stored(members.select("key", "n", "node", "id", "bits", "first"), "members")
-    pairs = members.where(_close("bits", "first.bits") & (F.col("node") != F.col("first.node")))
-    pairs = pairs.select(F.col("first.node").alias("a"), F.col("first.id").alias("a_id"), F.col("node").alias("b"), F.col("id").alias("b_id"))
-    roots = components(similar(stored(pairs.distinct(), "pairs"), texts, shingle, similarity))
-
-    before, some = 0, FIRST_SOME
-    while True:
-        named = members.drop("first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = named.groupBy("key").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).where("_least <> _most").select("key")
-        named = stored(named.join(several, "key", "left_semi"), "named")
-        longest = named.agg(F.max("n").alias("n")).first()["n"]
-        if longest is None:
-            break
-        # A number from 0 to n - 1 of each member says in which round it is chosen.
-        place = F.pmod(F.xxhash64("key", "node"), "n")
-        chosen = named.where((place >= before) & (place < some))
-        chosen = chosen.select("key", *[F.col(x).alias(f"other_{x}") for x in ("node", "id", "bits", "root")])
-        apart = (F.col("root") != F.col("other_root")) & _close("bits", "other_bits")
-        # Of two that are chosen in this round one order is enough.
-        once = (place < before) | (place >= some) | (F.col("node") < F.col("other_node"))
-        left = named.join(chosen, "key").where(apart & once)
-        pairs = left.select(F.col("node").alias("a"), F.col("id").alias("a_id"), F.col("other_node").alias("b"), F.col("other_id").alias("b_id"))
-        more = similar(stored(pairs.distinct(), "pairs"), texts, shingle, similarity)
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-        if some >= longest:
-            break
-        before, some = some, some * MORE
-
-    whole = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"))
+    found = stored(candidates(postings(nodes), FIRST_SOME), "candidates")
+    numbered = stored(found.where("b IS NOT NULL").groupBy("a", "b").agg(F.min("number").alias("number")), "pairs")
+    ids = nodes.select("node", "id")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        named = pairs.join(ids.toDF("a", "a_id"), "a").join(ids.toDF("b", "b_id"), "b").select("a", "a_id", "b", "b_id")
+        return similar(stored(named, "pairs"), texts, shingle, similarity)
+
+    def joined(more: DataFrame) -> DataFrame:
+        return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+
+    def root_of(pairs: DataFrame, node: str, root: str) -> DataFrame:
+        return pairs.join(roots.toDF(node, root), node, "left").withColumn(root, F.coalesce(root, node))
+
+    roots = components(verified(numbered.where("number = 0").select("a", "b")))
+    others = root_of(root_of(numbered.where("number > 0"), "a", "a_root"), "b", "b_root").where("a_root <> b_root")
+    roots = joined(verified(others.select("a", "b")))
+    lists = root_of(found.where("list IS NOT NULL").select("list", F.col("a").alias("node"), "prints"), "node", "root")
+    roots = joined(verified(_between(lists)))
+
+    whole = ids.join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     least = whole.groupBy("root").agg(F.min("id").alias("component_id"))
     return rows.select("doc_id", "node").join(whole.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
