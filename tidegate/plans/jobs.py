@@ -87,11 +87,16 @@ def load_partition(
     not erase the first. Lines of another width go to `rejects`, one folder per file. `files` (path) lists
     files that may have no line left; by default the files are those of the lines.
     """
-    known = workspace(spark, "known")
-    named(lines.select("path").distinct() if files is None else files).select("from_ts", *FILE_KEY).dropDuplicates().write.parquet(known)
-    tried = spark.read.parquet(known)
+    folder = workspace(spark, "known")
+    named(lines.select("path").distinct()).select("path", "from_ts", *FILE_KEY).write.parquet(f"{folder}/lines")
+    places = spark.read.parquet(f"{folder}/lines")
+    tried = (places if files is None else named(files)).select("from_ts", *FILE_KEY).dropDuplicates()
+    if files is not None:
+        tried.write.parquet(f"{folder}/files")
+        tried = spark.read.parquet(f"{folder}/files")
     dates = sorted(row.fecha for row in tried.select(partition_date("from_ts", frequency).alias("fecha")).distinct().collect())
-    _load(spark, named(lines), tried, dates, columns, table, frequency, sep, rejects)
+    # Names are parsed once per file; a line meets those of its file by the path.
+    _load(spark, lines.select("value", "path").join(places, "path"), tried, dates, columns, table, frequency, sep, rejects)
 
 
 def _load(
