@@ -164,7 +164,7 @@ def _first_close(lists: np.ndarray, words: np.ndarray, most: float, some: int) -
     """
     start = np.searchsorted(lists, lists)
     place, count, k = np.arange(len(lists)) - start, np.zeros(len(lists), np.int64), 0
-    active, found, opened, linked = np.flatnonzero(place > 0), [], np.zeros(len(lists), bool), np.zeros(len(lists), bool)
+    active, found, opened = np.flatnonzero(place > 0), [], np.zeros(len(lists), bool)
     while len(active):
         left = start[active] + k
         near = _close(words, active, left, most)
@@ -172,14 +172,13 @@ def _first_close(lists: np.ndarray, words: np.ndarray, most: float, some: int) -
             hit = active[near]
             found.append((hit, left[near], count[hit]))
             count[hit] += 1
-            linked[hit] = linked[left[near]] = True
         k += 1
         more = place[active] > k
         full = count[active] >= some
         opened[start[active[more & full]]] = True
         active = active[more & ~full]
     pairs = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
-    return *pairs, np.flatnonzero(linked & opened[start])
+    return *pairs, np.flatnonzero(opened[start])
 
 
 def candidates(listed: DataFrame, some: int) -> DataFrame:
