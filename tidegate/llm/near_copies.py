@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.blocks import text_blocks
+from tidegate.llm.blocks import give_back, text_blocks
 from tidegate.llm.simhash import components
 from tidegate.llm.stages import stored
 from tidegate.llm.words import ascii_words
@@ -135,6 +135,7 @@ def postings(nodes: DataFrame) -> DataFrame:
                 if place % _POSITIONS <= min(keys.shape[1], _POSITIONS) - min(keys.shape[1], SHARED):
                     columns = [pa.array(keys[:, place].copy()), batch.column("node"), prints]
                     yield pa.RecordBatch.from_arrays(columns, ["key", "node", "prints"])
+        give_back()
 
     return nodes.select("node", "keys").mapInArrow(run, "key long, node long, prints binary")
 
@@ -206,6 +207,7 @@ def candidates(listed: DataFrame, some: int) -> DataFrame:
             new = np.ones(len(a), bool)
             new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
             yield _candidate_batch(a[new], b[new], number[new])
+        give_back()
 
     by_key = listed.repartition("key").sortWithinPartitions("key")
     return by_key.mapInArrow(run, "a long, b long, number long, list long, prints binary")
@@ -250,6 +252,7 @@ def _between(lists: DataFrame) -> DataFrame:
                         found, held = [], 0
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
+        give_back()
 
     return lists.repartition("list").sortWithinPartitions("list").mapInArrow(run, "a long, b long").distinct()
 
@@ -273,8 +276,11 @@ def similar(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, similari
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 good.append(a_node == a and b_node == b and both >= similarity * (len(left) + len(right) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            del sets
+        give_back()
 
-    ids = pairs.select(F.explode(F.array("a_id", "b_id")).alias("doc_id")).distinct()
+    # Written first, so that few ids go to the texts and the texts are not shuffled.
+    ids = stored(pairs.select(F.explode(F.array("a_id", "b_id")).alias("doc_id")).distinct(), "candidate_ids")
     needed = stored(texts.join(ids, "doc_id", "left_semi"), "candidate_texts")
     rows = pairs.join(needed.toDF("a_id", "a_text"), "a_id").join(needed.toDF("b_id", "b_text"), "b_id")
     return rows.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long").distinct()
