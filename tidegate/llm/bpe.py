@@ -21,7 +21,6 @@ import base64
 import functools
 import hashlib
 import heapq
-import json
 import string
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -31,7 +30,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm.blocks import flat_bytes, give_back, text_blocks
@@ -43,8 +42,10 @@ HOT_DOCS = 20_000  # bound of the sample in which frequent words are looked for,
 HOT_WORDS = 200_000  # and of the words kept
 LONGEST_HOT = 64  # bytes of such a word
 BLOCK_BYTES = 3_000_000
-_NO_MERGE = 1 << 40
-_SIZES = (499_979, 498_977)  # primes, about five places per pair
+#: A pair of ids inside a fold: rank of their merge, place of the left one, left id, right id.
+_ID, _PLACE, _RANK = 17, 34, 42
+_END = 1 << 16  # right id of the last pair
+_NO_MERGE = 1 << 59  # above every pair that can be merged
 _REST = 1 << 30
 
 
@@ -72,19 +73,55 @@ class Vocabulary:
         return out
 
     @functools.cached_property
-    def table(self) -> list[int]:
-        """pair * 65536 + rank at one of the two places of each pair; -1 where nothing stands."""
-        slots = [-1] * _SIZES[0]
-        for pair in self.pairs:
-            at = pair % _SIZES[0]
-            for _ in range(1000):
-                pair, slots[at] = slots[at], pair
-                if pair < 0:
+    def piece_texts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all pieces one after another, and where each starts (one more entry: the end)."""
+        return _flat(self.pieces)
+
+    @functools.cached_property
+    def decimal_texts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids as decimals with a comma before each, and where each starts (one more entry: the end)."""
+        return _flat([b",%d" % i for i in range(len(self.pieces))])
+
+    @functools.cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """(slots, bases): at bases[left] + right stands the pair, if it has a merge, else another pair or -1."""
+        keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
+        left, right, ranks = keys >> 16, keys & 65535, np.fromiter(self.pairs.values(), np.int64, len(keys))
+        order = np.argsort(left, kind="stable")
+        own, begin, sizes = np.unique(left[order], return_index=True, return_counts=True)
+        bases, room = np.zeros(len(self.pieces), np.int64), max(4 * len(keys), 1 << 16)
+        slots = np.full(room + _END + 1, -1, np.int64)
+        chance = np.random.default_rng(1)
+        for k in np.argsort(-sizes, kind="stable").tolist():
+            some = order[begin[k] : begin[k] + sizes[k]]
+            while True:
+                tried = chance.integers(0, room, 64)
+                free = (slots[tried[:, None] + right[some]] < 0).all(axis=1)
+                if free.any():
                     break
-                at = pair % _SIZES[1] if pair % _SIZES[0] == at else pair % _SIZES[0]
-            else:
-                raise ValueError("the table is too small for this vocabulary")
-        return [pair if pair < 0 else pair * 65536 + self.pairs[pair] for pair in slots]
+            base = bases[own[k]] = tried[free.argmax()]
+            slots[base + right[some]] = (ranks[some] << _RANK) + (own[k] << _ID) + right[some]
+        return slots, bases
+
+    @functools.cached_property
+    def first(self) -> np.ndarray:
+        """The pair of two bytes at left * 256 + right, and behind these the pair of a last byte."""
+        left, right = (x.ravel() for x in np.meshgrid(self.single, self.single, indexing="ij"))
+        ranks = [self.pairs.get(pair) for pair in (left * 65536 + right).tolist()]
+        high = np.array([_NO_MERGE if rank is None else rank << _RANK for rank in ranks])
+        last = _NO_MERGE + (np.array(self.single) << _ID) + _END
+        return np.concatenate([high + (left << _ID) + right, last])
+
+
+def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+
+def _joined(store: np.ndarray, edges: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The intervals `codes` of the store one after another, and where each starts (one more entry: the end)."""
+    begin = edges[codes]
+    upto = np.concatenate([[0], np.cumsum(edges[codes + 1] - begin)])
+    return store[np.repeat(begin - upto[:-1], np.diff(upto)) + np.arange(upto[-1])], upto
 
 
 @functools.lru_cache(maxsize=4)
@@ -94,57 +131,61 @@ def read_ranks(path: str) -> Vocabulary:
         return Vocabulary({base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)})
 
 
-def _literal(values: list[int]) -> Column:
-    """A constant array; it is parsed once, when the plan is optimised."""
-    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<bigint>")
+_TABLES = ["_slots", "_bases", "_first"]
 
 
-def fold_words(words: Column, vocabulary: Vocabulary) -> Column:
-    """Ids of each word of an array of byte arrays (array<array<bigint>>)."""
-    two = [_NO_MERGE] * 65536
-    for piece, rank in vocabulary.ranks.items():
-        if len(piece) == 2:
-            two[piece[0] * 256 + piece[1]] = rank
-    single, first_pairs = _literal(vocabulary.single), _literal(two)
+def fold_tables(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
+    """What the fold looks up, as one row. As literals the tables would stand in every text of a plan, which the driver keeps."""
+    arrays = [pa.array([x], pa.list_(pa.int64())) for x in (*vocabulary.table, vocabulary.first)]
+    return spark.createDataFrame(pa.table(arrays, _TABLES))
 
-    def rank_of(ranks: Column, pair: Column) -> Column:
-        out = F.lit(_NO_MERGE)
-        for size in reversed(_SIZES):
-            slot = F.get(ranks, (pair % size).cast("int"))
-            out = F.when(F.shiftright(slot, 16) == pair, slot.bitwiseAND(65535)).otherwise(out)
-        return F.coalesce(out, F.lit(_NO_MERGE))
 
-    def fold(word: Column, ranks: Column) -> Column:
-        pairs = F.transform(F.slice(word, 1, F.size(word) - 1), lambda byte, i: F.get(first_pairs, byte * 256 + F.get(word, i + 1)))
+def fold_words(rows: DataFrame, tables: DataFrame) -> DataFrame:
+    """The rows with `ids`, the ids of each word (array<array<int>>), in place of `words`, an array of byte arrays."""
+    looked_up = {name: tables.select(name).scalar() for name in _TABLES}
+    return rows.withColumns(looked_up).withColumn("ids", _fold(F.col("words"))).drop("words", *_TABLES)
 
-        def merge_lowest(state: Column, _: Column) -> Column:
-            ids, pairs = state["ids"], state["pairs"]
 
-            def merge(rank: Column) -> Column:
-                def at(place: Column) -> Column:
-                    beside = F.array(F.get(ids, place - 2) * 65536 + rank, rank * 65536 + F.get(ids, place + 1))
-                    new = F.transform(beside, lambda pair: rank_of(ranks, pair))
-                    rest = F.slice(pairs, place + 2, _REST)
-                    return F.struct(
-                        F.concat(F.slice(ids, 1, place - 1), F.array(rank), F.slice(ids, place + 2, _REST)).alias("ids"),
-                        F.when(place > 1, F.concat(F.slice(pairs, 1, place - 2), new, rest))
-                        .otherwise(F.concat(F.slice(new, 2, 1), rest))
-                        .alias("pairs"),
-                    )
+def _fold(words: Column) -> Column:
+    """Ids of each word.
 
-                return _let(F.array_position(pairs, rank).cast("int"), at)
+    The state is an array of pairs of neighbours, one for each id, the last with nothing to its right. The least
+    pair is the one of lowest rank, of equal ones the first.
+    """
+    id_bits, pair_bits = F.lit((1 << _ID) - 1), F.lit((1 << _PLACE) - 1)
+    place_bits, one_place = F.lit(((1 << _RANK) - 1) ^ ((1 << _PLACE) - 1)), F.lit(1 << _PLACE)
+    left_bits = F.lit(((1 << _RANK) - 1) ^ ((1 << _ID) - 1))  # place and left id
 
-            return _let(F.array_min(pairs), lambda rank: F.when(rank < _NO_MERGE, merge(rank)).otherwise(state))
+    slots, bases, first = map(F.col, _TABLES)
 
-        start = F.struct(F.transform(word, lambda byte: F.get(single, byte)).alias("ids"), pairs.alias("pairs"))
-        return F.aggregate(F.slice(word, 2, _REST), start, merge_lowest, lambda state: state["ids"])
+    def fold(word: Column) -> Column:
+        def byte_pair(byte: Column, i: Column) -> Column:
+            pair = F.coalesce(F.get(first, byte * 256 + F.get(word, i + 1)), F.get(first, byte + 65536))
+            return pair + F.shiftleft(i.cast("long"), _PLACE)
 
-    return _let(_literal(vocabulary.table), lambda ranks: F.transform(words, lambda word: fold(word, ranks)))
+        def ranked(pair: Column) -> Column:
+            """The pair, which so far has its place and ids only, with the rank of its merge."""
+            ids = pair.bitwiseAND(pair_bits)
+            slot = F.get(slots, (F.get(bases, F.shiftright(ids, _ID).cast("int")) + pair.bitwiseAND(id_bits)).cast("int"))
+            return F.when(slot.bitwiseAND(pair_bits) == ids, slot + pair - ids).otherwise(pair + _NO_MERGE)
 
+        def merge(pairs: Column, low: Column) -> Column:
+            place, rank = F.shiftright(low, _PLACE).bitwiseAND(F.lit(255)).cast("int"), F.shiftright(low, _RANK)
+            left = F.get(pairs, place - 1).bitwiseAND(left_bits) + rank
+            right = low.bitwiseAND(place_bits) + F.shiftleft(rank, _ID) + F.get(pairs, place + 1).bitwiseAND(id_bits)
+            before, after = F.slice(pairs, 1, place - 1), F.transform(F.slice(pairs, place + 3, _REST), lambda pair: pair - one_place)
+            return F.when(place > 0, F.flatten(F.array(before, F.transform(F.array(left, right), ranked), after))).otherwise(
+                F.flatten(F.array(F.transform(F.array(right), ranked), after))
+            )
 
-def _let(value: Column, body) -> Column:
-    """`body` of a value that is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+        def merge_lowest(pairs: Column, _: Column) -> Column:
+            # The inner aggregate evaluates the least pair once.
+            return F.aggregate(F.array(F.array_min(pairs)), pairs, lambda now, low: F.when(low < _NO_MERGE, merge(now, low)).otherwise(now))
+
+        left_id = lambda pair: F.shiftright(pair, _ID).bitwiseAND(id_bits).cast("int")
+        return F.aggregate(F.slice(word, 2, _REST), F.transform(word, byte_pair), merge_lowest, lambda pairs: F.transform(pairs, left_id))
+
+    return F.transform(words, fold)
 
 
 def merge_by_heap(word: bytes, vocabulary: Vocabulary) -> list[int]:
@@ -186,7 +227,7 @@ class HotWords(NamedTuple):
 
 _BLOCK = (
     "doc_ids array<bigint>, first binary, sizes binary, rest binary, word_counts binary, word_stream binary, "
-    "words array<array<bigint>>, long_words array<binary>"
+    "words array<array<int>>, long_words array<binary>"
 )
 
 
@@ -240,7 +281,7 @@ def _to_block(block: pa.RecordBatch, pattern, hot: dict[str, int]) -> pa.RecordB
                     words.append(data)
                 cold[word] = at
             flat.append(at)
-    values = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    values = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
     edges = np.cumsum([0, *map(len, words)], dtype=np.int32)
     numbers = [first + np.int32(len(spaced)), sizes, rest, np.array(counts, np.int32), np.array(flat, np.int32)]
     return pa.RecordBatch.from_arrays(
@@ -254,11 +295,11 @@ def _to_block(block: pa.RecordBatch, pattern, hot: dict[str, int]) -> pa.RecordB
     )
 
 
-def _lists(column: pa.Array) -> list[list[int]]:
-    """A list of lists as Python lists."""
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list of lists one after another, and where each inner list starts (one more entry: the end)."""
     inner = column.flatten()
-    values, edges = inner.flatten().to_pylist(), (inner.offsets.to_numpy() - inner.offsets[0].as_py()).tolist()
-    return [values[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+    edges = inner.offsets.to_numpy().astype(np.int64)
+    return inner.flatten().to_numpy(zero_copy_only=False), edges - edges[0]
 
 
 def _numbers(row: pa.RecordBatch, name: str) -> np.ndarray:
@@ -277,7 +318,7 @@ def _blocks(documents: DataFrame, pattern: str, hot) -> DataFrame:
     return documents.mapInArrow(run, _BLOCK)
 
 
-def learn_hot_words(documents: DataFrame, vocabulary: Vocabulary, pattern: str) -> HotWords:
+def learn_hot_words(documents: DataFrame, tables: DataFrame, pattern: str) -> HotWords:
     """The most frequent words of about HOT_DOCS documents (doc_id, text), folded; at most HOT_WORDS of them."""
     total = max(documents.select("doc_id").count(), 1)
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
@@ -301,9 +342,10 @@ def learn_hot_words(documents: DataFrame, vocabulary: Vocabulary, pattern: str)
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts = flat_bytes(batch.column("word"))
-            each = pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(data.astype(np.int64)))
-            one = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32), each)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), one], ["word", "words"])
+            each = pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(data.astype(np.int32)))
+            whole = pa.array([0, batch.num_rows], pa.int32())
+            lists = [pa.ListArray.from_arrays(whole, x) for x in (batch.column("word").cast(pa.string()), each)]
+            yield pa.RecordBatch.from_arrays(lists, ["word", "words"])
 
     sample = documents.where(place <= HOT_DOCS / total).mapInArrow(count, "word string, n long")
     counted = stored(sample.groupBy("word").agg(F.sum("n").alias("n")), "words")
@@ -314,13 +356,12 @@ def learn_hot_words(documents: DataFrame, vocabulary: Vocabulary, pattern: str)
         if room < 0:
             break
         least = row.n
-    rows = counted.where(F.col("n") >= least).select("word").mapInArrow(bytes_of, "word string, words array<array<bigint>>")
-    folded = rows.select("word", F.get(fold_words(F.col("words"), vocabulary), F.lit(0)).cast("array<int>").alias("ids")).toArrow()
+    rows = counted.where(F.col("n") >= least).select("word").mapInArrow(bytes_of, "word array<string>, words array<array<int>>")
+    folded = fold_words(rows, tables).toArrow().combine_chunks()
     if not folded.num_rows:
         return HotWords(pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(1, np.int64))
-    ids = folded.column("ids").combine_chunks()
-    edges = ids.offsets.to_numpy().astype(np.int64)
-    return HotWords(folded.column("word").combine_chunks(), ids.flatten().to_numpy(), edges - edges[0])
+    word, ids = (folded.column(name).combine_chunks() for name in ("word", "ids"))
+    return HotWords(word.flatten(), *_lists(ids))
 
 
 def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
@@ -331,9 +372,10 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
     vocabulary = read_ranks(ranks)
     context = documents.sparkSession.sparkContext
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    learned = learn_hot_words(rows, vocabulary, pattern)  # bounded by HOT_WORDS
+    tables = fold_tables(documents.sparkSession, vocabulary)
+    learned = learn_hot_words(rows, tables, pattern)  # bounded by HOT_WORDS
     words, hot, shared = map(context.broadcast, (learned.words, learned._replace(words=None), vocabulary.ranks))
-    encoded = _blocks(rows, pattern, words).withColumn("ids", fold_words(F.col("words"), vocabulary)).drop("words")
+    encoded = fold_words(_blocks(rows, pattern, words), tables)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,43 +393,40 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
 
 def _digests(row: pa.RecordBatch, hot: HotWords, vocabulary: Vocabulary, names: list[str]) -> pa.RecordBatch:
     """The documents of a block of one row, put together from their stretches, those from their words."""
-    folded = _lists(row.column("ids"))
+    folded, folded_edges = _lists(row.column("ids"))
     merged = [merge_by_heap(word, vocabulary) for word in row.column("long_words")[0].as_py()]
-    used, place = np.unique(_numbers(row, "word_stream"), return_inverse=True)
-    words = [
-        folded[-1 - w] if w < 0 else hot.ids[hot.edges[w] : hot.edges[w + 1]].tolist() if w < _REST else merged[w - _REST]
-        for w in used.tolist()
-    ]
-    edges = np.concatenate([[0], np.cumsum(_numbers(row, "word_counts"))])
-    upto = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words))[place])])
-    lengths = upto[edges[1:]] - upto[edges[:-1]]
-    place, cuts = place.tolist(), edges.tolist()
-
-    def by_stretch(of_words: list, join) -> list:
-        return [
-            of_words[place[a]] if b == a + 1 else join([of_words[i] for i in place[a:b]])
-            for a, b in zip(cuts, cuts[1:], strict=False)
-        ]
-
-    decimals = by_stretch([f",{','.join(map(str, ids))}" for ids in words], "".join)
-    decoded = by_stretch([decode(ids, vocabulary) for ids in words], b"".join)
-    parts = by_stretch(words, lambda lists: list(chain.from_iterable(lists))) if len(names) > 4 else []
-    del words
-    first, rest = _numbers(row, "first"), _numbers(row, "rest")
-    ends = np.cumsum([0, *_numbers(row, "sizes").tolist()])
-    counts, ids_sha, text_sha, lists = [], [], [], []
-    for lead, a, b in zip(first.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-        at = [lead, *rest[a:b].tolist()]
-        counts.append(int(lengths[lead] + lengths[rest[a:b]].sum()))
-        ids_sha.append(hashlib.sha256("".join([decimals[i] for i in at])[1:].encode()).hexdigest())
-        text_sha.append(hashlib.sha256(b"".join([decoded[i] for i in at])).hexdigest())
-        if parts:
-            lists.append(np.array(list(chain.from_iterable([parts[i] for i in at])), np.int32))
+    store = np.concatenate([hot.ids, folded, np.fromiter(chain.from_iterable(merged), np.int32)])
+    sizes = [np.diff(hot.edges), np.diff(folded_edges), np.fromiter(map(len, merged), np.int64, len(merged))]
+    n_hot, n_folded = len(sizes[0]), len(sizes[1])
+    codes = _numbers(row, "word_stream").astype(np.int64)
+    codes = np.where(codes < 0, n_hot - 1 - codes, np.where(codes < _REST, codes, n_hot + n_folded + codes - _REST))
+    ids, upto = _joined(store, np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), codes)
+    edges = upto[np.concatenate([[0], np.cumsum(_numbers(row, "word_counts"))])]  # of the ids of each stretch
+
+    def by_stretch(texts: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
+        data, starts = _joined(*texts, ids)
+        data, cuts = data.tobytes(), starts[edges].tolist()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    decimals, decoded = by_stretch(vocabulary.decimal_texts), by_stretch(vocabulary.piece_texts)
+    first, rest, others = _numbers(row, "first"), _numbers(row, "rest"), _numbers(row, "sizes").astype(np.int64)
+    ends = np.cumsum(others + 1)
+    at = np.insert(rest, np.cumsum(others) - others, first).astype(np.int64)  # the stretches of all documents
+    per_stretch = np.concatenate([[0], np.cumsum(np.diff(edges)[at])])
+    bounds = np.concatenate([[0], per_stretch[ends]])
+    stretches_of, cuts = at.tolist(), [0, *ends.tolist()]
+    ids_sha, text_sha = [], []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        own = stretches_of[a:b]
+        ids_sha.append(hashlib.sha256(memoryview(b"".join(map(decimals.__getitem__, own)))[1:]).hexdigest())
+        text_sha.append(hashlib.sha256(b"".join(map(decoded.__getitem__, own))).hexdigest())
     columns = [
         pa.array(row.column("doc_ids")[0].as_py(), pa.int64()),
-        pa.array(counts, pa.int64()),
+        pa.array(np.diff(bounds), pa.int64()),
         pa.array(ids_sha, pa.string()),
         pa.array(text_sha, pa.string()),
-        *([pa.array(lists, pa.list_(pa.int32()))] if len(names) > 4 else []),
     ]
+    if len(names) > 4:
+        whole, _ = _joined(ids, edges, at)
+        columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(whole, pa.int32())))
     return pa.RecordBatch.from_arrays(columns, names)

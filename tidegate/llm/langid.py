@@ -17,6 +17,7 @@ from __future__ import annotations
 import functools
 import sys
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.blocks import text_blocks
+from tidegate.llm.blocks import give_back, text_blocks
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 200  # bound of the labelled sample, documents
@@ -94,20 +95,41 @@ def _suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return moves
 
 
-def _packed(automata: list[list[dict[int, int]]], width: int) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+class _Moves(NamedTuple):
+    """The transitions of an automaton as arrays; a dictionary for each state takes some ten times as much."""
+
+    edges: np.ndarray  # where the transitions of each state start, and the number of all
+    codes: np.ndarray  # sorted in each state
+    to: np.ndarray
+
+
+def _arrays(moves: list[dict[int, int]]) -> _Moves:
+    sizes = np.fromiter(map(len, moves), np.int64, len(moves))
+    n = int(sizes.sum())
+    codes = np.fromiter(chain.from_iterable(moves), np.int32, n)
+    to = np.fromiter(chain.from_iterable(move.values() for move in moves), np.int32, n)
+    order = np.lexsort((codes, np.repeat(np.arange(len(moves)), sizes)))
+    return _Moves(np.concatenate([[0], np.cumsum(sizes)]), codes[order], to[order])
+
+
+def _packed(automata: list[_Moves], width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """All transitions in one array: `to` and `owner` at state + code, and the new number of each state.
 
     A state's number is a place of its own such that its codes fall on free entries, so the size follows the
     transitions and not states times letters. Number 0 has no transition.
     """
-    states = [(k, state) for k, moves in enumerate(automata) for state in range(len(moves))]
-    states.sort(key=lambda x: -len(automata[x[0]][x[1]]))
-    numbers = [[0] * len(moves) for moves in automata]
+    counts = [np.diff(moves.edges) for moves in automata]
+    first = np.concatenate([[0], np.cumsum([len(own) for own in counts], dtype=np.int64)])
+    numbers = [np.zeros(len(own), np.int64) for own in counts]
     taken, used, low = bytearray(width), bytearray(width), 0
     used[0] = 1
-    for k, state in states:
-        codes = sorted(automata[k][state]) or [0]
-        ends = not automata[k][state]
+    for state in np.argsort(-np.concatenate([*counts, np.zeros(0, np.int64)]), kind="stable"):
+        k = int(np.searchsorted(first, state, side="right")) - 1
+        state -= first[k]
+        moves = automata[k]
+        codes = moves.codes[moves.edges[state] : moves.edges[state + 1]].tolist()
+        ends = not codes
+        codes = codes or [0]
         at, tries = low, 0
         while True:
             at = used.find(0, at) if ends else taken.find(0, at)
@@ -130,10 +152,8 @@ def _packed(automata: list[list[dict[int, int]]], width: int) -> tuple[np.ndarra
                 taken[number + c] = 1
     to, owner = np.full(len(taken), -1, np.int32), np.full(len(taken), -1, np.int32)
     for moves, number in zip(automata, numbers, strict=True):
-        for state, after in enumerate(moves):
-            at = number[state]
-            for c, x in after.items():
-                to[at + c], owner[at + c] = number[x], at
+        at = np.repeat(number, np.diff(moves.edges))
+        to[at + moves.codes], owner[at + moves.codes] = number[moves.to], at
     return to, owner, numbers
 
 
@@ -144,12 +164,13 @@ def fit(sample: dict[str, str]) -> LanguageModel:
     alphabet = sorted({chr(p) for points in letters.values() for p in np.unique(points) if p})
     width = len(alphabet) + 2
     code = {ord(char): i + 1 for i, char in enumerate(alphabet)} | {0: 0}
-    automata = [_suffix_automaton([code[int(p)] for p in letters[lang]]) for lang in languages]
+    automata = [_arrays(_suffix_automaton([code[int(p)] for p in letters[lang]])) for lang in languages]
     to, owner, numbers = _packed(automata, width)
     # State 0 is the dead end: a character that the language's text lacks is a phrase of its own.
     roots = np.zeros((len(languages), width), np.int32)
     for root, moves, number in zip(roots, automata, numbers, strict=True):
-        root[list(moves[0])] = [number[x] for x in moves[0].values()]
+        root[moves.codes[: moves.edges[1]]] = number[moves.to[: moves.edges[1]]]
+    give_back()
     return LanguageModel(languages, alphabet, to, owner, roots, np.array([len(letters[lang]) for lang in languages], float))
 
 
