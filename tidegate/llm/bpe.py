@@ -42,10 +42,12 @@ HOT_DOCS = 20_000  # bound of the sample in which frequent words are looked for,
 HOT_WORDS = 200_000  # and of the words kept
 LONGEST_HOT = 64  # bytes of such a word
 BLOCK_BYTES = 3_000_000
-#: A pair of ids inside a fold: rank of their merge, place of the left one, left id, right id.
-_ID, _PLACE, _RANK = 17, 34, 42
+#: A pair of ids in the table: rank of their merge, left id, right id.
+_ID, _RANK = 17, 42
 _END = 1 << 16  # right id of the last pair
-_NO_MERGE = 1 << 59  # above every pair that can be merged
+#: A pair while it is folded: rank, place, base of the left id, slot of the pair; base and slot tell both ids.
+_BASE, _FOLD_PLACE, _FOLD_RANK = 19, 38, 46
+_NO_MERGE = 1 << 62  # above every pair that can be merged
 _REST = 1 << 30
 
 
@@ -84,33 +86,56 @@ class Vocabulary:
 
     @functools.cached_property
     def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """(slots, bases): at bases[left] + right stands the pair, if it has a merge, else another pair or -1."""
+        """(slots, bases): at bases[left] + right stands the pair, if it has a merge, else another pair or -1.
+
+        No two ids have the same base.
+        """
         keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
         left, right, ranks = keys >> 16, keys & 65535, np.fromiter(self.pairs.values(), np.int64, len(keys))
         order = np.argsort(left, kind="stable")
         own, begin, sizes = np.unique(left[order], return_index=True, return_counts=True)
-        bases, room = np.zeros(len(self.pieces), np.int64), max(4 * len(keys), 1 << 16)
-        slots = np.full(room + _END + 1, -1, np.int64)
+        room = min(max(4 * len(keys), 1 << 17), (1 << _BASE) - _END - 1)
+        if 2 * len(keys) > room:
+            raise ValueError("more than 229,000 pairs are not supported")
+        bases, taken, slots = np.zeros(len(self.pieces), np.int64), np.zeros(room, bool), np.full(room + _END + 1, -1, np.int64)
         chance = np.random.default_rng(1)
         for k in np.argsort(-sizes, kind="stable").tolist():
             some = order[begin[k] : begin[k] + sizes[k]]
             while True:
                 tried = chance.integers(0, room, 64)
-                free = (slots[tried[:, None] + right[some]] < 0).all(axis=1)
+                free = (slots[tried[:, None] + right[some]] < 0).all(axis=1) & ~taken[tried]
                 if free.any():
                     break
             base = bases[own[k]] = tried[free.argmax()]
+            taken[base] = True
             slots[base + right[some]] = (ranks[some] << _RANK) + (own[k] << _ID) + right[some]
+        others = np.setdiff1d(np.arange(len(self.pieces)), own)
+        bases[others] = np.flatnonzero(~taken)[: len(others)]
         return slots, bases
 
+    @functools.cached_property
+    def fold_slots(self) -> np.ndarray:
+        """The slots with their pairs as the fold has them."""
+        slots, bases = self.table
+        own = bases[np.maximum(slots, 0) >> _ID & ((1 << _ID) - 1)]
+        return np.where(slots < 0, -1, (slots >> _RANK << _FOLD_RANK) + (own << _BASE) + np.arange(len(slots)))
+
+    @functools.cached_property
+    def id_of_base(self) -> np.ndarray:
+        """The id that has the base."""
+        bases = self.table[1]
+        out = np.zeros(bases.max() + 1, np.int32)
+        out[bases] = np.arange(len(bases))
+        return out
+
     @functools.cached_property
     def first(self) -> np.ndarray:
         """The pair of two bytes at left * 256 + right, and behind these the pair of a last byte."""
         left, right = (x.ravel() for x in np.meshgrid(self.single, self.single, indexing="ij"))
         ranks = [self.pairs.get(pair) for pair in (left * 65536 + right).tolist()]
-        high = np.array([_NO_MERGE if rank is None else rank << _RANK for rank in ranks])
-        last = _NO_MERGE + (np.array(self.single) << _ID) + _END
-        return np.concatenate([high + (left << _ID) + right, last])
+        high = np.array([_NO_MERGE if rank is None else rank << _FOLD_RANK for rank in ranks])
+        base, last = self.table[1][left], self.table[1][self.single]
+        return np.concatenate([high + (base << _BASE) + base + right, _NO_MERGE + (last << _BASE) + last + _END])
 
 
 def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,61 +156,97 @@ def read_ranks(path: str) -> Vocabulary:
         return Vocabulary({base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)})
 
 
-_TABLES = ["_slots", "_bases", "_first"]
+_TABLES = ["_slots", "_bases", "_first", "_ids"]
 
 
 def fold_tables(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
     """What the fold looks up, as one row. As literals the tables would stand in every text of a plan, which the driver keeps."""
-    arrays = [pa.array([x], pa.list_(pa.int64())) for x in (*vocabulary.table, vocabulary.first)]
-    return spark.createDataFrame(pa.table(arrays, _TABLES))
+    bases = vocabulary.table[1]
+    longs = [pa.array([x], pa.list_(pa.int64())) for x in (vocabulary.fold_slots, (bases << _BASE) + bases, vocabulary.first)]
+    return spark.createDataFrame(pa.table([*longs, pa.array([vocabulary.id_of_base], pa.list_(pa.int32()))], _TABLES))
 
 
-def fold_words(rows: DataFrame, tables: DataFrame) -> DataFrame:
-    """The rows with `ids`, the ids of each word (array<array<int>>), in place of `words`, an array of byte arrays."""
-    looked_up = {name: tables.select(name).scalar() for name in _TABLES}
-    return rows.withColumns(looked_up).withColumn("ids", _fold(F.col("words"))).drop("words", *_TABLES)
+def byte_pairs(words: list[bytes], first: np.ndarray) -> pa.ListArray:
+    """The pairs of neighbouring bytes of each word, with which its fold begins."""
+    data, edges = _flat(words)
+    data = data.astype(np.int64)
+    code = data * 256
+    code[:-1] += data[1:]
+    last = edges[1:] - 1  # no word is empty
+    code[last] = 65536 + data[last]
+    place = np.arange(len(data)) - np.repeat(edges[:-1], np.diff(edges))
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(first[code] + (place << _FOLD_PLACE)))
 
 
-def _fold(words: Column) -> Column:
-    """Ids of each word.
+def left_ids(pairs: np.ndarray, id_of_base: np.ndarray) -> np.ndarray:
+    """The ids of words from the pairs that their folds leave."""
+    return id_of_base[pairs >> _BASE & ((1 << _FOLD_PLACE - _BASE) - 1)]
+
+
+def fold_pairs(rows: DataFrame, tables: DataFrame) -> DataFrame:
+    """The rows with `left`, the pairs that the fold of each word leaves, in place of `pairs` (array<array<long>>), those of its bytes."""
+    looked_up = {name: tables.select(name).scalar() for name in _TABLES[:2]}
+    merged = F.transform(F.col("pairs"), _merge_all)
+    return rows.withColumns(looked_up).withColumn("left", merged).drop("pairs", *_TABLES[:2])
 
-    The state is an array of pairs of neighbours, one for each id, the last with nothing to its right. The least
-    pair is the one of lowest rank, of equal ones the first.
-    """
-    id_bits, pair_bits = F.lit((1 << _ID) - 1), F.lit((1 << _PLACE) - 1)
-    place_bits, one_place = F.lit(((1 << _RANK) - 1) ^ ((1 << _PLACE) - 1)), F.lit(1 << _PLACE)
-    left_bits = F.lit(((1 << _RANK) - 1) ^ ((1 << _ID) - 1))  # place and left id
 
-    slots, bases, first = map(F.col, _TABLES)
+def fold_words(rows: DataFrame, tables: DataFrame) -> DataFrame:
+    """The rows with `ids`, the ids of each word (array<array<int>>), in place of `words`, an array of byte arrays."""
+    first = F.col("_first")
 
-    def fold(word: Column) -> Column:
+    def pairs_of(word: Column) -> Column:
         def byte_pair(byte: Column, i: Column) -> Column:
             pair = F.coalesce(F.get(first, byte * 256 + F.get(word, i + 1)), F.get(first, byte + 65536))
-            return pair + F.shiftleft(i.cast("long"), _PLACE)
+            return pair + F.shiftleft(i.cast("long"), _FOLD_PLACE)
 
-        def ranked(pair: Column) -> Column:
-            """The pair, which so far has its place and ids only, with the rank of its merge."""
-            ids = pair.bitwiseAND(pair_bits)
-            slot = F.get(slots, (F.get(bases, F.shiftright(ids, _ID).cast("int")) + pair.bitwiseAND(id_bits)).cast("int"))
-            return F.when(slot.bitwiseAND(pair_bits) == ids, slot + pair - ids).otherwise(pair + _NO_MERGE)
+        return F.transform(word, byte_pair)
 
-        def merge(pairs: Column, low: Column) -> Column:
-            place, rank = F.shiftright(low, _PLACE).bitwiseAND(F.lit(255)).cast("int"), F.shiftright(low, _RANK)
-            left = F.get(pairs, place - 1).bitwiseAND(left_bits) + rank
-            right = low.bitwiseAND(place_bits) + F.shiftleft(rank, _ID) + F.get(pairs, place + 1).bitwiseAND(id_bits)
-            before, after = F.slice(pairs, 1, place - 1), F.transform(F.slice(pairs, place + 3, _REST), lambda pair: pair - one_place)
-            return F.when(place > 0, F.flatten(F.array(before, F.transform(F.array(left, right), ranked), after))).otherwise(
-                F.flatten(F.array(F.transform(F.array(right), ranked), after))
-            )
+    begun = rows.withColumn("_first", tables.select("_first").scalar()).withColumn("pairs", F.transform("words", pairs_of))
+    folded = fold_pairs(begun.drop("words", "_first"), tables).withColumn("_ids", tables.select("_ids").scalar())
+    left_id = lambda pair: F.get("_ids", _base(pair).cast("int"))
+    return folded.withColumn("ids", F.transform("left", lambda pairs: F.transform(pairs, left_id))).drop("left", "_ids")
 
-        def merge_lowest(pairs: Column, _: Column) -> Column:
-            # The inner aggregate evaluates the least pair once.
-            return F.aggregate(F.array(F.array_min(pairs)), pairs, lambda now, low: F.when(low < _NO_MERGE, merge(now, low)).otherwise(now))
 
-        left_id = lambda pair: F.shiftright(pair, _ID).bitwiseAND(id_bits).cast("int")
-        return F.aggregate(F.slice(word, 2, _REST), F.transform(word, byte_pair), merge_lowest, lambda pairs: F.transform(pairs, left_id))
+def _base(pair: Column) -> Column:
+    """The base of the left id."""
+    return F.shiftright(pair, _BASE).bitwiseAND(F.lit((1 << _FOLD_PLACE - _BASE) - 1))
 
-    return F.transform(words, fold)
+
+def _merge_all(word: Column) -> Column:
+    """The pairs of a word when none of them can be merged any more.
+
+    The state is an array of pairs of neighbours, one for each id, the last with nothing to its right. The least
+    pair is the one of lowest rank, of equal ones the first.
+    """
+    slot_bits, pair_bits = F.lit((1 << _BASE) - 1), F.lit((1 << _FOLD_PLACE) - 1)
+    place_bits = F.lit(((1 << _FOLD_RANK) - 1) ^ ((1 << _FOLD_PLACE) - 1))
+    left_bits = F.lit(((1 << _FOLD_RANK) - 1) ^ ((1 << _BASE) - 1))  # place and base
+    none, no_merge, one_place = F.lit(0).cast("long"), F.lit(_NO_MERGE), F.lit(1 << _FOLD_PLACE)
+    slots, bases = (F.col(name) for name in _TABLES[:2])
+
+    def ranked(pair: Column) -> Column:
+        """The pair, which so far has no rank, with the rank of its merge."""
+        slot = F.get(slots, pair.bitwiseAND(slot_bits).cast("int"))
+        return F.when(slot.bitwiseXOR(pair).bitwiseAND(pair_bits) == none, slot.bitwiseOR(pair)).otherwise(pair.bitwiseOR(no_merge))
+
+    def merge(pairs: Column, at: Column) -> Column:
+        """The pair at the place `at` merged."""
+        low = F.get(pairs, at)
+        rank = F.shiftright(low, _FOLD_RANK)
+        before, following = F.get(pairs, at - 1), F.get(pairs, at + 1)
+        left = before.bitwiseAND(left_bits) + _base(before) + rank
+        right = low.bitwiseAND(place_bits) + F.get(bases, rank.cast("int")) + following.bitwiseAND(slot_bits) - _base(following)
+        after = F.transform(F.slice(pairs, at + 3, _REST), lambda pair: pair - one_place)
+        return F.when(at > 0, F.flatten(F.array(F.slice(pairs, 1, at - 1), F.transform(F.array(left, right), ranked), after))).otherwise(
+            F.flatten(F.array(F.transform(F.array(right), ranked), after))
+        )
+
+    def merge_lowest(pairs: Column, _: Column) -> Column:
+        # The inner aggregate looks for the least pair once.
+        at = F.shiftright(F.array_min(pairs), _FOLD_PLACE).bitwiseAND(F.lit((1 << _FOLD_RANK - _FOLD_PLACE) - 1)).cast("int")
+        return F.aggregate(F.array(at), pairs, lambda now, at: F.when(F.get(now, at) < no_merge, merge(now, at)).otherwise(now))
+
+    return F.aggregate(F.slice(word, 2, _REST), word, merge_lowest)
 
 
 def merge_by_heap(word: bytes, vocabulary: Vocabulary) -> list[int]:
@@ -227,7 +288,7 @@ class HotWords(NamedTuple):
 
 _BLOCK = (
     "doc_ids array<bigint>, first binary, sizes binary, rest binary, word_counts binary, word_stream binary, "
-    "words array<array<int>>, long_words array<binary>"
+    "pairs array<array<bigint>>, long_words array<binary>"
 )
 
 
@@ -236,11 +297,12 @@ def _pretokeniser(pattern: str):
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
-def _to_block(block: pa.RecordBatch, pattern, hot: dict[str, int]) -> pa.RecordBatch:
+def _to_block(block: pa.RecordBatch, pattern, hot: dict[str, int], pairs: np.ndarray | None = None) -> pa.RecordBatch:
     """The documents as numbers of distinct stretches, those as numbers of words, and the words not yet known.
 
     A word's number is its place among the hot words, or -1 - its place in `words`, or _REST + its place in
     `long_words`. Stretches are numbered as they come: those that begin with a space, then those that don't.
+    With `pairs`, those of two bytes, the column `pairs` holds the byte pairs of the words instead of `words`.
     """
     spaced: dict[str, int] = defaultdict(lambda: len(spaced))
     leading: dict[str, int] = defaultdict(lambda: len(leading))
@@ -281,17 +343,20 @@ def _to_block(block: pa.RecordBatch, pattern, hot: dict[str, int]) -> pa.RecordB
                     words.append(data)
                 cold[word] = at
             flat.append(at)
-    values = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
-    edges = np.cumsum([0, *map(len, words)], dtype=np.int32)
+    if pairs is None:
+        data, edges = _flat(words)
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(data, pa.int32()))
+    else:
+        lists = byte_pairs(words, pairs)
     numbers = [first + np.int32(len(spaced)), sizes, rest, np.array(counts, np.int32), np.array(flat, np.int32)]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([block.column("doc_id").to_pylist()], pa.list_(pa.int64())),
             *[pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in numbers],
-            pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.ListArray.from_arrays(edges, pa.array(values))),
+            pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), lists),
             pa.array([long_words], pa.list_(pa.binary())),
         ],
-        ["doc_ids", "first", "sizes", "rest", "word_counts", "word_stream", "words", "long_words"],
+        ["doc_ids", "first", "sizes", "rest", "word_counts", "word_stream", "words" if pairs is None else "pairs", "long_words"],
     )
 
 
@@ -306,12 +371,12 @@ def _numbers(row: pa.RecordBatch, name: str) -> np.ndarray:
     return np.frombuffer(row.column(name)[0].as_py(), np.int32)
 
 
-def _blocks(documents: DataFrame, pattern: str, hot) -> DataFrame:
+def _blocks(documents: DataFrame, pattern: str, hot, first) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = _pretokeniser(pattern)
         index = {word: i for i, word in enumerate(hot.value.to_pylist())}
         for block in text_blocks(batches, BLOCK_BYTES):
-            yield _to_block(block, compiled, index)
+            yield _to_block(block, compiled, index, first.value)
         del index
         give_back()
 
@@ -374,15 +439,19 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     tables = fold_tables(documents.sparkSession, vocabulary)
     learned = learn_hot_words(rows, tables, pattern)  # bounded by HOT_WORDS
-    words, hot, shared = map(context.broadcast, (learned.words, learned._replace(words=None), vocabulary.ranks))
-    encoded = fold_words(_blocks(rows, pattern, words), tables)
+    parts = learned.words, learned._replace(words=None), (vocabulary.ranks, vocabulary.id_of_base), vocabulary.first
+    words, hot, shared, first = map(context.broadcast, parts)
+    del learned, parts
+    give_back()
+    encoded = fold_pairs(_blocks(rows, pattern, words, first), tables)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Vocabulary(shared.value)
+        ranks, id_of_base = shared.value
+        own = Vocabulary(ranks)
         for batch in batches:
             for k in range(batch.num_rows):
-                yield _digests(batch.slice(k, 1), hot.value, own, names)
+                yield _digests(batch.slice(k, 1), hot.value, own, names, id_of_base)
                 pa.default_memory_pool().release_unused()
         del own
         give_back()
@@ -391,9 +460,15 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
     return encoded.mapInArrow(run, schema)
 
 
-def _digests(row: pa.RecordBatch, hot: HotWords, vocabulary: Vocabulary, names: list[str]) -> pa.RecordBatch:
-    """The documents of a block of one row, put together from their stretches, those from their words."""
-    folded, folded_edges = _lists(row.column("ids"))
+def _digests(
+    row: pa.RecordBatch, hot: HotWords, vocabulary: Vocabulary, names: list[str], id_of_base: np.ndarray | None = None
+) -> pa.RecordBatch:
+    """The documents of a block of one row, put together from their stretches, those from their words (`ids`, or `left` with bases)."""
+    if "left" in row.schema.names:
+        pairs, folded_edges = _lists(row.column("left"))
+        folded = left_ids(pairs, id_of_base)
+    else:
+        folded, folded_edges = _lists(row.column("ids"))
     merged = [merge_by_heap(word, vocabulary) for word in row.column("long_words")[0].as_py()]
     store = np.concatenate([hot.ids, folded, np.fromiter(chain.from_iterable(merged), np.int32)])
     sizes = [np.diff(hot.edges), np.diff(folded_edges), np.fromiter(map(len, merged), np.int64, len(merged))]
