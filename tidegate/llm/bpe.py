@@ -311,6 +311,7 @@ def _to_block(block: pa.RecordBatch, pattern, hot: dict[str, int], pairs: np.nda
         lead, others = stretches(text)
         firsts.append(leading[lead])
         rests.append(np.fromiter(map(spaced.__getitem__, others), np.int32, len(others)))
+    spaced.default_factory = leading.default_factory = None  # each refers to its dictionary, which then stays after the block
     first, sizes = np.array(firsts, np.int32), np.array([len(r) for r in rests], np.int32)
     rest = np.concatenate([*rests, np.zeros(0, np.int32)])
     cold: dict[str, int] = {}
@@ -377,6 +378,7 @@ def _blocks(documents: DataFrame, pattern: str, hot, first) -> DataFrame:
         index = {word: i for i, word in enumerate(hot.value.to_pylist())}
         for block in text_blocks(batches, BLOCK_BYTES):
             yield _to_block(block, compiled, index, first.value)
+            give_back()
         del index
         give_back()
 
@@ -452,7 +454,7 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, doc_id: str = "do
         for batch in batches:
             for k in range(batch.num_rows):
                 yield _digests(batch.slice(k, 1), hot.value, own, names, id_of_base)
-                pa.default_memory_pool().release_unused()
+                give_back()
         del own
         give_back()
 
