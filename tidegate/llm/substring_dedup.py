@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.blocks import text_blocks
+from tidegate.llm.blocks import give_back, text_blocks
 from tidegate.llm.stages import stored
-from tidegate.llm.words import Words, ascii_words, flat_words, prefix_hashes, run_hashes
+from tidegate.llm.words import Words, ascii_words, flat_words, joined_words, prefix_hashes, run_hashes
 
 WINDOW = 20
 CORE = 4
@@ -104,7 +104,7 @@ def _pack(block: pa.RecordBatch, window: int, core: int, buckets: int, hot: np.n
     ids = block.column("doc_id").fill_null(_FIRST).to_numpy()
     by_id = np.argsort(ids, kind="stable")
     texts = block.column("text").to_pylist()
-    words = flat_words([ascii_words(texts[i]) for i in by_id])
+    words = flat_words(ascii_words(texts[i]) for i in by_id)
     ids, versions = ids[by_id], block.column("version").to_numpy()[by_id]
     upto = prefix_hashes(words)
     at = _window_starts(words, window)
@@ -157,23 +157,25 @@ def _mark_batch(ids: np.ndarray, versions: np.ndarray, starts: np.ndarray, n: np
 
 
 class _Packed(NamedTuple):
-    """The super-k-mers of one block for one bucket; `cuts` bounds the sections among them."""
+    """The super-k-mers of one block for one bucket; `cuts` bounds the sections among them, `edges` in the text."""
 
     ids: np.ndarray
     versions: np.ndarray
     starts: np.ndarray
     cuts: np.ndarray
-    strings: list[bytes]
+    edges: np.ndarray
+    text: bytes  # one string a line
 
 
 def _sort_section(parts: list[_Packed], section: int, window: int) -> pa.RecordBatch:
     """Marks of the windows of one section of a bucket that are not the earliest of their kind."""
     spans = [slice(p.cuts[section], p.cuts[section + 1]) for p in parts]
     ids, versions, starts = (np.concatenate([p[k][s] for p, s in zip(parts, spans, strict=True)]) for k in range(3))
-    strings = [x for p, s in zip(parts, spans, strict=True) for x in p.strings[s]]
+    strings = [x for p in parts for x in p.text[p.edges[section] : p.edges[section + 1]].split(b"\n")[:-1]]
     order = np.lexsort((starts, ids))
     ids, versions, starts = ids[order], versions[order], starts[order]
-    words = flat_words([strings[i].split() for i in order.tolist()])
+    words = joined_words([strings[i] for i in order.tolist()])
+    del strings
     at = _window_starts(words, window)
     low, high = words.begin[at], words.end[at + window - 1]
     hashes = run_hashes(prefix_hashes(words), at, window)
@@ -186,6 +188,34 @@ def _sort_section(parts: list[_Packed], section: int, window: int) -> pa.RecordB
     return _mark_batch(ids[who], versions[who], start[marked][begin], length)
 
 
+def _sort_bucket(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Marks of one bucket, from what all blocks sent to it.
+
+    Its strings are kept as they came, block by block, and only those of one section are taken apart at a time.
+    """
+    give_back()
+    unpacker = zstandard.ZstdDecompressor()
+    parts: list[_Packed] = []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            numbers = [
+                np.frombuffer(batch.column(name)[i].as_py(), kind)
+                for name, kind in (("ids", "i8"), ("versions", "i8"), ("starts", "i4"), ("cuts", "i4"))
+            ]
+            packed = batch.column("text")[i].as_buffer()
+            if packed.size:
+                text = unpacker.decompress(packed)
+                lines = np.flatnonzero(np.frombuffer(text, np.uint8) == 10) + 1
+                parts.append(_Packed(*numbers, np.concatenate([[0], lines])[numbers[3]], text))
+            else:
+                yield _mark_batch(*numbers)
+        batch = packed = None  # else the last one stays while the sections are sorted
+    for section in range(SECTIONS) if parts else ():
+        yield _sort_section(parts, section, window)
+    parts.clear()
+    give_back()
+
+
 def hot_minimisers(rows: DataFrame, window: int, core: int, share: float) -> np.ndarray:
     """Minimisers of more than `share` of the different windows in about SAMPLE_DOCS of the documents."""
     total = max(rows.select("doc_id").count(), 1)
@@ -193,7 +223,7 @@ def hot_minimisers(rows: DataFrame, window: int, core: int, share: float) -> np.
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, BLOCK_BYTES):
-            words = flat_words([ascii_words(text) for text in block.column("text").to_pylist()])
+            words = flat_words(ascii_words(text) for text in block.column("text").to_pylist())
             upto, at = prefix_hashes(words), _window_starts(words, window)
             _, once = np.unique(run_hashes(upto, at, window), return_index=True)
             least, n = np.unique(_minimisers(upto, at[once], window, core), return_counts=True)
@@ -232,20 +262,7 @@ def repeated_windows(
             yield _pack(block, window, core, buckets, hot.value)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker = zstandard.ZstdDecompressor()
-        parts = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                numbers = [
-                    np.frombuffer(row[name], kind)
-                    for name, kind in (("ids", "i8"), ("versions", "i8"), ("starts", "i4"), ("cuts", "i4"))
-                ]
-                if row["text"]:
-                    parts.append(_Packed(*numbers, unpacker.decompress(row["text"]).split(b"\n")[:-1]))
-                else:
-                    yield _mark_batch(*numbers)
-        for section in range(SECTIONS) if parts else ():
-            yield _sort_section(parts, section, window)
+        yield from _sort_bucket(batches, window)
 
     packed = rows.mapInArrow(pack, _PACKED)
     return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(sort, _MARKS)
@@ -291,15 +308,15 @@ def remove_repeats(
     )
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for block in text_blocks(batches, BLOCK_BYTES):
             texts, counts, gone = [], [], []
-            for value, found in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
+            for value, found in zip(block.column("text").to_pylist(), block.column("marks").to_pylist(), strict=True):
                 words = ascii_words(value)
                 kept = keep_words(words, [(m["start"], m["n"]) for m in found or ()], window)
                 texts.append(b" ".join(kept).decode() if len(kept) < len(words) else value)
                 counts.append(len(words))
                 gone.append(len(words) - len(kept))
-            columns = [batch.column("id"), pa.array(texts, pa.string()), batch.column("others")]
+            columns = [block.column("id"), pa.array(texts, pa.string()), block.column("others")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], schema.fieldNames())
 
     names = {doc_id: F.col("id"), text: F.col("text")} | {name: F.col("others")[name] for name in others}

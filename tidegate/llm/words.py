@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_HASHED_AT_ONCE = 1 << 18  # bytes; what is made of them takes some 40 times as much
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=2)  # for the letters of a word and for the words
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, for 2**bits places."""
     out = []
@@ -37,28 +38,42 @@ def ascii_words(text: str | bytes | None) -> list[bytes]:
     return (text if isinstance(text, bytes) else text.encode()).split()
 
 
-def flat_words(texts: Sequence[list[bytes]]) -> Words:
-    """The words of texts that are already split."""
-    data = np.frombuffer(b"\n".join([b" ".join(words) for words in texts]) + b"\n", np.uint8)
-    counts = np.fromiter(map(len, texts), np.int64, len(texts))
+def flat_words(texts: Iterable[list[bytes]]) -> Words:
+    """The words of texts that are already split; texts that come one by one need not be held as lists of words."""
+    return joined_words([b" ".join(words) for words in texts])
+
+
+def joined_words(texts: Sequence[bytes]) -> Words:
+    """The words of texts that hold no other white space than one space between two words."""
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     ends = np.flatnonzero((data == 32) | (data == 10))
     starts = np.concatenate([[0], ends[:-1] + 1])
     real = ends > starts  # a text without a word leaves only its line feed
-    return Words(
-        data, starts[real], ends[real], np.repeat(np.arange(len(texts)), counts), np.concatenate([[0], np.cumsum(counts)])
-    )
+    last = data[ends] == 10
+    text = (np.cumsum(last) - last)[real]
+    return Words(data, starts[real], ends[real], text, np.searchsorted(text, np.arange(len(texts) + 1)))
 
 
-def prefix_hashes(words: Words) -> np.ndarray:
-    """Polynomial hashes of the first 0, 1, ... words."""
-    data = words.data
+def _word_hashes(data: np.ndarray, begin: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the words that begin at `begin`, the first at 0."""
     separator = (data == 32) | (data == 10)
-    place = np.arange(len(data), dtype=np.int32)
-    place -= np.maximum.accumulate(np.where(separator, place + 1, 0).astype(np.int32))
-    powers, _ = _powers(max(int(place.max(initial=0)) + 1, 1).bit_length())
+    place = np.arange(len(data))
+    place -= np.maximum.accumulate(np.where(separator, place + 1, 0))
     value = (data.astype(np.uint64) + np.uint64(1)) * powers[np.maximum(place, 0)]
     value[separator] = 0
-    own = np.add.reduceat(value, words.begin) if len(words.begin) else np.zeros(0, np.uint64)
+    return np.add.reduceat(value, begin)
+
+
+def prefix_hashes(words: Words) -> np.ndarray:
+    """Polynomial hashes of the first 0, 1, ... words."""
+    powers, _ = _powers(max(int((words.end - words.begin).max(initial=0)), 1).bit_length())
+    own = np.empty(len(words.begin), np.uint64)
+    done = 0
+    while done < len(own):
+        low = words.begin[done]
+        upto = max(int(np.searchsorted(words.end, low + _HASHED_AT_ONCE)), done + 1)
+        own[done:upto] = _word_hashes(words.data[low : words.end[upto - 1]], words.begin[done:upto] - low, powers)
+        done = upto
     own = (own ^ (own >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     powers, _ = _powers(max(len(own), 1).bit_length())
     return np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * powers[: len(own)], dtype=np.uint64)])
