@@ -86,3 +86,23 @@ def test_a_large_group_takes_few_comparisons(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()}
     assert got == dict(enumerate(brute(texts)))
     assert sum(compared) < 40 * len(texts)
+
+
+def test_a_group_just_below_the_similarity_makes_few_pairs(spark, monkeypatch):
+    """Copies of one text with twelve changes each are at about 0.74 to one another; every tenth is copied once more."""
+    chance = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(800)]
+    texts = []
+    for n in range(200):
+        copy = texts[-1].split() if n % 10 == 9 else list(base)
+        for at in chance.choice(160, 1 if n % 10 == 9 else 12, replace=False):
+            copy[int(at) * 5] = f"x{int(chance.integers(10**6))}"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    compared, similar = [], near_copies.similar
+    monkeypatch.setattr(near_copies, "similar", lambda pairs, *args: compared.append(pairs.count()) or similar(pairs, *args))
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()}
+    want = brute(texts)
+    assert got == dict(enumerate(want))
+    assert 150 < len(set(want)) <= 180
+    assert sum(compared) < 2 * len(texts)

@@ -7,11 +7,15 @@ index lists the texts under their positional bytes; the lists of two positions a
 whose fingerprints together differ in more than APART of all bits are dropped (at similarity 0.8 three and a half
 standard deviations off); of the others the similarity is computed from the whole sets of shingles.
 
-Texts with the same set of shingles are one node. In an intersected list each node gets pairs with the first
-FIRST_SOME close nodes before it. The first of these are verified first, the others only where they could still join
-components. A list in which a node has FIRST_SOME of them and perhaps more is kept, and at last all its close pairs of
-different components are verified. So all candidates that could join components are compared, and members of a large
-group, which find a partner among the first, cost a few comparisons each.
+Texts with the same set of shingles are one node. Nodes that are close to another in some list enter the index again,
+now with a parity of their set: bits that differ between two parities are never more than the shingles in which the sets
+differ, so pairs that differ in too many are dropped inside the lists, and no pair of the similarity is. What is left is
+nearly always similar; members of a group just below the similarity make no pairs. In an intersected list each node gets
+pairs with the first FIRST_SOME such nodes before it. The first of these are verified first, the others only where they
+could still join components. Of lists in which a node has FIRST_SOME of them and perhaps more, only a first pair of each
+node is taken; they are kept, and at last all their close pairs of different components are verified. So all candidates that
+could join components are compared, and members of a large group, which find a partner among the first, cost a few
+comparisons each.
 
 Defined results: fewer words than a shingle: the whole sequence is one shingle. Texts without a word, nulls
 among them, are copies of each other. Rows without an id take no part and are not in the result.
@@ -19,7 +23,7 @@ among them, are copies of each other. Rows without an id take no part and are no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +45,7 @@ FIRST_SOME = 16
 SEED = 42
 BLOCK_BYTES = 4_000_000
 PAIRS_AT_ONCE = 1 << 18
+LEAST_PARITY, MOST_PARITY = 64, 8192  # bits
 _POSITIONS = 8  # bytes of a fingerprint
 _HASHES_AT_ONCE = 1 << 12
 _chance = np.random.default_rng(SEED)
@@ -81,6 +86,28 @@ def sketch(hashes: np.ndarray) -> list[int]:
     return (np.arange(len(places)) * 256 + places).tolist()
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """In which of 2 to 4 buckets for each hash an odd number of the hashes is, as bits; at most MOST_PARITY buckets.
+
+    Halves put on each other by exclusive or are the parity in half as many buckets.
+    """
+    buckets = min(max(1 << (2 * len(hashes)).bit_length(), LEAST_PARITY), MOST_PARITY)
+    counts = np.bincount((hashes & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def parities(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(node, size, parity) of the different sets of shingles of the column `text`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, BLOCK_BYTES):
+            sets = [shingle_set(x, shingle) for x in block.column("text").to_pylist()]
+            columns = [pa.array(map(node_of, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(parity, sets), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "size", "parity"])
+
+    return texts.select("text").mapInArrow(run, "node long, size long, parity binary").dropDuplicates(["node"])
+
+
 def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, node, keys) of every row; no keys if it has no word."""
 
@@ -113,7 +140,7 @@ def _words(prints: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(filled.view(np.uint64).T)
 
 
-def _close(words: np.ndarray, left: np.ndarray, right: np.ndarray, most: float) -> np.ndarray:
+def _close(words: np.ndarray, left: np.ndarray, right: np.ndarray, most: float | np.ndarray) -> np.ndarray:
     """Which pairs of rows differ in at most `most` bits."""
     apart = np.zeros(len(left), np.uint16)
     for own in words:
@@ -121,8 +148,55 @@ def _close(words: np.ndarray, left: np.ndarray, right: np.ndarray, most: float)
     return apart <= most
 
 
+def _folded(column: pa.Array) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The length of each parity, and for each length where the parities that are so long or longer stand, and their words."""
+    lengths = pc.binary_length(column).to_numpy()
+    folded, rows, matrix = {}, np.zeros(0, np.int64), np.zeros((0, 0), np.uint8)
+    for length in np.unique(lengths)[::-1].tolist():
+        while matrix.shape[1] > length:
+            matrix = matrix[:, : matrix.shape[1] // 2] ^ matrix[:, matrix.shape[1] // 2 :]
+        own = np.flatnonzero(lengths == length)
+        matrix = np.concatenate([matrix.reshape(-1, length), _matrix(column.take(pa.array(own)))])
+        rows = np.concatenate([rows, own])
+        place = np.zeros(len(lengths), np.int64)
+        place[rows] = np.arange(len(rows))
+        folded[length] = place, _words(matrix)
+    return lengths, folded
+
+
+def _nearness(batch: pa.RecordBatch, similarity: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function that tells which pairs of rows (left, right) are close: in their prints and, if there are any, their parities."""
+    prints = _matrix(batch.column("prints"))
+    words, most = _words(prints), APART * 8 * prints.shape[1]
+    if "parity" not in batch.schema.names:
+        return lambda left, right: _close(words, left, right, most)
+    sizes = batch.column("size").to_numpy()
+    lengths, folded = _folded(batch.column("parity"))
+
+    def near(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        close = _close(words, left, right, most)
+        at = np.flatnonzero(close)
+        left, right = left[at], right[at]
+        # Sets of the similarity differ in no more shingles than this; the last term is for rounding.
+        differ = (sizes[left] + sizes[right]) * ((1 - similarity) / (1 + similarity)) + 1e-6
+        good = np.abs(sizes[left] - sizes[right]) <= differ
+        least = np.minimum(lengths[left], lengths[right])
+        for length in np.unique(least).tolist():
+            place, bits = folded[length]
+            some = np.flatnonzero(good & (least == length))
+            good[some] = _close(bits, place[left[some]], place[right[some]], differ[some])
+        close[at] = good
+        return close
+
+    return near
+
+
 def postings(nodes: DataFrame) -> DataFrame:
-    """(key, node, prints): nodes (node, keys) under their positional bytes, but the last that starts no SHARED positions."""
+    """(key, node, prints): nodes (node, keys) under their positional bytes, but the last that starts no SHARED positions.
+
+    Their columns size and parity come along.
+    """
+    more = [name for name in ("size", "parity") if name in nodes.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,11 +207,12 @@ def postings(nodes: DataFrame) -> DataFrame:
             prints = _binary((keys & 255).astype(np.uint8))
             for place in range(keys.shape[1]):
                 if place % _POSITIONS <= min(keys.shape[1], _POSITIONS) - min(keys.shape[1], SHARED):
-                    columns = [pa.array(keys[:, place].copy()), batch.column("node"), prints]
-                    yield pa.RecordBatch.from_arrays(columns, ["key", "node", "prints"])
+                    columns = [pa.array(keys[:, place].copy()), batch.column("node"), prints, *map(batch.column, more)]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "node", "prints", *more])
         give_back()
 
-    return nodes.select("node", "keys").mapInArrow(run, "key long, node long, prints binary")
+    schema = "key long, node long, prints binary" + (", size long, parity binary" if more else "")
+    return nodes.select("node", "keys", *more).mapInArrow(run, schema)
 
 
 def _whole_lists(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
@@ -158,7 +233,32 @@ def _whole_lists(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Rec
         yield pa.concat_batches(held)
 
 
-def _first_close(lists: np.ndarray, words: np.ndarray, most: float, some: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _lists(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The intersected lists of whole postings, sorted: (step, row, list) for each distance `step` of the two positions."""
+    key, node, prints = batch.column("key").to_numpy(), batch.column("node").to_numpy(), _matrix(batch.column("prints"))
+    width, place = prints.shape[1], key >> 8
+    for step in range(1, _POSITIONS) if width > 1 else (0,):
+        valid = np.flatnonzero(place % _POSITIONS + step < min(_POSITIONS, width))
+        lists = (key[valid] * 256 + prints[valid, place[valid] + step]) * _POSITIONS + step
+        order = np.lexsort((node[valid], lists))
+        yield step, valid[order], lists[order]
+
+
+def _first_shared(prints: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The second position of the first list that each pair of rows of a list shares; with one position, that."""
+    width = prints.shape[1]
+    found = np.full(len(left), -1 if width > 1 else 0)
+    for at in range(width if len(left) else 0):
+        if at % _POSITIONS == 0:
+            shared = np.zeros(len(left), np.int64)
+        shared += prints[left, at] == prints[right, at]
+        found[(found < 0) & (shared == SHARED)] = at
+    return found
+
+
+def _first_close(
+    lists: np.ndarray, near: Callable[[np.ndarray, np.ndarray], np.ndarray], some: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """In sorted lists each row's first `some` close rows before it: (row, that row, their number), and the rows of open lists.
 
     A list is open if a row had found so many before it was compared with all.
@@ -168,10 +268,10 @@ def _first_close(lists: np.ndarray, words: np.ndarray, most: float, some: int) -
     active, found, opened = np.flatnonzero(place > 0), [], np.zeros(len(lists), bool)
     while len(active):
         left = start[active] + k
-        near = _close(words, active, left, most)
-        if near.any():
-            hit = active[near]
-            found.append((hit, left[near], count[hit]))
+        close = near(active, left)
+        if close.any():
+            hit = active[close]
+            found.append((hit, left[close], count[hit]))
             count[hit] += 1
         k += 1
         more = place[active] > k
@@ -182,52 +282,105 @@ def _first_close(lists: np.ndarray, words: np.ndarray, most: float, some: int) -
     return *pairs, np.flatnonzero(opened[start])
 
 
-def candidates(listed: DataFrame, some: int) -> DataFrame:
-    """Close pairs (a, b, number) of the postings, numbered for each b from 0 to `some` - 1; and open lists (list, a, prints)."""
+def partnered(listed: DataFrame) -> DataFrame:
+    """(node): the nodes of the postings that are close to another node in some list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_lists(batches, "key"):
+            node, near, found = batch.column("node").to_numpy(), _nearness(batch, 0), []
+            for _, rows, lists in _lists(batch):
+                of_rows = _of_rows(near, rows)
+                right, left, _, members = _first_close(lists, of_rows, 1)
+                found.append(rows[_have_close(lists, of_rows, right, left, members)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(node[np.concatenate(found)]))], ["node"])
+        give_back()
+
+    return listed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "node long").distinct()
+
+
+def _have_close(
+    lists: np.ndarray, near: Callable[[np.ndarray, np.ndarray], np.ndarray], right: np.ndarray, left: np.ndarray, members: np.ndarray
+) -> np.ndarray:
+    """Which rows are close to another of their list, from the pairs and the rows of open lists that _first_close gave."""
+    close = np.zeros(len(lists), bool)
+    close[left] = close[right] = True
+    # Rows without a close one before them can have one among those after them that stopped before.
+    order = members[np.lexsort((~close[members], lists[members]))]
+    late = _first_close(lists[order], _of_rows(near, order), 1)[0]
+    close[order[late]] = True
+    return close
+
+
+def _of_rows(near: Callable[[np.ndarray, np.ndarray], np.ndarray], rows: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    return lambda left, right: near(rows[left], rows[right])
+
+
+def candidates(listed: DataFrame, some: int, similarity: float = SIMILARITY) -> DataFrame:
+    """Close pairs (a, b, number) of the postings, numbered for each b from 0 to `some` - 1; and open lists (list, a, prints).
+
+    A list is open if a node in it has `some` close ones before it and perhaps more. Of open lists all nodes that are close
+    to another are given, but for each b only one pair with number 0. A pair of other lists is given by the first it is in.
+
+    If the postings have parities, only pairs that may reach the similarity are close, and open lists have the parities.
+    """
+    more = [name for name in ("size", "parity") if name in listed.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _whole_lists(batches, "key"):
-            key, node, prints = batch.column("key").to_numpy(), batch.column("node").to_numpy(), _matrix(batch.column("prints"))
-            width = prints.shape[1]
-            place = key >> 8
-            found = []
-            for step in range(1, _POSITIONS) if width > 1 else (0,):
-                valid = np.flatnonzero(place % _POSITIONS + step < min(_POSITIONS, width))
-                lists = (key[valid] * 256 + prints[valid, place[valid] + step]) * _POSITIONS + step
-                order = np.lexsort((node[valid], lists))
-                rows, lists = valid[order], lists[order]
-                right, left, number, members = _first_close(lists, _words(prints[rows]), APART * 8 * width, some)
-                found.append((node[rows[left]], node[rows[right]], number))
+            node, near, found = batch.column("node").to_numpy(), _nearness(batch, similarity), []
+            prints, place = _matrix(batch.column("prints")), batch.column("key").to_numpy() >> 8
+            for step, rows, lists in _lists(batch):
+                of_rows = _of_rows(near, rows)
+                right, left, number, members = _first_close(lists, of_rows, some)
+                close = _have_close(lists, of_rows, right, left, members)
+                opened = np.zeros(len(rows), bool)
+                opened[members] = True
+                sent = opened[right] & (number == 0)
+                closed = np.flatnonzero(~opened[right])
+                sent[closed] = _first_shared(prints, rows[left[closed]], rows[right[closed]]) == place[rows[right[closed]]] + step
+                left, right, number = left[sent], right[sent], number[sent]
+                found.append((node[rows[left]], node[rows[right]], number, opened[right]))
                 if len(members):
-                    yield _candidate_batch(node[rows[members]], lists=lists[members], prints=prints[rows[members]])
-            a, b, number = map(np.concatenate, zip(*found, strict=True))
-            # A pair that is in several lists of the batch is sent once, with its least number.
-            order = np.lexsort((number, b, a))
-            a, b, number = a[order], b[order], number[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            yield _candidate_batch(a[new], b[new], number[new])
+                    members = members[close[members]]
+                    own = batch.select(["prints", *more]).take(pa.array(rows[members]))
+                    yield _candidate_batch(node[rows[members]], lists=lists[members], own=own.columns, more=more)
+            a, b, number, opened = map(np.concatenate, zip(*found, strict=True))
+            # Open lists are worked through at the end, so of their pairs one for each b of the batch is enough.
+            late = np.flatnonzero(opened)
+            late = late[np.lexsort((a[late], b[late]))]
+            first = np.ones(len(late), bool)
+            first[1:] = b[late[1:]] != b[late[:-1]]
+            sent = np.concatenate([np.flatnonzero(~opened), late[first]])
+            a, b, number = a[sent], b[sent], number[sent]
+            yield _candidate_batch(a, b, number, more=more)
         give_back()
 
     by_key = listed.repartition("key").sortWithinPartitions("key")
-    return by_key.mapInArrow(run, "a long, b long, number long, list long, prints binary")
+    schema = "a long, b long, number long, list long, prints binary" + (", size long, parity binary" if more else "")
+    return by_key.mapInArrow(run, schema)
 
 
 def _candidate_batch(
-    a: np.ndarray, b: np.ndarray | None = None, number: np.ndarray | None = None, lists: np.ndarray | None = None, prints: np.ndarray | None = None
+    a: np.ndarray,
+    b: np.ndarray | None = None,
+    number: np.ndarray | None = None,
+    lists: np.ndarray | None = None,
+    own: list[pa.Array] | None = None,
+    more: list[str] | None = None,
 ) -> pa.RecordBatch:
+    names = ["prints", *(more or [])]
     columns = [pa.nulls(len(a), pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (a, b, number, lists)]
-    columns.append(pa.nulls(len(a), pa.binary()) if prints is None else _binary(prints))
-    return pa.RecordBatch.from_arrays(columns, ["a", "b", "number", "list", "prints"])
+    columns += own or [pa.nulls(len(a), pa.int64() if name == "size" else pa.binary()) for name in names]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "number", "list", *names])
 
 
-def _between(lists: DataFrame) -> DataFrame:
-    """(a, b): the close pairs of different components in the lists (list, node, root, prints)."""
+def _between(lists: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the close pairs of different components in the lists (list, node, root, prints, size, parity)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _whole_lists(batches, "list"):
             key, node, root = (batch.column(name).to_numpy() for name in ("list", "node", "root"))
-            prints = _matrix(batch.column("prints"))
+            near = _nearness(batch, similarity)
             found, held = [], 0
             edges = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
             for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -238,12 +391,11 @@ def _between(lists: DataFrame) -> DataFrame:
                 # The largest component is last, so that its members are only looked up, never compared with each other.
                 order = np.lexsort((inverse, sizes[inverse]))
                 rows, runs = order + begin, inverse[order]
-                words = _words(prints[rows])
                 ends = np.append(np.flatnonzero(np.diff(runs)) + 1, len(runs))
                 beyond = ends[np.searchsorted(ends, np.arange(len(runs)), side="right")]
                 for i in np.flatnonzero(beyond < len(runs)).tolist():
                     right = np.arange(beyond[i], len(runs))
-                    right = right[_close(words, np.full(len(right), i), right, APART * 8 * prints.shape[1])]
+                    right = right[near(np.full(len(right), rows[i]), rows[right])]
                     x, y = np.full(len(right), node[rows[i]]), node[rows[right]]
                     found.append((np.minimum(x, y), np.maximum(x, y)))
                     held += len(right)
@@ -293,9 +445,12 @@ def near_copies(
     texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = stored(sketches(documents, doc_id, text, shingle), "sketches")
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"))
-    found = stored(candidates(postings(nodes), FIRST_SOME), "candidates")
+    close = stored(nodes.join(stored(partnered(postings(nodes)), "partnered"), "node"), "partnered")
+    texts = stored(texts.join(close.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "close_texts")
+    close = stored(close.join(parities(texts, shingle), "node"), "parities")
+    found = stored(candidates(postings(close), FIRST_SOME, similarity), "candidates")
     numbered = stored(found.where("b IS NOT NULL").groupBy("a", "b").agg(F.min("number").alias("number")), "pairs")
-    ids = nodes.select("node", "id")
+    ids = close.select("node", "id")
 
     def verified(pairs: DataFrame) -> DataFrame:
         named = pairs.join(ids.toDF("a", "a_id"), "a").join(ids.toDF("b", "b_id"), "b").select("a", "a_id", "b", "b_id")
@@ -310,9 +465,9 @@ def near_copies(
     roots = components(verified(numbered.where("number = 0").select("a", "b")))
     others = root_of(root_of(numbered.where("number > 0"), "a", "a_root"), "b", "b_root").where("a_root <> b_root")
     roots = joined(verified(others.select("a", "b")))
-    lists = root_of(found.where("list IS NOT NULL").select("list", F.col("a").alias("node"), "prints"), "node", "root")
-    roots = joined(verified(_between(lists)))
+    lists = root_of(found.where("list IS NOT NULL").select("list", F.col("a").alias("node"), "prints", "size", "parity"), "node", "root")
+    roots = joined(verified(_between(lists, similarity)))
 
-    whole = ids.join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
+    whole = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     least = whole.groupBy("root").agg(F.min("id").alias("component_id"))
     return rows.select("doc_id", "node").join(whole.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
